@@ -60,26 +60,48 @@ class WindowJob:
     running_cols: dict[str, str] = field(default_factory=dict)
 
 
+def hot_key_rows(df: DataFrame, key_sets: Sequence[str | Sequence[str]], rows_per_segment: int | None = None) -> dict[tuple[str, ...], int]:
+    """Rows held by hot keys (more than ``rows_per_segment`` rows) for several key sets, in one pass.
+
+    One ``GROUPING SETS`` aggregation (a single scan, expanded per key set) counts rows per key; the
+    per-set totals of hot keys come back as a handful of scalars.
+    """
+    limit = rows_per_segment or rows_per_task(df)
+    sets = [tuple(_names(k)) for k in key_sets]
+    cols: list[str] = []
+    for ks in sets:
+        cols += [c for c in ks if c not in cols]
+    gid_of = {ks: sum(1 << (len(cols) - 1 - i) for i, c in enumerate(cols) if c not in ks) for ks in sets}
+    counts = (df.groupingSets([[F.col(c) for c in ks] for ks in sets], *[F.col(c) for c in cols])
+                .agg(F.count(F.lit(1)).alias("_tl_n"), F.grouping_id().alias("_tl_gid")))
+    found = {r["_tl_gid"]: r["_tl_rows"] for r in
+             counts.filter(F.col("_tl_n") > limit).groupBy("_tl_gid").agg(F.sum("_tl_n").alias("_tl_rows")).collect()}
+    return {ks: int(found.get(gid, 0) or 0) for ks, gid in gid_of.items()}
+
+
 def apply_window(df: DataFrame, keys: str | Sequence[str], order: Sequence[str], job: WindowJob,
-                 skew: str = "auto", rows_per_segment: int | None = None) -> DataFrame:
+                 skew: str = "auto", rows_per_segment: int | None = None, hot_rows: int | None = None) -> DataFrame:
     """Run ``job`` per entity. ``skew``: ``auto`` splits entities above ``rows_per_segment`` rows,
-    ``off`` always uses the plain window (only for inputs whose entity size is bounded)."""
+    ``off`` always uses the plain window (only for inputs whose entity size is bounded).
+    ``hot_rows`` (from ``hot_key_rows``) skips the detection pass when already known."""
     keys = _names(keys)
     order = list(order)
     if skew == "off":
         return _plain(df, keys, order, job)
     limit = rows_per_segment or rows_per_task(df)
-    counts = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_tl_n"))
-    hot = counts.filter(F.col("_tl_n") > limit).select(*keys, "_tl_n")
-    # Scalar action: total rows of hot keys (0 in the common case). The hot-key table holds at most
-    # rows/limit entries, so broadcasting it below is bounded by construction.
-    hot_rows = hot.agg(F.sum("_tl_n")).first()[0] or 0
+    if hot_rows is None:
+        hot_rows = hot_key_rows(df, [keys], limit)[tuple(keys)]
     if hot_rows == 0:
         return _plain(df, keys, order, job)
-    hot_keys = F.broadcast(hot.select(*keys))
-    # Null keys never match a join, so rows with a null key stay on the plain (cold) path.
-    cold = df.join(hot_keys, on=keys, how="left_anti")
-    hot_df = df.join(hot_keys, on=keys, how="left_semi")
+    counts = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_tl_n"))
+    # At most rows/limit hot keys exist, so broadcasting this table is bounded by construction.
+    hot = F.broadcast(counts.filter(F.col("_tl_n") > limit).select(*[F.col(k).alias(f"_tl_hk_{k}") for k in keys]))
+    cond = None
+    for k in keys:
+        c = df[k].eqNullSafe(hot[f"_tl_hk_{k}"])   # a hot null key is split too
+        cond = c if cond is None else cond & c
+    cold = df.join(hot, cond, "left_anti")
+    hot_df = df.join(hot, cond, "left_semi")
     segments = max(2, -(-hot_rows // limit))
     return _plain(cold, keys, order, job).unionByName(_segmented(hot_df, keys, order, job, segments))
 
@@ -129,9 +151,11 @@ def _segmented(df: DataFrame, keys: list[str], order: list[str], job: WindowJob,
                               *[F.coalesce(F.sum(f"_tl_sum_{i}").over(before), F.lit(0.0)).alias(f"_tl_base_{i}")
                                 for i in range(len(job.running_cols))])
         out = out.join(offs, on=kseg, how="left")
-        adj = {c: F.col(c) + F.col("_tl_off") for c in job.row_number_cols}
+        types = {f.name: f.dataType for f in out.schema.fields}
+        # keep the plain path's types so the schema does not depend on whether a key was split
+        adj = {c: (F.col(c) + F.col("_tl_off")).cast(types[c]) for c in job.row_number_cols}
         for i, name in enumerate(job.running_cols):
-            adj[name] = F.col(name) + F.col(f"_tl_base_{i}")
+            adj[name] = (F.col(name) + F.col(f"_tl_base_{i}")).cast(types[name])
         out = out.withColumns(adj).drop("_tl_off", *[f"_tl_base_{i}" for i in range(len(job.running_cols))])
     return out.drop(_SEG, _HALO)
 
@@ -142,7 +166,7 @@ def _segmented(df: DataFrame, keys: list[str], order: list[str], job: WindowJob,
 
 def trailing(df: DataFrame, keys: str | Sequence[str], order: Sequence[str], columns: Sequence[str], n: int,
              how: str = "mean", out: str = "{c}_last{n}", skew: str = "auto",
-             rows_per_segment: int | None = None) -> DataFrame:
+             rows_per_segment: int | None = None, hot_rows: int | None = None) -> DataFrame:
     """Statistic of the previous ``n`` rows of the entity, current row excluded
     (``shift(1).rolling(n, min_periods=1)``). Null when no earlier non-null value exists."""
     fn = {"mean": F.avg, "sum": F.sum, "min": F.min, "max": F.max, "count": F.count}[how]
@@ -158,7 +182,7 @@ def trailing(df: DataFrame, keys: str | Sequence[str], order: Sequence[str], col
             result[out.format(c=c, n=n)] = value
         return result
 
-    return apply_window(df, keys, order, WindowJob(build, lookback=n), skew, rows_per_segment)
+    return apply_window(df, keys, order, WindowJob(build, lookback=n), skew, rows_per_segment, hot_rows)
 
 
 def trailing_guarded(df: DataFrame, keys: str | Sequence[str], order: Sequence[str], columns: Sequence[str], n: int,
@@ -188,13 +212,13 @@ def moving_average_complete(df: DataFrame, keys: str | Sequence[str], order: Seq
 
 
 def ordinal(df: DataFrame, keys: str | Sequence[str], order: Sequence[str], name: str, base: int = 1,
-            skew: str = "auto", rows_per_segment: int | None = None) -> DataFrame:
+            skew: str = "auto", rows_per_segment: int | None = None, hot_rows: int | None = None) -> DataFrame:
     """W3 (``cumcount()+1``, base 1) and W4 (``cumcount()``, base 0)."""
 
     def build(w: Window) -> dict[str, Column]:
         return {name: F.row_number().over(w) - (1 - base)}
 
-    return apply_window(df, keys, order, WindowJob(build, row_number_cols=[name]), skew, rows_per_segment)
+    return apply_window(df, keys, order, WindowJob(build, row_number_cols=[name]), skew, rows_per_segment, hot_rows)
 
 
 def gap(df: DataFrame, keys: str | Sequence[str], order: Sequence[str], clock: str, name: str,
