@@ -199,7 +199,8 @@ def trailing_guarded(df: DataFrame, keys: str | Sequence[str], order: Sequence[s
 
 
 def moving_average_complete(df: DataFrame, keys: str | Sequence[str], order: Sequence[str], column: str, n: int,
-                            out: str | None = None, skew: str = "auto", rows_per_segment: int | None = None) -> DataFrame:
+                            out: str | None = None, skew: str = "auto", rows_per_segment: int | None = None,
+                            hot_rows: int | None = None) -> DataFrame:
     """Inclusive moving average over the last ``n`` rows (current row included) that is null
     until ``n`` rows exist."""
     name = out or f"{column}_ma{n}"
@@ -208,7 +209,7 @@ def moving_average_complete(df: DataFrame, keys: str | Sequence[str], order: Seq
         frame = w.rowsBetween(-(n - 1), 0)
         return {name: F.when(F.count(F.lit(1)).over(frame) >= n, F.avg(column).over(frame))}
 
-    return apply_window(df, keys, order, WindowJob(build, lookback=n - 1), skew, rows_per_segment)
+    return apply_window(df, keys, order, WindowJob(build, lookback=n - 1), skew, rows_per_segment, hot_rows)
 
 
 def ordinal(df: DataFrame, keys: str | Sequence[str], order: Sequence[str], name: str, base: int = 1,
@@ -222,17 +223,18 @@ def ordinal(df: DataFrame, keys: str | Sequence[str], order: Sequence[str], name
 
 
 def gap(df: DataFrame, keys: str | Sequence[str], order: Sequence[str], clock: str, name: str,
-        skew: str = "auto", rows_per_segment: int | None = None) -> DataFrame:
+        skew: str = "auto", rows_per_segment: int | None = None, hot_rows: int | None = None) -> DataFrame:
     """``clock.diff().fillna(clock)`` per entity: first row gets its own clock value."""
 
     def build(w: Window) -> dict[str, Column]:
         return {name: F.col(clock) - F.coalesce(F.lag(clock, 1).over(w), F.lit(0))}
 
-    return apply_window(df, keys, order, WindowJob(build, lookback=1), skew, rows_per_segment)
+    return apply_window(df, keys, order, WindowJob(build, lookback=1), skew, rows_per_segment, hot_rows)
 
 
 def running_before(df: DataFrame, keys: str | Sequence[str], order: Sequence[str], columns: Sequence[str],
-                   out: str = "{c}_before", skew: str = "auto", rows_per_segment: int | None = None) -> DataFrame:
+                   out: str = "{c}_before", skew: str = "auto", rows_per_segment: int | None = None,
+                   hot_rows: int | None = None) -> DataFrame:
     """W6 (fixed form): total of ``columns`` over the earlier rows of the entity, 0 at the first row.
 
     The reference shifts over the whole table, so a match's first shot inherits the previous match's
@@ -245,7 +247,7 @@ def running_before(df: DataFrame, keys: str | Sequence[str], order: Sequence[str
         return {name: F.coalesce(F.sum(F.col(src).cast("double")).over(frame), F.lit(0.0)) for name, src in names.items()}
 
     job = WindowJob(build, running_cols=names)
-    return apply_window(df, keys, order, job, skew, rows_per_segment)
+    return apply_window(df, keys, order, job, skew, rows_per_segment, hot_rows)
 
 
 def row_index(df: DataFrame, order: Sequence[str], name: str = "row_idx", partitions: int | None = None) -> DataFrame:

@@ -158,3 +158,49 @@ def pitch_points(spark: SparkSession, sf_dir: str) -> DataFrame:
     li = table(spark, sf_dir, "lineitem")
     return li.select("l_orderkey", "l_linenumber", "l_returnflag",
                      (F.col("l_quantity") * 2).alias("x"), (F.col("l_discount") * 1000).alias("y"))
+
+
+# Member models of the ensemble binding: (model_id, a, b, c) multipliers of the per-row noise.
+MEMBERS = [("m1", 3, 5, 7), ("m2", 11, 13, 17), ("m3", 19, 23, 29), ("m4", 31, 37, 41)]
+
+
+def member_predictions(fixtures_df: DataFrame) -> DataFrame:
+    """Long member predictions (row_id, model_id, p_home, p_draw, p_away, goals, label): market
+    probabilities plus member-specific noise. m2 misses every row with id mod 10 = 3, m3 gives a
+    negative draw score when id mod 17 = 0, m4 gives only a label (D) when id mod 13 = 0, m1 has no
+    goals when id mod 7 = 0. One scan of the fixtures, ``explode`` of one struct per member."""
+    i = F.col("id")
+
+    def member(mid, a, b, c):
+        rh = 1 / F.col("b365h") + _mod(i * a, 7).cast("double") / 20
+        rd = 1 / F.col("b365d") + _mod(i * b, 5).cast("double") / 20
+        if mid == "m3":
+            rd = F.when(_mod(i, 17) == 0, F.lit(-0.2)).otherwise(rd)
+        ra = 1 / F.col("b365a") + _mod(i * c, 6).cast("double") / 20
+        goals = F.lit(2.0) + _mod(i * a, 9).cast("double") / 4
+        if mid == "m1":
+            goals = F.when(_mod(i, 7) == 0, F.lit(None).cast("double")).otherwise(goals)
+        present = F.lit(True) if mid != "m2" else (_mod(i, 10) != 3)
+        return F.struct(F.lit(mid).alias("model_id"), rh.alias("rh"), rd.alias("rd"), ra.alias("ra"),
+                        goals.alias("goals"), present.alias("present"))
+
+    ex = fixtures_df.select(i.alias("row_id"), F.explode(F.array(*[member(*m) for m in MEMBERS])).alias("m"))
+    ex = ex.filter(F.col("m.present")).select("row_id", "m.model_id", "m.rh", "m.rd", "m.ra", "m.goals")
+    tot = F.col("rh") + F.col("rd") + F.col("ra")
+    label_only = (F.col("model_id") == "m4") & (_mod(F.col("row_id"), 13) == 0)
+    ex = ex.withColumns({c: F.when(label_only, F.lit(None).cast("double")).otherwise(F.col(r) / tot)
+                         for c, r in (("p_home", "rh"), ("p_draw", "rd"), ("p_away", "ra"))})
+    lab = (F.when((F.col("p_home") >= F.col("p_draw")) & (F.col("p_home") >= F.col("p_away")), "H")
+            .when(F.col("p_draw") >= F.col("p_away"), "D").otherwise("A"))
+    return ex.select("row_id", "model_id", "p_home", "p_draw", "p_away", "goals",
+                     F.when(label_only, F.lit("D")).otherwise(lab).alias("label"))
+
+
+def time_split(fixtures_df: DataFrame, holdout: float = 0.2) -> DataFrame:
+    """M1 + W14: ``row_idx`` over (kickoff, id) without a single-task window, and ``is_train`` for the
+    first ``max(int(n * (1 - holdout)), 1)`` rows."""
+    from touchline.operators.windows import row_index
+    idx = row_index(fixtures_df.select("id", "kickoff"), ["kickoff", "id"], "row_idx")
+    n = fixtures_df.agg(F.count(F.lit(1)).alias("_n"))
+    cut = F.greatest(F.floor(F.col("_n") * (1 - holdout)).cast("long"), F.lit(1))
+    return idx.crossJoin(F.broadcast(n)).withColumn("is_train", F.col("row_idx") < cut).drop("_n", "kickoff")
