@@ -29,11 +29,15 @@ def confusion(df: DataFrame, label: str, pred: str, labels: Sequence[str] = LABE
 
 def class_metrics(conf: DataFrame, labels: Sequence[str] = LABELS, by: Sequence[str] = ()) -> DataFrame:
     """Per-class precision, recall, F1 and support from confusion counts (zero division -> 0)."""
-    tp = conf.filter(F.col("actual") == F.col("predicted")).groupBy(*by, F.col("actual").alias("cls")).agg(F.sum("count").alias("tp"))
-    support = conf.groupBy(*by, F.col("actual").alias("cls")).agg(F.sum("count").alias("support"))
-    predicted = conf.groupBy(*by, F.col("predicted").alias("cls")).agg(F.sum("count").alias("predicted_n"))
+    # one pass: every cell counts toward its actual class (support, tp) and its predicted class
+    cells = conf.select(*by, F.explode(F.array(
+        F.struct(F.col("actual").alias("cls"), F.col("count").alias("support"),
+                 F.when(F.col("actual") == F.col("predicted"), F.col("count")).otherwise(F.lit(0)).alias("tp"),
+                 F.lit(0).cast("long").alias("predicted_n")),
+        F.struct(F.col("predicted").alias("cls"), F.lit(0).cast("long").alias("support"), F.lit(0).cast("long").alias("tp"),
+                 F.col("count").alias("predicted_n")))).alias("_c")).select(*by, "_c.*")
     keys = list(by) + ["cls"]
-    m = tp.join(support, keys).join(predicted, keys)
+    m = cells.groupBy(*keys).agg(F.sum("tp").alias("tp"), F.sum("support").alias("support"), F.sum("predicted_n").alias("predicted_n"))
     prec = F.when(F.col("predicted_n") > 0, F.col("tp") / F.col("predicted_n")).otherwise(F.lit(0.0))
     rec = F.when(F.col("support") > 0, F.col("tp") / F.col("support")).otherwise(F.lit(0.0))
     m = m.withColumns({"precision": prec, "recall": rec})
