@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from touchline.functions import odds as O
@@ -158,26 +158,36 @@ def notebook_form_features(fixtures: DataFrame, window: int = 5) -> DataFrame:
 
 
 def future_fixture_features(history: DataFrame, new_rows: DataFrame, window: int = 5) -> DataFrame:
-    """J8 (fixed form): features for fixtures that have not been played.
-
-    History is pruned to the teams in the request by a semi join (so the work grows with the
-    teams asked about, not the whole table), new rows are appended with ``is_new = 1`` and null
-    results, trailing windows are rebuilt, and only the new rows are returned. New rows never feed
-    each other's windows (their values are null, and ``avg`` skips nulls), which fixes the reference's
-    placeholder-score leak between two future fixtures of one team.
+    """J8 (fixed form): team-form features for fixtures that have not been played.
+
+    History is pruned to the teams in the request by a semi join (J13), so the work grows with the
+    teams asked about. Each history row carries the mean of its team's last ``window`` history rows
+    (itself included); a new row takes, as of its kickoff, the value of the latest earlier history row
+    of its team (``last(..., ignorenulls)`` over the union, R4). New rows therefore never see each
+    other, which fixes the reference's leak of placeholder scores between two future fixtures of one
+    team, and they do not use up window slots.
     """
     teams = (new_rows.select(F.col("home_team").alias("team"))
              .union(new_rows.select(F.col("away_team").alias("team"))).distinct())
-    hist_long = team_long(history).withColumn("is_new", F.lit(0))
-    hist_long = hist_long.join(teams, "team", "left_semi")
-    new = new_rows.withColumn("ftr", F.lit(None).cast("string")).withColumns(
-        {"fthg": F.lit(None).cast("long"), "ftag": F.lit(None).cast("long")})
-    new_long = team_long(new).withColumn("is_new", F.lit(1))
-    both = hist_long.unionByName(new_long)
-    both = both.withColumns({c: F.col(c).cast("double") for c in ("goals_for", "goals_against")})
-    both = both.withColumn("points", F.when(F.col("is_new") == 1, F.lit(None)).otherwise(F.col("points")).cast("double"))
     cols = ["goals_for", "goals_against", "points"]
-    rolled = windows.trailing(both.withColumnRenamed("match_id", "id"), "team", ORDER, cols, window)
+    hist_long = team_long(history).join(teams, "team", "left_semi").withColumnRenamed("match_id", "id")
+    hist_long = hist_long.withColumns({c: F.col(c).cast("double") for c in cols})
+
+    def inclusive(w):
+        frame = w.rowsBetween(-(window - 1), 0)
+        return {f"_inc_{c}": F.avg(c).over(frame) for c in cols}
+    hist_long = windows.apply_window(hist_long, "team", ORDER, windows.WindowJob(inclusive, lookback=window - 1))
+    hist_long = hist_long.select("id", "kickoff", "team", "is_home", *[f"_inc_{c}" for c in cols], F.lit(0).alias("is_new"))
+    new = new_rows.withColumns({"ftr": F.lit(None).cast("string"), "fthg": F.lit(None).cast("long"), "ftag": F.lit(None).cast("long")})
+    new_long = team_long(new).withColumnRenamed("match_id", "id").select(
+        "id", "kickoff", "team", "is_home", *[F.lit(None).cast("double").alias(f"_inc_{c}") for c in cols], F.lit(1).alias("is_new"))
+    both = hist_long.unionByName(new_long)
+
+    def as_of(w):
+        before = w.rowsBetween(Window.unboundedPreceding, -1)
+        return {f"{c}_last{window}": F.last(f"_inc_{c}", ignorenulls=True).over(before) for c in cols}
+    rolled = windows.apply_window(both, "team", ORDER, windows.WindowJob(
+        as_of, carry_cols={f"{c}_last{window}": f"_inc_{c}" for c in cols}))
     rolled = rolled.filter(F.col("is_new") == 1)
     outs = [f"{c}_last{window}" for c in cols]
     wide = reshape.long_to_wide(rolled, "id", "is_home", outs)

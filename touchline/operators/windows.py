@@ -58,6 +58,9 @@ class WindowJob:
     lookback: int = 0
     row_number_cols: list[str] = field(default_factory=list)
     running_cols: dict[str, str] = field(default_factory=dict)
+    # output -> source: "last non-null source value before this row" outputs (as-of); a split key
+    # fills a null output from the last non-null value of earlier segments
+    carry_cols: dict[str, str] = field(default_factory=dict)
 
 
 def hot_key_rows(df: DataFrame, key_sets: Sequence[str | Sequence[str]], rows_per_segment: int | None = None) -> dict[tuple[str, ...], int]:
@@ -157,6 +160,17 @@ def _segmented(df: DataFrame, keys: list[str], order: list[str], job: WindowJob,
         for i, name in enumerate(job.running_cols):
             adj[name] = (F.col(name) + F.col(f"_tl_base_{i}")).cast(types[name])
         out = out.withColumns(adj).drop("_tl_off", *[f"_tl_base_{i}" for i in range(len(job.running_cols))])
+    if job.carry_cols:
+        ordered = F.struct(*[F.col(c) for c in order])
+        last_vals = tagged.groupBy(*kseg).agg(*[
+            F.max_by(F.col(src), F.when(F.col(src).isNotNull(), ordered)).alias(f"_tl_last_{i}")
+            for i, src in enumerate(job.carry_cols.values())])
+        before = Window.partitionBy(*keys).orderBy(_SEG).rowsBetween(Window.unboundedPreceding, -1)
+        carried = last_vals.select(*kseg, *[F.last(f"_tl_last_{i}", ignorenulls=True).over(before).alias(f"_tl_carry_{i}")
+                                            for i in range(len(job.carry_cols))])
+        out = out.join(carried, on=kseg, how="left")
+        out = out.withColumns({name: F.coalesce(F.col(name), F.col(f"_tl_carry_{i}"))
+                               for i, name in enumerate(job.carry_cols)}).drop(*[f"_tl_carry_{i}" for i in range(len(job.carry_cols))])
     return out.drop(_SEG, _HALO)
 
 

@@ -50,6 +50,14 @@ def fixtures(spark: SparkSession, sf_dir: str) -> DataFrame:
         _mod(k * 13 + 1, 6).alias("ay"),
         (_mod(k * 17, 15) + 5).alias("hf"),
         (_mod(k * 19 + 3, 15) + 5).alias("af"),
+        (_mod(k * 23 + p, 20) + 2).alias("hs"),
+        (_mod(k * 29 + p, 18) + 1).alias("as_"),
+        _mod(k * 7 + p, 8).alias("hst"),
+        _mod(k * 5 + p, 7).alias("ast"),
+        _mod(k * 17, 11).alias("hc"),
+        _mod(k * 19, 10).alias("ac"),
+        F.when(_mod(k, 41) == 0, F.lit(1)).otherwise(F.lit(0)).cast("long").alias("hr"),
+        F.when(_mod(k, 43) == 0, F.lit(1)).otherwise(F.lit(0)).cast("long").alias("ar"),
         _odds(1.2, k, p, 37, True, 40).alias("b365h"),
         _odds(2.5, k, p, 41, False, 20).alias("b365d"),
         _odds(1.5, k, p, 43, True, 50).alias("b365a"),

@@ -18,6 +18,9 @@ fx AS (
          (id * 7 + p) % 5 AS fthg, (id * 3 + p) % 4 AS ftag,
          CASE WHEN id % 97 = 0 THEN NULL ELSE id % 23 END AS referee,
          (id * 11) % 5 AS hy, (id * 13 + 1) % 6 AS ay, (id * 17) % 15 + 5 AS hf, (id * 19 + 3) % 15 + 5 AS af,
+         (id * 23 + p) % 20 + 2 AS hs, (id * 29 + p) % 18 + 1 AS as_, (id * 7 + p) % 8 AS hst, (id * 5 + p) % 7 AS ast,
+         (id * 17) % 11 AS hc, (id * 19) % 10 AS ac, CASE WHEN id % 41 = 0 THEN 1 ELSE 0 END AS hr,
+         CASE WHEN id % 43 = 0 THEN 1 ELSE 0 END AS ar,
          1.2 + CAST((id * 37 + p) % 40 AS DOUBLE) / 10 AS b365h,
          2.5 + CAST((id * 41) % 20 AS DOUBLE) / 10 AS b365d,
          1.5 + CAST((id * 43 + p) % 50 AS DOUBLE) / 10 AS b365a,
