@@ -124,6 +124,7 @@ def _segmented(df: DataFrame, keys: list[str], order: list[str], job: WindowJob,
     kseg = keys + [_SEG]
 
     pieces = tagged.withColumn(_HALO, F.lit(False))
+    halos = None
     if job.lookback > 0:
         # Last `lookback` rows of every (key, segment): a table of lookback x segments rows.
         tail_w = Window.partitionBy(*kseg).orderBy(*_order_cols(order, descending=True))
@@ -153,6 +154,16 @@ def _segmented(df: DataFrame, keys: list[str], order: list[str], job: WindowJob,
         offs = per_seg.select(*kseg, F.coalesce(F.sum("_tl_cnt").over(before), F.lit(0)).alias("_tl_off"),
                               *[F.coalesce(F.sum(f"_tl_sum_{i}").over(before), F.lit(0.0)).alias(f"_tl_base_{i}")
                                 for i in range(len(job.running_cols))])
+        if halos is not None:
+            # halo rows precede every real row of the segment, so in-segment row numbers and running
+            # totals already include them once: remove them before adding the earlier segments
+            hstats = halos.groupBy(*kseg).agg(F.count(F.lit(1)).alias("_tl_hcnt"), *[
+                F.sum(F.coalesce(F.col(src).cast("double"), F.lit(0.0))).alias(f"_tl_hsum_{i}")
+                for i, src in enumerate(job.running_cols.values())])
+            offs = offs.join(hstats, on=kseg, how="left").select(
+                *kseg, (F.col("_tl_off") - F.coalesce("_tl_hcnt", F.lit(0))).alias("_tl_off"),
+                *[(F.col(f"_tl_base_{i}") - F.coalesce(F.col(f"_tl_hsum_{i}"), F.lit(0.0))).alias(f"_tl_base_{i}")
+                  for i in range(len(job.running_cols))])
         out = out.join(offs, on=kseg, how="left")
         types = {f.name: f.dataType for f in out.schema.fields}
         # keep the plain path's types so the schema does not depend on whether a key was split
