@@ -420,3 +420,75 @@ def latest_pair_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     """J12 + T3 + P2: latest fixture per normalised (home, away) pair via ``max_by``."""
     res = SC.latest_pair_rows(bindings.fixtures(spark, sf_dir))
     return normalise(res.select("_hk", "_ak", "id", "ftr", "total_goals").withColumnRenamed("_hk", "hk").withColumnRenamed("_ak", "ak"))
+
+
+@query("goals_residual_summary", _ALL + """
+, test AS (SELECT f.id, f.total_goals FROM fixtures f JOIN split2 s ON s.id = f.id WHERE NOT s.is_train),
+r AS (SELECT t.total_goals - e.predicted_total_goals AS residual FROM test t JOIN ens e ON e.row_id = t.id)
+SELECT round(avg(residual), 6) AS mean_residual, round(sqrt(avg(residual * residual)), 6) AS rmse, CAST(count(*) AS BIGINT) AS n,
+       round(quantile_cont(residual, 0.5), 6) AS median
+FROM r
+""")
+def goals_residual_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """E10 + A31 + A30: residuals of the ensemble goal estimate on the holdout: mean, RMSE, median."""
+    from touchline.operators import profile as P
+    fx, _, split, _, vote = _ensemble_parts(spark, sf_dir)
+    test = fx.join(split.filter(~F.col("is_train")).select("id"), "id", "left_semi").select(F.col("id").alias("row_id"), "total_goals")
+    res = EV.residuals(test.join(vote, "row_id"), "total_goals", "predicted_total_goals")
+    summary, _ = P.residual_summary(res, "actual", "predicted")
+    med = P.mean_median(res, "residual").select("median")
+    return normalise(summary.crossJoin(med))
+
+
+@query("featured_matches", _ALL + """
+, j AS (SELECT f.id, f.kickoff, f.home_team, f.away_team, e.predicted_result, greatest(e.p_home, e.p_draw, e.p_away) AS confidence
+        FROM fixtures f JOIN ens e ON e.row_id = f.id)
+SELECT id, CAST(home_team AS BIGINT) AS home_team, CAST(away_team AS BIGINT) AS away_team, predicted_result, round(confidence, 6) AS confidence
+FROM j ORDER BY kickoff DESC, id DESC LIMIT 12
+""")
+def featured_matches(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """J11 + T4: predictions joined to fixtures, confidence = largest probability, latest 12 by date
+    (a top-12 report)."""
+    fx, _, _, _, vote = _ensemble_parts(spark, sf_dir)
+    j = fx.join(vote.withColumnRenamed("row_id", "id"), "id").withColumn("confidence", F.greatest("p_home", "p_draw", "p_away"))
+    return normalise(j.orderBy(F.col("kickoff").desc(), F.col("id").desc()).limit(12)
+                      .select("id", "home_team", "away_team", "predicted_result", "confidence"))
+
+
+@query("member_discovery", _ALL + """
+, c AS (SELECT model_id AS name, score, model_id <> 'm3' AS has_artifact FROM weights),
+s AS (SELECT *, CASE WHEN NOT has_artifact THEN 'missing artifact' WHEN score IS NOT NULL AND score < 0.3 THEN 'score below minimum' END AS r FROM c),
+ok AS (SELECT *, row_number() OVER (ORDER BY score IS NOT NULL DESC, score DESC NULLS LAST, name DESC) AS pos FROM s WHERE r IS NULL)
+SELECT name, round(score, 6) AS score, CASE WHEN pos > 2 THEN 'beyond top-k' END AS skip_reason, CAST(pos <= 2 AS BIGINT) AS selected FROM ok
+UNION ALL SELECT name, round(score, 6), r, CAST(0 AS BIGINT) FROM s WHERE r IS NOT NULL
+""")
+def member_discovery(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Candidates need an artifact (m3 has none here) and a minimum score; ordered by (has
+    score, score, name) descending; top 2 selected; skip reasons recorded."""
+    _, _, _, members, _ = _ensemble_parts(spark, sf_dir)
+    cands = members.select(F.col("model_id").alias("name"), "score", (F.col("model_id") != "m3").alias("has_artifact"))
+    out = EN.discover(cands, top_k=2, min_score=0.3)
+    return normalise(out.select("name", "score", "skip_reason", F.col("selected").cast("boolean").alias("selected")))
+
+
+@query("shot_view_filters", with_ctes(FIXTURES_CTE, EVENTS_CTE) + _XG_CTE + """
+, s AS (SELECT x.*, p.team_name FROM xg x JOIN play_events p ON p.id = x.id)
+SELECT 'goals' AS mode, CAST(count(*) AS BIGINT) AS shots, round(avg(xg), 6) AS mean_xg FROM s WHERE is_goal = 1
+UNION ALL SELECT 'misses', CAST(count(*) AS BIGINT), round(avg(xg), 6) FROM s WHERE is_goal = 0
+UNION ALL SELECT 'high_xg', CAST(count(*) AS BIGINT), round(avg(xg), 6) FROM s WHERE xg >= 0.30
+UNION ALL SELECT 'all', CAST(count(*) AS BIGINT), round(avg(xg), 6) FROM s
+UNION ALL SELECT 'team_filter', CAST(count(*) AS BIGINT), round(avg(xg), 6) FROM s
+          WHERE team_name = (SELECT min(team_name) FROM s) AND is_goal = 1
+""")
+def shot_view_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """P13 + P14 + A23: view-mode filters (goals, misses, xG >= 0.30, all) and a faceted team filter."""
+    s = _xg_shots(spark, sf_dir)
+    modes = {"goals": F.col("is_goal") == 1, "misses": F.col("is_goal") == 0, "high_xg": F.col("xg") >= 0.30, "all": F.lit(True)}
+    first_team = s.agg(F.min("team_name").alias("_t"))
+    out = None
+    for name, cond in modes.items():
+        r = s.filter(cond).agg(F.count(F.lit(1)).alias("shots"), F.avg("xg").alias("mean_xg")).select(F.lit(name).alias("mode"), "shots", "mean_xg")
+        out = r if out is None else out.unionByName(r)
+    facet = (s.crossJoin(F.broadcast(first_team)).filter((F.col("team_name") == F.col("_t")) & (F.col("is_goal") == 1))
+              .agg(F.count(F.lit(1)).alias("shots"), F.avg("xg").alias("mean_xg")).select(F.lit("team_filter").alias("mode"), "shots", "mean_xg"))
+    return normalise(out.unionByName(facet))
