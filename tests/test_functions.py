@@ -1,0 +1,103 @@
+"""Scalar functions against pandas/numpy behaviour and the reference's rules, on hand-made frames."""
+
+import math
+
+import numpy as np
+import pandas as pd
+from pyspark.sql import functions as F
+
+from touchline.functions import clean, geometry, odds as O, text
+from touchline.operators import aggregate as A
+from touchline.operators import profile
+
+
+def test_cut_bins_match_pandas(spark):
+    vals = [1.0, 2.0, 2.0, 3.5, 7.0, 7.25, 10.0, 13.0]   # minimum, inner edges, maximum
+    df = spark.createDataFrame([(v, i % 2) for i, v in enumerate(vals)], "v double, o int")
+    got = {r.bin: r.shots for r in A.conversion_by_bins(df, "v", "o", 4).collect()}
+    cats = pd.cut(pd.Series(vals), bins=4)
+    expected = pd.Series(cats.cat.codes + 1).value_counts().to_dict()
+    assert got == expected
+    # all values equal: pandas widens the range and puts everything in the middle bin
+    same = spark.createDataFrame([(5.0, 1), (5.0, 0)], "v double, o int")
+    assert [r.bin for r in A.conversion_by_bins(same, "v", "o", 8).collect()] == [int(pd.cut(pd.Series([5.0, 5.0]), 8).cat.codes[0]) + 1]
+
+
+def test_row_std_matches_pandas(spark):
+    rows = [(1.0, 2.0, None, 4.0), (None, None, 3.0, None), (2.0, 2.0, 2.0, 2.0)]
+    df = spark.createDataFrame(rows, "a double, b double, c double, d double")
+    got = [r.s for r in df.select(O.row_std(["a", "b", "c", "d"]).alias("s")).collect()]
+    exp = pd.DataFrame(rows, columns=list("abcd")).std(axis=1).tolist()
+    assert got[0] == exp[0] and got[1] is None and math.isnan(exp[1]) and got[2] == 0.0
+
+
+def test_pick_ties_first_wins(spark):
+    df = spark.createDataFrame([(2.0, 2.0, 3.0), (3.0, 2.5, 2.5), (1.5, 0.0, 4.0), (None, 2.0, 2.0)], "h double, d double, a double")
+    got = [r.p for r in df.select(O.shortest_price_pick("h", "d", "a").alias("p")).collect()]
+    assert got == ["H", "D", "D", None]
+    lp = [r.p for r in df.select(O.largest_probability_pick("h", "d", "a").alias("p")).collect()]
+    assert lp[2] == "H"      # zero price counts as probability 0
+
+
+def test_keyword_flags_substring_quirk(spark):
+    df = spark.createDataFrame([("head",), ("header",), ("throwinsetpiece",), ("big chance",)], "t string")
+    rows = df.select(*[c.alias(n) for n, c in text.keyword_flags("t").items()]).collect()
+    assert rows[0].is_header == 1 and rows[1].is_header == 1
+    assert rows[2].is_set_piece == 1 and rows[2].is_throwin_set_piece == 1
+    assert rows[3].is_big_chance == 0   # the literal is "bigchance"
+    compact = df.select(text.compact_text("t").alias("c")).collect()[3].c
+    assert compact == "bigchance"
+
+
+def test_qualifier_text_and_tokens(spark):
+    q = [{"type": {"displayName": "BigChance"}, "value": None}, {"type": {"displayName": "Zone"}, "value": "Center"},
+         {"type": {"displayName": ""}, "value": "12"}]
+    df = spark.createDataFrame([(q,)], "q array<struct<type: struct<displayName: string>, value: string>>")
+    t = df.select(text.qualifiers_to_text("q").alias("t")).first().t
+    assert t == "bigchance zone center 12"
+    toks = sorted(df.select(text.token_set(F.lit(t + " bigchance ab relatedeventid x_1y")).alias("s")).first().s)
+    assert toks == ["bigchance", "x_1y"]
+    parsed = spark.createDataFrame([("[{'type': {'displayName': 'Head'}, 'value': null}]",)], "s string").select(
+        text.qualifier_names(text.parse_qualifiers("s")).alias("n")).first().n
+    assert parsed == ["Head"]
+
+
+def test_names_dates_numbers(spark):
+    df = spark.createDataFrame([("  Spurs ", "03/10/2024", "19:45", "2"), (None, "31/02/2024", "10:00", "x")],
+                               "team string, d string, t string, n string")
+    r = df.select(clean.canonical_name("team").alias("c"), clean.lookup_key(F.lit(" Man.  Utd ")).alias("k"),
+                  clean.kickoff("d", "t").alias("ko"), clean.lenient_number("n").alias("num")).collect()
+    assert r[0].c == "Tottenham" and r[1].c == "" and r[0].k == "man utd"
+    assert str(r[0].ko) == "2024-10-03 19:45:00" and r[1].ko is None
+    assert r[0].num == 2.0 and r[1].num is None
+    # exact binary ties round to even like Python; Spark's plain round would give 0.13
+    assert df.select(clean.round_half_even(F.lit(0.125), 2).alias("x")).first().x == round(0.125, 2) == 0.12
+
+
+def test_clip_and_xg_bounds(spark):
+    df = spark.createDataFrame([(0.0, 1.2, float("nan"))], "a double, b double, c double")
+    ph, pd_, pa = O.clip_renormalise("a", "b", "c")
+    r = df.select(ph.alias("h"), pd_.alias("d"), pa.alias("a")).first()
+    assert abs(r.h + r.d + r.a - 1) < 1e-12 and r.h == r.a
+    x = spark.createDataFrame([(None, None), (99.0, 50.0)], "x double, y double").select(
+        O.heuristic_xg("x", "y", F.lit(1), F.lit(1), F.lit(0)).alias("xg")).collect()
+    assert all(0.001 <= v.xg <= 0.999 for v in x)
+
+
+def test_hexbin_matches_nearest_centre(spark):
+    rng = np.random.default_rng(7)
+    pts = rng.uniform(0, 100, size=(300, 2))
+    df = spark.createDataFrame([(float(a), float(b)) for a, b in pts], "x double, y double")
+    got = {(r.hex_cx, r.hex_cy): r["count"] for r in profile.hexbin(df, "x", "y", 18).collect()}
+    sx = 100 / 18
+    sy = sx * math.sqrt(3)
+    centres = [(i * sx, j * sy) for i in range(-1, 20) for j in range(-1, 12)] + \
+              [((i + 0.5) * sx, (j + 0.5) * sy) for i in range(-1, 20) for j in range(-1, 12)]
+    c = np.array(centres)
+    exp = {}
+    for x, y in pts:
+        d = ((c[:, 0] - x) / sx) ** 2 + 3 * ((c[:, 1] - y) / sy) ** 2
+        k = tuple(np.round(c[int(np.argmin(d))], 9))
+        exp[k] = exp.get(k, 0) + 1
+    assert sum(got.values()) == 300
+    assert sorted(exp.values()) == sorted(got.values())

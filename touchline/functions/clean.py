@@ -98,7 +98,9 @@ def result_from_score(home: str | Column, away: str | Column) -> Column:
 
 
 def round_half_even(c: str | Column, digits: int = 4) -> Column:
-    """Python's ``round`` is half-to-even; Spark's ``bround`` matches, ``round`` does not."""
+    """Python's ``round`` is half-to-even; Spark's ``bround`` matches on exact ties (``round`` does
+    not). ``bround`` rounds the shortest decimal form of the double, Python the exact binary value, so
+    values that only look like ties (0.00125 -> 4 digits) can differ in the last digit."""
     return F.bround(_c(c), digits)
 
 
