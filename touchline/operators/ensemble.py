@@ -101,19 +101,17 @@ def assign_weights(members: DataFrame, score_col: str = "score") -> DataFrame:
 def member_probabilities(preds: DataFrame, ph: str = "p_home", pd_: str = "p_draw", pa: str = "p_away",
                          label: str = "label") -> DataFrame:
     """E19 per member row: negative probabilities clamp to 0; when nothing positive is left, a H/D/A
-    label becomes one-hot; then normalise. Rows with neither are dropped (the member failed)."""
-    cl = {n: F.greatest(F.coalesce(F.col(c).cast("double"), F.lit(0.0)), F.lit(0.0)) for n, c in (("_h", ph), ("_d", pd_), ("_a", pa))}
-    p = preds.withColumns(cl)
-    total = F.col("_h") + F.col("_d") + F.col("_a")
-    lab = F.upper(F.coalesce(F.col(label), F.lit("")))
-    p = p.withColumns({
-        "_h": F.when(total > 0, F.col("_h")).otherwise((lab == "H").cast("double")),
-        "_d": F.when(total > 0, F.col("_d")).otherwise((lab == "D").cast("double")),
-        "_a": F.when(total > 0, F.col("_a")).otherwise((lab == "A").cast("double")),
-    })
-    t2 = F.col("_h") + F.col("_d") + F.col("_a")
-    return (p.filter(t2 > 0).withColumns({"q_home": F.col("_h") / t2, "q_draw": F.col("_d") / t2, "q_away": F.col("_a") / t2})
-             .drop("_h", "_d", "_a"))
+    label becomes one-hot; then normalise. Rows with neither are dropped (the member failed).
+
+    Written so each clamped value is referenced once per output: nested ``withColumns`` chains that
+    reuse earlier outputs get inlined by the optimizer and multiply the expression size."""
+    clamp = {n: F.greatest(F.coalesce(F.col(c).cast("double"), F.lit(0.0)), F.lit(0.0)) for n, c in (("_h", ph), ("_d", pd_), ("_a", pa))}
+    p = preds.withColumns(clamp)
+    p = p.withColumns({"_t": F.col("_h") + F.col("_d") + F.col("_a"), "_lab": F.upper(F.coalesce(F.col(label), F.lit("")))})
+    valid = (F.col("_t") > 0) | F.col("_lab").isin("H", "D", "A")
+    out = {q: F.when(F.col("_t") > 0, F.col(src) / F.col("_t")).otherwise((F.col("_lab") == side).cast("double"))
+           for q, src, side in (("q_home", "_h", "H"), ("q_draw", "_d", "D"), ("q_away", "_a", "A"))}
+    return p.filter(valid).withColumns(out).drop("_h", "_d", "_a", "_t", "_lab")
 
 
 def soft_vote(preds: DataFrame, members: DataFrame, row_col: str = "row_id", model_col: str = "model_id",
