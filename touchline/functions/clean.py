@@ -129,3 +129,34 @@ def nan_to_null(df: DataFrame, columns: list[str] | None = None) -> DataFrame:
     """§1.2: NaN -> null at ingest, so ``avg`` skips it like pandas does."""
     cols = columns or [f.name for f in df.schema.fields if isinstance(f.dataType, (T.DoubleType, T.FloatType))]
     return df.withColumns({c: F.nanvl(F.col(c), F.lit(None).cast("double")) for c in cols})
+
+
+def strict_numeric(df: DataFrame, columns: list[str], what: str = "frame") -> DataFrame:
+    """P5: every listed column must exist and hold numbers in every row; the error names the
+    offending columns. One aggregate counts bad cells for all columns."""
+    from touchline.schemas import SchemaError, require_columns
+    require_columns(df, columns, what)
+    bad = df.agg(*[F.sum((F.col(f"`{c}`").isNull() | lenient_number(c).isNull()).cast("long")).alias(c) for c in columns]).first()
+    wrong = [c for c in columns if bad[c]]
+    if wrong:
+        raise SchemaError(f"{what}: non-numeric or missing values in columns: {', '.join(wrong)}")
+    return df.withColumns({c: lenient_number(c) for c in columns})
+
+
+def valid_location(x: str | Column, y: str | Column) -> Column:
+    """X and y present and not the (0, 0) placeholder."""
+    xv, yv = _c(x), _c(y)
+    return xv.isNotNull() & yv.isNotNull() & ~((xv == 0) & (yv == 0))
+
+
+def fill_placeholders(df: DataFrame, defaults: dict[str, object]) -> DataFrame:
+    """Absent columns are added with their default; nulls in present ones are filled."""
+    missing = {c: F.lit(v) for c, v in defaults.items() if c not in df.columns}
+    out = df.withColumns(missing) if missing else df
+    present = {c: v for c, v in defaults.items() if c in df.columns and v is not None}
+    return out.fillna(present) if present else out
+
+
+def ready_rows(df: DataFrame, required: list[str]) -> DataFrame:
+    """Rows complete in the required feature set."""
+    return df.dropna(subset=list(required))

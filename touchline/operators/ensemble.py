@@ -150,3 +150,22 @@ def ensemble_info(members: DataFrame, found: int | None = None) -> DataFrame:
                       F.sort_array(F.collect_list(F.struct(-F.col("weight"), F.col("model_id"))), True).alias("_m"))
     res = agg.withColumn("top_models", F.transform("_m", lambda x: x["model_id"])).drop("_m")
     return res.withColumn("found", F.lit(found)) if found is not None else res
+
+
+def model_cards(runs: DataFrame) -> DataFrame:
+    """One card per run: id, name, stage, feature mode, target and the headline metrics."""
+    return runs.select("model_id", F.coalesce("run_name", "model_id").alias("name"), "stage", "model", "feature_mode", "target",
+                       F.col("test_metrics")["accuracy"].alias("test_accuracy"), F.col("test_metrics")["f1_weighted"].alias("test_f1_weighted"),
+                       F.col("cv_metrics")["accuracy"].alias("cv_accuracy"), F.col("test_metrics")["r2"].alias("test_r2"))
+
+
+def payload(tables: dict[str, DataFrame], max_rows: int = 1000) -> DataFrame:
+    """A one-row document with one array-of-structs field per report table.
+
+    Only for report tables (grids, top-k lists, per-class summaries): each is limited to ``max_rows``
+    before it is folded into one row, so the document never carries a data-sized table."""
+    out = None
+    for name, df in tables.items():
+        folded = df.limit(max_rows).agg(F.collect_list(F.struct(*df.columns)).alias(name))
+        out = folded if out is None else out.crossJoin(folded)
+    return out

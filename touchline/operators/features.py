@@ -269,3 +269,30 @@ def fill_with_history_medians(df: DataFrame, history: DataFrame, columns: Sequen
     return (df.crossJoin(F.broadcast(agg))
               .withColumns({c: F.coalesce(F.col(c), F.col(f"_tl_med_{c}")) for c in columns})
               .drop(*[f"_tl_med_{c}" for c in columns]))
+
+
+def prepare_matches(raw: DataFrame) -> DataFrame:
+    """Canonical team names (P1), day-first kickoff from date + time (P3), total goals, home-win
+    flag; rows without kickoff or result are dropped. Order is not materialised (windows order by
+    ``(kickoff, id)`` themselves)."""
+    from touchline.functions import clean
+    return (raw.withColumns({"home_team": clean.canonical_name("home_team"), "away_team": clean.canonical_name("away_team"),
+                             "kickoff": clean.kickoff("date", "time")})
+               .withColumns({"total_goals": clean.lenient_number("fthg") + clean.lenient_number("ftag"),
+                             "home_win": (F.col("ftr") == "H").cast("int")})
+               .filter(F.col("kickoff").isNotNull() & F.col("ftr").isNotNull()))
+
+
+# Placeholder values of post-match columns for a fixture not yet played.
+RAW_MATCH_PLACEHOLDERS = {"fthg": 0, "ftag": 0, "hthg": 0, "htag": 0, "ftr": "D", "htr": "D", "hs": 0, "as_": 0,
+                          "hst": 0, "ast": 0, "hf": 0, "af": 0, "hc": 0, "ac": 0, "hy": 0, "ay": 0, "hr": 0, "ar": 0}
+
+
+def complete_features(frame: DataFrame, required: Sequence[str], history: DataFrame, window: int = 5) -> DataFrame:
+    """Use the frame when it already has every required column (a schema test, no job);
+    otherwise rebuild the team-form features from history (J8) and join them on ``id``."""
+    if all(c in frame.columns for c in required):
+        return frame
+    built = future_fixture_features(history, frame.select("id", "kickoff", "home_team", "away_team"), window)
+    keep = [c for c in built.columns if c not in frame.columns or c == "id"]
+    return frame.join(built.select(*keep), "id", "left")

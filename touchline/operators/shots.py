@@ -7,6 +7,8 @@ player, team).
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -193,3 +195,33 @@ def team_match_stats(events: DataFrame, shots: DataFrame, matches: DataFrame, no
         "opponent": F.when(F.col("team_name") == F.col("home_team"), F.col("away_team")).otherwise(F.col("home_team")),
         "is_home": (F.col("team_name") == F.col("home_team")).cast("int"),
     })
+
+
+def normalise_for_report(shots: DataFrame) -> DataFrame:
+    """Drop rows with non-finite x/y, fill missing labels, keep stored distance/angle and
+    recompute them when missing, infer shot type and zone."""
+    finite = lambda c: F.col(c).isNotNull() & ~F.isnan(c) & (F.abs(F.col(c)) != float("inf"))
+    s = shots.filter(finite("x") & finite("y"))
+    geo = geometry.shot_geometry("x", "y")
+    fills = {}
+    for c in ("distance_to_goal_m", "goal_frame_angle"):
+        fills[c] = F.coalesce(F.col(c), geo[c]) if c in s.columns else geo[c]
+    s = s.withColumns(fills)
+    flags = [c for c in ("is_penalty", "is_header", "is_left_foot", "is_right_foot") if c in s.columns]
+    if len(flags) == 4:
+        s = s.withColumn("shot_type_key", F.coalesce(F.col("shot_type_key") if "shot_type_key" in s.columns else F.lit(None),
+                                                     text.shot_type_key("is_penalty", "is_header", "is_left_foot", "is_right_foot")))
+    s = s.withColumn("zone_key", geometry.zone_key("x", "y"))
+    if "player_name" in s.columns:
+        s = s.withColumn("player_name", clean.default_name("player_name"))
+    if "xg" in s.columns:
+        s = s.withColumn("xg", clean.finite_or("xg", 0.0))
+    return s
+
+
+def coalescing_merge(left: DataFrame, right: DataFrame, key: str, columns: Sequence[str], suffix: str = "_api") -> DataFrame:
+    """Left join; each listed column prefers the local value, else the joined one."""
+    r = right.select(key, *[F.col(c).alias(f"{c}{suffix}") for c in columns if c in right.columns])
+    j = left.join(r, key, "left")
+    return j.withColumns({c: F.coalesce(F.col(c), F.col(f"{c}{suffix}")) if c in left.columns else F.col(f"{c}{suffix}")
+                          for c in columns if f"{c}{suffix}" in j.columns}).drop(*[f"{c}{suffix}" for c in columns if f"{c}{suffix}" in j.columns])
