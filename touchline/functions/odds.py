@@ -170,10 +170,13 @@ def heuristic_xg(x: str | Column, y: str | Column, big_chance: str | Column, pen
     return F.greatest(F.least(1 / (1 + F.exp(-logit)), F.lit(0.999)), F.lit(0.001))
 
 
-def simple_xg(distance: str | Column, angle: str | Column, intercept: float = -1.0,
-              coef_distance: float = -0.1, coef_angle: float = 1.5) -> Column:
+# The two-variable xG fallback's coefficients.
+SIMPLE_XG_B0, SIMPLE_XG_DISTANCE, SIMPLE_XG_ANGLE = -1.5, -0.08, 0.04
+
+
+def simple_xg(distance: str | Column, angle: str | Column) -> Column:
     """Two-variable logistic fallback over distance and angle."""
-    z = F.lit(intercept) + coef_distance * _c(distance) + coef_angle * _c(angle)
+    z = F.lit(SIMPLE_XG_B0) + SIMPLE_XG_DISTANCE * _c(distance) + SIMPLE_XG_ANGLE * _c(angle)
     return 1 / (1 + F.exp(-z))
 
 

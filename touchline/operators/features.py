@@ -232,7 +232,9 @@ META_COLUMNS = {"id", "match_id", "kickoff", "date", "time", "home_team", "away_
                 "result_code", "home_win", "row_idx"}
 OBSERVED_COLUMNS = {"fthg", "ftag", "hthg", "htag", "hs", "as_", "hst", "ast", "hf", "af", "hc", "ac", "hy", "ay",
                     "hr", "ar", "total_goals", "goal_diff"}
-INDEX_COLUMNS = {"attack_index", "defence_index", "discipline_index", "control_index", "finishing_index"}
+# The five composite index columns (X15), excluded from "all numeric" features (C4 fix).
+INDEX_COLUMNS = {"threat_index", "dominance_index", "efficiency_control_index", "territorial_pressure_index",
+                 "clean_dominance_index"}
 
 
 def available_numeric_features(df: DataFrame, exclude_indices: bool = True) -> list[str]:
