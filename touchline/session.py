@@ -60,3 +60,30 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     local = tempfile.mkdtemp(prefix="touchline-ckpt-", dir=os.environ.get("TOUCHLINE_SCRATCH", "/tmp"))
     spark.sparkContext.setCheckpointDir(local)
     return local
+
+
+def cluster_conf(input_bytes: int, total_cores: int, partition_bytes: int = 256 * 1024 * 1024,
+                 rows_per_task: int = 4_000_000) -> dict[str, str]:
+    """Settings for a cluster run, sized from the input volume.
+
+    * file splits and post-shuffle partitions aim at ``partition_bytes`` (AQE coalesces small ones and
+      splits skewed join partitions above 2x that size);
+    * the shuffle partition count starts at input / partition size (at least 2 per core, at most
+      200,000) so the widest stage never holds more than one split per task;
+    * broadcast joins are left to AQE's runtime sizes, capped at 64 MB;
+    * ``touchline.skew.rowsPerTask`` is the entity size above which windows split a key.
+    """
+    parts = max(2 * total_cores, min(200_000, -(-input_bytes // partition_bytes)))
+    return {
+        "spark.sql.shuffle.partitions": str(parts),
+        "spark.sql.files.maxPartitionBytes": str(partition_bytes),
+        "spark.sql.adaptive.enabled": "true",
+        "spark.sql.adaptive.coalescePartitions.enabled": "true",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(partition_bytes),
+        "spark.sql.adaptive.skewJoin.enabled": "true",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": str(2 * partition_bytes),
+        "spark.sql.autoBroadcastJoinThreshold": str(64 * 1024 * 1024),
+        "spark.sql.adaptive.autoBroadcastJoinThreshold": str(64 * 1024 * 1024),
+        "spark.sql.session.timeZone": "UTC",
+        "touchline.skew.rowsPerTask": str(rows_per_task),
+    }
