@@ -187,3 +187,60 @@ def team_match_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
         "pass_accuracy", "progressive_pass_rate", "shot_accuracy", "conversion_rate", "big_chance_rate",
         "assisted_shot_rate", "touches_per_shot", "opponent", "is_home"]
     return normalise(res.select(*cols).withColumn("opponent", F.col("opponent").cast("string")))
+
+
+_FORM_EVENT_COLS = ["goals_for", "points", "shots", "conversion_rate", "pass_accuracy", "avg_shot_distance"]
+
+_FORM_EVENTS_SQL = _TEAM_MATCH_SQL.split("\nSELECT g.match_id")[0] + """,
+tm AS (
+  SELECT g.match_id, CAST(g.team_name AS BIGINT) AS team, CAST(shots AS DOUBLE) AS shots,
+         CASE WHEN shots > 0 THEN goals / shots ELSE 0.0 END AS conversion_rate,
+         CASE WHEN passes_attempted > 0 THEN passes_completed / passes_attempted ELSE 0.0 END AS pass_accuracy,
+         avg_shot_distance
+  FROM g
+),
+tl AS (
+  SELECT id, kickoff, CAST(home_team AS BIGINT) AS team, 1 AS is_home, CAST(fthg AS DOUBLE) AS goals_for,
+         CAST(CASE WHEN ftr = 'H' THEN 3 WHEN ftr = 'D' THEN 1 ELSE 0 END AS DOUBLE) AS points FROM fixtures
+  UNION ALL
+  SELECT id, kickoff, CAST(away_team AS BIGINT), 0, CAST(ftag AS DOUBLE),
+         CAST(CASE WHEN ftr = 'A' THEN 3 WHEN ftr = 'D' THEN 1 ELSE 0 END AS DOUBLE) FROM fixtures
+),
+h AS (
+  SELECT tl.id, tl.is_home,
+         avg(tl.goals_for) OVER w AS goals_for_last5, avg(tl.points) OVER w AS points_last5, avg(tm.shots) OVER w AS shots_last5,
+         avg(tm.conversion_rate) OVER w AS conversion_rate_last5, avg(tm.pass_accuracy) OVER w AS pass_accuracy_last5,
+         avg(tm.avg_shot_distance) OVER w AS avg_shot_distance_last5
+  FROM tl LEFT JOIN tm ON tm.match_id = tl.id AND tm.team = tl.team
+  WINDOW w AS (PARTITION BY tl.team ORDER BY tl.kickoff, tl.id ROWS BETWEEN 5 PRECEDING AND 1 PRECEDING)
+),
+wd AS (
+  SELECT id,""" + ",".join(
+    f"\n         max(CASE WHEN is_home = 1 THEN {c}_last5 END) AS home_{c}_last5, max(CASE WHEN is_home = 0 THEN {c}_last5 END) AS away_{c}_last5"
+    for c in _FORM_EVENT_COLS) + """
+  FROM h GROUP BY id
+)
+SELECT f.id,""" + ",".join(
+    f"\n       round(home_{c}_last5, 6) AS home_{c}_last5, round(away_{c}_last5, 6) AS away_{c}_last5,"
+    f" round(home_{c}_last5 - away_{c}_last5, 6) AS {c}_diff_last5" for c in _FORM_EVENT_COLS) + """
+FROM fixtures f LEFT JOIN wd ON f.id = wd.id
+"""
+
+
+@query("fixture_form_with_events", _FORM_EVENTS_SQL)
+def fixture_form_with_events(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The full feature pipeline: play events -> shot enrichment -> team-match stats (A1-A4) ->
+    left join into the team history (J5) -> trailing means (W9) -> fold to fixtures (J6) -> differences (R3)."""
+    from touchline.operators import features
+    fx = bindings.fixtures(spark, sf_dir)
+    ev = bindings.play_events(spark, sf_dir, fx)
+    ctx = bindings.match_context(fx)
+    stats = S.team_match_stats(ev, S.enrich_shots(ev, ctx, bindings.shot_qualifiers(spark, sf_dir)), ctx)
+    stats = stats.withColumn("team_name", F.col("team_name").cast("long"))
+    hist = features.team_history(fx, stats, 5, _FORM_EVENT_COLS)
+    rolled = [f"{c}_last5" for c in _FORM_EVENT_COLS]
+    from touchline.operators import reshape
+    wide = reshape.long_to_wide(hist, "match_id", "is_home", rolled).withColumnRenamed("match_id", "id")
+    res = reshape.side_differences(fx.select("id").join(wide, "id", "left"), _FORM_EVENT_COLS, "_last5")
+    cols = ["id"] + [x for c in _FORM_EVENT_COLS for x in (f"home_{c}_last5", f"away_{c}_last5", f"{c}_diff_last5")]
+    return normalise(res.select(*cols))
