@@ -55,3 +55,20 @@ def test_future_rows_do_not_see_each_other(spark):
     assert out[10].home_goals_for_last5 == 2.0 and out[11].home_goals_for_last5 == 2.0
     assert out[10].home_points_last5 == 2.0 and out[11].home_points_last5 == 2.0
     assert out[10].away_goals_for_last5 is None
+
+
+def test_fixture_hot_rows_equal_generic_detection(spark):
+    def run():
+        fx = bindings.fixtures(spark, SF001)
+        long = features.team_long(fx)
+        return (features.fixture_hot_rows(fx),
+                (windows.hot_key_rows(long, ["team"])[("team",)], windows.hot_key_rows(fx, ["referee"])[("referee",)]))
+    one_pass, generic = _with_limit(spark, 15, run)
+    assert one_pass == generic and one_pass[0] > 0 and one_pass[1] > 0
+
+
+def test_fixture_features_split_equals_plain(spark):
+    def run():
+        res = features.fixture_features(bindings.fixtures(spark, SF001), None, 5, ["goals_for", "points"])
+        return rows(res.select("id", "home_goals_for_last5", "away_points_last5", "ref_avg_goals_last10"))
+    assert run() == _with_limit(spark, 15, run)

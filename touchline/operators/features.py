@@ -55,8 +55,24 @@ def team_long(fixtures: DataFrame) -> DataFrame:
     return long.withColumnRenamed("id", "match_id")
 
 
+def fixture_hot_rows(fixtures: DataFrame) -> tuple[int, int]:
+    """Rows held by hot teams (in the long, two-rows-per-fixture form) and hot referees, from ONE
+    pass over the fixture table: ``GROUPING SETS ((home_team), (away_team), (referee))``; a team's
+    long-form count is its home count plus its away count (a small second aggregation)."""
+    limit = windows.rows_per_task(fixtures)
+    cols = ["home_team", "away_team", "referee"]
+    g = (fixtures.groupingSets([[F.col("home_team")], [F.col("away_team")], [F.col("referee")]], *[F.col(c) for c in cols])
+                 .agg(F.count(F.lit(1)).alias("_n"), F.grouping_id().alias("_gid")))
+    # grouping_id bits (home, away, referee): home set = 0b011, away set = 0b101, referee set = 0b110
+    teams = (g.filter(F.col("_gid").isin(3, 5)).groupBy(F.coalesce("home_team", "away_team").alias("_t"))
+              .agg(F.sum("_n").alias("_n")).filter(F.col("_n") > limit).agg(F.sum("_n").alias("_team_rows")))
+    refs = g.filter((F.col("_gid") == 6) & (F.col("_n") > limit)).agg(F.sum("_n").alias("_ref_rows"))
+    r = teams.crossJoin(refs).first()
+    return int(r["_team_rows"] or 0), int(r["_ref_rows"] or 0)
+
+
 def team_history(fixtures: DataFrame, event_stats: DataFrame | None = None, window: int = 5,
-                 columns: Sequence[str] | None = None) -> DataFrame:
+                 columns: Sequence[str] | None = None, hot_rows: int | None = None) -> DataFrame:
     """Trailing means of the team-form columns over the team's previous ``window`` fixtures.
 
     ``event_stats`` (one row per ``match_id``, ``team_name``; see ``aggregate.team_match_stats``) is
@@ -69,10 +85,11 @@ def team_history(fixtures: DataFrame, event_stats: DataFrame | None = None, wind
         long = long.join(stats, on=["match_id", "team"], how="left")
     cols = [c for c in (columns or TEAM_FORM_COLUMNS) if c in long.columns]
     long = long.withColumns({c: F.col(c).cast("double") for c in cols})
-    return windows.trailing(long.withColumnRenamed("match_id", "id"), "team", ORDER, cols, window).withColumnRenamed("id", "match_id")
+    return windows.trailing(long.withColumnRenamed("match_id", "id"), "team", ORDER, cols, window,
+                            hot_rows=hot_rows).withColumnRenamed("id", "match_id")
 
 
-def referee_history(fixtures: DataFrame, window: int = 10) -> DataFrame:
+def referee_history(fixtures: DataFrame, window: int = 10, hot_rows: int | None = None) -> DataFrame:
     """Referee trailing means; rows with a null referee get null."""
     frame = fixtures.withColumns({
         "total_yellows": F.col("hy").cast("double") + F.col("ay").cast("double"),
@@ -80,7 +97,7 @@ def referee_history(fixtures: DataFrame, window: int = 10) -> DataFrame:
         "total_goals": F.col("total_goals").cast("double"),
         "home_win": F.col("home_win").cast("double"),
     })
-    out = windows.trailing_guarded(frame, "referee", ORDER, list(REFEREE_TARGETS), window, out="_tl_ref_{c}")
+    out = windows.trailing_guarded(frame, "referee", ORDER, list(REFEREE_TARGETS), window, out="_tl_ref_{c}", hot_rows=hot_rows)
     return out.withColumns({tgt: F.col(f"_tl_ref_{src}") for src, tgt in REFEREE_TARGETS.items()}).drop(
         *[f"_tl_ref_{s}" for s in REFEREE_TARGETS])
 
@@ -121,11 +138,12 @@ def fixture_features(fixtures: DataFrame, event_stats: DataFrame | None = None,
     partial aggregation), one for the referee window, one to join (by id). No broadcast of anything
     that grows with the data.
     """
-    hist = team_history(fixtures, event_stats, window, columns)
+    team_hot, ref_hot = fixture_hot_rows(fixtures)
+    hist = team_history(fixtures, event_stats, window, columns, hot_rows=team_hot)
     suffix = f"_last{window}"
     rolled = [c for c in hist.columns if c.endswith(suffix)]
     wide = reshape.long_to_wide(hist, "match_id", "is_home", rolled).withColumnRenamed("match_id", "id")
-    base = referee_history(fixtures)
+    base = referee_history(fixtures, hot_rows=ref_hot)
     feats = base.join(wide, on="id", how="left")
     feats = market_features(feats)
     bases = [b for b in DIFF_BASES if f"{b}{suffix}" in rolled]
@@ -150,7 +168,8 @@ def notebook_form_features(fixtures: DataFrame, window: int = 5) -> DataFrame:
             f"win_rate_last{window}": F.avg("win").over(frame),
         }
 
-    hist = windows.apply_window(long, "team", ORDER, windows.WindowJob(build, lookback=window))
+    hist = windows.apply_window(long, "team", ORDER, windows.WindowJob(build, lookback=window),
+                                hot_rows=fixture_hot_rows(fixtures)[0])
     outs = [f"gf_avg_last{window}", f"ga_avg_last{window}", f"points_sum_last{window}", f"win_rate_last{window}"]
     wide = reshape.long_to_wide(hist, "id", "is_home", outs)
     res = fixtures.select("id", "kickoff", "home_team", "away_team", "ftr").join(wide, "id", "left")

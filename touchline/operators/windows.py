@@ -211,11 +211,12 @@ def trailing(df: DataFrame, keys: str | Sequence[str], order: Sequence[str], col
 
 
 def trailing_guarded(df: DataFrame, keys: str | Sequence[str], order: Sequence[str], columns: Sequence[str], n: int,
-                     out: str = "{c}_last{n}", skew: str = "auto", rows_per_segment: int | None = None) -> DataFrame:
+                     out: str = "{c}_last{n}", skew: str = "auto", rows_per_segment: int | None = None,
+                     hot_rows: int | None = None) -> DataFrame:
     """Like ``trailing`` mean, but rows whose key is null get null (pandas drops null group keys;
     Spark would group all null keys together)."""
     keys_l = _names(keys)
-    res = trailing(df, keys_l, order, columns, n, "mean", out, skew, rows_per_segment)
+    res = trailing(df, keys_l, order, columns, n, "mean", out, skew, rows_per_segment, hot_rows)
     key_ok = None
     for k in keys_l:
         cond = F.col(k).isNotNull()
