@@ -115,13 +115,14 @@ def member_probabilities(preds: DataFrame, ph: str = "p_home", pd_: str = "p_dra
 
 
 def soft_vote(preds: DataFrame, members: DataFrame, row_col: str = "row_id", model_col: str = "model_id",
-              goals_col: str = "goals") -> DataFrame:
+              goals_col: str = "goals", carry: Sequence[str] = ()) -> DataFrame:
     """E18 + E19: per row, weights renormalised over the members that produced the row, weighted
     probabilities summed and normalised, argmax label (first of H, D, A on ties), weighted mean of
     goals over members that gave one, and the number of members used.
 
     ``members`` (model_id, weight) has one row per model: joining it is a broadcast of a bounded
-    table. ``groupBy(row_id)`` sees at most one row per member.
+    table. ``groupBy(row_id)`` sees at most one row per member. ``carry`` columns depend on the row
+    only (e.g. its label) and pass through with ``first``.
     """
     q = member_probabilities(preds).join(F.broadcast(members.select(model_col, "weight")), model_col)
     q = q.withColumn("weight", F.greatest(F.col("weight"), F.lit(0.0)))
@@ -130,7 +131,8 @@ def soft_vote(preds: DataFrame, members: DataFrame, row_col: str = "row_id", mod
         F.sum(F.col("weight") * F.col("q_home")).alias("_h"), F.sum(F.col("weight") * F.col("q_draw")).alias("_d"),
         F.sum(F.col("weight") * F.col("q_away")).alias("_a"),
         F.sum(F.when(F.col(goals_col).isNotNull(), F.col("weight") * F.col(goals_col))).alias("_gs"),
-        F.sum(F.when(F.col(goals_col).isNotNull(), F.col("weight"))).alias("_gw"))
+        F.sum(F.when(F.col(goals_col).isNotNull(), F.col("weight"))).alias("_gw"),
+        *[F.first(c).alias(c) for c in carry])
     # renormalisation: a zero total weight falls back to equal weights
     eq = F.col("_w") <= 0
     h = F.when(eq, F.lit(None)).otherwise(F.col("_h") / F.col("_w"))
@@ -140,7 +142,7 @@ def soft_vote(preds: DataFrame, members: DataFrame, row_col: str = "row_id", mod
     return g.select(row_col, "p_home", "p_draw", "p_away",
                     argmax_label("p_home", "p_draw", "p_away").alias("predicted_result"),
                     F.when(F.col("_gw") > 0, F.col("_gs") / F.col("_gw")).alias("predicted_total_goals"),
-                    "ensemble_size")
+                    "ensemble_size", *carry)
 
 
 def ensemble_info(members: DataFrame, found: int | None = None) -> DataFrame:

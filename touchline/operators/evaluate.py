@@ -21,7 +21,8 @@ def confusion(df: DataFrame, label: str, pred: str, labels: Sequence[str] = LABE
     grid = spark.createDataFrame([(a, p) for a in labels for p in labels], "actual string, predicted string")
     counts = df.groupBy(*by, F.col(label).alias("actual"), F.col(pred).alias("predicted")).agg(F.count(F.lit(1)).alias("_n"))
     if by:
-        groups = df.select(*by).distinct()
+        # groups from the counts themselves (same exchange, reused) rather than a second pass over df
+        groups = counts.select(*by).distinct()
         grid = groups.crossJoin(F.broadcast(grid))  # k^2 literal rows: bounded
     keys = list(by) + ["actual", "predicted"]
     return grid.join(counts, keys, "left").select(*keys, F.coalesce("_n", F.lit(0)).alias("count"))

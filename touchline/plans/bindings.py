@@ -172,7 +172,7 @@ def pitch_points(spark: SparkSession, sf_dir: str) -> DataFrame:
 MEMBERS = [("m1", 3, 5, 7), ("m2", 11, 13, 17), ("m3", 19, 23, 29), ("m4", 31, 37, 41)]
 
 
-def member_predictions(fixtures_df: DataFrame) -> DataFrame:
+def member_predictions(fixtures_df: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
     """Long member predictions (row_id, model_id, p_home, p_draw, p_away, goals, label): market
     probabilities plus member-specific noise. m2 misses every row with id mod 10 = 3, m3 gives a
     negative draw score when id mod 17 = 0, m4 gives only a label (D) when id mod 13 = 0, m1 has no
@@ -192,15 +192,17 @@ def member_predictions(fixtures_df: DataFrame) -> DataFrame:
         return F.struct(F.lit(mid).alias("model_id"), rh.alias("rh"), rd.alias("rd"), ra.alias("ra"),
                         goals.alias("goals"), present.alias("present"))
 
-    ex = fixtures_df.select(i.alias("row_id"), F.explode(F.array(*[member(*m) for m in MEMBERS])).alias("m"))
-    ex = ex.filter(F.col("m.present")).select("row_id", "m.model_id", "m.rh", "m.rd", "m.ra", "m.goals")
+    # ``keep`` columns of the fixture ride along (e.g. the result and the split flag), so consumers need
+    # no join back to the fixture table
+    ex = fixtures_df.select(i.alias("row_id"), *keep, F.explode(F.array(*[member(*m) for m in MEMBERS])).alias("m"))
+    ex = ex.filter(F.col("m.present")).select("row_id", *keep, "m.model_id", "m.rh", "m.rd", "m.ra", "m.goals")
     tot = F.col("rh") + F.col("rd") + F.col("ra")
     label_only = (F.col("model_id") == "m4") & (_mod(F.col("row_id"), 13) == 0)
     ex = ex.withColumns({c: F.when(label_only, F.lit(None).cast("double")).otherwise(F.col(r) / tot)
                          for c, r in (("p_home", "rh"), ("p_draw", "rd"), ("p_away", "ra"))})
     lab = (F.when((F.col("p_home") >= F.col("p_draw")) & (F.col("p_home") >= F.col("p_away")), "H")
             .when(F.col("p_draw") >= F.col("p_away"), "D").otherwise("A"))
-    return ex.select("row_id", "model_id", "p_home", "p_draw", "p_away", "goals",
+    return ex.select("row_id", *keep, "model_id", "p_home", "p_draw", "p_away", "goals",
                      F.when(label_only, F.lit("D")).otherwise(lab).alias("label"))
 
 

@@ -88,16 +88,22 @@ ens AS (
 _ALL = with_ctes(FIXTURES_CTE, MEMBERS_CTE)
 
 
+_CARRY = ("ftr", "is_train", "total_goals")
+_VOTE_COLS = ["row_id", "p_home", "p_draw", "p_away", "predicted_result", "predicted_total_goals", "ensemble_size"]
+
+
 def _ensemble_parts(spark: SparkSession, sf_dir: str):
+    """Fixtures with the time split (``fxs``), long member predictions and the soft vote, both
+    carrying the result and split flag so no consumer joins back to the fixtures."""
     fx = bindings.fixtures(spark, sf_dir)
-    preds = bindings.member_predictions(fx)
     split = bindings.time_split(fx)
-    train = preds.join(split.filter("is_train").select(F.col("id").alias("row_id")), "row_id", "left_semi")
-    scores = (train.join(fx.select(F.col("id").alias("row_id"), "ftr"), "row_id")
-                   .groupBy("model_id").agg(F.avg((F.col("label") == F.col("ftr")).cast("double")).alias("score")))
+    fxs = fx.join(split.select("id", "row_idx", "is_train"), "id")
+    preds = bindings.member_predictions(fxs, keep=_CARRY)
+    scores = (preds.filter("is_train").groupBy("model_id")
+                   .agg(F.avg((F.col("label") == F.col("ftr")).cast("double")).alias("score")))
     members = EN.assign_weights(scores)
-    vote = EN.soft_vote(preds, members)
-    return fx, preds, split, members, vote
+    vote = EN.soft_vote(preds, members, carry=_CARRY)
+    return fxs, preds, split, members, vote
 
 
 @query("weighted_soft_vote", _ALL + """
@@ -109,7 +115,7 @@ def weighted_soft_vote(spark: SparkSession, sf_dir: str) -> DataFrame:
     """E15-E19 + M1: member scores on the time-ordered training part, proportional weights,
     per-row renormalisation over present members, clamped/one-hot member probabilities, argmax."""
     *_, vote = _ensemble_parts(spark, sf_dir)
-    return normalise(vote)
+    return normalise(vote.select(*_VOTE_COLS))
 
 
 @query("member_weights", _ALL + """
@@ -159,12 +165,14 @@ def ensemble_confusion(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _systems_confusion(spark: SparkSession, sf_dir: str) -> DataFrame:
-    fx, preds, split, members, vote = _ensemble_parts(spark, sf_dir)
-    test = fx.join(split.filter(~F.col("is_train")).select("id"), "id", "left_semi")
-    t = test.select(F.col("id").alias("row_id"), F.col("ftr").alias("label_true"), "b365h", "b365d", "b365a")
-    ens = t.join(vote, "row_id").select(F.lit("ensemble").alias("system"), "row_id", "label_true", F.col("predicted_result").alias("pred"))
-    mk = t.select(F.lit("market").alias("system"), "row_id", "label_true", O.shortest_price_pick("b365h", "b365d", "b365a").alias("pred"))
-    mem = t.join(preds, "row_id").select(F.col("model_id").alias("system"), "row_id", "label_true", F.col("label").alias("pred"))
+    fxs, preds, _, _, vote = _ensemble_parts(spark, sf_dir)
+    ens = vote.filter(~F.col("is_train")).select(F.lit("ensemble").alias("system"), "row_id", F.col("ftr").alias("label_true"),
+                                                 F.col("predicted_result").alias("pred"))
+    mk = fxs.filter(~F.col("is_train")).select(F.lit("market").alias("system"), F.col("id").alias("row_id"),
+                                               F.col("ftr").alias("label_true"),
+                                               O.shortest_price_pick("b365h", "b365d", "b365a").alias("pred"))
+    mem = preds.filter(~F.col("is_train")).select(F.col("model_id").alias("system"), "row_id", F.col("ftr").alias("label_true"),
+                                                  F.col("label").alias("pred"))
     systems = ens.unionByName(mk).unionByName(mem)
     return EV.confusion(systems, "label_true", "pred", by=["system"])
 
@@ -192,9 +200,8 @@ FROM r CROSS JOIN m
 """)
 def goals_regression_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
     """MAE, RMSE, R2 of the ensemble's goal estimate on the holdout."""
-    fx, _, split, _, vote = _ensemble_parts(spark, sf_dir)
-    test = fx.join(split.filter(~F.col("is_train")).select("id"), "id", "left_semi").select(F.col("id").alias("row_id"), "total_goals")
-    return normalise(EV.regression_metrics(test.join(vote, "row_id"), "total_goals", "predicted_total_goals"))
+    *_, vote = _ensemble_parts(spark, sf_dir)
+    return normalise(EV.regression_metrics(vote.filter(~F.col("is_train")), "total_goals", "predicted_total_goals"))
 
 
 @query("market_cv_folds", _ALL + """
@@ -337,10 +344,8 @@ FROM ranked
 def run_ranking(spark: SparkSession, sf_dir: str) -> DataFrame:
     """E11 + T5 + E14 + E2: run table (train = "cv", holdout = "test" metrics per member), weighted
     ranking score, 1-based rank, retention action at accuracy 0.5."""
-    fx, preds, split, _, _ = _ensemble_parts(spark, sf_dir)
-    rows = preds.join(fx.select(F.col("id").alias("row_id"), "ftr"), "row_id").join(
-        split.select(F.col("id").alias("row_id"), "is_train"), "row_id")
-    conf = EV.confusion(rows, "ftr", "label", by=["model_id", "is_train"])
+    _, preds, _, _, _ = _ensemble_parts(spark, sf_dir)
+    conf = EV.confusion(preds, "ftr", "label", by=["model_id", "is_train"])
     met = EV.summary_metrics(conf, by=["model_id", "is_train"])
     runs = met.groupBy(F.col("model_id").alias("run_name")).agg(
         F.max(F.when(F.col("is_train"), F.col("accuracy"))).alias("cv_accuracy"),
@@ -395,10 +400,9 @@ FROM n
 def scoring_cascade(spark: SparkSession, sf_dir: str) -> DataFrame:
     """E22-E26 + E35: per-row cascade ensemble -> model -> market -> league average for the holdout
     fixtures; probabilities clipped and renormalised."""
-    fx, preds, split, _, vote = _ensemble_parts(spark, sf_dir)
-    holdout = split.filter(~F.col("is_train")).select("id")
-    req = fx.join(holdout, "id", "left_semi").select(F.col("id").alias("row_id"), "home_team", "away_team", "b365h", "b365d", "b365a")
-    train_fx = fx.join(split.filter("is_train").select("id"), "id", "left_semi")
+    fxs, preds, _, _, vote = _ensemble_parts(spark, sf_dir)
+    req = fxs.filter(~F.col("is_train")).select(F.col("id").alias("row_id"), "home_team", "away_team", "b365h", "b365d", "b365a")
+    train_fx = fxs.filter("is_train")
     ens = vote.filter(F.pmod("row_id", F.lit(4)) != 0).select("row_id", "p_home", "p_draw", "p_away",
                                                                 F.col("predicted_total_goals").alias("goals"))
     model = preds.filter((F.col("model_id") == "m1") & (F.pmod("row_id", F.lit(3)) != 0)).select("row_id", "p_home", "p_draw", "p_away", "goals")
@@ -432,9 +436,8 @@ FROM r
 def goals_residual_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
     """E10 + A31 + A30: residuals of the ensemble goal estimate on the holdout: mean, RMSE, median."""
     from touchline.operators import profile as P
-    fx, _, split, _, vote = _ensemble_parts(spark, sf_dir)
-    test = fx.join(split.filter(~F.col("is_train")).select("id"), "id", "left_semi").select(F.col("id").alias("row_id"), "total_goals")
-    res = EV.residuals(test.join(vote, "row_id"), "total_goals", "predicted_total_goals")
+    *_, vote = _ensemble_parts(spark, sf_dir)
+    res = EV.residuals(vote.filter(~F.col("is_train")), "total_goals", "predicted_total_goals")
     summary, _ = P.residual_summary(res, "actual", "predicted")
     med = P.mean_median(res, "residual").select("median")
     return normalise(summary.crossJoin(med))
@@ -449,8 +452,8 @@ FROM j ORDER BY kickoff DESC, id DESC LIMIT 12
 def featured_matches(spark: SparkSession, sf_dir: str) -> DataFrame:
     """J11 + T4: predictions joined to fixtures, confidence = largest probability, latest 12 by date
     (a top-12 report)."""
-    fx, _, _, _, vote = _ensemble_parts(spark, sf_dir)
-    j = fx.join(vote.withColumnRenamed("row_id", "id"), "id").withColumn("confidence", F.greatest("p_home", "p_draw", "p_away"))
+    fxs, _, _, _, vote = _ensemble_parts(spark, sf_dir)
+    j = fxs.drop(*_CARRY).join(vote.withColumnRenamed("row_id", "id"), "id").withColumn("confidence", F.greatest("p_home", "p_draw", "p_away"))
     return normalise(j.orderBy(F.col("kickoff").desc(), F.col("id").desc()).limit(12)
                       .select("id", "home_team", "away_team", "predicted_result", "confidence"))
 

@@ -237,7 +237,7 @@ def fixture_form_with_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     ctx = bindings.match_context(fx)
     stats = S.team_match_stats(ev, S.enrich_shots(ev, ctx, bindings.shot_qualifiers(spark, sf_dir)), ctx)
     stats = stats.withColumn("team_name", F.col("team_name").cast("long"))
-    hist = features.team_history(fx, stats, 5, _FORM_EVENT_COLS)
+    hist = features.team_history(fx, stats, 5, _FORM_EVENT_COLS, hot_rows=features.fixture_hot_rows(fx)[0])
     rolled = [f"{c}_last5" for c in _FORM_EVENT_COLS]
     from touchline.operators import reshape
     wide = reshape.long_to_wide(hist, "match_id", "is_home", rolled).withColumnRenamed("match_id", "id")
