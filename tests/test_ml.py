@@ -75,3 +75,20 @@ def test_class_weights_and_population_scaler(spark):
     stats = M.population_scaler_stats(df, ["v"])
     out = sorted(r.v for r in M.population_scale(df, stats, ["v"]).collect())
     assert abs(out[0] + np.sqrt(1.5)) < 1e-9   # (1 - 3) / sqrt(8/3)
+
+
+def test_out_of_fold_stage1_and_multi_target(spark):
+    from touchline.ml import search as S
+    df = spark.range(0, 120).select(F.col("id").alias("row_idx"), (F.col("id") % 10).cast("double").alias("a"),
+                                     ((F.col("id") * 7) % 11).cast("double").alias("b"))
+    df = df.withColumns({"y": 2 * F.col("a") + F.col("b"), "z": F.col("a") - F.col("b"),
+                         "cls": (F.col("row_idx") % 3).cast("double")})
+    oof = S.out_of_fold_stage1(df, "row_idx", ["a", "b"], "y")
+    first_test = 120 - 5 * (120 // 6)
+    assert oof.filter(F.col("row_idx") < first_test).filter(F.col("stage1_pred_total_goals").isNotNull()).count() == 0
+    assert oof.filter(F.col("row_idx") >= first_test).filter(F.col("stage1_pred_total_goals").isNull()).count() == 0
+    pred = S.two_stage(df.filter("row_idx < 100"), df.filter("row_idx >= 100"), ["a", "b"], "y", "cls", out_of_fold=True)
+    assert pred.count() == 20
+    runs = S.multi_target_fits(df.filter("row_idx < 100"), df.filter("row_idx >= 100"), ["a", "b"], ["y", "z"], [("linear", {})])
+    r = {x.target: x.test_r2 for x in runs.collect()}
+    assert set(r) == {"y", "z"} and r["y"] > 0.99   # y is linear in the features

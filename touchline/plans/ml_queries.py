@@ -156,3 +156,22 @@ def two_stage_match_model(spark: SparkSession, sf_dir: str) -> DataFrame:
     pr = F.element_at(F.array(F.lit("H"), F.lit("D"), F.lit("A")), F.col("prediction").cast("int") + 1)
     conf = EV.confusion(pred.withColumns({"l": lab, "p": pr}), "l", "p")
     return normalise(EV.summary_metrics(conf))
+
+
+@query("index_generators")
+def index_generators(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """M25 + M33 + E12 + E13: stage-1 regressors for each of the five composite indices (X15 targets,
+    observed after the match) from pre-match features; runs ranked by 0.5 train R2 + 0.5 holdout R2;
+    the best run per target."""
+    from touchline.operators import ensemble as EN
+    from touchline.plans.feature_queries import INDEX_WEIGHTS, _RAW, _index_raw
+    data = match_table(spark, sf_dir)
+    raw = _index_raw(data)
+    params = features.zscore_params(raw.filter("is_train"), _RAW)
+    targets = list(INDEX_WEIGHTS)
+    with_idx = features.weighted_indices(raw, params, INDEX_WEIGHTS).select("id", "is_train", *MATCH_FEATURES, *targets)
+    with_idx = with_idx.checkpoint(eager=True)
+    runs = S.multi_target_fits(with_idx.filter("is_train"), with_idx.filter(~F.col("is_train")), MATCH_FEATURES, targets,
+                               [("linear", {}), ("random_forest", {"numTrees": 20, "maxDepth": 4})])
+    ranked = EN.rank_regressors(runs)
+    return normalise(EN.best_per_group(ranked, "target"))
