@@ -269,7 +269,7 @@ def xg_auc(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query("xg_threshold_sweep", with_ctes(FIXTURES_CTE, EVENTS_CTE) + _XG_CTE + """
-, t AS (SELECT * FROM (VALUES (0.3), (0.5), (0.7)) v(threshold)),
+, t AS (SELECT CAST(threshold AS DOUBLE) AS threshold FROM (VALUES (0.3), (0.5), (0.7)) v(threshold)),
 j AS (SELECT threshold, is_goal AS y, CASE WHEN xg >= threshold THEN 1 ELSE 0 END AS p FROM xg CROSS JOIN t),
 g AS (SELECT threshold, avg(CASE WHEN p = y THEN 1.0 ELSE 0.0 END) AS accuracy, sum(p * y) AS tp, sum(p) AS pp, sum(y) AS pos FROM j GROUP BY threshold),
 g2 AS (SELECT *, CASE WHEN pp > 0 THEN tp / pp ELSE 0.0 END AS prec, CASE WHEN pos > 0 THEN tp / pos ELSE 0.0 END AS rec FROM g)

@@ -241,9 +241,9 @@ def big_chance_rates(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("compact_text_flags", """
 WITH c AS (SELECT page_id, regexp_replace(lower(coalesce(html, '')), '[^a-z0-9]+', '', 'g') AS t FROM pages)
 SELECT page_id, length(t) AS compact_length,
-       CASE WHEN regexp_matches(t, 'script|style') THEN 1 ELSE 0 END AS has_code,
-       CASE WHEN regexp_matches(t, 'nav|footer|header') THEN 1 ELSE 0 END AS has_layout,
-       CASE WHEN regexp_matches(t, 'href') THEN 1 ELSE 0 END AS has_link
+       CAST(CASE WHEN regexp_matches(t, 'script|style') THEN 1 ELSE 0 END AS BIGINT) AS has_code,
+       CAST(CASE WHEN regexp_matches(t, 'nav|footer|header') THEN 1 ELSE 0 END AS BIGINT) AS has_layout,
+       CAST(CASE WHEN regexp_matches(t, 'href') THEN 1 ELSE 0 END AS BIGINT) AS has_link
 FROM c
 """)
 def compact_text_flags(spark: SparkSession, sf_dir: str) -> DataFrame:

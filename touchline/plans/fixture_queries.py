@@ -49,7 +49,7 @@ mk2 AS (
          pa / greatest(ph + pd + pa, 1e-9) AS na FROM mk
 )
 SELECT f.id, f.home_team, f.away_team, f.ftr,
-       CASE f.ftr WHEN 'H' THEN 0 WHEN 'D' THEN 1 ELSE 2 END AS result_code,
+       CAST(CASE f.ftr WHEN 'H' THEN 0 WHEN 'D' THEN 1 ELSE 2 END AS BIGINT) AS result_code,
        round(w.home_goals_for_last5, 6) AS home_goals_for_last5, round(w.away_goals_for_last5, 6) AS away_goals_for_last5,
        round(w.home_goals_against_last5, 6) AS home_goals_against_last5, round(w.away_goals_against_last5, 6) AS away_goals_against_last5,
        round(w.home_points_last5, 6) AS home_points_last5, round(w.away_points_last5, 6) AS away_points_last5,
