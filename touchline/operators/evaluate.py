@@ -131,10 +131,11 @@ def fold_summary(per_fold: DataFrame, metric: str, by: Sequence[str] = ()) -> Da
 
 
 def compare(metrics: DataFrame, system_col: str, metric_cols: Sequence[str], baseline: str) -> DataFrame:
-    """Each system's metrics minus the baseline system's (the baseline row is one row: bounded)."""
-    base = metrics.filter(F.col(system_col) == baseline).select(*[F.col(m).alias(f"_b_{m}") for m in metric_cols])
-    return metrics.crossJoin(F.broadcast(base)).withColumns(
-        {f"{m}_gap": F.col(m) - F.col(f"_b_{m}") for m in metric_cols}).drop(*[f"_b_{m}" for m in metric_cols])
+    """Each system's metrics minus the baseline system's. The metric table has one row per
+    system, so a global window over it is bounded and the table is computed once."""
+    every = Window.partitionBy()
+    return metrics.withColumns({
+        f"{m}_gap": F.col(m) - F.max(F.when(F.col(system_col) == baseline, F.col(m))).over(every) for m in metric_cols})
 
 
 def residuals(df: DataFrame, actual: str, predicted: str, keep: Sequence[str] = ()) -> DataFrame:

@@ -495,3 +495,28 @@ def shot_view_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
     facet = (s.crossJoin(F.broadcast(first_team)).filter((F.col("team_name") == F.col("_t")) & (F.col("is_goal") == 1))
               .agg(F.count(F.lit(1)).alias("shots"), F.avg("xg").alias("mean_xg")).select(F.lit("team_filter").alias("mode"), "shots", "mean_xg"))
     return normalise(out.unionByName(facet))
+
+
+@query("system_gaps", _ALL + _TEST_SYSTEMS + """
+, m AS (SELECT system, sum(tp) / sum(support) AS accuracy, sum(f1 * support) / sum(support) AS f1_weighted FROM cm3 GROUP BY system),
+b AS (SELECT accuracy AS ba, f1_weighted AS bf FROM m WHERE system = 'market')
+SELECT system, round(accuracy, 6) AS accuracy, round(f1_weighted, 6) AS f1_weighted,
+       round(accuracy - ba, 6) AS accuracy_gap, round(f1_weighted - bf, 6) AS f1_weighted_gap
+FROM m CROSS JOIN b
+""")
+def system_gaps(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """E9 + E21: each system's holdout accuracy and weighted F1 minus the market benchmark's."""
+    met = EV.summary_metrics(_systems_confusion(spark, sf_dir), by=["system"]).select("system", "accuracy", "f1_weighted")
+    return normalise(EV.compare(met, "system", ["accuracy", "f1_weighted"], "market"))
+
+
+@query("ensemble_info", _ALL + """
+SELECT CAST(count(*) AS BIGINT) AS loaded, round(min(score), 6) AS min_score, round(max(score), 6) AS max_score,
+       round(avg(score), 6) AS avg_score, arg_max(model_id, weight) AS top_model
+FROM weights
+""")
+def ensemble_info(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Members loaded, score range and mean, and the heaviest member."""
+    _, _, _, members, _ = _ensemble_parts(spark, sf_dir)
+    info = EN.ensemble_info(members).withColumn("top_model", F.col("top_models")[0]).drop("top_models")
+    return normalise(info.select("loaded", "min_score", "max_score", "avg_score", "top_model"))
