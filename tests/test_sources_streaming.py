@@ -62,3 +62,10 @@ def test_streaming_scores_each_upload_once(spark):
     assert bad.xg_prediction == 0.0 and bad.source == "fallback"
     good = res.filter(F.col("x") == "90").first()
     assert 0.001 <= good.xg_prediction <= 0.999 and good.shot_quality_label in ("alta", "media", "baja")
+
+
+def test_payload_refuses_large_tables(spark):
+    from touchline.operators import ensemble as EN
+    import pytest
+    with pytest.raises(SchemaError, match="more than"):
+        EN.payload({"big": spark.range(20)}, max_rows=10)

@@ -164,10 +164,14 @@ def model_cards(runs: DataFrame) -> DataFrame:
 def payload(tables: dict[str, DataFrame], max_rows: int = 1000) -> DataFrame:
     """A one-row document with one array-of-structs field per report table.
 
-    Only for report tables (grids, top-k lists, per-class summaries): each is limited to ``max_rows``
-    before it is folded into one row, so the document never carries a data-sized table."""
+    Only for report tables (grids, top-k lists, per-class summaries). A table with more than
+    ``max_rows`` rows is refused (checked with a ``limit`` probe) rather than truncated, so the
+    document never carries a data-sized table and never silently drops rows."""
+    from touchline.schemas import SchemaError
     out = None
     for name, df in tables.items():
-        folded = df.limit(max_rows).agg(F.collect_list(F.struct(*df.columns)).alias(name))
+        if df.limit(max_rows + 1).count() > max_rows:
+            raise SchemaError(f"report table {name!r} has more than {max_rows} rows; write it as a table instead")
+        folded = df.agg(F.collect_list(F.struct(*df.columns)).alias(name))
         out = folded if out is None else out.crossJoin(folded)
     return out

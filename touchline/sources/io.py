@@ -1,8 +1,8 @@
 """Readers, writers, manifests and catalogs.
 
 All readers take explicit schemas (no inference). Writers produce Parquet by default; JSON and CSV
-on request. Nothing is collected to the driver except the manifest's per-artifact row counts, which
-come from ``observe`` metrics recorded while the artifact is written (no second pass).
+on request. Nothing is collected to the driver except the manifest's per-artifact row counts, read
+back from the written files.
 """
 
 from __future__ import annotations
@@ -11,7 +11,7 @@ import os
 from collections.abc import Sequence
 from datetime import datetime, timezone
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -84,16 +84,19 @@ def labelled_rows(df: DataFrame, label: str = "ftr") -> DataFrame:
 
 
 def write_table(df: DataFrame, path: str, fmt: str = "parquet", partition_by: Sequence[str] = (), mode: str = "overwrite") -> int:
-    """Write an artifact and return its row count, observed during the write."""
-    obs = Observation(f"rows_{abs(hash(path))}")
-    observed = df.observe(obs, F.count(F.lit(1)).alias("rows"))
-    w = observed.write.mode(mode)
+    """Write an artifact and return its row count, read back from the written files
+    (Parquet answers from footer metadata). ``Observation`` metrics are not used: in this Spark
+    version an observed write leaves session state that breaks later jobs."""
+    w = df.write.mode(mode)
     if partition_by:
         w = w.partitionBy(*partition_by)
     if fmt == "csv":
         w = w.option("header", True)
     w.format(fmt).save(path)
-    return int(obs.get["rows"])
+    reader = df.sparkSession.read.format(fmt)
+    if fmt == "csv":
+        reader = reader.option("header", True)
+    return int(reader.load(path).count())
 
 
 def write_json_document(df: DataFrame, path: str) -> None:

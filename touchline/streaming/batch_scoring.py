@@ -2,9 +2,11 @@
 
 The reference scores one uploaded CSV per request. Here a folder of uploaded CSV files is a file
 stream; every micro-batch goes through the same batch operators (``score_xg_batch`` or the match
-cascade) inside ``foreachBatch`` and is appended to a Parquet sink. The checkpoint location records
+cascade) inside ``foreachBatch`` and is written to a Parquet sink. The checkpoint location records
 which files were processed, so a restarted job (or a lost executor) neither skips nor repeats a file.
-No state is kept across batches: each upload is scored on its own, as in the reference.
+No state is kept across batches: each upload is scored on its own, as in the reference. Each
+micro-batch lands in its own ``batch_id=N`` folder written in overwrite mode, so a replayed batch
+replaces its own output instead of appending a duplicate.
 """
 
 from __future__ import annotations
@@ -24,12 +26,13 @@ MATCH_UPLOAD = T.StructType([T.StructField(c, T.StringType(), True) for c in ("r
 
 def stream_xg_scoring(spark: SparkSession, upload_dir: str, output_dir: str, checkpoint_dir: str,
                       available_now: bool = True, max_files_per_trigger: int = 100) -> StreamingQuery:
-    """Score every uploaded xg CSV (columns as in ``XG_UPLOAD``) and append to ``output_dir``."""
+    """Score every uploaded xg CSV (columns as in ``XG_UPLOAD``) into ``output_dir/batch_id=N``."""
     uploads = (spark.readStream.schema(XG_UPLOAD).option("header", True).option("maxFilesPerTrigger", max_files_per_trigger)
                     .csv(upload_dir).withColumn("upload_file", F.input_file_name()))
 
     def score(batch: DataFrame, epoch: int) -> None:
-        SC.score_xg_batch(batch).withColumn("batch_id", F.lit(epoch)).write.mode("append").parquet(output_dir)
+        # one folder per micro-batch, overwritten on replay: a retried batch cannot duplicate rows
+        SC.score_xg_batch(batch).write.mode("overwrite").parquet(f"{output_dir.rstrip('/')}/batch_id={epoch}")
 
     writer = uploads.writeStream.foreachBatch(score).option("checkpointLocation", checkpoint_dir)
     writer = writer.trigger(availableNow=True) if available_now else writer.trigger(processingTime="10 seconds")
@@ -44,8 +47,8 @@ def stream_match_scoring(spark: SparkSession, upload_dir: str, output_dir: str,
                     .withColumn("row_id", F.col("row_id").cast("long")))
 
     def score(batch: DataFrame, epoch: int) -> None:
-        SC.score_match_batch(batch, task, sources, league).withColumn("batch_id", F.lit(epoch)) \
-          .write.mode("append").parquet(output_dir)
+        SC.score_match_batch(batch, task, sources, league).write.mode("overwrite") \
+          .parquet(f"{output_dir.rstrip('/')}/batch_id={epoch}")
 
     writer = uploads.writeStream.foreachBatch(score).option("checkpointLocation", checkpoint_dir)
     writer = writer.trigger(availableNow=True) if available_now else writer.trigger(processingTime="10 seconds")
