@@ -109,6 +109,16 @@ def apply_window(df: DataFrame, keys: str | Sequence[str], order: Sequence[str],
     return _plain(cold, keys, order, job).unionByName(_segmented(hot_df, keys, order, job, segments))
 
 
+def _join_null_safe(left: DataFrame, right: DataFrame, cols: list[str], how: str = "left") -> DataFrame:
+    """Join on ``cols`` with ``<=>`` so a null entity key (e.g. a missing referee) matches itself."""
+    r = right.select(*[F.col(c).alias(f"_tl_r_{c}") for c in cols], *[c for c in right.columns if c not in cols])
+    cond = None
+    for c in cols:
+        x = left[c].eqNullSafe(r[f"_tl_r_{c}"])
+        cond = x if cond is None else cond & x
+    return left.join(r, cond, how).drop(*[f"_tl_r_{c}" for c in cols])
+
+
 def _plain(df: DataFrame, keys: list[str], order: list[str], job: WindowJob) -> DataFrame:
     w = Window.partitionBy(*keys).orderBy(*_order_cols(order))
     return df.withColumns(job.build(w))
@@ -160,11 +170,11 @@ def _segmented(df: DataFrame, keys: list[str], order: list[str], job: WindowJob,
             hstats = halos.groupBy(*kseg).agg(F.count(F.lit(1)).alias("_tl_hcnt"), *[
                 F.sum(F.coalesce(F.col(src).cast("double"), F.lit(0.0))).alias(f"_tl_hsum_{i}")
                 for i, src in enumerate(job.running_cols.values())])
-            offs = offs.join(hstats, on=kseg, how="left").select(
+            offs = _join_null_safe(offs, hstats, kseg).select(
                 *kseg, (F.col("_tl_off") - F.coalesce("_tl_hcnt", F.lit(0))).alias("_tl_off"),
                 *[(F.col(f"_tl_base_{i}") - F.coalesce(F.col(f"_tl_hsum_{i}"), F.lit(0.0))).alias(f"_tl_base_{i}")
                   for i in range(len(job.running_cols))])
-        out = out.join(offs, on=kseg, how="left")
+        out = _join_null_safe(out, offs, kseg)
         types = {f.name: f.dataType for f in out.schema.fields}
         # keep the plain path's types so the schema does not depend on whether a key was split
         adj = {c: (F.col(c) + F.col("_tl_off")).cast(types[c]) for c in job.row_number_cols}
@@ -179,7 +189,7 @@ def _segmented(df: DataFrame, keys: list[str], order: list[str], job: WindowJob,
         before = Window.partitionBy(*keys).orderBy(_SEG).rowsBetween(Window.unboundedPreceding, -1)
         carried = last_vals.select(*kseg, *[F.last(f"_tl_last_{i}", ignorenulls=True).over(before).alias(f"_tl_carry_{i}")
                                             for i in range(len(job.carry_cols))])
-        out = out.join(carried, on=kseg, how="left")
+        out = _join_null_safe(out, carried, kseg)
         out = out.withColumns({name: F.coalesce(F.col(name), F.col(f"_tl_carry_{i}"))
                                for i, name in enumerate(job.carry_cols)}).drop(*[f"_tl_carry_{i}" for i in range(len(job.carry_cols))])
     return out.drop(_SEG, _HALO)
