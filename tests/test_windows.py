@@ -93,3 +93,14 @@ def test_hot_null_key_split_equals_plain(spark):
         return rows(out.select("id", "v_last3", "n", "v_before"))
 
     assert run("off", None) == run("auto", 50)
+
+
+def test_hot_key_rows_matches_groupby_for_every_key_set(spark):
+    df = spark.range(0, 500).select((F.col("id") % 3).alias("a"), (F.col("id") % 5).alias("b"),
+                                    F.when(F.col("id") % 4 == 0, None).otherwise(F.col("id") % 2).alias("c"))
+    sets = [("a",), ("a", "b"), ("c",), ("b", "c")]
+    limit = 30
+    got = windows.hot_key_rows(df, sets, limit)
+    for ks in sets:
+        exp = sum(r["n"] for r in df.groupBy(*ks).agg(F.count(F.lit(1)).alias("n")).collect() if r["n"] > limit)
+        assert got[ks] == exp and exp > 0, ks
