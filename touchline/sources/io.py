@@ -20,13 +20,24 @@ from touchline.schemas import RUN, SchemaError
 
 def read_csv(spark: SparkSession, path: str, schema: T.StructType, encoding: str = "UTF-8",
              corrupt_col: str | None = None) -> DataFrame:
-    """Header CSV with a fixed schema. ``corrupt_col`` keeps unparsable lines in that column
-    (PERMISSIVE) instead of failing the job (S5)."""
+    """Header CSV mapped onto ``schema`` by column *name* (headers trimmed and lower-cased),
+    not by position: columns are read as text, each schema field is cast leniently (bad text ->
+    null, P4), schema fields absent from the file are null, extra file columns are dropped.
+    ``corrupt_col`` keeps malformed lines in that column (PERMISSIVE) instead of failing (S5)."""
     reader = spark.read.option("header", True).option("encoding", encoding).option("mode", "PERMISSIVE")
     if corrupt_col:
-        schema = T.StructType(schema.fields + [T.StructField(corrupt_col, T.StringType(), True)])
         reader = reader.option("columnNameOfCorruptRecord", corrupt_col)
-    return reader.schema(schema).csv(path)
+    raw = normalise_headers(reader.csv(path))   # no inferSchema: every column is a string, no extra pass
+    cols = []
+    for f in schema.fields:
+        if f.name in raw.columns:
+            c = F.col(f"`{f.name}`")
+            cols.append((c if isinstance(f.dataType, T.StringType) else F.trim(c).try_cast(f.dataType)).alias(f.name))
+        else:
+            cols.append(F.lit(None).cast(f.dataType).alias(f.name))
+    if corrupt_col and corrupt_col in raw.columns:
+        cols.append(F.col(corrupt_col))
+    return raw.select(*cols)
 
 
 def read_json_records(spark: SparkSession, path: str, schema: T.StructType, root_key: str | None = None) -> DataFrame:
