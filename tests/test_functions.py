@@ -101,3 +101,13 @@ def test_hexbin_matches_nearest_centre(spark):
         exp[k] = exp.get(k, 0) + 1
     assert sum(got.values()) == 300
     assert sorted(exp.values()) == sorted(got.values())
+
+
+def test_lenient_qualifier_parsing(spark):
+    rows = [("[{\"type\": {\"displayName\": \"Head\"}, \"value\": \"1\"}]",),
+            ("{'type': {'displayName': 'Volley'}, 'value': None}",),
+            ("not json at all",), ("   ",), (None,)]
+    df = spark.createDataFrame(rows, "s string")
+    got = df.select(text.qualifier_names_lenient("s").alias("n"), text.qualifiers_text_lenient("s").alias("t")).collect()
+    assert [r.n for r in got] == [["Head"], ["Volley"], ["not json at all"], [], []]
+    assert [r.t for r in got] == ["head 1", "volley", "not json at all", "", ""]

@@ -130,3 +130,47 @@ def date_text(ts: str | Column) -> Column:
 
 def null_array(t: T.DataType = T.StringType()) -> Column:
     return F.lit(None).cast(T.ArrayType(t))
+
+
+def _literal_to_json(t: Column) -> Column:
+    """Python-literal text to JSON text: single quotes and None/True/False."""
+    s = F.regexp_replace(t, "'", '"')
+    s = F.regexp_replace(s, r"\bNone\b", "null")
+    s = F.regexp_replace(s, r"\bTrue\b", "true")
+    return F.regexp_replace(s, r"\bFalse\b", "false")
+
+
+def qualifier_items(text: str | Column) -> Column:
+    """qualifier text parsed as a JSON list, else a JSON object (one item), else the same as a
+    Python literal; null when nothing parses."""
+    t = F.trim(_c(text))
+    item = QUALIFIERS.elementType
+    attempts = []
+    for src in (t, _literal_to_json(t)):
+        attempts.append(F.when(F.startswith(src, F.lit("[")), F.from_json(src, QUALIFIERS)))
+        obj = F.when(F.startswith(src, F.lit("{")), F.from_json(src, item))
+        # a malformed object parses (PERMISSIVE) to a struct of nulls: accept only one with a field
+        attempts.append(F.when(obj["type"].isNotNull() | obj["value"].isNotNull(), F.array(obj)))
+    return F.coalesce(*attempts)
+
+
+def qualifier_names_lenient(text: str | Column) -> Column:
+    """F2 + F3 on raw text: display names of the parsed items; unparsable non-empty text is one name;
+    null or blank text gives an empty list."""
+    t = F.trim(_c(text))
+    parsed = qualifier_items(t)
+    empty = F.array().cast("array<string>")
+    return (F.when(t.isNull() | (t == ""), empty)
+             .when(parsed.isNotNull(), F.filter(F.transform(parsed, lambda x: x["type"]["displayName"]),
+                                                lambda n: n.isNotNull() & (F.length(n) > 0)))
+             .otherwise(F.array(t)))
+
+
+def qualifiers_text_lenient(text: str | Column) -> Column:
+    """F2 on raw text: lower-case token text of the parsed items (display name, then the value unless
+    null or empty); unparsable non-empty text is kept as one token; null or blank gives ""."""
+    t = F.trim(_c(text))
+    parsed = qualifier_items(t)
+    return (F.when(t.isNull() | (t == ""), F.lit(""))
+             .when(parsed.isNotNull(), qualifiers_to_text(parsed))
+             .otherwise(F.lower(t)))
