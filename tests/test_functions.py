@@ -111,3 +111,15 @@ def test_lenient_qualifier_parsing(spark):
     got = df.select(text.qualifier_names_lenient("s").alias("n"), text.qualifiers_text_lenient("s").alias("t")).collect()
     assert [r.n for r in got] == [["Head"], ["Volley"], ["not json at all"], [], []]
     assert [r.t for r in got] == ["head 1", "volley", "not json at all", "", ""]
+
+
+def test_enrich_shots_accepts_text_qualifiers(spark):
+    from touchline.operators.shots import enrich_shots
+    ev = spark.createDataFrame([(1, 10, 5, 3, "SavedShot", "T1", None, 90.0, 50.0, 1, 0)],
+                               "id long, match_id long, minute int, second int, event_type string, team_name string, "
+                               "player_name string, x double, y double, is_shot int, is_goal int")
+    m = spark.createDataFrame([(10, "T1", "T2", 1, 0)], "id long, home_team string, away_team string, fthg long, ftag long"
+                              ).withColumn("kickoff", F.current_timestamp())
+    q = spark.createDataFrame([(1, "[{'type': {'displayName': 'BigChance'}, 'value': None}]")], "id long, qualifiers string")
+    r = enrich_shots(ev, m, q).first()
+    assert r.qualifier_text == "bigchance" and r.is_big_chance == 1 and r.player_name == "Jugador no identificado"

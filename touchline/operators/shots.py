@@ -31,7 +31,9 @@ def enrich_shots(events: DataFrame, matches: DataFrame, qualifiers: DataFrame |
         "match_id": F.col("match_id").cast("long"), "is_goal": F.col("is_goal").cast("int")})
     # Qualifier text by event id (left join; missing -> "")
     if qualifiers is not None:
-        q = qualifiers.select(F.col("id").cast("long").alias("id"), text.qualifiers_to_text("qualifiers").alias("qualifier_text"))
+        raw_text = dict(qualifiers.dtypes).get("qualifiers") == "string"   # JSON / Python-literal text cache
+        to_text = text.qualifiers_text_lenient if raw_text else text.qualifiers_to_text
+        q = qualifiers.select(F.col("id").cast("long").alias("id"), to_text("qualifiers").alias("qualifier_text"))
         shots = shots.join(q, "id", "left")
         shots = shots.withColumn("qualifier_text", F.coalesce(F.col("qualifier_text"), F.lit("")))
     else:
