@@ -45,21 +45,28 @@ def get_session(master: str | None = None, shuffle_partitions: int | None = None
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """Use the cluster's ``spark.checkpoint.dir``; only when it is unset (local tests) make one.
+    """Use the cluster's ``spark.checkpoint.dir``; only a local master without one gets its own folder.
 
     Lineage is cut with ``DataFrame.checkpoint()`` into this shared folder, never with
-    ``localCheckpoint`` (its blocks die with the executor that holds them).
+    ``localCheckpoint`` (its blocks die with the executor that holds them). A cluster without the setting
+    is refused: a folder on the driver's disk is not one that executors share.
     """
-    configured = spark.sparkContext.getConf().get("spark.checkpoint.dir", None)
-    if configured:
-        spark.sparkContext.setCheckpointDir(configured)
-        return configured
     current = spark.sparkContext.getCheckpointDir()
     if current:
         return current
-    local = tempfile.mkdtemp(prefix="touchline-ckpt-", dir=os.environ.get("TOUCHLINE_SCRATCH", "/tmp"))
-    spark.sparkContext.setCheckpointDir(local)
-    return local
+    configured = spark.sparkContext.getConf().get("spark.checkpoint.dir", None)
+    if not configured:
+        master = spark.sparkContext.master
+        if master != "local" and not master.startswith("local["):
+            raise ValueError(f"spark.checkpoint.dir must name a shared folder on master {master}")
+        configured = tempfile.mkdtemp(prefix="touchline-ckpt-", dir=os.environ.get("TOUCHLINE_SCRATCH"))
+    spark.sparkContext.setCheckpointDir(configured)
+    return spark.sparkContext.getCheckpointDir()
+
+
+def shared_folder(spark: SparkSession) -> str:
+    """Folder that the driver and every executor share, for tables written between stages."""
+    return ensure_checkpoint_dir(spark)
 
 
 def cluster_conf(input_bytes: int, total_cores: int, partition_bytes: int = 256 * 1024 * 1024,
