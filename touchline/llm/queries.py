@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from touchline.llm import chat, sharding
+from touchline.llm import chat, packing, sharding, simhash_dedup
 from touchline.llm.common import blank, table
 
 QUERIES = {}
@@ -59,3 +60,20 @@ def op6_byte_prefix_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = sharding.balanced_shards(rows, "size", ["text_key", "text_crc32", "doc_id"], shards=16, group="text_key")
     return out.select("doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", "slot",
                       F.lit(None).cast("int").alias("grown_shard"))
+
+
+# --- 2: best-fit packing ------------------------------------------------------------------------
+
+@query("op2_best_fit_packing")
+def op2_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return packing.pack(docs, public_tokenizers.path("word_bpe_49k.json"))
+
+
+# --- 10: SimHash near-dedup ---------------------------------------------------------------------
+
+@query("op10_simhash_near_dedup")
+def op10_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    out = simhash_dedup.near_duplicates(docs, distance=4, shingle=4)
+    return out.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
