@@ -6,8 +6,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from touchline.llm import chat, packing, sharding, simhash_dedup
-from touchline.llm.common import blank, table
+from touchline.llm import chat, langid, packing, quality, sharding, simhash_dedup
+from touchline.llm.common import blank, id_bucket, table
 
 QUERIES = {}
 ORACLES: dict[str, str] = {}
@@ -77,3 +77,26 @@ def op10_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     out = simhash_dedup.near_duplicates(docs, distance=4, shingle=4)
     return out.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
+
+
+# --- 7: language ID -----------------------------------------------------------------------------
+
+@query("op7_rank_order_language_id")
+def op7_rank_order_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    held_out = id_bucket(F.col("doc_id"), 3) == 1
+    found = langid.profiles(docs.filter(~held_out).select("text", "lang"))
+    rows = docs.select("doc_id", held_out.alias("held_out"), "text")
+    return langid.with_language(rows, found).select("doc_id", "held_out", "lang_pred", "score")
+
+
+# --- 1: quality classifier ----------------------------------------------------------------------
+
+@query("op1_ftrl_quality")
+def op1_ftrl_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    labels = table(spark, sf_dir, "labels").filter(id_bucket(F.col("doc_id"), 4) != 2)
+    weights = quality.train(quality.labelled_documents(docs, labels))
+    rows = docs.withColumn("held_out", id_bucket(F.col("doc_id"), 4) == 2)
+    return (quality.with_score(rows, weights).withColumn("predicted", (F.col("score") >= quality.THRESHOLD).cast("int"))
+            .select("doc_id", "held_out", "score", "predicted"))
