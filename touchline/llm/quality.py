@@ -8,8 +8,8 @@ square root of its count, and a text's vector has length one, so long and short
 invented freely in noisy corpora; shapes carry what single words cannot.
 
 Training: a bounded sample of labelled rows (``max_rows``, by hash of the id) lies in ``shards`` groups. In
-every round each shard makes one pass of FTRL-proximal updates from the shared state; the states are averaged
-by coordinate over the shards that touched it. The model has at most ``2 ** BITS`` weights.
+every round each shard makes one pass of FTRL-proximal updates from the shared state, over each text and, for
+label 1, a window of a few of its words; the states are averaged by coordinate over the shards that touched it. The model has at most ``2 ** BITS`` weights.
 
 Scoring reads every whole text in one pass without a shuffle.
 
@@ -33,8 +33,10 @@ from pyspark.sql import types as T
 from touchline.llm.common import blank, fresh, materialise
 
 BITS = 18
-ALPHA, BETA, L1, L2 = 0.5, 1.0, 0.02, 1e-3
+ALPHA, BETA, L1, L2 = 2.0, 1.0, 0.02, 1e-3
 THRESHOLD = 0.7
+#: Most words of the short extra example that each training row gives.
+WINDOW = 8
 #: Words kept per worker; a full cache starts anew. Words of a text that are hashed at once.
 CACHE_WORDS, PART = 400_000, 1 << 17
 MIX = [np.uint64(m) for m in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9)]
@@ -106,6 +108,14 @@ def weights_of(z: np.ndarray, n: np.ndarray) -> np.ndarray:
     return np.where(np.abs(z) <= L1, 0.0, -(z - np.sign(z) * L1) / ((BETA + np.sqrt(n)) / ALPHA + L2))
 
 
+def window(text: str, pick: int) -> str:
+    """A few words in a row from the text: short texts are rare in a sample, so each row with label 1 also
+    trains one (a few words of a bad text need not be bad)."""
+    words = text.split()
+    start = pick % max(len(words), 1)
+    return " ".join(words[start:start + 1 + (pick >> 40) % WINDOW])
+
+
 def sigmoid(x: float) -> float:
     return float(1.0 / (1.0 + np.exp(-np.clip(x, -35.0, 35.0))))
 
@@ -124,13 +134,15 @@ def train(labelled: DataFrame, rounds: int = 4, max_rows: int = 16_000, shards:
             z, n = (a.copy() for a in state.value)
             touched = np.zeros(len(z), dtype=bool)
             order = pdf["doc_id"].map(lambda d: xxhash.xxh64_intdigest(f"{turn}:{d}")).argsort(kind="stable")
-            for text, label in zip(pdf["text"].iloc[order], pdf["label"].iloc[order]):
-                at, x = features(text)
-                w = weights_of(z[at], n[at])
-                g = (sigmoid(w @ x) - label) * x
-                z[at] += g - (np.sqrt(n[at] + g * g) - np.sqrt(n[at])) / ALPHA * w
-                n[at] += g * g
-                touched[at] = True
+            for doc_id, text, label in zip(pdf["doc_id"].iloc[order], pdf["text"].iloc[order], pdf["label"].iloc[order]):
+                short = [window(text, xxhash.xxh64_intdigest(f"{doc_id}/{turn}"))] if label else []
+                for example in (text, *short):
+                    at, x = features(example)
+                    w = weights_of(z[at], n[at])
+                    g = (sigmoid(w @ x) - label) * x
+                    z[at] += g - (np.sqrt(n[at] + g * g) - np.sqrt(n[at])) / ALPHA * w
+                    n[at] += g * g
+                    touched[at] = True
             at = np.flatnonzero(touched)
             return pd.DataFrame({"bucket": at, "z": z[at], "n": n[at]})
 

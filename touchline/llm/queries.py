@@ -6,8 +6,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from touchline.llm import chat, langid, packing, quality, sharding, simhash_dedup
-from touchline.llm.common import blank, id_bucket, table
+from touchline.llm import byte_bpe, chat, langid, packing, quality, sharding, simhash, simhash_dedup
+from touchline.llm.common import blank, id_bucket, materialise, table
 
 QUERIES = {}
 ORACLES: dict[str, str] = {}
@@ -100,3 +100,27 @@ def op1_ftrl_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = docs.withColumn("held_out", id_bucket(F.col("doc_id"), 4) == 2)
     return (quality.with_score(rows, weights).withColumn("predicted", (F.col("score") >= quality.THRESHOLD).cast("int"))
             .select("doc_id", "held_out", "score", "predicted"))
+
+
+# --- 3: document fingerprints -------------------------------------------------------------------
+
+@query("op3_simhash_fingerprints")
+def op3_simhash_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``n_within_3``: for documents whose id is divisible by 100, how many documents (itself included) have
+    a fingerprint within 3 bits, by the permuted block tables; null for the others."""
+    prints = simhash.fingerprints_with_next(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    prints = materialise(prints, "fingerprints")
+    asked = F.col("doc_id") % 100 == 0
+    found = simhash.within_radius(prints.filter(asked), prints)
+    sizes = prints.groupBy(F.col("fingerprint").alias("found")).agg(F.count("*").alias("rows"))
+    counts = found.join(sizes, "found").groupBy("query").agg(F.sum("rows").alias("n_within_3"))
+    searched = prints.filter(asked).join(counts, F.col("fingerprint") == F.col("query"), "left").drop("query")
+    return searched.unionByName(prints.filter(~F.coalesce(asked, F.lit(False))).withColumn("n_within_3", F.lit(None).cast("long")))
+
+
+# --- 9: byte-level BPE --------------------------------------------------------------------------
+
+@query("op9_distinct_word_bpe")
+def op9_distinct_word_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return byte_bpe.digests(docs, public_tokenizers.path("byte_bpe_multi_50k.tiktoken"), public_tokenizers.PATTERN)
