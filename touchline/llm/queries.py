@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from touchline.llm import byte_bpe, chat, langid, packing, quality, sharding, simhash, simhash_dedup
+from touchline.llm import ann, byte_bpe, chat, langid, packing, quality, sharding, simhash, simhash_dedup
 from touchline.llm.common import blank, id_bucket, materialise, table
 
 QUERIES = {}
@@ -124,3 +124,11 @@ def op3_simhash_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op9_distinct_word_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     return byte_bpe.digests(docs, public_tokenizers.path("byte_bpe_multi_50k.tiktoken"), public_tokenizers.PATTERN)
+
+
+# --- 8: approximate nearest neighbours ----------------------------------------------------------
+
+@query("op8_inverted_multi_index")
+def op8_inverted_multi_index(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = table(spark, sf_dir, "embeddings").select("vec_id", "embedding")
+    return ann.search(vectors, F.col("vec_id") % 20 == 0, k=20)
