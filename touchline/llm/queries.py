@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from touchline.llm import ann, byte_bpe, chat, langid, packing, quality, sharding, simhash, simhash_dedup
+from touchline.llm import ann, byte_bpe, chat, langid, packing, quality, sharding, simhash, simhash_dedup, wrappers
 from touchline.llm.common import blank, id_bucket, materialise, table
 
 QUERIES = {}
@@ -132,3 +132,11 @@ def op9_distinct_word_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op8_inverted_multi_index(spark: SparkSession, sf_dir: str) -> DataFrame:
     vectors = table(spark, sf_dir, "embeddings").select("vec_id", "embedding")
     return ann.search(vectors, F.col("vec_id") % 20 == 0, k=20)
+
+
+# --- 4: HTML extraction -------------------------------------------------------------------------
+
+@query("op4_wrapper_inference")
+def op4_wrapper_inference(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = wrappers.main_texts(table(spark, sf_dir, "pages").select("page_id", "url", "html"))
+    return out.withColumn("n_chars", F.length("text").cast("long"))
