@@ -6,6 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+import corpus_pipeline
 from touchline.llm import ann, byte_bpe, chat, langid, packing, quality, sharding, simhash, simhash_dedup, wrappers
 from touchline.llm.common import blank, id_bucket, materialise, table
 
@@ -140,3 +141,8 @@ def op8_inverted_multi_index(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op4_wrapper_inference(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = wrappers.main_texts(table(spark, sf_dir, "pages").select("page_id", "url", "html"))
     return out.withColumn("n_chars", F.length("text").cast("long"))
+
+
+# --- pipeline -----------------------------------------------------------------------------------
+
+query("pipeline", corpus_pipeline.ORACLE_SQL)(corpus_pipeline.run)
