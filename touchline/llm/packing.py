@@ -4,12 +4,12 @@
    full pieces and one shorter last piece. Full pieces are sequences of their own.
 2. Each partition packs its remaining pieces by best fit, longest first, and is done with bins whose free
    space is at most ``slack``.
-3. Underfull bins go on as items. Groups of ``fan_in`` partitions merge them by best fit again, and so on
-   up a tree until one group is left. Pieces are never moved again: a round only maps bins to larger bins.
+3. What lies in underfull bins goes on as items: small bins of at most an eighth of the capacity (a longer
+   piece alone). Groups of ``fan_in`` partitions pack them by best fit again, and so on up a tree until one
+   group is left, which finishes all its bins. A round only maps bins to larger bins.
 
-What a group passes on is bounded: of its underfull bins only those with most room (``carry``) go on, the
-others are finished as they are. Best fit leaves at most one bin that is half empty or more per group, and
-only such bins can still merge with fuller ones, so little is lost; no piece is ever dropped.
+What a group passes on is bounded: of its underfull bins only the ``carry`` with most room go on, as 16
+items each at most; the others are finished as they are. No piece is ever dropped.
 
 Token ids come from the word-level tokenizer. White space separates its words, so a text is encoded word
 by word through a bounded per-worker cache and the id bytes are joined; the result equals encoding the
@@ -127,6 +127,23 @@ def carried(totals: np.ndarray, capacity: int, slack: int, carry: int) -> np.nda
     return keep
 
 
+def loosened(placed: np.ndarray, lengths: np.ndarray, goes_on: np.ndarray, small: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Bins that go on, taken apart into small bins: (bin, offset) per item, length per bin, and whether the
+    bin goes on."""
+    bins, offsets = placed[:, 0].copy(), placed[:, 1].copy()
+    moved = np.flatnonzero(goes_on[bins])
+    moved = moved[np.lexsort((offsets[moved], bins[moved]))]
+    count, last, used = len(goes_on), -1, 0
+    for item in moved.tolist():
+        size = int(lengths[item])
+        if bins[item] != last or used + size > small:
+            last, used, count = bins[item], 0, count + 1
+        bins[item], offsets[item] = count - 1, used
+        used += size
+    totals = np.bincount(bins, weights=lengths, minlength=count).astype(np.int64)
+    return np.stack([bins, offsets], 1), totals, np.arange(count) >= len(goes_on)
+
+
 PIECES = ("doc_id long, piece int, start long, length long, ids_crc32 long, bin long, bin_offset long, bin_length long, open boolean")
 
 
@@ -139,7 +156,7 @@ def tokenised_pieces(docs: DataFrame, tokenizer_path: str, end_id: int, capacity
         lengths = np.asarray(parts[3], dtype=np.int64)
         placed = np.asarray(best_fit(parts[3], capacity), dtype=np.int64)
         totals = np.bincount(placed[:, 0], weights=lengths).astype(np.int64)
-        goes_on = carried(totals, capacity, slack, carry)
+        placed, totals, goes_on = loosened(placed, lengths, carried(totals, capacity, slack, carry), capacity // 8)
         columns = [pa.array(parts[0], pa.int64()), pa.array(parts[1], pa.int32()), *(pa.array(p, pa.int64()) for p in parts[2:]),
                    pa.array(first_bin + placed[:, 0]), pa.array(placed[:, 1]), pa.array(totals[placed[:, 0]]), pa.array(goes_on[placed[:, 0]])]
         return pa.RecordBatch.from_arrays(columns, names=names), first_bin + len(totals)
@@ -166,17 +183,21 @@ def tokenised_pieces(docs: DataFrame, tokenizer_path: str, end_id: int, capacity
     return docs.mapInArrow(run, PIECES)
 
 
-def merge_round(items: DataFrame, capacity: int, slack: int, carry: int, fan_in: int) -> DataFrame:
-    """One round over (bin, length, grp): old bin -> new bin, shift within it, and whether it goes on."""
+def merge_round(items: DataFrame, capacity: int, slack: int, carry: int, fan_in: int, last: bool) -> DataFrame:
+    """One round over (bin, length, grp): old bin -> new bin, shift within it, and whether it goes on. The
+    last round finishes every bin."""
     schema = "bin long, length long, grp long, into long, shift long, total long, open boolean"
 
     def pack(pdf: pd.DataFrame) -> pd.DataFrame:
         pdf = pdf.sort_values(["length", "bin"]).reset_index(drop=True)
         placed = np.asarray(best_fit(pdf["length"].tolist(), capacity), dtype=np.int64)
-        totals = np.bincount(placed[:, 0], weights=pdf["length"]).astype(np.int64)
+        lengths = pdf["length"].to_numpy()
+        totals = np.bincount(placed[:, 0], weights=lengths).astype(np.int64)
+        open_bins = np.zeros(len(totals), dtype=bool)
+        if not last:
+            placed, totals, open_bins = loosened(placed, lengths, carried(totals, capacity, slack, carry), capacity // 8)
         lowest = np.full(len(totals), np.iinfo(np.int64).max)
         np.minimum.at(lowest, placed[:, 0], pdf["bin"].to_numpy())  # a bin is named by its smallest member
-        open_bins = carried(totals, capacity, slack, carry)
         return pdf.assign(into=lowest[placed[:, 0]], shift=placed[:, 1], total=totals[placed[:, 0]], open=open_bins[placed[:, 0]])[
             [c.split()[0] for c in schema.split(", ")]]
 
@@ -197,7 +218,7 @@ def pack(docs: DataFrame, tokenizer_path: str, end_id: int = 0, capacity: int =
         top = items.agg(F.max("grp")).first()[0]
         if top is None:
             break
-        step = materialise(merge_round(items, capacity, slack, carry, fan_in), "merge")
+        step = materialise(merge_round(items, capacity, slack, carry, fan_in, top < fan_in), "merge")
         to = step.select(F.col("bin").alias("_from"), "into", F.col("shift").alias("_by"))
         if moves is None:
             moves = to.select(F.col("_from").alias("first"), F.col("into").alias("now"), F.col("_by").alias("shift"))

@@ -106,7 +106,7 @@ class Forest:
 def trie_links(home: np.ndarray, guests: np.ndarray, prefix: int, width: int, distance: int, near: int) -> np.ndarray:
     """Spanning forest of the links that a task finds, as pairs of positions in home + guests.
 
-    ``home`` and ``guests`` are sorted rotated fingerprints. Home pairs with home (no differing bit so far)
+    ``home`` and ``guests`` are rotated fingerprints, sorted by the bits after the prefix. Home pairs with home (no differing bit so far)
     and with guests (one so far). ``width`` is the segment's width, ``near`` the budget inside it.
     """
     values = np.concatenate([home, guests])
@@ -189,7 +189,7 @@ def link_fingerprints(fps: DataFrame, distance: int = 4) -> DataFrame:
         sides = []
         for side in (home, ~home):
             at = np.flatnonzero(side)
-            sides.append(at[np.argsort(turned[at])])
+            sides.append(at[np.argsort(turned[at] << np.uint64(depth))])  # guests come from several prefixes
         order = np.concatenate(sides)
         links = trie_links(turned[sides[0]], turned[sides[1]], depth, width, distance, near)
         ends = original[order].view(np.int64)
