@@ -64,8 +64,7 @@ def test_streaming_scores_each_upload_once(spark):
     assert 0.001 <= good.xg_prediction <= 0.999 and good.shot_quality_label in ("alta", "media", "baja")
 
 
-def test_payload_refuses_large_tables(spark):
+def test_payload_has_no_row_limit(spark):
     from touchline.operators import ensemble as EN
-    import pytest
-    with pytest.raises(SchemaError, match="more than"):
-        EN.payload({"big": spark.range(20)}, max_rows=10)
+    doc = EN.payload({"big": spark.range(3000), "small": spark.range(2)}).first()
+    assert len(doc.big) == 3000 and len(doc.small) == 2

@@ -36,9 +36,9 @@ def test_shot_pipeline_split_equals_plain(spark):
 def test_future_features_split_equals_plain(spark):
     def run():
         fx = bindings.fixtures(spark, SF001)
-        split = bindings.time_split(fx)
-        hist = fx.join(split.filter("is_train").select("id"), "id", "left_semi")
-        new = fx.join(split.filter(~F.col("is_train")).select("id"), "id", "left_semi").select("id", "kickoff", "home_team", "away_team")
+        both = bindings.with_time_split(fx)
+        hist = both.filter("is_train").drop("is_train")
+        new = both.filter(~F.col("is_train")).select("id", "kickoff", "home_team", "away_team")
         return rows(features.future_fixture_features(hist, new).select("id", "home_goals_for_last5", "away_points_last5"))
     assert run() == _with_limit(spark, 4, run)
 

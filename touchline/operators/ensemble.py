@@ -18,19 +18,20 @@ from touchline.functions.odds import argmax_label
 # The default weights of the four classifier ranking metrics.
 RANK_WEIGHTS = {"cv_accuracy": 0.25, "cv_f1_weighted": 0.25, "test_accuracy": 0.25, "test_f1_weighted": 0.25}
 MIN_SCORE = 0.49
+SIDES = ("home", "draw", "away")
 
 
 def rank_runs(runs: DataFrame, weights: dict[str, float] | None = None, top_k: int | None = None,
               name_col: str = "run_name") -> DataFrame:
     """E11 + T5: weighted score of the ranking metrics; runs missing any metric are dropped; order by
-    score then each metric descending, then name; 1-based rank; optional top-k."""
+    score, then the test metrics, then the cv metrics descending, then name; 1-based rank; optional top-k."""
     w = weights or RANK_WEIGHTS
     ok = None
     for m in w:
         c = F.col(m).isNotNull() & ~F.isnan(m)
         ok = c if ok is None else ok & c
     scored = runs.filter(ok).withColumn("rank_score", sum(F.col(m) * v for m, v in w.items()))
-    order = [F.col("rank_score").desc()] + [F.col(m).desc() for m in w] + [F.col(name_col)]
+    order = [F.col("rank_score").desc()] + [F.col(m).desc() for m in sorted(w, key=lambda m: not m.startswith("test_"))] + [F.col(name_col)]
     # the run table has one row per trained model: a global window over it is bounded
     ranked = scored.withColumn("rank", F.row_number().over(Window.orderBy(*order)))
     return ranked.filter(F.col("rank") <= top_k) if top_k else ranked
@@ -38,14 +39,17 @@ def rank_runs(runs: DataFrame, weights: dict[str, float] | None = None, top_k: i
 
 def rank_regressors(runs: DataFrame, metric: str | None = None, min_test_r2: float | None = None,
                     top_k: int | None = None, name_col: str = "run_name") -> DataFrame:
-    """score = 0.5 cv R2 + 0.5 test R2, optional target filter and minimum test R2."""
+    """score = 0.5 cv R2 + 0.5 test R2, optional target filter and minimum test R2; ties by test R2,
+    cv R2, smaller test RMSE, name."""
     r = runs.filter(F.col("cv_r2").isNotNull() & F.col("test_r2").isNotNull())
     if metric:
         r = r.filter(F.col("target") == metric)
     if min_test_r2 is not None:
         r = r.filter(F.col("test_r2") >= min_test_r2)
     r = r.withColumn("rank_score", 0.5 * F.col("cv_r2") + 0.5 * F.col("test_r2"))
-    ranked = r.withColumn("rank", F.row_number().over(Window.orderBy(F.col("rank_score").desc(), F.col("test_r2").desc(), F.col(name_col))))
+    ties = [F.coalesce(F.col("test_rmse"), F.lit(0.0)).asc()] if "test_rmse" in runs.columns else []
+    order = Window.orderBy(F.col("rank_score").desc(), F.col("test_r2").desc(), F.col("cv_r2").desc(), *ties, F.col(name_col))
+    ranked = r.withColumn("rank", F.row_number().over(order))
     return ranked.filter(F.col("rank") <= top_k) if top_k else ranked
 
 
@@ -126,19 +130,20 @@ def soft_vote(preds: DataFrame, members: DataFrame, row_col: str = "row_id", mod
     """
     q = member_probabilities(preds).join(F.broadcast(members.select(model_col, "weight")), model_col)
     q = q.withColumn("weight", F.greatest(F.col("weight"), F.lit(0.0)))
+    has_goals = F.col(goals_col).isNotNull()
     g = q.groupBy(row_col).agg(
         F.sum("weight").alias("_w"), F.count(F.lit(1)).alias("ensemble_size"),
-        F.sum(F.col("weight") * F.col("q_home")).alias("_h"), F.sum(F.col("weight") * F.col("q_draw")).alias("_d"),
-        F.sum(F.col("weight") * F.col("q_away")).alias("_a"),
-        F.sum(F.when(F.col(goals_col).isNotNull(), F.col("weight") * F.col(goals_col))).alias("_gs"),
-        F.sum(F.when(F.col(goals_col).isNotNull(), F.col("weight"))).alias("_gw"),
+        *[F.sum(F.col("weight") * F.col(f"q_{s}")).alias(f"_{s}") for s in SIDES], *[F.sum(f"q_{s}").alias(f"_e{s}") for s in SIDES],
+        F.sum(F.when(has_goals, F.col("weight") * F.col(goals_col))).alias("_gs"), F.sum(F.when(has_goals, F.col("weight"))).alias("_gw"),
+        F.sum(goals_col).alias("_egs"), F.count(goals_col).alias("_egw"),
         *[F.first(c).alias(c) for c in carry])
-    # renormalisation: a zero total weight falls back to equal weights
-    eq = F.col("_w") <= 0
-    h = F.when(eq, F.lit(None)).otherwise(F.col("_h") / F.col("_w"))
-    g = g.withColumns({"p_home": h, "p_draw": F.col("_d") / F.col("_w"), "p_away": F.col("_a") / F.col("_w")})
-    s = F.col("p_home") + F.col("p_draw") + F.col("p_away")
-    g = g.withColumns({"p_home": F.col("p_home") / s, "p_draw": F.col("p_draw") / s, "p_away": F.col("p_away") / s})
+    # a zero total weight falls back to equal weights
+    equal = F.col("_w") <= 0
+    picked = {s: F.when(equal, F.col(f"_e{s}")).otherwise(F.col(f"_{s}")) for s in SIDES}
+    g = g.withColumns({f"_p{s}": c for s, c in picked.items()} | {
+        "_gs": F.when(equal, F.col("_egs")).otherwise(F.col("_gs")), "_gw": F.when(equal, F.col("_egw").cast("double")).otherwise(F.col("_gw"))})
+    total = F.col("_phome") + F.col("_pdraw") + F.col("_paway")
+    g = g.withColumns({f"p_{s}": F.col(f"_p{s}") / total for s in SIDES})
     return g.select(row_col, "p_home", "p_draw", "p_away",
                     argmax_label("p_home", "p_draw", "p_away").alias("predicted_result"),
                     F.when(F.col("_gw") > 0, F.col("_gs") / F.col("_gw")).alias("predicted_total_goals"),
@@ -161,17 +166,11 @@ def model_cards(runs: DataFrame) -> DataFrame:
                        F.col("cv_metrics")["accuracy"].alias("cv_accuracy"), F.col("test_metrics")["r2"].alias("test_r2"))
 
 
-def payload(tables: dict[str, DataFrame], max_rows: int = 1000) -> DataFrame:
-    """A one-row document with one array-of-structs field per report table.
-
-    Only for report tables (grids, top-k lists, per-class summaries). A table with more than
-    ``max_rows`` rows is refused (checked with a ``limit`` probe) rather than truncated, so the
-    document never carries a data-sized table and never silently drops rows."""
-    from touchline.schemas import SchemaError
+def payload(tables: dict[str, DataFrame]) -> DataFrame:
+    """A one-row document with one array-of-structs field per report table (grids, top-k lists,
+    per-class summaries). Data-sized tables are written as tables (``io.write_table``)."""
     out = None
     for name, df in tables.items():
-        if df.limit(max_rows + 1).count() > max_rows:
-            raise SchemaError(f"report table {name!r} has more than {max_rows} rows; write it as a table instead")
         folded = df.agg(F.collect_list(F.struct(*df.columns)).alias(name))
         out = folded if out is None else out.crossJoin(folded)
     return out

@@ -8,110 +8,134 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from touchline.operators.windows import row_index, running_totals
+
 LABELS = ("H", "D", "A")
 
 
+OTHER = "(other)"
+
+
+def outcome_counts(df: DataFrame, label: str, pred: str, labels: Sequence[str] = LABELS, by: Sequence[str] = ()) -> DataFrame:
+    """Counts of (actual, predicted) per ``by`` group, one pass; a null or a value outside ``labels``
+    counts as ``(other)``, so no row is lost."""
+    known = lambda c: F.when(F.col(c).isin(*labels), F.col(c)).otherwise(F.lit(OTHER))
+    return df.groupBy(*by, known(label).alias("actual"), known(pred).alias("predicted")).agg(F.count(F.lit(1)).alias("count"))
+
+
+def zero_filled(counts: DataFrame, labels: Sequence[str] = LABELS, by: Sequence[str] = ()) -> DataFrame:
+    """The ``labels x labels`` grid of ``outcome_counts`` with zero cells, as one aggregate per group."""
+    cells = [F.struct(F.lit(a).alias("actual"), F.lit(p).alias("predicted"),
+                      F.coalesce(F.sum(F.when((F.col("actual") == a) & (F.col("predicted") == p), F.col("count"))), F.lit(0)).alias("count"))
+             for a in labels for p in labels]
+    grid = counts.groupBy(*by).agg(F.array(*cells).alias("_c"))
+    return grid.select(*by, F.explode("_c").alias("_c")).select(*by, "_c.*")
+
+
 def confusion(df: DataFrame, label: str, pred: str, labels: Sequence[str] = LABELS, by: Sequence[str] = ()) -> DataFrame:
-    """Confusion counts on the fixed ``labels x labels`` grid (zero cells kept), per ``by`` group.
-    The grid is ``|by groups| x k^2`` rows: the group list comes from the data (a distinct on ``by``)."""
-    spark = df.sparkSession
-    grid = spark.createDataFrame([(a, p) for a in labels for p in labels], "actual string, predicted string")
-    counts = df.groupBy(*by, F.col(label).alias("actual"), F.col(pred).alias("predicted")).agg(F.count(F.lit(1)).alias("_n"))
-    if by:
-        # groups from the counts themselves (same exchange, reused) rather than a second pass over df
-        groups = counts.select(*by).distinct()
-        grid = groups.crossJoin(F.broadcast(grid))  # k^2 literal rows: bounded
-    keys = list(by) + ["actual", "predicted"]
-    return grid.join(counts, keys, "left").select(*keys, F.coalesce("_n", F.lit(0)).alias("count"))
-
-
-def class_metrics(conf: DataFrame, labels: Sequence[str] = LABELS, by: Sequence[str] = ()) -> DataFrame:
-    """Per-class precision, recall, F1 and support from confusion counts (zero division -> 0)."""
-    # one pass: every cell counts toward its actual class (support, tp) and its predicted class
-    cells = conf.select(*by, F.explode(F.array(
-        F.struct(F.col("actual").alias("cls"), F.col("count").alias("support"),
-                 F.when(F.col("actual") == F.col("predicted"), F.col("count")).otherwise(F.lit(0)).alias("tp"),
-                 F.lit(0).cast("long").alias("predicted_n")),
-        F.struct(F.col("predicted").alias("cls"), F.lit(0).cast("long").alias("support"), F.lit(0).cast("long").alias("tp"),
-                 F.col("count").alias("predicted_n")))).alias("_c")).select(*by, "_c.*")
-    keys = list(by) + ["cls"]
-    m = cells.groupBy(*keys).agg(F.sum("tp").alias("tp"), F.sum("support").alias("support"), F.sum("predicted_n").alias("predicted_n"))
+    """Confusion counts on the fixed ``labels x labels`` grid (zero cells kept), per ``by`` group."""
+    return zero_filled(outcome_counts(df, label, pred, labels, by), labels, by)
+
+
+def class_metrics(counts: DataFrame, labels: Sequence[str] = LABELS, by: Sequence[str] = ()) -> DataFrame:
+    """Per-class precision, recall, F1 and support (zero division -> 0) from ``outcome_counts`` or
+    ``confusion``; one aggregate per group."""
+    sums = []
+    for c in labels:
+        actual, predicted = F.col("actual") == c, F.col("predicted") == c
+        sums.append(F.struct(F.lit(c).alias("cls"), *[F.coalesce(F.sum(F.when(cond, F.col("count"))), F.lit(0)).alias(name)
+                                                     for name, cond in (("tp", actual & predicted), ("support", actual), ("predicted_n", predicted))]))
+    m = counts.groupBy(*by).agg(F.array(*sums).alias("_c")).select(*by, F.explode("_c").alias("_c")).select(*by, "_c.*")
     prec = F.when(F.col("predicted_n") > 0, F.col("tp") / F.col("predicted_n")).otherwise(F.lit(0.0))
     rec = F.when(F.col("support") > 0, F.col("tp") / F.col("support")).otherwise(F.lit(0.0))
     m = m.withColumns({"precision": prec, "recall": rec})
     f1 = F.when((F.col("precision") + F.col("recall")) > 0,
                 2 * F.col("precision") * F.col("recall") / (F.col("precision") + F.col("recall"))).otherwise(F.lit(0.0))
-    return m.withColumn("f1", f1).select(*keys, "tp", "support", "predicted_n", "precision", "recall", "f1")
-
-
-def summary_metrics(conf: DataFrame, labels: Sequence[str] = LABELS, by: Sequence[str] = ()) -> DataFrame:
-    """Accuracy, macro and support-weighted precision/recall/F1 per group."""
-    cm = class_metrics(conf, labels, by)
-    agg = [
-        (F.sum("tp") / F.sum("support")).alias("accuracy"),
-        F.avg("precision").alias("precision_macro"), F.avg("recall").alias("recall_macro"), F.avg("f1").alias("f1_macro"),
-        (F.sum(F.col("precision") * F.col("support")) / F.sum("support")).alias("precision_weighted"),
-        (F.sum(F.col("recall") * F.col("support")) / F.sum("support")).alias("recall_weighted"),
-        (F.sum(F.col("f1") * F.col("support")) / F.sum("support")).alias("f1_weighted"),
-        F.sum("support").alias("n"),
-    ]
-    return cm.groupBy(*by).agg(*agg) if by else cm.agg(*agg)
+    return m.withColumn("f1", f1).select(*by, "cls", "tp", "support", "predicted_n", "precision", "recall", "f1")
+
+
+def summary_metrics(counts: DataFrame, labels: Sequence[str] = LABELS, by: Sequence[str] = ()) -> DataFrame:
+    """Accuracy, macro and support-weighted precision/recall/F1 per group. Rows of ``(other)`` in
+    ``outcome_counts`` are wrong predictions: they count in ``n`` and in the accuracy's denominator."""
+    total = lambda cond: F.coalesce(F.sum(F.when(cond, F.col("count"))), F.lit(0))
+    aggs = [F.sum("count").alias("n")]
+    for i, c in enumerate(labels):
+        actual, predicted = F.col("actual") == c, F.col("predicted") == c
+        aggs += [total(actual & predicted).alias(f"_tp{i}"), total(actual).alias(f"_s{i}"), total(predicted).alias(f"_p{i}")]
+    g = counts.groupBy(*by).agg(*aggs)
+    k = range(len(labels))
+    prec = [F.when(F.col(f"_p{i}") > 0, F.col(f"_tp{i}") / F.col(f"_p{i}")).otherwise(F.lit(0.0)) for i in k]
+    rec = [F.when(F.col(f"_s{i}") > 0, F.col(f"_tp{i}") / F.col(f"_s{i}")).otherwise(F.lit(0.0)) for i in k]
+    g = g.withColumns({f"_pr{i}": prec[i] for i in k} | {f"_re{i}": rec[i] for i in k})
+    g = g.withColumns({f"_f{i}": F.when(F.col(f"_pr{i}") + F.col(f"_re{i}") > 0,
+                                        2 * F.col(f"_pr{i}") * F.col(f"_re{i}") / (F.col(f"_pr{i}") + F.col(f"_re{i}"))).otherwise(F.lit(0.0)) for i in k})
+    support = sum(F.col(f"_s{i}") for i in k)
+    out = {"accuracy": F.try_divide(sum(F.col(f"_tp{i}") for i in k), F.col("n"))}
+    for name, col in (("precision", "_pr"), ("recall", "_re"), ("f1", "_f")):
+        out[f"{name}_macro"] = sum(F.col(f"{col}{i}") for i in k) / len(labels)
+        out[f"{name}_weighted"] = F.try_divide(sum(F.col(f"{col}{i}") * F.col(f"_s{i}") for i in k), support)
+    order = ["accuracy", "precision_macro", "recall_macro", "f1_macro", "precision_weighted", "recall_weighted", "f1_weighted"]
+    return g.select(*by, *[out[c].alias(c) for c in order], "n")
 
 
 def regression_metrics(df: DataFrame, actual: str, predicted: str, by: Sequence[str] = ()) -> DataFrame:
-    """MAE, RMSE, R2 = 1 - SSE/SST (SST from the group's own mean; two aggregates)."""
+    """MAE, RMSE, R2 = 1 - SSE/SST in one aggregate (SST = n x population variance); R2 is null when
+    the actual values do not vary."""
     y, p = F.col(actual).cast("double"), F.col(predicted).cast("double")
     base = df.select(*by, y.alias("_y"), p.alias("_p")).filter(F.col("_y").isNotNull() & F.col("_p").isNotNull())
-    means = base.groupBy(*by).agg(F.avg("_y").alias("_mean")) if by else base.agg(F.avg("_y").alias("_mean"))
-    j = base.join(means, list(by)) if by else base.crossJoin(means)
-    agg = [F.avg(F.abs(F.col("_y") - F.col("_p"))).alias("mae"),
-           F.sqrt(F.avg((F.col("_y") - F.col("_p")) ** 2)).alias("rmse"),
-           (1 - F.sum((F.col("_y") - F.col("_p")) ** 2) / F.sum((F.col("_y") - F.col("_mean")) ** 2)).alias("r2"),
-           F.count(F.lit(1)).alias("n")]
-    return j.groupBy(*by).agg(*agg) if by else j.agg(*agg)
+    error = F.col("_y") - F.col("_p")
+    agg = [F.avg(F.abs(error)).alias("mae"), F.sqrt(F.avg(error ** 2)).alias("rmse"),
+           (1 - F.try_divide(F.sum(error ** 2), F.var_pop("_y") * F.count(F.lit(1)))).alias("r2"), F.count(F.lit(1)).alias("n")]
+    return base.groupBy(*by).agg(*agg)
+
+
+def _scored(df: DataFrame, label: str, score: str, by: Sequence[str]) -> DataFrame:
+    rows = df.select(*by, F.col(score).cast("double").alias("score"), F.col(label).cast("long").alias("_y"))
+    return rows.filter(F.col("score").isNotNull() & F.col("_y").isNotNull())
 
 
 def roc_points(df: DataFrame, label: str, score: str, by: Sequence[str] = ()) -> DataFrame:
     """ROC curve: one point per distinct score (descending), cumulative TPR/FPR.
 
-    Positives and negatives per distinct score come from one aggregation; the cumulative sums run
-    over the distinct-score table. With ``by`` groups the window is partitioned by group; without,
-    the distinct-score table goes through one task, so bin scores first (``round``) when the number
-    of distinct scores is large.
+    Positives and negatives per distinct score come from one aggregation; their running totals are
+    distributed prefix sums over (group, score), so neither a group nor the whole curve is one task.
     """
-    s = df.select(*by, F.col(score).cast("double").alias("score"), F.col(label).cast("int").alias("_y"))
-    g = s.groupBy(*by, "score").agg(F.sum("_y").alias("pos"), F.sum(1 - F.col("_y")).alias("neg"))
-    w = Window.partitionBy(*by).orderBy(F.col("score").desc()).rowsBetween(Window.unboundedPreceding, 0)
-    tot = Window.partitionBy(*by)
-    g = g.withColumns({"tp": F.sum("pos").over(w), "fp": F.sum("neg").over(w),
-                       "P": F.sum("pos").over(tot), "N": F.sum("neg").over(tot)})
-    return g.withColumns({"tpr": F.when(F.col("P") > 0, F.col("tp") / F.col("P")),
-                          "fpr": F.when(F.col("N") > 0, F.col("fp") / F.col("N"))})
+    g = _scored(df, label, score, by).groupBy(*by, "score").agg(F.sum("_y").alias("pos"), F.sum(1 - F.col("_y")).alias("neg"))
+    run = running_totals(g, [*by, F.col("score").desc()], {"pos": "_cp", "neg": "_cn"})
+    groups = run.groupBy(*[F.col(c).alias(f"_g_{c}") for c in by]).agg(
+        F.sum("pos").alias("P"), F.sum("neg").alias("N"), F.min(F.col("_cp") - F.col("pos")).alias("_bp"), F.min(F.col("_cn") - F.col("neg")).alias("_bn"))
+    same = F.lit(True)
+    for c in by:
+        same = same & F.col(c).eqNullSafe(F.col(f"_g_{c}"))
+    j = run.join(F.broadcast(groups), same)  # one row per system
+    j = j.withColumns({"tp": F.col("_cp") - F.col("_bp"), "fp": F.col("_cn") - F.col("_bn")})
+    return j.select(*by, "score", "pos", "neg", "tp", "fp", "P", "N", F.try_divide("tp", "P").alias("tpr"), F.try_divide("fp", "N").alias("fpr"))
 
 
 def auc(df: DataFrame, label: str, score: str, by: Sequence[str] = ()) -> DataFrame:
-    """Area under the ROC curve by the trapezoid rule over the distinct-score points (ties form
-    one diagonal segment, as in the rank-based AUC)."""
-    pts = roc_points(df, label, score, by)
-    w = Window.partitionBy(*by).orderBy(F.col("score").desc())
-    pts = pts.withColumns({"_pf": F.coalesce(F.lag("fpr").over(w), F.lit(0.0)), "_pt": F.coalesce(F.lag("tpr").over(w), F.lit(0.0))})
-    area = F.sum((F.col("fpr") - F.col("_pf")) * (F.col("tpr") + F.col("_pt")) / 2).alias("auc")
-    return pts.groupBy(*by).agg(area) if by else pts.agg(area)
+    """Area under the ROC curve from the ranks of the positives (ties share their mean rank, which is
+    the trapezoid rule over distinct scores). The ranks are the distributed row index over (group, score);
+    null when a class is absent."""
+    ranked = row_index(_scored(df, label, score, by), [*by, "score"], "_i")
+    g = ranked.groupBy(*by, "score").agg(F.min("_i").alias("_lo"), F.max("_i").alias("_hi"), F.sum("_y").alias("pos"), F.sum(1 - F.col("_y")).alias("neg"))
+    s = g.groupBy(*by).agg(F.sum("pos").alias("P"), F.sum("neg").alias("N"), F.min("_lo").alias("_b"),
+                           F.sum(F.col("pos") * ((F.col("_lo") + F.col("_hi")) / 2)).alias("_s"))
+    p, n = F.col("P").cast("double"), F.col("N").cast("double")
+    return s.select(*by, F.try_divide(F.col("_s") - p * (F.col("_b") - 1) - p * (p + 1) / 2, p * n).alias("auc"))
 
 
 def threshold_sweep(df: DataFrame, label: str, score: str, thresholds: Sequence[float] = (0.3, 0.5, 0.7)) -> DataFrame:
-    """E5: binary metrics at each threshold (predict 1 when score >= t). The threshold list is a
-    literal of a few rows cross-joined to the data, then one ``groupBy(threshold)``."""
-    spark = df.sparkSession
-    th = spark.createDataFrame([(float(t),) for t in thresholds], "threshold double")
-    j = df.select(F.col(label).cast("int").alias("_y"), F.col(score).cast("double").alias("_s")).crossJoin(F.broadcast(th))
-    j = j.withColumn("_p", (F.col("_s") >= F.col("threshold")).cast("int"))
-    g = j.groupBy("threshold").agg(
-        F.avg((F.col("_p") == F.col("_y")).cast("double")).alias("accuracy"),
-        F.sum(F.col("_p") * F.col("_y")).alias("tp"), F.sum(F.col("_p")).alias("pred_pos"), F.sum("_y").alias("pos"))
+    """E5: binary metrics at each threshold (predict 1 when score >= t), all thresholds in one aggregate."""
+    y, score = F.col(label).cast("int"), F.col(score).cast("double")
+    per = []
+    for t in thresholds:
+        p = (score >= F.lit(float(t))).cast("int")
+        per.append(F.struct(F.lit(float(t)).alias("threshold"), F.avg((p == y).cast("double")).alias("accuracy"),
+                            F.sum(p * y).alias("tp"), F.sum(p).alias("pred_pos"), F.sum(y).alias("pos")))
+    g = df.agg(F.array(*per).alias("_t")).select(F.explode("_t").alias("_t")).select("_t.*")
     prec = F.when(F.col("pred_pos") > 0, F.col("tp") / F.col("pred_pos")).otherwise(F.lit(0.0))
     rec = F.when(F.col("pos") > 0, F.col("tp") / F.col("pos")).otherwise(F.lit(0.0))
     g = g.withColumns({"precision": prec, "recall": rec})
@@ -143,6 +167,3 @@ def residuals(df: DataFrame, actual: str, predicted: str, keep: Sequence[str] =
     return df.select(*keep, F.col(actual).cast("double").alias("actual"), F.col(predicted).cast("double").alias("predicted"),
                      (F.col(actual).cast("double") - F.col(predicted).cast("double")).alias("residual"))
 
-
-def accuracy_col(label: str, pred: str) -> Column:
-    return F.avg((F.col(label) == F.col(pred)).cast("double"))

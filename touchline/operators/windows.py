@@ -96,15 +96,19 @@ def apply_window(df: DataFrame, keys: str | Sequence[str], order: Sequence[str],
         hot_rows = hot_key_rows(df, [keys], limit)[tuple(keys)]
     if hot_rows == 0:
         return _plain(df, keys, order, job)
+    # A split reads its input three times and a following window would repeat all of that: the input is
+    # written once, so a chain of windows stays linear in its scans.
+    df = df.checkpoint(eager=True)
     counts = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_tl_n"))
     # At most rows/limit hot keys exist, so broadcasting this table is bounded by construction.
-    hot = F.broadcast(counts.filter(F.col("_tl_n") > limit).select(*[F.col(k).alias(f"_tl_hk_{k}") for k in keys]))
+    hot = F.broadcast(counts.filter(F.col("_tl_n") > limit).select(*[F.col(k).alias(f"_tl_hk_{k}") for k in keys], F.lit(True).alias("_tl_hot")))
     cond = None
     for k in keys:
         c = df[k].eqNullSafe(hot[f"_tl_hk_{k}"])   # a hot null key is split too
         cond = c if cond is None else cond & c
-    cold = df.join(hot, cond, "left_anti")
-    hot_df = df.join(hot, cond, "left_semi")
+    marked = df.join(hot, cond, "left")
+    cold = marked.filter(F.col("_tl_hot").isNull()).select(*df.columns)
+    hot_df = marked.filter(F.col("_tl_hot").isNotNull()).select(*df.columns)
     segments = max(2, -(-hot_rows // limit))
     return _plain(cold, keys, order, job).unionByName(_segmented(hot_df, keys, order, job, segments))
 
@@ -156,23 +160,23 @@ def _segmented(df: DataFrame, keys: list[str], order: list[str], job: WindowJob,
     if job.row_number_cols or job.running_cols:
         # Offsets from earlier segments of the same key: one row per (key, segment).
         sums = [F.count(F.lit(1)).alias("_tl_cnt")] + [
-            F.sum(F.coalesce(F.col(src).cast("double"), F.lit(0.0))).alias(f"_tl_sum_{i}")
+            F.sum(F.coalesce(F.col(src), F.lit(0))).alias(f"_tl_sum_{i}")
             for i, src in enumerate(job.running_cols.values())
         ]
         per_seg = tagged.groupBy(*kseg).agg(*sums)
         before = Window.partitionBy(*keys).orderBy(_SEG).rowsBetween(Window.unboundedPreceding, -1)
         offs = per_seg.select(*kseg, F.coalesce(F.sum("_tl_cnt").over(before), F.lit(0)).alias("_tl_off"),
-                              *[F.coalesce(F.sum(f"_tl_sum_{i}").over(before), F.lit(0.0)).alias(f"_tl_base_{i}")
+                              *[F.coalesce(F.sum(f"_tl_sum_{i}").over(before), F.lit(0)).alias(f"_tl_base_{i}")
                                 for i in range(len(job.running_cols))])
         if halos is not None:
             # halo rows precede every real row of the segment, so in-segment row numbers and running
             # totals already include them once: remove them before adding the earlier segments
             hstats = halos.groupBy(*kseg).agg(F.count(F.lit(1)).alias("_tl_hcnt"), *[
-                F.sum(F.coalesce(F.col(src).cast("double"), F.lit(0.0))).alias(f"_tl_hsum_{i}")
+                F.sum(F.coalesce(F.col(src), F.lit(0))).alias(f"_tl_hsum_{i}")
                 for i, src in enumerate(job.running_cols.values())])
             offs = _join_null_safe(offs, hstats, kseg).select(
                 *kseg, (F.col("_tl_off") - F.coalesce("_tl_hcnt", F.lit(0))).alias("_tl_off"),
-                *[(F.col(f"_tl_base_{i}") - F.coalesce(F.col(f"_tl_hsum_{i}"), F.lit(0.0))).alias(f"_tl_base_{i}")
+                *[(F.col(f"_tl_base_{i}") - F.coalesce(F.col(f"_tl_hsum_{i}"), F.lit(0))).alias(f"_tl_base_{i}")
                   for i in range(len(job.running_cols))])
         out = _join_null_safe(out, offs, kseg)
         types = {f.name: f.dataType for f in out.schema.fields}
@@ -280,29 +284,46 @@ def running_before(df: DataFrame, keys: str | Sequence[str], order: Sequence[str
 
     def build(w: Window) -> dict[str, Column]:
         frame = w.rowsBetween(Window.unboundedPreceding, -1)
-        return {name: F.coalesce(F.sum(F.col(src).cast("double")).over(frame), F.lit(0.0)) for name, src in names.items()}
+        return {name: F.coalesce(F.sum(F.col(src)).over(frame), F.lit(0)) for name, src in names.items()}
 
     job = WindowJob(build, running_cols=names)
     return apply_window(df, keys, order, job, skew, rows_per_segment, hot_rows)
 
 
+def _placed(df: DataFrame, order: Sequence[str | Column], partitions: int | None = None) -> DataFrame:
+    """``df`` in a global order, written to the checkpoint folder with the partition (``_tl_pid``) and the
+    position in it (``_tl_inpart``): one range shuffle, no window."""
+    n_parts = partitions or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    cols = [F.col(c).asc() if isinstance(c, str) else c for c in order]
+    at = F.monotonically_increasing_id()
+    return (df.repartitionByRange(n_parts, *cols).sortWithinPartitions(*cols)
+              .withColumn("_tl_at", at).checkpoint(eager=True)
+              .withColumns({"_tl_pid": F.shiftright("_tl_at", 33), "_tl_inpart": F.col("_tl_at").bitwiseAND(F.lit((1 << 33) - 1))}).drop("_tl_at"))
+
+
 def row_index(df: DataFrame, order: Sequence[str], name: str = "row_idx", partitions: int | None = None) -> DataFrame:
     """0-based position of every row in a global order, computed without a single-task window.
 
-    Range-partition on the order (Spark samples the bounds), checkpoint so the partition id is fixed,
-    number rows inside each partition, and add the count of all earlier partitions (a table with one
-    row per partition, broadcast).
+    Range-partition and sort (Spark samples the bounds), write the rows with their position in the
+    partition, and add the count of all earlier partitions (one row per partition, broadcast).
     """
-    spark = df.sparkSession
-    n_parts = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    tagged = (df.repartitionByRange(n_parts, *_order_cols(order))
-                .withColumn("_tl_pid", F.spark_partition_id())
-                .checkpoint(eager=True))
-    local = tagged.withColumn("_tl_local", F.row_number().over(
-        Window.partitionBy("_tl_pid").orderBy(*_order_cols(order))) - 1)
-    counts = tagged.groupBy("_tl_pid").agg(F.count(F.lit(1)).alias("_tl_cnt"))
+    placed = _placed(df, order, partitions)
+    counts = placed.groupBy("_tl_pid").agg(F.count(F.lit(1)).alias("_tl_cnt"))
     offsets = counts.select("_tl_pid", F.coalesce(F.sum("_tl_cnt").over(
         Window.orderBy("_tl_pid").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("_tl_off"))
-    return (local.join(F.broadcast(offsets), "_tl_pid")
-                 .withColumn(name, (F.col("_tl_off") + F.col("_tl_local")).cast("long"))
-                 .drop("_tl_pid", "_tl_local", "_tl_off"))
+    return (placed.join(F.broadcast(offsets), "_tl_pid")
+                  .withColumn(name, (F.col("_tl_off") + F.col("_tl_inpart")).cast("long"))
+                  .drop("_tl_pid", "_tl_inpart", "_tl_off"))
+
+
+def running_totals(df: DataFrame, order: Sequence[str | Column], columns: dict[str, str], partitions: int | None = None) -> DataFrame:
+    """Inclusive running total of each column (``columns``: source -> output) in a global order: totals
+    within each range partition plus the totals of all earlier partitions (one row per partition)."""
+    placed = _placed(df, order, partitions)
+    local = Window.partitionBy("_tl_pid").orderBy("_tl_inpart").rowsBetween(Window.unboundedPreceding, 0)
+    before = Window.orderBy("_tl_pid").rowsBetween(Window.unboundedPreceding, -1)
+    sums = placed.groupBy("_tl_pid").agg(*[F.sum(c).alias(f"_tl_s_{o}") for c, o in columns.items()])
+    offsets = sums.select("_tl_pid", *[F.coalesce(F.sum(f"_tl_s_{o}").over(before), F.lit(0)).alias(f"_tl_o_{o}") for o in columns.values()])
+    out = placed.withColumns({o: F.sum(c).over(local) for c, o in columns.items()}).join(F.broadcast(offsets), "_tl_pid")
+    return (out.withColumns({o: F.col(o) + F.col(f"_tl_o_{o}") for o in columns.values()})
+               .drop("_tl_pid", "_tl_inpart", *[f"_tl_o_{o}" for o in columns.values()]))

@@ -121,7 +121,7 @@ def play_events(spark: SparkSession, sf_dir: str, fixtures_df: DataFrame | None
     fx = fixtures_df if fixtures_df is not None else fixtures(spark, sf_dir)
     ev = _events_base(spark, sf_dir)
     ctx = fx.select(F.col("id").alias("user_id"), "home_team", "away_team")
-    j = ev.join(ctx, "user_id", "inner")
+    j = ev.join(ctx, "user_id", "left")
     eid, k, et, v = F.col("event_id"), F.col("_k"), F.col("event_type"), F.col("value")
     team = F.when(_mod(eid, 2) == 0, F.col("home_team")).otherwise(F.col("away_team"))
     is_shot = et.isin("purchase", "error")
@@ -206,11 +206,8 @@ def member_predictions(fixtures_df: DataFrame, keep: tuple[str, ...] = ()) -> Da
                      F.when(label_only, F.lit("D")).otherwise(lab).alias("label"))
 
 
-def time_split(fixtures_df: DataFrame, holdout: float = 0.2) -> DataFrame:
-    """M1 + W14: ``row_idx`` over (kickoff, id) without a single-task window, and ``is_train`` for the
-    first ``max(int(n * (1 - holdout)), 1)`` rows."""
-    from touchline.operators.windows import row_index
-    idx = row_index(fixtures_df.select("id", "kickoff"), ["kickoff", "id"], "row_idx")
-    n = fixtures_df.agg(F.count(F.lit(1)).alias("_n"))
-    cut = F.greatest(F.floor(F.col("_n") * (1 - holdout)).cast("long"), F.lit(1))
-    return idx.crossJoin(F.broadcast(n)).withColumn("is_train", F.col("row_idx") < cut).drop("_n", "kickoff")
+def with_time_split(fixtures_df: DataFrame, holdout: float = 0.2) -> DataFrame:
+    """M1 + W14: the fixtures with ``is_train`` for the first ``max(int(n * (1 - holdout)), 1)`` rows in
+    (kickoff, id) order; the cut is one row, found by the distributed index."""
+    from touchline.ml.split import holdout_flag
+    return holdout_flag(fixtures_df, ["kickoff", "id"], holdout)

@@ -92,18 +92,27 @@ _CARRY = ("ftr", "is_train", "total_goals")
 _VOTE_COLS = ["row_id", "p_home", "p_draw", "p_away", "predicted_result", "predicted_total_goals", "ensemble_size"]
 
 
-def _ensemble_parts(spark: SparkSession, sf_dir: str):
-    """Fixtures with the time split (``fxs``), long member predictions and the soft vote, both
-    carrying the result and split flag so no consumer joins back to the fixtures."""
-    fx = bindings.fixtures(spark, sf_dir)
-    split = bindings.time_split(fx)
-    fxs = fx.join(split.select("id", "row_idx", "is_train"), "id")
-    preds = bindings.member_predictions(fxs, keep=_CARRY)
-    scores = (preds.filter("is_train").groupBy("model_id")
-                   .agg(F.avg((F.col("label") == F.col("ftr")).cast("double")).alias("score")))
-    members = EN.assign_weights(scores)
-    vote = EN.soft_vote(preds, members, carry=_CARRY)
-    return fxs, preds, split, members, vote
+def _split_fixtures(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return bindings.with_time_split(bindings.fixtures(spark, sf_dir))
+
+
+def _outcome_cells(fxs: DataFrame) -> DataFrame:
+    """(system, is_train, actual, predicted, count) of every member and of the market, in one pass over
+    the fixtures. Member scores, weights, confusion grids and the run table all come from these few rows."""
+    members = bindings.member_predictions(fxs, keep=_CARRY).select(F.col("model_id").alias("system"), "is_train", "ftr", "label")
+    market = fxs.select(F.lit("market").alias("system"), "is_train", "ftr", O.shortest_price_pick("b365h", "b365d", "b365a").alias("label"))
+    return EV.outcome_counts(members.unionByName(market), "ftr", "label", by=["system", "is_train"]).checkpoint(eager=True)
+
+
+def _members(cells: DataFrame) -> DataFrame:
+    right = F.when(F.col("actual") == F.col("predicted"), F.col("count")).otherwise(F.lit(0))
+    scores = (cells.filter(F.col("is_train") & (F.col("system") != "market")).groupBy(F.col("system").alias("model_id"))
+                   .agg((F.sum(right) / F.sum("count")).alias("score")))
+    return EN.assign_weights(scores)
+
+
+def _vote(fxs: DataFrame, members: DataFrame, keep: tuple[str, ...] = _CARRY) -> DataFrame:
+    return EN.soft_vote(bindings.member_predictions(fxs, keep=keep), members, carry=keep)
 
 
 @query("weighted_soft_vote", _ALL + """
@@ -114,8 +123,8 @@ FROM ens
 def weighted_soft_vote(spark: SparkSession, sf_dir: str) -> DataFrame:
     """E15-E19 + M1: member scores on the time-ordered training part, proportional weights,
     per-row renormalisation over present members, clamped/one-hot member probabilities, argmax."""
-    *_, vote = _ensemble_parts(spark, sf_dir)
-    return normalise(vote.select(*_VOTE_COLS))
+    fxs = _split_fixtures(spark, sf_dir)
+    return normalise(_vote(fxs, _members(_outcome_cells(fxs))).select(*_VOTE_COLS))
 
 
 @query("member_weights", _ALL + """
@@ -123,7 +132,7 @@ SELECT model_id, round(score, 6) AS score, round(weight, 6) AS weight FROM weigh
 """)
 def member_weights(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Ensemble member weights from training accuracy."""
-    _, _, _, members, _ = _ensemble_parts(spark, sf_dir)
+    members = _members(_outcome_cells(_split_fixtures(spark, sf_dir)))
     return normalise(members.select("model_id", "score", "weight"))
 
 
@@ -161,20 +170,16 @@ SELECT system, actual, predicted, CAST(cnt AS BIGINT) AS count FROM conf
 """)
 def ensemble_confusion(spark: SparkSession, sf_dir: str) -> DataFrame:
     """E1 + E21: zero-filled 3x3 confusion per system (ensemble, market, each member) on the holdout."""
-    return normalise(_systems_confusion(spark, sf_dir))
+    return normalise(EV.zero_filled(_system_counts(spark, sf_dir), by=["system"]))
 
 
-def _systems_confusion(spark: SparkSession, sf_dir: str) -> DataFrame:
-    fxs, preds, _, _, vote = _ensemble_parts(spark, sf_dir)
-    ens = vote.filter(~F.col("is_train")).select(F.lit("ensemble").alias("system"), "row_id", F.col("ftr").alias("label_true"),
-                                                 F.col("predicted_result").alias("pred"))
-    mk = fxs.filter(~F.col("is_train")).select(F.lit("market").alias("system"), F.col("id").alias("row_id"),
-                                               F.col("ftr").alias("label_true"),
-                                               O.shortest_price_pick("b365h", "b365d", "b365a").alias("pred"))
-    mem = preds.filter(~F.col("is_train")).select(F.col("model_id").alias("system"), "row_id", F.col("ftr").alias("label_true"),
-                                                  F.col("label").alias("pred"))
-    systems = ens.unionByName(mk).unionByName(mem)
-    return EV.confusion(systems, "label_true", "pred", by=["system"])
+def _system_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Outcome counts of ensemble, market and members on the holdout: two passes over the fixtures."""
+    fxs = _split_fixtures(spark, sf_dir)
+    cells = _outcome_cells(fxs)
+    vote = _vote(fxs.filter(~F.col("is_train")), _members(cells), keep=("ftr",))
+    ens = EV.outcome_counts(vote.withColumn("system", F.lit("ensemble")), "ftr", "predicted_result", by=["system"])
+    return ens.unionByName(cells.filter(~F.col("is_train")).drop("is_train"))
 
 
 @query("system_metrics", _ALL + _TEST_SYSTEMS + """
@@ -186,8 +191,7 @@ FROM cm3 GROUP BY system
 """)
 def system_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
     """E2 + E21: accuracy, macro and weighted precision/recall/F1 per system on the holdout."""
-    conf = _systems_confusion(spark, sf_dir)
-    return normalise(EV.summary_metrics(conf, by=["system"]))
+    return normalise(EV.summary_metrics(_system_counts(spark, sf_dir), by=["system"]))
 
 
 @query("goals_regression_metrics", _ALL + """
@@ -200,8 +204,12 @@ FROM r CROSS JOIN m
 """)
 def goals_regression_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
     """MAE, RMSE, R2 of the ensemble's goal estimate on the holdout."""
-    *_, vote = _ensemble_parts(spark, sf_dir)
-    return normalise(EV.regression_metrics(vote.filter(~F.col("is_train")), "total_goals", "predicted_total_goals"))
+    return normalise(EV.regression_metrics(_holdout_vote(spark, sf_dir), "total_goals", "predicted_total_goals"))
+
+
+def _holdout_vote(spark: SparkSession, sf_dir: str, keep: tuple[str, ...] = _CARRY) -> DataFrame:
+    fxs = _split_fixtures(spark, sf_dir)
+    return _vote(fxs.filter(~F.col("is_train")), _members(_outcome_cells(fxs)), keep=keep)
 
 
 @query("market_cv_folds", _ALL + """
@@ -215,12 +223,9 @@ FROM per_fold
 def market_cv_folds(spark: SparkSession, sf_dir: str) -> DataFrame:
     """M2 + E7 + E8: expanding-window folds (k = 5, test block n // 6 rows each) over the time index;
     market accuracy per fold, then mean and population std."""
-    fx = bindings.fixtures(spark, sf_dir)
-    split = bindings.time_split(fx)
-    from touchline.ml.split import expanding_folds
-    folds = expanding_folds(split, "row_idx", 5)
-    test_rows = folds.filter(F.col("role") == "test").join(fx, "id")
-    per_fold = test_rows.groupBy("fold").agg(
+    from touchline.ml.split import fold_of
+    folds = fold_of(bindings.fixtures(spark, sf_dir), ["kickoff", "id"], 5).filter("fold >= 0")
+    per_fold = folds.groupBy("fold").agg(
         F.avg((O.shortest_price_pick("b365h", "b365d", "b365a") == F.col("ftr")).cast("double")).alias("accuracy"))
     return normalise(EV.fold_summary(per_fold, "accuracy"))
 
@@ -256,16 +261,32 @@ def _xg_shots(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query("xg_auc", with_ctes(FIXTURES_CTE, EVENTS_CTE) + _XG_CTE + """
-, g AS (SELECT round(xg, 4) AS score, sum(is_goal) AS pos, sum(1 - is_goal) AS neg FROM xg GROUP BY 1),
+, g AS (SELECT xg AS score, sum(is_goal) AS pos, sum(1 - is_goal) AS neg FROM xg GROUP BY 1),
 c AS (SELECT score, sum(pos) OVER w / sum(pos) OVER () AS tpr, sum(neg) OVER w / sum(neg) OVER () AS fpr
       FROM g WINDOW w AS (ORDER BY score DESC ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)),
 d AS (SELECT tpr, fpr, coalesce(lag(fpr) OVER (ORDER BY score DESC), 0.0) AS pf, coalesce(lag(tpr) OVER (ORDER BY score DESC), 0.0) AS pt FROM c)
 SELECT round(sum((fpr - pf) * (tpr + pt) / 2), 6) AS auc FROM d
 """)
 def xg_auc(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """E4 + X16: AUC of the heuristic xG (scores binned to 4 decimals: at most 10,001 ROC points)."""
-    s = _xg_shots(spark, sf_dir).withColumn("score", F.round("xg", 4))
-    return normalise(EV.auc(s, "is_goal", "score"))
+    """E4 + X16: AUC of the heuristic xG from the raw scores."""
+    return normalise(EV.auc(_xg_shots(spark, sf_dir), "is_goal", "xg"))
+
+
+@query("xg_roc_curve", with_ctes(FIXTURES_CTE, EVENTS_CTE) + _XG_CTE + """
+, m AS (SELECT 'all' AS grp, xg, is_goal FROM xg UNION ALL SELECT CASE WHEN bc = 1.0 THEN 'big chance' ELSE 'other' END, xg, is_goal
+        FROM xg JOIN sh2 USING (id, is_goal)),
+g AS (SELECT grp, xg AS score, sum(is_goal) AS pos, sum(1 - is_goal) AS neg FROM m GROUP BY grp, xg),
+c AS (SELECT grp, score, sum(pos) OVER w AS tp, sum(neg) OVER w AS fp, sum(pos) OVER (PARTITION BY grp) AS p, sum(neg) OVER (PARTITION BY grp) AS n
+      FROM g WINDOW w AS (PARTITION BY grp ORDER BY score DESC ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW))
+SELECT grp, round(score, 6) AS score, CAST(tp AS BIGINT) AS tp, CAST(fp AS BIGINT) AS fp, round(CASE WHEN p > 0 THEN tp / p END, 6) AS tpr,
+       round(CASE WHEN n > 0 THEN fp / n END, 6) AS fpr FROM c
+""")
+def xg_roc_curve(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every point of the ROC curve of the heuristic xG, over all shots and by big chance."""
+    s = _xg_shots(spark, sf_dir)
+    groups = F.array(F.lit("all"), F.when(F.col("is_big_chance") == 1, "big chance").otherwise("other"))
+    pts = EV.roc_points(s.withColumn("grp", F.explode(groups)), "is_goal", "xg", by=["grp"])
+    return normalise(pts.select("grp", "score", "tp", "fp", "tpr", "fpr"))
 
 
 @query("xg_threshold_sweep", with_ctes(FIXTURES_CTE, EVENTS_CTE) + _XG_CTE + """
@@ -337,17 +358,16 @@ runs AS (SELECT model_id AS run_name,
 ranked AS (SELECT *, 0.25 * cv_accuracy + 0.25 * cv_f1_weighted + 0.25 * test_accuracy + 0.25 * test_f1_weighted AS rank_score FROM runs)
 SELECT run_name, round(cv_accuracy, 6) AS cv_accuracy, round(cv_f1_weighted, 6) AS cv_f1_weighted, round(test_accuracy, 6) AS test_accuracy,
        round(test_f1_weighted, 6) AS test_f1_weighted, round(rank_score, 6) AS rank_score,
-       CAST(row_number() OVER (ORDER BY rank_score DESC, cv_accuracy DESC, cv_f1_weighted DESC, test_accuracy DESC, test_f1_weighted DESC, run_name) AS BIGINT) AS rank,
+       CAST(row_number() OVER (ORDER BY rank_score DESC, test_accuracy DESC, test_f1_weighted DESC, cv_accuracy DESC, cv_f1_weighted DESC, run_name) AS BIGINT) AS rank,
        CASE WHEN test_accuracy < 0.5 THEN 'delete' ELSE 'keep' END AS action
 FROM ranked
 """)
 def run_ranking(spark: SparkSession, sf_dir: str) -> DataFrame:
     """E11 + T5 + E14 + E2: run table (train = "cv", holdout = "test" metrics per member), weighted
     ranking score, 1-based rank, retention action at accuracy 0.5."""
-    _, preds, _, _, _ = _ensemble_parts(spark, sf_dir)
-    conf = EV.confusion(preds, "ftr", "label", by=["model_id", "is_train"])
-    met = EV.summary_metrics(conf, by=["model_id", "is_train"])
-    runs = met.groupBy(F.col("model_id").alias("run_name")).agg(
+    cells = _outcome_cells(_split_fixtures(spark, sf_dir)).filter(F.col("system") != "market")
+    met = EV.summary_metrics(cells, by=["system", "is_train"])
+    runs = met.groupBy(F.col("system").alias("run_name")).agg(
         F.max(F.when(F.col("is_train"), F.col("accuracy"))).alias("cv_accuracy"),
         F.max(F.when(F.col("is_train"), F.col("f1_weighted"))).alias("cv_f1_weighted"),
         F.max(F.when(~F.col("is_train"), F.col("accuracy"))).alias("test_accuracy"),
@@ -400,7 +420,10 @@ FROM n
 def scoring_cascade(spark: SparkSession, sf_dir: str) -> DataFrame:
     """E22-E26 + E35: per-row cascade ensemble -> model -> market -> league average for the holdout
     fixtures; probabilities clipped and renormalised."""
-    fxs, preds, _, _, vote = _ensemble_parts(spark, sf_dir)
+    fxs = _split_fixtures(spark, sf_dir)
+    held = fxs.filter(~F.col("is_train"))
+    vote = _vote(held, _members(_outcome_cells(fxs)), keep=())
+    preds = bindings.member_predictions(held)
     req = fxs.filter(~F.col("is_train")).select(F.col("id").alias("row_id"), "home_team", "away_team", "b365h", "b365d", "b365a")
     train_fx = fxs.filter("is_train")
     ens = vote.filter(F.pmod("row_id", F.lit(4)) != 0).select("row_id", "p_home", "p_draw", "p_away",
@@ -436,8 +459,7 @@ FROM r
 def goals_residual_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
     """E10 + A31 + A30: residuals of the ensemble goal estimate on the holdout: mean, RMSE, median."""
     from touchline.operators import profile as P
-    *_, vote = _ensemble_parts(spark, sf_dir)
-    res = EV.residuals(vote.filter(~F.col("is_train")), "total_goals", "predicted_total_goals")
+    res = EV.residuals(_holdout_vote(spark, sf_dir), "total_goals", "predicted_total_goals").checkpoint(eager=True)
     summary, _ = P.residual_summary(res, "actual", "predicted")
     med = P.mean_median(res, "residual").select("median")
     return normalise(summary.crossJoin(med))
@@ -452,8 +474,9 @@ FROM j ORDER BY kickoff DESC, id DESC LIMIT 12
 def featured_matches(spark: SparkSession, sf_dir: str) -> DataFrame:
     """J11 + T4: predictions joined to fixtures, confidence = largest probability, latest 12 by date
     (a top-12 report)."""
-    fxs, _, _, _, vote = _ensemble_parts(spark, sf_dir)
-    j = fxs.drop(*_CARRY).join(vote.withColumnRenamed("row_id", "id"), "id").withColumn("confidence", F.greatest("p_home", "p_draw", "p_away"))
+    fxs = _split_fixtures(spark, sf_dir)
+    vote = _vote(fxs, _members(_outcome_cells(fxs)), keep=("kickoff", "home_team", "away_team"))
+    j = vote.withColumnRenamed("row_id", "id").withColumn("confidence", F.greatest("p_home", "p_draw", "p_away"))
     return normalise(j.orderBy(F.col("kickoff").desc(), F.col("id").desc()).limit(12)
                       .select("id", "home_team", "away_team", "predicted_result", "confidence"))
 
@@ -468,7 +491,7 @@ UNION ALL SELECT name, round(score, 6), r, CAST(0 AS BIGINT) FROM s WHERE r IS N
 def member_discovery(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Candidates need an artifact (m3 has none here) and a minimum score; ordered by (has
     score, score, name) descending; top 2 selected; skip reasons recorded."""
-    _, _, _, members, _ = _ensemble_parts(spark, sf_dir)
+    members = _members(_outcome_cells(_split_fixtures(spark, sf_dir)))
     cands = members.select(F.col("model_id").alias("name"), "score", (F.col("model_id") != "m3").alias("has_artifact"))
     out = EN.discover(cands, top_k=2, min_score=0.3)
     return normalise(out.select("name", "score", "skip_reason", F.col("selected").cast("boolean").alias("selected")))
@@ -486,15 +509,15 @@ UNION ALL SELECT 'team_filter', CAST(count(*) AS BIGINT), round(avg(xg), 6) FROM
 def shot_view_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
     """P13 + P14 + A23: view-mode filters (goals, misses, xG >= 0.30, all) and a faceted team filter."""
     s = _xg_shots(spark, sf_dir)
-    modes = {"goals": F.col("is_goal") == 1, "misses": F.col("is_goal") == 0, "high_xg": F.col("xg") >= 0.30, "all": F.lit(True)}
     first_team = s.agg(F.min("team_name").alias("_t"))
-    out = None
-    for name, cond in modes.items():
-        r = s.filter(cond).agg(F.count(F.lit(1)).alias("shots"), F.avg("xg").alias("mean_xg")).select(F.lit(name).alias("mode"), "shots", "mean_xg")
-        out = r if out is None else out.unionByName(r)
-    facet = (s.crossJoin(F.broadcast(first_team)).filter((F.col("team_name") == F.col("_t")) & (F.col("is_goal") == 1))
-              .agg(F.count(F.lit(1)).alias("shots"), F.avg("xg").alias("mean_xg")).select(F.lit("team_filter").alias("mode"), "shots", "mean_xg"))
-    return normalise(out.unionByName(facet))
+    goal = F.col("is_goal") == 1
+    views = {"goals": goal, "misses": ~goal, "high_xg": F.col("xg") >= 0.30, "all": F.lit(True),
+             "team_filter": goal & (F.col("team_name") == F.col("_t"))}
+    per = [F.struct(F.lit(name).alias("mode"), F.count(F.when(cond, 1)).alias("shots"), F.avg(F.when(cond, F.col("xg"))).alias("mean_xg"))
+           for name, cond in views.items()]
+    # all views in one aggregate over the shots
+    one = s.crossJoin(F.broadcast(first_team)).agg(F.array(*per).alias("_v"))
+    return normalise(one.select(F.explode("_v").alias("_v")).select("_v.*"))
 
 
 @query("system_gaps", _ALL + _TEST_SYSTEMS + """
@@ -506,7 +529,7 @@ FROM m CROSS JOIN b
 """)
 def system_gaps(spark: SparkSession, sf_dir: str) -> DataFrame:
     """E9 + E21: each system's holdout accuracy and weighted F1 minus the market benchmark's."""
-    met = EV.summary_metrics(_systems_confusion(spark, sf_dir), by=["system"]).select("system", "accuracy", "f1_weighted")
+    met = EV.summary_metrics(_system_counts(spark, sf_dir), by=["system"]).select("system", "accuracy", "f1_weighted")
     return normalise(EV.compare(met, "system", ["accuracy", "f1_weighted"], "market"))
 
 
@@ -517,6 +540,25 @@ FROM weights
 """)
 def ensemble_info(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Members loaded, score range and mean, and the heaviest member."""
-    _, _, _, members, _ = _ensemble_parts(spark, sf_dir)
+    members = _members(_outcome_cells(_split_fixtures(spark, sf_dir)))
     info = EN.ensemble_info(members).withColumn("top_model", F.col("top_models")[0]).drop("top_models")
     return normalise(info.select("loaded", "min_score", "max_score", "avg_score", "top_model"))
+
+
+@query("zero_weight_vote", _ALL + """
+, zw AS (SELECT * FROM (VALUES ('m1', 0.0), ('m2', 0.0), ('m3', 0.0), ('m4', 0.7)) t(model_id, weight)),
+zp AS (SELECT q1.row_id, q1.goals, h / (h + d + a) AS qh, d / (h + d + a) AS qd, a / (h + d + a) AS qa, zw.weight
+       FROM q1 JOIN zw ON q1.model_id = zw.model_id WHERE h + d + a > 0 AND NOT (q1.model_id = 'm4' AND q1.row_id % 3 = 0)),
+zr AS (SELECT *, CASE WHEN sum(weight) OVER (PARTITION BY row_id) > 0 THEN weight ELSE 1.0 END AS w FROM zp),
+zs AS (SELECT row_id, sum(w * qh) / sum(w) AS ph, sum(w * qd) / sum(w) AS pd, sum(w * qa) / sum(w) AS pa,
+              sum(CASE WHEN goals IS NOT NULL THEN w * goals END) AS gs, sum(CASE WHEN goals IS NOT NULL THEN w END) AS gw, count(*) AS n FROM zr GROUP BY row_id)
+SELECT row_id, round(ph / (ph + pd + pa), 6) AS p_home, round(pd / (ph + pd + pa), 6) AS p_draw, round(pa / (ph + pd + pa), 6) AS p_away,
+       round(CASE WHEN gw > 0 THEN gs / gw END, 6) AS predicted_total_goals, CAST(n AS BIGINT) AS ensemble_size FROM zs
+""")
+def zero_weight_vote(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Members of weight zero; rows that only such members predicted fall back to equal weights."""
+    preds = bindings.member_predictions(bindings.fixtures(spark, sf_dir))
+    preds = preds.filter(~((F.col("model_id") == "m4") & (F.pmod("row_id", F.lit(3)) == 0)))
+    weights = spark.createDataFrame([("m1", 0.0), ("m2", 0.0), ("m3", 0.0), ("m4", 0.7)], "model_id string, weight double")
+    vote = EN.soft_vote(preds, weights)
+    return normalise(vote.select("row_id", "p_home", "p_draw", "p_away", "predicted_total_goals", "ensemble_size"))

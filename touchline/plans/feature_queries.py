@@ -62,9 +62,9 @@ FROM new n LEFT JOIN wd ON n.id = wd.id
 def future_fixture_features(spark: SparkSession, sf_dir: str) -> DataFrame:
     """J8 (fixed) + J13 + R4: the holdout fixtures scored as not yet played, from history only."""
     fx = bindings.fixtures(spark, sf_dir)
-    split = bindings.time_split(fx)
-    hist = fx.join(split.filter("is_train").select("id"), "id", "left_semi")
-    new = fx.join(split.filter(~F.col("is_train")).select("id"), "id", "left_semi").select("id", "kickoff", "home_team", "away_team")
+    both = bindings.with_time_split(fx)
+    hist = both.filter("is_train").drop("is_train")
+    new = both.filter(~F.col("is_train")).select("id", "kickoff", "home_team", "away_team")
     res = features.future_fixture_features(hist, new, 5)
     cols = ["goals_for", "goals_against", "points"]
     return normalise(res.select("id", *[f"{s}_{c}_last5" for c in cols for s in ("home", "away")], *[f"{c}_diff_last5" for c in cols]))
@@ -118,8 +118,7 @@ def composite_indices(spark: SparkSession, sf_dir: str) -> DataFrame:
     """X15 (fixed): five fixed-weight indices over z-scored stat differences, z parameters (mean,
     population std, zero std -> 1) fitted on the time-ordered training part only."""
     fx = bindings.fixtures(spark, sf_dir)
-    split = bindings.time_split(fx)
-    raw = _index_raw(fx).join(split.select("id", "is_train"), "id")
+    raw = _index_raw(bindings.with_time_split(fx))
     params = features.zscore_params(raw.filter("is_train"), _RAW)
     res = features.weighted_indices(raw, params, INDEX_WEIGHTS)
     return normalise(res.select("id", *INDEX_WEIGHTS))

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from touchline.ml import knn as K
 from touchline.ml import models as M
 from touchline.ml import search as S
-from touchline.ml.split import holdout_split
+from touchline.ml.split import holdout_flag, holdout_split
 from touchline.operators import aggregate as A
 from touchline.operators import evaluate as EV
 from touchline.operators import features
@@ -31,8 +31,7 @@ XG_FEATURES = ["distance_to_goal_m", "goal_frame_angle", "angle_degrees", "centr
 def match_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     fx = bindings.fixtures(spark, sf_dir)
     feats = features.fixture_features(fx, None, 5, ["goals_for", "goals_against", "points"])
-    split = holdout_split(feats.select("id", "kickoff"), ["kickoff", "id"])
-    data = feats.join(split.select("id", "row_idx", "is_train"), "id").withColumn("label", F.col("result_code").cast("double"))
+    data = holdout_split(feats, ["kickoff", "id"]).withColumn("label", F.col("result_code").cast("double"))
     # cut the window/join lineage once before the iterative fits (written to spark.checkpoint.dir)
     return data.fillna(0.0, subset=MATCH_FEATURES).checkpoint(eager=True)
 
@@ -43,8 +42,7 @@ def xg_logistic_model(spark: SparkSession, sf_dir: str) -> DataFrame:
     holdout; holdout accuracy, precision, recall, F1 and ROC AUC."""
     shots = enriched_shots(spark, sf_dir)
     shots = shots.withColumns({c: F.col(c).cast("double") for c in XG_FEATURES}).withColumn("label", F.col("is_goal").cast("double"))
-    split = holdout_split(shots.select("id", "kickoff", "match_id", "minute", "second"), ["kickoff", "match_id", "minute", "second", "id"])
-    data = M.class_weights(shots.join(split.select("id", "is_train"), "id"), "label").select(
+    data = M.class_weights(holdout_flag(shots, ["kickoff", "match_id", "minute", "second", "id"]), "label").select(
         "id", "label", "weight", "is_train", *XG_FEATURES).checkpoint(eager=True)
     model = M.build_pipeline(XG_FEATURES, M.estimator("logistic", "classifier", weight="weight")).fit(data.filter("is_train"))
     pred = model.transform(data.filter(~F.col("is_train")))
@@ -79,7 +77,7 @@ def match_model_comparison(spark: SparkSession, sf_dir: str) -> DataFrame:
         allp = allp.unionByName(p)
     lab = F.element_at(F.array(F.lit("H"), F.lit("D"), F.lit("A")), F.col("label").cast("int") + 1)
     pr = F.element_at(F.array(F.lit("H"), F.lit("D"), F.lit("A")), F.col("prediction").cast("int") + 1)
-    conf = EV.confusion(allp.withColumns({"l": lab, "p": pr}), "l", "p", by=["system"])
+    conf = EV.outcome_counts(allp.withColumns({"l": lab, "p": pr}), "l", "p", by=["system"])
     return normalise(EV.summary_metrics(conf, by=["system"]))
 
 
@@ -104,8 +102,7 @@ def embedding_knn(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Exact kNN classifier (k = 5, uniform and distance weights) on the embeddings; the last
     20% by vec_id are the queries; accuracy per weighting."""
     emb = table(spark, sf_dir, "embeddings")
-    split = holdout_split(emb.select("vec_id"), ["vec_id"])
-    emb = emb.join(split, "vec_id")
+    emb = holdout_flag(emb, ["vec_id"])
     ref, qry = emb.filter("is_train"), emb.filter(~F.col("is_train"))
     out = None
     for w in ("uniform", "distance"):
@@ -154,7 +151,7 @@ def two_stage_match_model(spark: SparkSession, sf_dir: str) -> DataFrame:
     pred = S.two_stage(data.filter("is_train"), data.filter(~F.col("is_train")), MATCH_FEATURES, "total_goals", "label")
     lab = F.element_at(F.array(F.lit("H"), F.lit("D"), F.lit("A")), F.col("label").cast("int") + 1)
     pr = F.element_at(F.array(F.lit("H"), F.lit("D"), F.lit("A")), F.col("prediction").cast("int") + 1)
-    conf = EV.confusion(pred.withColumns({"l": lab, "p": pr}), "l", "p")
+    conf = EV.outcome_counts(pred.withColumns({"l": lab, "p": pr}), "l", "p")
     return normalise(EV.summary_metrics(conf))
 
 

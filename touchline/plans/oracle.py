@@ -72,7 +72,7 @@ play_events AS (
          CASE WHEN et IN ('purchase', 'error') THEN 1 ELSE 0 END AS is_shot,
          CASE WHEN et = 'purchase' AND value >= 150.0 THEN 1 ELSE 0 END AS is_goal,
          k
-  FROM ev0 JOIN fixtures f ON ev0.user_id = f.id
+  FROM ev0 LEFT JOIN fixtures f ON ev0.user_id = f.id
 ),
 qual AS (
   SELECT event_id AS id, lower(concat_ws(' ',
