@@ -1,16 +1,17 @@
 """Byte-level BPE encoding and decoding over globally distinct words.
 
-1. Every text is split into pre-tokens. The rows of a task form blocks; a block row holds its documents as
-   arrays of word numbers in text order (the positions) and its distinct words, so that the explode yields
-   one row per (word, block) instead of one per occurrence.
-2. (word, block, number) rows are exploded and shuffled by word; each distinct word of the whole corpus is
-   encoded once, and its ids are joined back.
-3. The ids return to their blocks, and each block reassembles its documents by position. Decoding joins the
-   ids of a document with the table of token bytes, which is bounded by the vocabulary.
+1. Every text is split into pre-tokens. The rows of a task form blocks; a block holds its distinct words, and
+   its documents as word numbers in text order (the positions), so that the explode yields one row per
+   (word, block) instead of one per occurrence. Blocks are written once, as a table bucketed by block.
+2. (word, block, number) rows are shuffled by word and sorted; each distinct word of the whole corpus is
+   encoded once, and its ids go back to its blocks, packed per task and block.
+3. Each block meets its words' ids in a join whose block side needs no shuffle (it is bucketed), and
+   reassembles its documents by position. Decoding joins the ids of a document with the table of token bytes,
+   which is bounded by the vocabulary.
 
 A block holds at most ``block_chars`` characters of text (a longer single text is a block of its own), so no
-task holds more than a block. A word that occurs in every block (a hot key) gives one row per block; Spark
-may split it in the join.
+task holds more than a block. A word that occurs in every block (a hot key) gives one row per block, which
+its task streams.
 
 Defined results: null texts are empty, with no ids; repeated rows come back as often as they went in;
 an empty table gives an empty table; other columns are ignored. Lone surrogates cannot occur in Spark strings.
@@ -28,13 +29,16 @@ import pandas as pd
 import pyarrow as pa
 import regex
 import tiktoken
+import zstandard
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from touchline.llm.common import blank, materialise
+from touchline.llm.common import blank, bucketed
 
-BLOCK_CHARS = 24_000_000
+BLOCK_CHARS = 32_000_000
+#: (word, block) rows whose ids a task packs at a time.
+PACKED_ROWS = 1_000_000
 _encodings: dict[str, tiktoken.Encoding] = {}
 
 
@@ -46,56 +50,69 @@ def encoding(ranks_path: str, pattern: str) -> tiktoken.Encoding:
     return _encodings[ranks_path]
 
 
-class Splitter(dict):
-    """Pre-tokens of chunks of text as numbers within a block; ``words`` lists them.
+class Splitter:
+    """Pre-tokens of texts as numbers within a block; ``words`` lists them.
 
     A text may be cut before a single space: no match of the pattern crosses one, except that it begins
-    there. Texts with two spaces in a row are matched as a whole.
+    there. Texts with two spaces in a row are matched as a whole. A chunk that is a word already is its own
+    only match; the matches of other chunks are kept in ``several``.
     """
 
     def __init__(self, pattern: str):
-        super().__init__()
         self.find = regex.compile(pattern).findall
         self.words: dict[str, int] = {}
+        self.several: dict[str, tuple[int, ...]] = {}
 
-    def numbers(self, text: str) -> list[int]:
+    def numbers(self, text: str) -> tuple[int, ...]:
         words = self.words
-        return [words.setdefault(word, len(words)) for word in self.find(text)]
+        return tuple(words.setdefault(word, len(words)) for word in self.find(text))
 
-    def __missing__(self, chunk: str) -> list[int]:
-        found = self.numbers(chunk)
-        if len(chunk) < 100:
-            self[chunk] = found
-        return found
-
-    def split(self, text: str) -> array:
-        out = array("i")
+    def split(self, text: str, out: array) -> None:
         if "  " in text:
             out.extend(self.numbers(text))
-            return out
-        first, *rest = text.split(" ")
-        if first:
-            out.extend(self.numbers(first))
-        for chunk in rest:
-            out.extend(self[" " + chunk])
-        return out
+            return
+        known, several, append = self.words.get, self.several, out.append
+        lead = ""
+        for chunk in text.split(" "):
+            chunk = lead + chunk
+            lead = " "
+            number = known(chunk)
+            if number is not None:
+                append(number)
+            elif chunk in several:
+                out.extend(several[chunk])
+            else:
+                found = self.numbers(chunk)
+                out.extend(found)
+                if len(found) > 1 and len(chunk) < 100:
+                    several[chunk] = found
+
+
+def packed(numbers: np.ndarray) -> bytes:
+    """Non-negative 32-bit numbers, compressed byte by byte place."""
+    return zstandard.ZstdCompressor(level=3).compress(numbers.astype("<u4").view(np.uint8).reshape(-1, 4).T.tobytes())
+
+
+def unpacked(data: bytes) -> np.ndarray:
+    plain = np.frombuffer(zstandard.ZstdDecompressor().decompress(bytes(data)), dtype=np.uint8)
+    return np.ascontiguousarray(plain.reshape(4, -1).T).view("<u4").ravel()
 
 
-BLOCKS = "block long, words array<string>, rows array<struct<doc_id:long,at:binary>>"
+BLOCKS = "block long, words array<string>, doc_ids array<long>, lengths binary, numbers binary"
 
 
 def blocks(docs: DataFrame, pattern: str, block_chars: int = BLOCK_CHARS) -> DataFrame:
     """One row per block of (doc_id, text): its distinct words, and its documents as word numbers."""
-    kind = pa.struct([pa.field("doc_id", pa.int64()), pa.field("at", pa.binary())])
+    names = [c.split()[0] for c in BLOCKS.split(", ")]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         block = TaskContext.get().partitionId() << 32
-        splitter, ids, rows, held = Splitter(pattern), [], [], 0
+        splitter, ids, lengths, numbers, held = Splitter(pattern), [], [], array("i"), 0
 
         def out() -> pa.RecordBatch:
             return pa.RecordBatch.from_arrays([
-                pa.array([block], pa.int64()), pa.array([list(splitter.words)], pa.list_(pa.string())),
-                pa.array([[{"doc_id": d, "at": a} for d, a in zip(ids, rows)]], pa.list_(kind))], names=["block", "words", "rows"])
+                pa.array([block], pa.int64()), pa.array([list(splitter.words)], pa.list_(pa.string())), pa.array([ids], pa.list_(pa.int64())),
+                pa.array([packed(np.array(lengths))], pa.binary()), pa.array([packed(np.frombuffer(numbers, dtype=np.int32))], pa.binary())], names=names)
 
         for batch in batches:
             for doc_id, text in zip(batch.column(0), batch.column(1)):
@@ -103,9 +120,11 @@ def blocks(docs: DataFrame, pattern: str, block_chars: int = BLOCK_CHARS) -> Dat
                 if held and held + len(text) > block_chars:
                     yield out()
                     block += 1
-                    splitter, ids, rows, held = Splitter(pattern), [], [], 0
+                    splitter, ids, lengths, numbers, held = Splitter(pattern), [], [], array("i"), 0
                 ids.append(doc_id.as_py())
-                rows.append(splitter.split(text).tobytes())
+                before = len(numbers)
+                splitter.split(text, numbers)
+                lengths.append(len(numbers) - before)
                 held += len(text) + 1
         if ids:
             yield out()
@@ -114,44 +133,75 @@ def blocks(docs: DataFrame, pattern: str, block_chars: int = BLOCK_CHARS) -> Dat
 
 
 def encode_words(words: DataFrame, ranks_path: str, pattern: str) -> DataFrame:
-    """(word, ids) of distinct words; ids are little-endian 32-bit numbers in a binary."""
+    """(block, numbers, lengths, ids) from (word, block, number) rows: every task gets all rows of its words,
+    sorted, encodes each word once, and packs the ids by block."""
+    schema = "block long, numbers binary, lengths binary, ids binary"
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encode = encoding(ranks_path, pattern)._core_bpe.encode_single_piece  # a word is one match of the pattern
+        held: dict[int, tuple[array, array, array]] = {}
+        rows, last, ids = 0, None, []
+
+        def out() -> pa.RecordBatch:
+            columns: list[list] = [[], [], [], []]
+            for block, found in held.items():
+                for column, value in zip(columns, (block, *(packed(np.frombuffer(x, dtype=np.uint32)) for x in found))):
+                    column.append(value)
+            return pa.RecordBatch.from_arrays([pa.array(columns[0], pa.int64()), *(pa.array(c, pa.binary()) for c in columns[1:])],
+                                              names=["block", "numbers", "lengths", "ids"])
+
         for batch in batches:
-            ids = [np.array(encode(word), dtype="<u4").tobytes() for word in batch.column(0).cast(pa.binary()).to_pylist()]
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(ids, pa.binary())], names=["word", "ids"])
+            for word, block, number in zip(batch.column(0).cast(pa.binary()).to_pylist(), batch.column(1).to_pylist(), batch.column(2).to_pylist()):
+                if word != last:
+                    last, ids = word, encode(word)
+                if block not in held:
+                    held[block] = (array("I"), array("I"), array("I"))
+                numbers, lengths, flat = held[block]
+                numbers.append(number)
+                lengths.append(len(ids))
+                flat.extend(ids)
+            rows += batch.num_rows
+            if rows >= PACKED_ROWS:
+                yield out()
+                held, rows = {}, 0
+        if held:
+            yield out()
 
-    return words.mapInArrow(run, "word string, ids binary")
+    return words.select("word", "block", "number").repartition("word").sortWithinPartitions("word").mapInArrow(run, schema)
 
 
 def encoded(docs: DataFrame, ranks_path: str, pattern: str, block_chars: int = BLOCK_CHARS) -> tuple[DataFrame, DataFrame]:
-    """The blocks of ``docs``, and (block, number, ids) of each block's words."""
-    dealt = materialise(blocks(docs, pattern, block_chars), "blocks")
+    """The blocks of ``docs``, and the ids of each block's words."""
+    dealt = bucketed(blocks(docs, pattern, block_chars), "block", "blocks")
     words = dealt.select("block", F.posexplode("words").alias("number", "word"))
-    ids = encode_words(words.select("word").distinct(), ranks_path, pattern).withColumnRenamed("word", "_word")
-    return dealt, words.join(ids, F.col("word") == F.col("_word")).select("block", "number", "ids")
+    return dealt, encode_words(words, ranks_path, pattern)
 
 
 def reassemble(dealt: DataFrame, ids: DataFrame, finish, schema: str) -> DataFrame:
     """``finish(doc_id, ids)`` of every document, ids being its token ids in text order."""
-
-    def block(keys, words: pd.DataFrame, held: pd.DataFrame) -> pd.DataFrame:
-        words = words.sort_values("number")
-        lengths = words["ids"].str.len().to_numpy(dtype=np.int64) // 4
-        flat = np.frombuffer(b"".join(words["ids"]), dtype="<u4")
-        starts = np.cumsum(lengths) - lengths
+    names = [c.split()[0] for c in schema.split(", ")]
+
+    def block(words: pd.DataFrame, held: pd.DataFrame) -> pd.DataFrame:
+        parts = [[unpacked(x) for x in words[c]] for c in ("numbers", "lengths", "ids")]
+        numbers, lengths, flat = (np.concatenate(p) if p else np.empty(0, dtype=np.uint32) for p in parts)
+        size, start = np.zeros(len(numbers), dtype=np.int64), np.zeros(len(numbers), dtype=np.int64)
+        size[numbers] = lengths
+        start[numbers] = np.cumsum(lengths, dtype=np.int64) - lengths
         out = []
-        for rows in held["rows"]:
-            for row in rows:
-                at = np.frombuffer(row["at"] or b"", dtype=np.int32)
-                n = lengths[at]
+        for doc_ids, rows, at in zip(held["doc_ids"], held["lengths"], held["numbers"]):
+            at, begin = unpacked(at), 0
+            for doc_id, count in zip(doc_ids, unpacked(rows).tolist()):
+                own = at[begin:begin + count]
+                begin += count
+                n = size[own]
                 ends = np.cumsum(n)
-                within = np.arange(ends[-1] if len(ends) else 0) - np.repeat(ends - n, n)
-                out.append(finish(row["doc_id"], flat[np.repeat(starts[at], n) + within]))
-        return pd.DataFrame(out, columns=[c.split()[0] for c in schema.split(", ")])
+                within = np.arange(ends[-1] if count else 0) - np.repeat(ends - n, n)
+                out.append(finish(None if pd.isna(doc_id) else int(doc_id), flat[np.repeat(start[own], n) + within]))
+        frame = pd.DataFrame(out, columns=names)
+        return frame.astype({"doc_id": "Int64"})
 
-    return ids.groupBy("block").cogroup(dealt.select(F.col("block").alias("held_block"), "rows").groupBy("held_block")).applyInPandas(block, schema)
+    held = dealt.select(F.col("block").alias("held_block"), "doc_ids", "lengths", "numbers")
+    return ids.groupBy("block").cogroup(held.groupBy("held_block")).applyInPandas(block, schema)
 
 
 def token_bytes(ranks_path: str, pattern: str) -> list[bytes]:

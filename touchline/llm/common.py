@@ -26,6 +26,16 @@ def materialise(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def bucketed(df: DataFrame, key: str, name: str) -> DataFrame:
+    """``materialise`` as a table bucketed by ``key``, so that a later join or cogroup on it shuffles only
+    the other side."""
+    spark = df.sparkSession
+    own = f"{name}_{uuid.uuid4().hex}"
+    (df.write.bucketBy(int(spark.conf.get("spark.sql.shuffle.partitions")), key).option("compression", "zstd")
+       .option("path", f"{shared_folder(spark)}/{own}").saveAsTable(own))
+    return spark.table(own)
+
+
 def fresh(df: DataFrame, *names: str) -> list[str]:
     """Column names based on ``names`` that clash with no column of ``df`` (Spark ignores case)."""
     used = {c.lower() for c in df.columns}
