@@ -58,7 +58,7 @@ def test_qualifier_text_and_tokens(spark):
     toks = sorted(df.select(text.token_set(F.lit(t + " bigchance ab relatedeventid x_1y")).alias("s")).first().s)
     assert toks == ["bigchance", "x_1y"]
     parsed = spark.createDataFrame([("[{'type': {'displayName': 'Head'}, 'value': null}]",)], "s string").select(
-        text.qualifier_names(text.parse_qualifiers("s")).alias("n")).first().n
+        text.qualifier_names(text.qualifier_items("s")).alias("n")).first().n
     assert parsed == ["Head"]
 
 

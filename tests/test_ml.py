@@ -92,3 +92,21 @@ def test_out_of_fold_stage1_and_multi_target(spark):
     runs = S.multi_target_fits(df.filter("row_idx < 100"), df.filter("row_idx >= 100"), ["a", "b"], ["y", "z"], [("linear", {})])
     r = {x.target: x.test_r2 for x in runs.collect()}
     assert set(r) == {"y", "z"} and r["y"] > 0.99   # y is linear in the features
+
+
+def test_knn_of_exact_copies_has_zero_distance(spark):
+    rng = np.random.default_rng(0)
+    base = rng.normal(size=(50, 8)).round(3) + 1000.0
+    ref = [(i, [float(x) for x in base[i % 50]], float(i % 2)) for i in range(200)]
+    df = spark.createDataFrame(ref, "id long, vec array<double>, label double")
+    for metric in ("l2", "l1"):
+        nb = K.knn_neighbours(df, df, "id", "vec", "label", 4, metric, block_rows=33).toPandas()
+        assert (nb.dist == 0).all()
+        assert nb.sort_values(["qid", "rank"]).rid.tolist() == [q % 50 + 50 * j for q in range(200) for j in range(4)]
+
+
+def test_smote_ids_are_distinct_and_single_rows_are_copied(spark):
+    rows = [(i, [float(i), 1.0], 0.0) for i in range(3000)] + [(5000, [7.0, 7.0], 1.0), (5001, [1.0, 2.0], 2.0), (5002, [2.0, 2.0], 2.0)]
+    out = K.smote(spark.createDataFrame(rows, "id long, v array<double>, y double"), "id", "v", "y").toPandas()
+    assert out.id.is_unique and out.groupby("y").size().tolist() == [3000, 3000, 3000]
+    assert set(map(tuple, out[out.y == 1.0].v)) == {(7.0, 7.0)}

@@ -100,3 +100,25 @@ def test_new_ids_and_payload(spark):
     doc = EN.payload({"grid": spark.createDataFrame([("H", 1)], "k string, n long"), "top": spark.range(3)})
     row = doc.first()
     assert len(row.grid) == 1 and len(row.top) == 3
+
+
+def test_metrics_count_rows_outside_the_list_as_wrong(spark):
+    from touchline.operators import evaluate as EV
+    df = spark.createDataFrame([("H", "H"), ("D", "X"), ("A", None)], "l string, p string")
+    m = EV.summary_metrics(EV.outcome_counts(df, "l", "p")).first()
+    assert m.n == 3 and abs(m.accuracy - 1 / 3) < 1e-12
+    assert EV.confusion(df, "l", "p").agg(F.sum("count")).first()[0] == 1 and EV.confusion(df, "l", "p").count() == 9
+
+
+def test_auc_by_ranks_equals_the_curve(spark):
+    from touchline.operators import evaluate as EV
+    rows = [(i % 3, (i * 7 % 11) / 11, int(i * 5 % 13 < 5 + i % 3)) for i in range(300)]
+    df = spark.createDataFrame(rows, "g int, s double, y int")
+    got = {r.g: r.auc for r in EV.auc(df, "y", "s", by=["g"]).collect()}
+    for g in range(3):
+        pos, neg = ([s for a, s, y in rows if a == g and y == k] for k in (1, 0))
+        want = sum((p > n) + 0.5 * (p == n) for p in pos for n in neg) / (len(pos) * len(neg))
+        assert abs(got[g] - want) < 1e-12
+    assert EV.auc(df.filter("y = 1"), "y", "s").first().auc is None
+    last = EV.roc_points(df, "y", "s", by=["g"]).groupBy("g").agg(F.max("tpr").alias("t"), F.max("fpr").alias("f")).collect()
+    assert all(r.t == 1.0 and r.f == 1.0 for r in last)

@@ -68,3 +68,39 @@ def test_payload_has_no_row_limit(spark):
     from touchline.operators import ensemble as EN
     doc = EN.payload({"big": spark.range(3000), "small": spark.range(2)}).first()
     assert len(doc.big) == 3000 and len(doc.small) == 2
+
+
+def test_uri_paths_and_missing_tables(spark):
+    d = tempfile.mkdtemp(prefix="tl-uri-", dir="/tmp")
+    spark.range(25).write.parquet(os.path.join(d, "t"))
+    schema = spark.range(1).schema
+    for path in (os.path.join(d, "t"), f"file://{d}/t"):
+        assert IO.read_or_empty(spark, path, schema).count() == 25
+    assert IO.read_or_empty(spark, f"file://{d}/none", schema).count() == 0
+    assert IO.first_existing(spark, [f"file://{d}/none", f"file://{d}/t"]).endswith("/t")
+    assert IO.column_cascade(spark, f"{d}/none", spark.range(3), schema).count() == 3
+    assert IO.column_cascade(spark, f"{d}/none", None, schema).count() == 0
+
+
+def test_csv_line_breaks_and_malformed_lines(spark):
+    from pyspark.sql import types as T
+    d = tempfile.mkdtemp(prefix="tl-csv-", dir="/tmp")
+    with open(os.path.join(d, "a.csv"), "w") as f:
+        f.write('Name , B\n"one\ntwo",1\nthree,4,5,6\nfour,x\n')
+    schema = T.StructType([T.StructField("b", T.IntegerType()), T.StructField("name", T.StringType()), T.StructField("c", T.StringType())])
+    rows = IO.read_csv(spark, d, schema, corrupt_col="_bad").collect()
+    assert [(r.name, r.b, r.c) for r in rows if r._bad is None] == [("one\ntwo", 1, None), ("four", None, None)]
+    assert [r._bad for r in rows if r._bad] == ["three,4,5,6"]
+
+
+def test_stream_maps_headers_by_name(spark):
+    d = tempfile.mkdtemp(prefix="tl-stream-", dir="/tmp")
+    up, out, ck = (os.path.join(d, x) for x in ("up", "out", "ck"))
+    os.makedirs(up)
+    for name, text in (("a.csv", "y,x,is_penalty,note\n50,95,1,first\n"), ("b.csv", "x,y\n95,50\n")):
+        with open(os.path.join(up, name), "w") as f:
+            f.write(text)
+    stream_xg_scoring(spark, up, out, ck).awaitTermination(120)
+    rows = {r.note: r for r in spark.read.parquet(out).collect()}
+    assert rows["first"].x == "95" and rows["first"].is_penalty == "1" and rows[None].is_penalty is None
+    assert rows["first"].xg_prediction > rows[None].xg_prediction

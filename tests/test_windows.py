@@ -104,3 +104,22 @@ def test_hot_key_rows_matches_groupby_for_every_key_set(spark):
     for ks in sets:
         exp = sum(r["n"] for r in df.groupBy(*ks).agg(F.count(F.lit(1)).alias("n")).collect() if r["n"] > limit)
         assert got[ks] == exp and exp > 0, ks
+
+
+def test_stacked_hot_windows_stay_linear_in_scans(spark):
+    df = spark.range(0, 400).select(F.col("id"), F.lit(1).alias("k"), F.col("id").alias("v"))
+    sizes = []
+    for n in range(4):
+        df = windows.ordinal(df, "k", ["id"], f"o{n}", rows_per_segment=50)
+        plan = df._jdf.queryExecution().optimizedPlan().toString()
+        sizes.append(plan.count("LogicalRDD"))
+    assert sizes[3] <= sizes[0] + 2
+    assert df.filter("o0 <> o3 OR o0 <> id + 1").count() == 0
+
+
+def test_running_totals_keep_the_source_type(spark):
+    big = 1 << 53
+    df = spark.range(0, 40).select(F.col("id"), F.lit(1).alias("k"), F.lit(big + 1).alias("v"))
+    plain = windows.running_before(df, "k", ["id"], ["v"], skew="off").orderBy("id").collect()
+    split = windows.running_before(df, "k", ["id"], ["v"], rows_per_segment=7).orderBy("id").collect()
+    assert [r.v_before for r in plain] == [r.v_before for r in split] == [i * (big + 1) for i in range(40)]

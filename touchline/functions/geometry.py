@@ -143,7 +143,7 @@ def linspace_bin(value: str | Column, hi: str | Column, k: int) -> Column:
     """A10: bin over ``linspace(0, max, k)`` edges (k-1 right-closed bins, first edge inclusive)."""
     v, hi_c = _c(value), _c(hi)
     n = k - 1
-    idx = F.ceil(v / (hi_c / n)).cast("int")
+    idx = F.ceil(F.coalesce(F.try_divide(v, hi_c / n), F.lit(1.0))).cast("int")  # a zero maximum has one bin
     return F.when(v.isNull() | (v < 0) | (v > hi_c), F.lit(None).cast("int")).otherwise(
         F.greatest(F.lit(1), F.least(F.lit(n), idx)))
 

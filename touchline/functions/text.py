@@ -62,15 +62,6 @@ def qualifiers_to_text(q: str | Column) -> Column:
     return F.coalesce(F.lower(F.array_join(F.flatten(parts), " ")), F.lit(""))
 
 
-def parse_qualifiers(text: str | Column) -> Column:
-    """JSON text to the qualifier array; a second try after turning single quotes into double
-    quotes (Python-literal style); null when both fail."""
-    t = _c(text)
-    first = F.from_json(t, QUALIFIERS, {"mode": "PERMISSIVE"})
-    second = F.from_json(F.regexp_replace(t, "'", '"'), QUALIFIERS, {"mode": "PERMISSIVE"})
-    return F.coalesce(first, second)
-
-
 def qualifier_names(q: str | Column) -> Column:
     """display names as an array, nulls removed."""
     return F.filter(F.transform(_c(q), lambda x: x["type"]["displayName"]), lambda n: n.isNotNull())
@@ -128,16 +119,15 @@ def date_text(ts: str | Column) -> Column:
     return F.date_format(_c(ts), "yyyy-MM-dd")
 
 
-def null_array(t: T.DataType = T.StringType()) -> Column:
-    return F.lit(None).cast(T.ArrayType(t))
-
-
 def _literal_to_json(t: Column) -> Column:
-    """Python-literal text to JSON text: single quotes and None/True/False."""
-    s = F.regexp_replace(t, "'", '"')
-    s = F.regexp_replace(s, r"\bNone\b", "null")
-    s = F.regexp_replace(s, r"\bTrue\b", "true")
-    return F.regexp_replace(s, r"\bFalse\b", "false")
+    """Python-literal text to JSON text. A single quote is a string delimiter only next to a bracket, colon
+    or comma (with spaces), so an apostrophe inside a name stays; None/True/False count only outside
+    strings, next to the same marks. Strings in double quotes keep their apostrophes."""
+    s = F.regexp_replace(t, r"(^|[\[{(:,]\s*)'", r'$1"')
+    s = F.regexp_replace(s, r"'(\s*(?:[\]}):,]|$))", r'"$1')
+    for literal, json in (("None", "null"), ("True", "true"), ("False", "false")):
+        s = F.regexp_replace(s, rf"([\[:,]\s*){literal}(\s*[\]}},])", rf"$1{json}$2")
+    return s
 
 
 def qualifier_items(text: str | Column) -> Column:

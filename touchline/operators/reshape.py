@@ -111,8 +111,3 @@ def assign_new_ids(existing: DataFrame, new_rows: DataFrame, id_col: str, order:
     return (indexed.crossJoin(F.broadcast(top))  # one-row aggregate: bounded
                    .withColumn(out or id_col, F.col("_tl_max") + 1 + F.col("_tl_pos"))
                    .drop("_tl_max", "_tl_pos"))
-
-
-def unpivot(df: DataFrame, ids: Sequence[str], columns: Sequence[str], var: str = "variable", val: str = "value") -> DataFrame:
-    """Wide to long for report tables."""
-    return df.unpivot(list(ids), [F.col(c).cast(T.DoubleType()).alias(c) for c in columns], var, val)

@@ -75,12 +75,12 @@ def cluster_conf(input_bytes: int, total_cores: int, partition_bytes: int = 256
 
     * file splits and post-shuffle partitions aim at ``partition_bytes`` (AQE coalesces small ones and
       splits skewed join partitions above 2x that size);
-    * the shuffle partition count starts at input / partition size (at least 2 per core, at most
-      200,000) so the widest stage never holds more than one split per task;
+    * the shuffle partition count starts at input / partition size (at least 2 per core) so the widest
+      stage never holds more than one split per task;
     * broadcast joins are left to AQE's runtime sizes, capped at 64 MB;
     * ``touchline.skew.rowsPerTask`` is the entity size above which windows split a key.
     """
-    parts = max(2 * total_cores, min(200_000, -(-input_bytes // partition_bytes)))
+    parts = max(2 * total_cores, -(-input_bytes // partition_bytes))
     return {
         "spark.sql.shuffle.partitions": str(parts),
         "spark.sql.files.maxPartitionBytes": str(partition_bytes),

@@ -7,10 +7,11 @@ back from the written files.
 
 from __future__ import annotations
 
-import os
+import warnings
 from collections.abc import Sequence
 from datetime import datetime, timezone
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -18,16 +19,23 @@ from pyspark.sql import types as T
 from touchline.schemas import RUN, SchemaError
 
 
-def read_csv(spark: SparkSession, path: str, schema: T.StructType, encoding: str = "UTF-8",
-             corrupt_col: str | None = None) -> DataFrame:
+def read_csv(spark: SparkSession, path: str | Sequence[str], schema: T.StructType, encoding: str = "UTF-8",
+             corrupt_col: str | None = None, keep_extra: bool = False) -> DataFrame:
     """Header CSV mapped onto ``schema`` by column *name* (headers trimmed and lower-cased),
     not by position: columns are read as text, each schema field is cast leniently (bad text ->
-    null, P4), schema fields absent from the file are null, extra file columns are dropped.
-    ``corrupt_col`` keeps malformed lines in that column (PERMISSIVE) instead of failing (S5)."""
-    reader = spark.read.option("header", True).option("encoding", encoding).option("mode", "PERMISSIVE")
+    null, P4), schema fields absent from the file are null, extra file columns are dropped unless
+    ``keep_extra``. Quoted line breaks stay inside their field. All files of one call have the same header;
+    a file whose header differs raises instead of being read by position. ``corrupt_col`` keeps malformed
+    lines (too few or too many fields) whole in that column (S5)."""
+    paths = [path] if isinstance(path, str) else list(path)
+    options = {"header": True, "encoding": encoding, "mode": "PERMISSIVE", "multiLine": True}
+    header = spark.read.options(**options).csv(paths).columns  # reads the first record only
+    text = T.StructType([T.StructField(c, T.StringType()) for c in header])
+    reader = spark.read.options(**options).option("enforceSchema", False)
     if corrupt_col:
+        text = T.StructType(text.fields + [T.StructField(corrupt_col, T.StringType())])
         reader = reader.option("columnNameOfCorruptRecord", corrupt_col)
-    raw = normalise_headers(reader.csv(path))   # no inferSchema: every column is a string, no extra pass
+    raw = normalise_headers(reader.schema(text).csv(paths))
     cols = []
     for f in schema.fields:
         if f.name in raw.columns:
@@ -35,43 +43,71 @@ def read_csv(spark: SparkSession, path: str, schema: T.StructType, encoding: str
             cols.append((c if isinstance(f.dataType, T.StringType) else F.trim(c).try_cast(f.dataType)).alias(f.name))
         else:
             cols.append(F.lit(None).cast(f.dataType).alias(f.name))
-    if corrupt_col and corrupt_col in raw.columns:
-        cols.append(F.col(corrupt_col))
+    known = {f.name for f in schema.fields}
+    if keep_extra:
+        cols += [F.col(f"`{c}`") for c in raw.columns if c not in known and c != (corrupt_col or "").lower()]
+    if corrupt_col:
+        cols.append(F.col(f"`{corrupt_col.strip().lower()}`").alias(corrupt_col))
     return raw.select(*cols)
 
 
-def read_json_records(spark: SparkSession, path: str, schema: T.StructType, root_key: str | None = None) -> DataFrame:
+def read_json_records(spark: SparkSession, path: str, schema: T.StructType, root_key: str = "data") -> DataFrame:
     """Multi-line JSON that is either a bare list of records or an object wrapping the list under
-    ``root_key``."""
-    if root_key is None:
-        return spark.read.schema(schema).option("multiLine", True).json(path)
-    wrapped = T.StructType([T.StructField(root_key, T.ArrayType(schema), True)])
-    return spark.read.schema(wrapped).option("multiLine", True).json(path).select(F.explode(root_key).alias("_r")).select("_r.*")
+    ``root_key``; which of the two a file is shows in the file itself."""
+    both = T.StructType([*schema.fields, *([] if root_key in schema.fieldNames() else [T.StructField(root_key, T.ArrayType(schema))])])
+    raw = spark.read.schema(both).option("multiLine", True).json(path)
+    if root_key in schema.fieldNames():
+        return raw
+    own = F.array(F.struct(*[F.col(f"`{c}`") for c in schema.fieldNames()]))
+    return raw.select(F.explode(F.coalesce(F.col(f"`{root_key}`"), own)).alias("_r")).select("_r.*")
+
+
+def exists(spark: SparkSession, path: str) -> bool:
+    """Whether any Hadoop-readable location (local path or URI) exists; Spark's own path check decides."""
+    try:
+        spark.read.format("binaryFile").load(path)
+    except AnalysisException as exc:
+        if exc.getCondition() == "PATH_NOT_FOUND":
+            return False
+        raise
+    return True
 
 
-def first_existing(paths: Sequence[str]) -> str:
-    """The first location that exists (local paths; for object stores pass the resolved path)."""
+def first_existing(spark: SparkSession, paths: Sequence[str]) -> str:
+    """The first location that exists."""
     for p in paths:
-        if p and os.path.exists(p):
+        if p and exists(spark, p):
             return p
     raise FileNotFoundError(f"none of the candidate paths exist: {list(paths)}")
 
 
+def read_with_raw_copy(spark: SparkSession, paths: Sequence[str], schema: T.StructType, raw_path: str) -> DataFrame:
+    """The first existing CSV location, copied to the raw layer as Parquet and read from there."""
+    read_csv(spark, first_existing(spark, paths), schema).write.mode("overwrite").parquet(raw_path)
+    return spark.read.schema(schema).parquet(raw_path)
+
+
+def column_cascade(spark: SparkSession, cached_path: str, inline: DataFrame | None, schema: T.StructType) -> DataFrame:
+    """An auxiliary table from its cached file, else from the columns of ``inline``, else empty."""
+    if exists(spark, cached_path):
+        return spark.read.schema(schema).parquet(cached_path)
+    if inline is not None and set(schema.fieldNames()) <= set(inline.columns):
+        return inline.select(*[F.col(f.name).cast(f.dataType) for f in schema.fields])
+    return spark.createDataFrame([], schema)
+
+
 def normalise_headers(df: DataFrame) -> DataFrame:
     """Lower-cased, trimmed column names."""
     return df.toDF(*[c.strip().lower() for c in df.columns])
 
 
 def read_or_empty(spark: SparkSession, path: str, schema: T.StructType, fmt: str = "parquet") -> DataFrame:
-    """A missing or unreadable table becomes an empty table of the schema (with a warning)."""
-    try:
-        if not os.path.exists(path):
-            raise FileNotFoundError(path)
+    """A table that does not exist becomes an empty table of the schema, with a warning. Any other
+    failure is raised."""
+    if exists(spark, path):
         return spark.read.schema(schema).format(fmt).option("header", True).load(path)
-    except Exception as exc:  # noqa: BLE001 - tolerant by design
-        import warnings
-        warnings.warn(f"table at {path} unavailable ({exc}); using an empty table")
-        return spark.createDataFrame([], schema)
+    warnings.warn(f"table at {path} not found; using an empty table")
+    return spark.createDataFrame([], schema)
 
 
 def require_non_empty(df: DataFrame, what: str = "input") -> DataFrame:
@@ -94,6 +130,11 @@ def labelled_rows(df: DataFrame, label: str = "ftr") -> DataFrame:
     return df.filter(F.col(label).isin("H", "D", "A"))
 
 
+def read_labelled(spark: SparkSession, paths: Sequence[str], schema: T.StructType, label: str = "ftr") -> DataFrame:
+    """The labelled rows of the first location that exists."""
+    return labelled_rows(read_csv(spark, first_existing(spark, paths), schema), label)
+
+
 def write_table(df: DataFrame, path: str, fmt: str = "parquet", partition_by: Sequence[str] = (), mode: str = "overwrite") -> int:
     """Write an artifact and return its row count, read back from the written files
     (Parquet answers from footer metadata). ``Observation`` metrics are not used: in this Spark
