@@ -107,3 +107,52 @@ def test_complete_features_uses_frame_or_rebuilds(spark):
     assert done.columns == frame.columns
     rebuilt = features.complete_features(frame, ["home_goals_for_last5"], hist).first()
     assert rebuilt.home_goals_for_last5 == 2.0 and rebuilt.away_goals_against_last5 == 2.0
+
+
+def test_complete_features_names_what_it_cannot_build(spark):
+    import pytest
+    from touchline.schemas import SchemaError
+    hist = spark.createDataFrame([(1, "A", "B", 2, 0, "H")], "id long, home_team string, away_team string, fthg long, ftag long, ftr string"
+                                 ).withColumn("kickoff", F.lit("2024-01-01").cast("timestamp"))
+    frame = spark.createDataFrame([(5, "A", "B")], "id long, home_team string, away_team string").withColumn("kickoff", F.lit("2024-02-01").cast("timestamp"))
+    with pytest.raises(SchemaError, match="ref_avg_goals_last10"):
+        features.complete_features(frame, ["home_goals_for_last5", "ref_avg_goals_last10"], hist)
+
+
+def test_presets_and_modes(spark):
+    df = spark.range(1).select("id", F.lit(1.0).alias("b365h"), F.lit(1.0).alias("points_diff_last5"), F.lit(1.0).alias("ref_avg_goals_last10"),
+                               F.lit(1.0).alias("threat_index"), F.lit(1.0).alias("approx_hs"), F.lit(1).alias("fthg"))
+    assert features.resolve_features(df, "goals_compact", "regression") == ["b365h", "points_diff_last5"]
+    assert features.resolve_features(df, "winner_default") == ["b365h", "points_diff_last5"]
+    assert features.resolve_features(df, "candidate_indices") == ["threat_index"]
+    assert features.mode_features(df, "winner_default", "classification", "normal", ["approx_hs"]) == ["b365h", "points_diff_last5", "approx_hs"]
+    assert "threat_index" not in features.mode_features(df, "winner_default", "classification", "extra")
+    assert len(features.GOALS_PRESETS["goals_default"]) == 37 and len(features.WINNER_PRESETS["winner_default"]) == 15
+
+
+def test_xg_batch_rules(spark):
+    import pytest
+    from touchline.operators import scoring as SC
+    from touchline.schemas import SchemaError
+    rows = [("90", "50", "1", None), ("101", "50", "0", None), ("90", "50", "2", None), ("abc", "50", "0", None), ("90", "50", "0", "30"), ("90", "50", None, "-1")]
+    out = SC.score_xg_batch(spark.createDataFrame(rows, "x string, y string, is_penalty string, shot_distance string")).collect()
+    assert [r.source for r in out] == ["heuristic_fallback", "fallback", "fallback", "fallback", "heuristic_fallback", "fallback"]
+    assert out[4].xg_prediction < out[0].xg_prediction and out[1].xg_prediction == 0.0
+    with pytest.raises(SchemaError):
+        SC.score_xg_batch(spark.createDataFrame([(None, "50")], "x string, y string"))
+
+
+def test_market_prefers_supplied_probabilities_and_own_goals(spark):
+    from touchline.operators import scoring as SC
+    df = spark.createDataFrame([(0.2, 0.2, 0.4, 3.5)], "b365_home_prob_norm double, b365_draw_prob_norm double, b365_away_prob_norm double, total_goals double")
+    m = SC.market_probabilities(df).first()
+    assert abs(m.mk_away - 0.5) < 1e-12 and m.mk_goals == 3.5
+
+
+def test_stored_predictions_by_pair_last_duplicate_wins(spark):
+    from touchline.operators import scoring as SC
+    stored = spark.createDataFrame([("F.C. A", "B", 50.0, 30.0, 20.0, 2.0, 1), ("fc a", " b ", 10.0, 20.0, 70.0, None, 2)],
+                                   "home string, away string, prob_home double, prob_draw double, prob_away double, est_goals double, position int")
+    asked = spark.createDataFrame([(1, "FC A", "B"), (2, "B", "FC A")], "row_id long, home_team string, away_team string")
+    out = SC.stored_predictions(asked, stored).collect()
+    assert len(out) == 1 and out[0].row_id == 1 and abs(out[0].p_away - 0.7) < 1e-12 and out[0].goals == 2.7

@@ -89,14 +89,22 @@ def team_history(fixtures: DataFrame, event_stats: DataFrame | None = None, wind
                             hot_rows=hot_rows).withColumnRenamed("id", "match_id")
 
 
-def referee_history(fixtures: DataFrame, window: int = 10, hot_rows: int | None = None) -> DataFrame:
-    """Referee trailing means; rows with a null referee get null."""
-    frame = fixtures.withColumns({
+REFEREE_SOURCES = ("referee", "hy", "ay", "hf", "af", "total_goals", "home_win")
+
+
+def referee_totals(fixtures: DataFrame) -> DataFrame:
+    """The per-fixture values that the referee history averages."""
+    return fixtures.withColumns({
         "total_yellows": F.col("hy").cast("double") + F.col("ay").cast("double"),
         "total_fouls": F.col("hf").cast("double") + F.col("af").cast("double"),
         "total_goals": F.col("total_goals").cast("double"),
         "home_win": F.col("home_win").cast("double"),
     })
+
+
+def referee_history(fixtures: DataFrame, window: int = 10, hot_rows: int | None = None) -> DataFrame:
+    """Referee trailing means; rows with a null referee get null."""
+    frame = referee_totals(fixtures)
     out = windows.trailing_guarded(frame, "referee", ORDER, list(REFEREE_TARGETS), window, out="_tl_ref_{c}", hot_rows=hot_rows)
     return out.withColumns({tgt: F.col(f"_tl_ref_{src}") for src, tgt in REFEREE_TARGETS.items()}).drop(
         *[f"_tl_ref_{s}" for s in REFEREE_TARGETS])
@@ -176,42 +184,57 @@ def notebook_form_features(fixtures: DataFrame, window: int = 5) -> DataFrame:
     return res.withColumns({f"{o}_diff": F.col(f"home_{o}") - F.col(f"away_{o}") for o in outs})
 
 
-def future_fixture_features(history: DataFrame, new_rows: DataFrame, window: int = 5) -> DataFrame:
-    """J8 (fixed form): team-form features for fixtures that have not been played.
-
-    History is pruned to the teams in the request by a semi join (J13), so the work grows with the
-    teams asked about. Each history row carries the mean of its team's last ``window`` history rows
-    (itself included); a new row takes, as of its kickoff, the value of the latest earlier history row
-    of its team (``last(..., ignorenulls)`` over the union, R4). New rows therefore never see each
-    other, which fixes the reference's leak of placeholder scores between two future fixtures of one
-    team, and they do not use up window slots.
-    """
-    teams = (new_rows.select(F.col("home_team").alias("team"))
-             .union(new_rows.select(F.col("away_team").alias("team"))).distinct())
-    cols = ["goals_for", "goals_against", "points"]
-    hist_long = team_long(history).join(teams, "team", "left_semi").withColumnRenamed("match_id", "id")
-    hist_long = hist_long.withColumns({c: F.col(c).cast("double") for c in cols})
+def _as_of_means(history: DataFrame, new: DataFrame, key: str, columns: Sequence[str], window: int, out: str) -> DataFrame:
+    """Rows of ``new`` (id, kickoff, ``key``, ...) with the mean of each column over the key's last ``window``
+    earlier rows of ``history``: every history row carries its inclusive mean, and a new row takes the value of
+    the latest earlier one. New rows never see each other and use up no window slots."""
+    history = history.withColumns({c: F.col(c).cast("double") for c in columns})
 
     def inclusive(w):
         frame = w.rowsBetween(-(window - 1), 0)
-        return {f"_inc_{c}": F.avg(c).over(frame) for c in cols}
-    hist_long = windows.apply_window(hist_long, "team", ORDER, windows.WindowJob(inclusive, lookback=window - 1))
-    hist_long = hist_long.select("id", "kickoff", "team", "is_home", *[f"_inc_{c}" for c in cols], F.lit(0).alias("is_new"))
-    new = new_rows.withColumns({"ftr": F.lit(None).cast("string"), "fthg": F.lit(None).cast("long"), "ftag": F.lit(None).cast("long")})
-    new_long = team_long(new).withColumnRenamed("match_id", "id").select(
-        "id", "kickoff", "team", "is_home", *[F.lit(None).cast("double").alias(f"_inc_{c}") for c in cols], F.lit(1).alias("is_new"))
-    both = hist_long.unionByName(new_long)
+        return {f"_inc_{c}": F.avg(c).over(frame) for c in columns}
+    rolled = windows.apply_window(history.select("id", "kickoff", key, *columns), key, ORDER, windows.WindowJob(inclusive, lookback=window - 1))
+    # a mean over rows without a value is null and still the latest: a flag tells rows from absent rows
+    past = rolled.select("id", "kickoff", key, *[F.struct(F.col(f"_inc_{c}").alias("v")).alias(f"_inc_{c}") for c in columns], F.lit(False).alias("_new"))
+    both = past.unionByName(new.withColumn("_new", F.lit(True)), allowMissingColumns=True)
 
     def as_of(w):
         before = w.rowsBetween(Window.unboundedPreceding, -1)
-        return {f"{c}_last{window}": F.last(f"_inc_{c}", ignorenulls=True).over(before) for c in cols}
-    rolled = windows.apply_window(both, "team", ORDER, windows.WindowJob(
-        as_of, carry_cols={f"{c}_last{window}": f"_inc_{c}" for c in cols}))
-    rolled = rolled.filter(F.col("is_new") == 1)
-    outs = [f"{c}_last{window}" for c in cols]
-    wide = reshape.long_to_wide(rolled, "id", "is_home", outs)
+        return {f"_of_{c}": F.last(f"_inc_{c}", ignorenulls=True).over(before) for c in columns}
+    seen = windows.apply_window(both, key, ORDER, windows.WindowJob(as_of, carry_cols={f"_of_{c}": f"_inc_{c}" for c in columns}))
+    return (seen.filter("_new").withColumns({out.format(c=c): F.col(f"_of_{c}")["v"] for c in columns})
+                .drop("_new", *[f"_of_{c}" for c in columns], *[f"_inc_{c}" for c in columns]))
+
+
+def future_fixture_features(history: DataFrame, new_rows: DataFrame, event_stats: DataFrame | None = None, window: int = 5) -> DataFrame:
+    """J8 (fixed form): the whole feature row for fixtures that have not been played: team form of all bases
+    that ``history`` and ``event_stats`` give, differences, referee history (when ``new_rows`` names the
+    referee) and market features (when it has prices).
+
+    History is pruned to the teams and referees in the request by semi joins (J13), so the work grows with
+    what is asked. New rows never see each other's placeholder scores.
+    """
+    teams = (new_rows.select(F.col("home_team").alias("team"))
+             .union(new_rows.select(F.col("away_team").alias("team"))).distinct())
+    hist_long = team_long(history).join(teams, "team", "left_semi")
+    if event_stats is not None:
+        stats = event_stats.drop("kickoff", "home_team", "away_team", "opponent", "is_home").withColumnRenamed("team_name", "team")
+        hist_long = hist_long.join(stats, on=["match_id", "team"], how="left")
+    cols = [c for c in TEAM_FORM_COLUMNS if c in hist_long.columns]
+    new_long = team_long(new_rows.withColumns({"ftr": F.lit(None).cast("string"), "fthg": F.lit(None).cast("long"), "ftag": F.lit(None).cast("long")}))
+    new_long = new_long.withColumnRenamed("match_id", "id").select("id", "kickoff", "team", "is_home")
+    rolled = _as_of_means(hist_long.withColumnRenamed("match_id", "id"), new_long, "team", cols, window, f"{{c}}_last{window}")
+    wide = reshape.long_to_wide(rolled, "id", "is_home", [f"{c}_last{window}" for c in cols])
     res = new_rows.join(wide, "id", "left")
-    return reshape.side_differences(res, cols, f"_last{window}")
+    res = reshape.side_differences(res, [b for b in DIFF_BASES if b in cols], f"_last{window}")
+    if "referee" in new_rows.columns and set(REFEREE_SOURCES) <= set(history.columns):
+        asked = new_rows.filter(F.col("referee").isNotNull()).select("id", "kickoff", "referee")
+        past = referee_totals(history).join(asked.select("referee").distinct(), "referee", "left_semi")
+        refs = _as_of_means(past, asked, "referee", list(REFEREE_TARGETS), 10, "_tl_ref_{c}")
+        res = res.join(refs.select("id", *[F.col(f"_tl_ref_{src}").alias(tgt) for src, tgt in REFEREE_TARGETS.items()]), "id", "left")
+    if all(f"{b}{s}" in new_rows.columns for b in BOOKS for s in SIDE_NAMES):
+        res = market_features(res)
+    return res
 
 
 # ---------------------------------------------------------------------------------------------
@@ -247,19 +270,58 @@ def weighted_indices(df: DataFrame, params: DataFrame, weights: dict[str, dict[s
 # Feature-set selection on the schema (driver metadata only)
 # ---------------------------------------------------------------------------------------------
 
-META_COLUMNS = {"id", "match_id", "kickoff", "date", "time", "home_team", "away_team", "referee", "ftr", "htr",
-                "result_code", "home_win", "row_idx"}
-OBSERVED_COLUMNS = {"fthg", "ftag", "hthg", "htag", "hs", "as_", "hst", "ast", "hf", "af", "hc", "ac", "hy", "ay",
-                    "hr", "ar", "total_goals", "goal_diff"}
-# The five composite index columns (X15), excluded from "all numeric" features (C4 fix).
-INDEX_COLUMNS = {"threat_index", "dominance_index", "efficiency_control_index", "territorial_pressure_index",
-                 "clean_dominance_index"}
+# Fixture metadata, observed match statistics and targets, which are never features.
+META_COLUMNS = {"id", "date", "time", "kickoff", "home_team", "away_team", "ftr", "htr", "referee"}
+OBSERVED_COLUMNS = {"hthg", "htag", "hs", "as_", "hst", "ast", "hf", "af", "hc", "ac", "hy", "ay", "hr", "ar"}
+TARGET_COLUMNS = {"fthg", "ftag", "total_goals", "goal_diff", "home_win", "result_code"}
+#: Columns that our own operators add and that are not features either.
+OWN_COLUMNS = {"match_id", "row_idx", "is_train"}
+
+# The targets of the approximation models and the five composite indices.
+APPROXIMATION_TARGETS = ["hthg", "htag", "hs", "as_", "hst", "ast", "hf", "af", "hc", "ac", "hy", "ay", "hr", "ar"]
+INDEX_COLUMNS = ["threat_index", "dominance_index", "efficiency_control_index", "territorial_pressure_index", "clean_dominance_index"]
+
+# The named feature presets of the goals and the winner stage.
+GOALS_PRESETS = {
+    "goals_default": [
+        "b365h", "b365d", "b365a", "b365_home_prob", "b365_draw_prob", "b365_away_prob", "implied_prob_sum_b365",
+        "market_favorite_strength", "market_entropy_b365", "home_goals_for_last5", "away_goals_for_last5", "home_goals_against_last5",
+        "away_goals_against_last5", "home_points_last5", "away_points_last5", "points_diff_last5", "home_shots_last5", "away_shots_last5",
+        "home_shots_on_target_last5", "away_shots_on_target_last5", "home_shot_accuracy_last5", "away_shot_accuracy_last5",
+        "shot_accuracy_diff_last5", "home_conversion_rate_last5", "away_conversion_rate_last5", "conversion_rate_diff_last5",
+        "home_big_chance_rate_last5", "away_big_chance_rate_last5", "big_chance_rate_diff_last5", "home_assisted_shot_rate_last5",
+        "away_assisted_shot_rate_last5", "assisted_shot_rate_diff_last5", "home_avg_shot_angle_last5", "away_avg_shot_angle_last5",
+        "avg_shot_angle_diff_last5", "ref_avg_goals_last10", "ref_avg_fouls_last10"],
+    "goals_compact": [
+        "b365h", "b365d", "b365a", "points_diff_last5", "home_shots_on_target_last5", "away_shots_on_target_last5",
+        "conversion_rate_diff_last5", "big_chance_rate_diff_last5", "market_entropy_b365"],
+}
+WINNER_PRESETS = {
+    "winner_default": [
+        "b365h", "b365d", "b365a", "home_goals_for_last5", "home_goals_against_last5", "away_goals_for_last5", "away_goals_against_last5",
+        "home_shots_on_target_last5", "away_shots_on_target_last5", "away_big_chances_last5", "points_diff_last5",
+        "pass_accuracy_diff_last5", "conversion_rate_diff_last5", "big_chance_rate_diff_last5", "market_entropy_b365"],
+    "winner_full": [
+        "b365h", "b365d", "b365a", "b365_home_prob", "b365_draw_prob", "b365_away_prob", "market_favorite_strength",
+        "market_entropy_b365", "odds_gap_home_away", "home_odds_dispersion", "away_odds_dispersion", "home_goals_for_last5",
+        "home_goals_against_last5", "away_goals_for_last5", "away_goals_against_last5", "home_points_last5", "away_points_last5",
+        "points_diff_last5", "home_shots_last5", "away_shots_last5", "home_shots_on_target_last5", "away_shots_on_target_last5",
+        "home_shot_accuracy_last5", "away_shot_accuracy_last5", "shot_accuracy_diff_last5", "home_conversion_rate_last5",
+        "away_conversion_rate_last5", "conversion_rate_diff_last5", "home_big_chances_last5", "away_big_chances_last5",
+        "home_big_chance_rate_last5", "away_big_chance_rate_last5", "big_chance_rate_diff_last5", "home_progressive_pass_rate_last5",
+        "away_progressive_pass_rate_last5", "progressive_pass_rate_diff_last5", "home_assisted_shot_rate_last5",
+        "away_assisted_shot_rate_last5", "assisted_shot_rate_diff_last5", "home_avg_shot_distance_last5", "away_avg_shot_distance_last5",
+        "avg_shot_distance_diff_last5", "home_avg_shot_angle_last5", "away_avg_shot_angle_last5", "avg_shot_angle_diff_last5",
+        "home_avg_score_diff_before_shot_last5", "away_avg_score_diff_before_shot_last5", "avg_score_diff_before_shot_diff_last5",
+        "ref_avg_yellows_last10", "ref_avg_fouls_last10", "ref_avg_goals_last10", "ref_home_win_rate_last10"],
+}
+FEATURE_MODES = ("normal", "extra", "lasso_selected", "poly2_lasso")
 
 
 def available_numeric_features(df: DataFrame, exclude_indices: bool = True) -> list[str]:
     """C1 (+ C4 fix): numeric, not metadata, observed-in-match or target; index columns excluded."""
     from touchline.schemas import numeric_columns
-    banned = META_COLUMNS | OBSERVED_COLUMNS | (INDEX_COLUMNS if exclude_indices else set())
+    banned = META_COLUMNS | OBSERVED_COLUMNS | TARGET_COLUMNS | OWN_COLUMNS | (set(INDEX_COLUMNS) if exclude_indices else set())
     return [c for c in numeric_columns(df) if c not in banned]
 
 
@@ -268,24 +330,39 @@ def historical_features(df: DataFrame) -> list[str]:
     return [c for c in available_numeric_features(df) if "_last" in c or (c.startswith("ref_") and "last" in c)]
 
 
-def resolve_features(df: DataFrame, preset: str | Sequence[str]) -> list[str]:
-    """Preset name or explicit list; absent names are dropped."""
-    presets = {
-        "all_numeric": available_numeric_features(df),
-        "history_only": historical_features(df),
-        "odds_only": [f"b365_{n}_prob" for n in SIDE_NAMES.values()],
-        "winner_default": [f"b365_{n}_prob" for n in SIDE_NAMES.values()] + [f"{b}_diff_last5" for b in DIFF_BASES[:6]],
-        "goals_default": [f"home_{b}_last5" for b in ("goals_for", "goals_against", "shots")]
-                         + [f"away_{b}_last5" for b in ("goals_for", "goals_against", "shots")],
-        "candidate_indices": sorted(INDEX_COLUMNS),
-    }
-    wanted = presets[preset] if isinstance(preset, str) else list(preset)
+def resolve_features(df: DataFrame, preset: str | Sequence[str], stage: str = "classification") -> list[str]:
+    """A preset's columns, or an explicit list, without absent names. ``stage`` picks the goals presets
+    (``regression``) or the winner presets (``classification``)."""
+    if stage not in ("regression", "classification"):
+        raise ValueError(f"unknown stage {stage!r}")
+    named = {"all_numeric": lambda: available_numeric_features(df), "history_only": lambda: historical_features(df),
+             "approximation_targets": lambda: APPROXIMATION_TARGETS, "candidate_indices": lambda: INDEX_COLUMNS}
+    if not isinstance(preset, str):
+        wanted = list(preset)
+    elif preset in named:
+        wanted = named[preset]()
+    else:
+        presets = GOALS_PRESETS if stage == "regression" else WINNER_PRESETS
+        if preset not in presets:
+            raise ValueError(f"unknown preset {preset!r} of stage {stage}: expected one of {sorted(named) + sorted(presets)}")
+        wanted = presets[preset]
     return [c for c in wanted if c in df.columns]
 
 
-def fill_with_history_medians(df: DataFrame, history: DataFrame, columns: Sequence[str], exact: bool = True) -> DataFrame:
-    """Missing inference features take the historical median (one aggregate row, cross-joined).
-    ``exact=False`` uses ``percentile_approx`` (bounded memory at scale)."""
+def mode_features(df: DataFrame, preset: str | Sequence[str], stage: str, mode: str = "normal", generated: Sequence[str] = ()) -> list[str]:
+    """C4: the columns of a feature mode. ``normal`` and ``poly2_lasso`` use the preset and the generated
+    columns of earlier stages, ``extra`` and ``lasso_selected`` all numeric features."""
+    if mode not in FEATURE_MODES:
+        raise ValueError(f"unknown feature mode {mode!r}: expected one of {FEATURE_MODES}")
+    if mode in ("normal", "poly2_lasso"):
+        return [*resolve_features(df, preset, stage), *generated]
+    return available_numeric_features(df)
+
+
+def fill_with_history_medians(df: DataFrame, history: DataFrame, columns: Sequence[str], exact: bool = False) -> DataFrame:
+    """Missing inference features take the historical median (one aggregate row, cross-joined): by
+    ``percentile_approx`` (rank error 1/10000, bounded memory). ``exact=True`` keeps every distinct value of a
+    column in one task; use it where the history is known to be small."""
     agg = history.agg(*[(F.median(c) if exact else F.percentile_approx(c, 0.5, 10000)).alias(f"_tl_med_{c}") for c in columns])
     return (df.crossJoin(F.broadcast(agg))
               .withColumns({c: F.coalesce(F.col(c), F.col(f"_tl_med_{c}")) for c in columns})
@@ -305,15 +382,28 @@ def prepare_matches(raw: DataFrame) -> DataFrame:
 
 
 # Placeholder values of post-match columns for a fixture not yet played.
-RAW_MATCH_PLACEHOLDERS = {"fthg": 0, "ftag": 0, "hthg": 0, "htag": 0, "ftr": "D", "htr": "D", "hs": 0, "as_": 0,
-                          "hst": 0, "ast": 0, "hf": 0, "af": 0, "hc": 0, "ac": 0, "hy": 0, "ay": 0, "hr": 0, "ar": 0}
+RAW_MATCH_PLACEHOLDERS = {
+    "fthg": 0, "ftag": 0, "ftr": "D", "hthg": 0, "htag": 0, "htr": "D", "hs": 0, "as_": 0, "hst": 0, "ast": 0, "hf": 0, "af": 0,
+    "hc": 0, "ac": 0, "hy": 0, "ay": 0, "hr": 0, "ar": 0, "total_goals": 0.0, "goal_diff": 0.0}
+
+
+def with_placeholders(new_rows: DataFrame) -> DataFrame:
+    """Fixtures not yet played, with the post-match columns they lack filled by placeholders."""
+    return new_rows.withColumns({c: F.lit(v) for c, v in RAW_MATCH_PLACEHOLDERS.items() if c not in new_rows.columns})
 
 
-def complete_features(frame: DataFrame, required: Sequence[str], history: DataFrame, window: int = 5) -> DataFrame:
+def complete_features(frame: DataFrame, required: Sequence[str], history: DataFrame, event_stats: DataFrame | None = None,
+                      window: int = 5) -> DataFrame:
     """Use the frame when it already has every required column (a schema test, no job);
-    otherwise rebuild the team-form features from history (J8) and join them on ``id``."""
+    otherwise rebuild the features from history (J8) and join them on ``id``. A required column that
+    cannot be built is an error."""
+    from touchline.schemas import SchemaError
     if all(c in frame.columns for c in required):
         return frame
-    built = future_fixture_features(history, frame.select("id", "kickoff", "home_team", "away_team"), window)
+    base = [c for c in ("id", "kickoff", "home_team", "away_team", "referee", *[f"{b}{s}" for b in BOOKS for s in SIDE_NAMES]) if c in frame.columns]
+    built = future_fixture_features(history, frame.select(*base), event_stats, window)
     keep = [c for c in built.columns if c not in frame.columns or c == "id"]
-    return frame.join(built.select(*keep), "id", "left")
+    out = frame.join(built.select(*keep), "id", "left")
+    if missing := [c for c in required if c not in out.columns]:
+        raise SchemaError(f"cannot build the required features {missing} from the given history")
+    return out

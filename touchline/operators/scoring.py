@@ -36,14 +36,35 @@ LEVELS = ["ensemble", "model", "stored", "market", "league"]
 
 
 def market_probabilities(df: DataFrame, h: str = "b365h", d: str = "b365d", a: str = "b365a") -> DataFrame:
-    """Normalised inverse prices; a missing or bad price uses the default price; prices below
-    0.001 are floored."""
-    inv = {}
+    """The market's probabilities and expected goals. Supplied normalised probabilities
+    (``b365_home_prob_norm`` and so on) come first; else the normalised inverse prices, where a missing or bad
+    price uses the default price and prices below 0.001 are floored. Expected goals are the row's own
+    ``total_goals``, else 2.7, and never negative."""
+    supplied = {"h": "b365_home_prob_norm", "d": "b365_draw_prob_norm", "a": "b365_away_prob_norm"}
+    value = {}
     for side, c in (("h", h), ("d", d), ("a", a)):
-        v = clean.finite_or(F.col(c).cast("double"), DEFAULT_ODDS[side]) if c in df.columns else F.lit(DEFAULT_ODDS[side])
-        inv[side] = 1 / F.greatest(v, F.lit(0.001))
-    total = inv["h"] + inv["d"] + inv["a"]
-    return df.withColumns({"mk_home": inv["h"] / total, "mk_draw": inv["d"] / total, "mk_away": inv["a"] / total})
+        if set(supplied.values()) <= set(df.columns):
+            value[side] = clean.finite_or(F.col(supplied[side]).cast("double"), DEFAULT_PROBS[side])
+        else:
+            price = clean.finite_or(F.col(c).cast("double"), DEFAULT_ODDS[side]) if c in df.columns else F.lit(DEFAULT_ODDS[side])
+            value[side] = 1 / F.greatest(price, F.lit(0.001))
+    total = value["h"] + value["d"] + value["a"]
+    goals = clean.finite_or(F.col("total_goals").cast("double"), DEFAULT_GOALS) if "total_goals" in df.columns else F.lit(DEFAULT_GOALS)
+    return df.withColumns({"mk_home": F.try_divide(value["h"], total), "mk_draw": F.try_divide(value["d"], total),
+                           "mk_away": F.try_divide(value["a"], total), "mk_goals": F.greatest(goals, F.lit(0.0))})
+
+
+def stored_predictions(requests: DataFrame, stored: DataFrame, row_col: str = "row_id") -> DataFrame:
+    """Stored predictions looked up by normalised (home, away) names (P2): (row_id, p_home,
+    p_draw, p_away, goals). ``stored`` has home, away, prob_home, prob_draw, prob_away (percent), est_goals
+    and ``position``; of several rows of a pair the last one wins."""
+    keyed = stored.withColumns({"_hk": clean.lookup_key("home"), "_ak": clean.lookup_key("away")})
+    last = keyed.groupBy("_hk", "_ak").agg(F.max_by(F.struct("prob_home", "prob_draw", "prob_away", "est_goals"), "position").alias("_s"))
+    asked = requests.select(row_col, clean.lookup_key("home_team").alias("_hk"), clean.lookup_key("away_team").alias("_ak"))
+    share = lambda c: F.greatest(F.lit(0.001), F.least(F.lit(0.999), clean.finite_or(F.col(f"_s.{c}").cast("double"), 0.0) / 100))
+    return asked.join(last, ["_hk", "_ak"]).select(
+        row_col, share("prob_home").alias("p_home"), share("prob_draw").alias("p_draw"), share("prob_away").alias("p_away"),
+        F.greatest(clean.finite_or(F.col("_s.est_goals").cast("double"), DEFAULT_GOALS), F.lit(0.0)).alias("goals"))
 
 
 def league_average(fixtures: DataFrame) -> DataFrame:
@@ -119,17 +140,39 @@ def resolve_task(task: str) -> str:
     return t
 
 
+XG_FLAGS = ("is_big_chance", "is_header", "is_right_foot", "is_left_foot", "is_penalty", "is_volley", "first_touch", "from_corner", "is_counter")
+
+
 def score_xg_batch(batch: DataFrame) -> DataFrame:
-    """E27 xg task + E29 + X16 + X18: heuristic xG per row; a row with an invalid x/y (non-numeric)
-    gets 0 and source ``fallback``; input columns pass through (P20)."""
+    """E27 xg task + E29 + X16 + X18: heuristic xG per row, input columns pass through (P20).
+
+    A null or blank x or y fails the whole batch (one probe). A row that breaks a limit (x or y not a number
+    or outside 0 to 100, a negative or non-numeric supplied distance or angle, a flag that is not 0 or 1)
+    gets 0 and source ``fallback``. Missing flags count as 0; supplied ``shot_distance`` and ``shot_angle``
+    replace the ones computed from the location.
+    """
     require_columns(batch, TASKS["xg"], "xg batch")
+    blank = lambda c: F.trim(F.coalesce(F.col(c).cast("string"), F.lit(""))) == ""
+    if not batch.filter(blank("x") | blank("y")).limit(1).isEmpty():
+        raise SchemaError("every row of an xg batch needs a value in x and y")
     x, y = clean.lenient_number("x"), clean.lenient_number("y")
-    ok = x.isNotNull() & y.isNotNull()
-
-    def flag(c):
-        return clean.lenient_number(c) if c in batch.columns else F.lit(0.0)
-    xg = O.heuristic_xg(x, y, flag("is_big_chance"), flag("is_penalty"), flag("is_header"), flag("first_touch"),
-                        flag("is_volley"), flag("is_counter"), flag("from_corner"))
+    ok = x.between(0, 100) & y.between(0, 100)
+    flags, supplied = {}, {}
+    for c in XG_FLAGS:
+        given = F.lit(False) if c not in batch.columns else ~blank(c)
+        value = clean.lenient_number(c) if c in batch.columns else F.lit(0.0)
+        ok = ok & (~given | F.coalesce(value.isin(0.0, 1.0), F.lit(False)))
+        flags[c] = F.when(given, value).otherwise(F.lit(0.0))
+    for c in ("shot_distance", "shot_angle"):
+        supplied[c] = None
+        if c in batch.columns:
+            value = clean.lenient_number(c)
+            ok = ok & (blank(c) | F.coalesce(value >= 0, F.lit(False)))
+            supplied[c] = F.when(~blank(c), value)
+    xg = O.heuristic_xg(x, y, flags["is_big_chance"], flags["is_penalty"], flags["is_header"], flags["first_touch"],
+                        flags["is_volley"], flags["is_counter"], flags["from_corner"],
+                        distance=supplied["shot_distance"], angle=supplied["shot_angle"])
+    ok = F.coalesce(ok, F.lit(False))
     out = batch.withColumns({"xg_prediction": F.when(ok, xg).otherwise(F.lit(0.0)),
                              "source": F.when(ok, F.lit("heuristic_fallback")).otherwise(F.lit("fallback"))})
     return out.withColumn("shot_quality_label", O.shot_quality_label("xg_prediction"))
@@ -180,7 +223,7 @@ def fallback_rows(frame: DataFrame, reason: str) -> DataFrame:
     return m.withColumns({"p_home": F.col("mk_home"), "p_draw": F.col("mk_draw"), "p_away": F.col("mk_away"),
                           "predicted_total_goals": F.lit(DEFAULT_GOALS),
                           "predicted_result": O.argmax_label("mk_home", "mk_draw", "mk_away"),
-                          "fallback_reason": F.lit(reason)}).drop("mk_home", "mk_draw", "mk_away")
+                          "fallback_reason": F.lit(reason)}).drop("mk_home", "mk_draw", "mk_away", "mk_goals")
 
 
 def clean_labels(df: DataFrame, col: str) -> DataFrame:

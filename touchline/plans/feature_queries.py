@@ -22,7 +22,18 @@ split2 AS (SELECT id, row_idx, row_idx < greatest(CAST(floor(n * 0.8) AS BIGINT)
 
 @query("future_fixture_features", with_ctes(FIXTURES_CTE, _SPLIT_CTE, """
 hist AS (SELECT f.* FROM fixtures f JOIN split2 s ON s.id = f.id WHERE s.is_train),
-new AS (SELECT f.id, f.kickoff, f.home_team, f.away_team FROM fixtures f JOIN split2 s ON s.id = f.id WHERE NOT s.is_train),
+new AS (SELECT f.* FROM fixtures f JOIN split2 s ON s.id = f.id WHERE NOT s.is_train),
+rinc AS (
+  SELECT id, kickoff, referee, 0 AS is_new, avg(CAST(hy + ay AS DOUBLE)) OVER w AS y, avg(CAST(hf + af AS DOUBLE)) OVER w AS fo,
+         avg(CAST(total_goals AS DOUBLE)) OVER w AS g, avg(CAST(home_win AS DOUBLE)) OVER w AS hw
+  FROM hist WHERE referee IS NOT NULL WINDOW w AS (PARTITION BY referee ORDER BY kickoff, id ROWS BETWEEN 9 PRECEDING AND CURRENT ROW)
+),
+ru AS (SELECT * FROM rinc UNION ALL SELECT id, kickoff, referee, 1, NULL, NULL, NULL, NULL FROM new WHERE referee IS NOT NULL),
+ra AS (
+  SELECT id, is_new, last_value(y IGNORE NULLS) OVER w AS y, last_value(fo IGNORE NULLS) OVER w AS fo, last_value(g IGNORE NULLS) OVER w AS g,
+         last_value(hw IGNORE NULLS) OVER w AS hw
+  FROM ru WINDOW w AS (PARTITION BY referee ORDER BY kickoff, id ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)
+),
 teams AS (SELECT home_team AS team FROM new UNION SELECT away_team FROM new),
 hl AS (
   SELECT id, kickoff, home_team AS team, 1 AS is_home, CAST(fthg AS DOUBLE) AS gf, CAST(ftag AS DOUBLE) AS ga,
@@ -56,18 +67,23 @@ wd AS (
 SELECT n.id, round(hgf, 6) AS home_goals_for_last5, round(agf, 6) AS away_goals_for_last5,
        round(hga, 6) AS home_goals_against_last5, round(aga, 6) AS away_goals_against_last5,
        round(hp, 6) AS home_points_last5, round(ap, 6) AS away_points_last5,
-       round(hgf - agf, 6) AS goals_for_diff_last5, round(hga - aga, 6) AS goals_against_diff_last5, round(hp - ap, 6) AS points_diff_last5
-FROM new n LEFT JOIN wd ON n.id = wd.id
+       round(hgf - agf, 6) AS goals_for_diff_last5, round(hga - aga, 6) AS goals_against_diff_last5, round(hp - ap, 6) AS points_diff_last5,
+       round(ra.y, 6) AS ref_avg_yellows_last10, round(ra.fo, 6) AS ref_avg_fouls_last10, round(ra.g, 6) AS ref_avg_goals_last10,
+       round(ra.hw, 6) AS ref_home_win_rate_last10, round(1 / b365h, 6) AS b365_home_prob, round(1 / bwd, 6) AS bw_draw_prob,
+       round(b365a - b365h, 6) AS odds_gap_home_away, round(1 / b365h + 1 / b365d + 1 / b365a, 6) AS implied_prob_sum_b365
+FROM new n LEFT JOIN wd ON n.id = wd.id LEFT JOIN ra ON n.id = ra.id AND ra.is_new = 1
 """)
 def future_fixture_features(spark: SparkSession, sf_dir: str) -> DataFrame:
     """J8 (fixed) + J13 + R4: the holdout fixtures scored as not yet played, from history only."""
     fx = bindings.fixtures(spark, sf_dir)
     both = bindings.with_time_split(fx)
     hist = both.filter("is_train").drop("is_train")
-    new = both.filter(~F.col("is_train")).select("id", "kickoff", "home_team", "away_team")
-    res = features.future_fixture_features(hist, new, 5)
+    books = [f"{b}{s}" for b in features.BOOKS for s in features.SIDE_NAMES]
+    new = both.filter(~F.col("is_train")).select("id", "kickoff", "home_team", "away_team", "referee", *books)
+    res = features.future_fixture_features(hist, new)
     cols = ["goals_for", "goals_against", "points"]
-    return normalise(res.select("id", *[f"{s}_{c}_last5" for c in cols for s in ("home", "away")], *[f"{c}_diff_last5" for c in cols]))
+    return normalise(res.select("id", *[f"{s}_{c}_last5" for c in cols for s in ("home", "away")], *[f"{c}_diff_last5" for c in cols],
+                                *features.REFEREE_TARGETS.values(), "b365_home_prob", "bw_draw_prob", "odds_gap_home_away", "implied_prob_sum_b365"))
 
 
 # Composite index weights over z-scored match-stat differences.
