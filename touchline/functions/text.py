@@ -34,6 +34,15 @@ SHOT_KEYWORD_FLAGS = [
     ("is_throwin_set_piece", "throwinsetpiece"),
 ]
 
+# The nine flags by regular expression over compact text.
+SHOT_REGEX_FLAGS = {
+    "is_big_chance": "bigchance", "is_header": "head|headed", "is_right_foot": "rightfoot", "is_left_foot": "leftfoot",
+    "is_penalty": "penalty", "is_volley": "volley", "first_touch": "firsttouch", "from_corner": "fromcorner",
+    "is_counter": "fastbreak|counterattack|counter"}
+# Body part by first matching flag, and shot zone by first matching pattern over compact text.
+BODY_PARTS = [("is_header", "Head"), ("is_right_foot", "Right foot"), ("is_left_foot", "Left foot")]
+TEXT_ZONES = [("smallbox", "SmallBox"), ("boxcentre|boxcenter|boxleft|boxright", "Box"), ("outofbox", "OutOfBox")]
+
 # Event types that count as a shot on target.
 ON_TARGET_TYPES = ["SavedShot", "Goal"]
 
@@ -93,6 +102,22 @@ def shot_type_key(penalty: str | Column, header: str | Column, left: str | Colum
              .otherwise(F.lit("other")))
 
 
+def body_part(flags: dict[str, Column]) -> Column:
+    """body part of the first flag that is set, else ``Other``."""
+    out = F.lit("Other")
+    for name, value in reversed(BODY_PARTS):
+        out = F.when(flags[name] == 1, F.lit(value)).otherwise(out)
+    return out
+
+
+def text_zone(text: str | Column) -> Column:
+    """shot zone of the first pattern that compact text matches, else ``Unknown``."""
+    out = F.lit("Unknown")
+    for pattern, value in reversed(TEXT_ZONES):
+        out = F.when(F.coalesce(_c(text), F.lit("")).rlike(pattern), F.lit(value)).otherwise(out)
+    return out
+
+
 def label_map(c: str | Column, mapping: dict, default=None) -> Column:
     """literal lookup through ``create_map``."""
     pairs = []

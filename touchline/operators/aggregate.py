@@ -108,17 +108,18 @@ def crosstab_grid(df: DataFrame, row_col: str, col_col: str, labels: Sequence[st
 
 
 def token_stats(df: DataFrame, id_col: str, text_col: str, outcome: str, min_support: int = 20,
-                top: int | None = 15, by: str = "rate") -> DataFrame:
+                top: int | None = 15, by: str = "rate", unique_ids: bool = False) -> DataFrame:
     """A13 + F9: per token, distinct rows containing it, successes and rate.
 
-    Tokens are distinct per row (``array_distinct``) and ``(id, token)`` pairs are deduplicated by a
-    ``groupBy`` on both (hash-partitioned on the pair, so a frequent token is spread over all tasks),
-    then counted with partial aggregation: ``countDistinct(id)`` per token without a single-task
+    Tokens are distinct per row (``array_distinct``). When ids may repeat, ``(id, token)`` pairs are
+    deduplicated by a ``groupBy`` on both (hash-partitioned on the pair, so a frequent token is spread over
+    all tasks); with ``unique_ids`` that shuffle is left out. Then they are counted with partial aggregation: ``countDistinct(id)`` per token without a single-task
     group. ``by="rate"``: support >= ``min_support``, order by rate desc, rows desc; ``by="rows"``: the
     frequency table ordered by rows desc. Token ascending breaks remaining ties.
     """
-    pairs = (df.select(F.col(id_col).alias("_id"), F.explode(token_set(text_col)).alias("qualifier"), _outcome(outcome).alias("_o"))
-               .groupBy("qualifier", "_id").agg(F.max("_o").alias("_o")))
+    pairs = (df.select(F.col(id_col).alias("_id"), F.explode(token_set(text_col)).alias("qualifier"), _outcome(outcome).alias("_o")))
+    if not unique_ids:
+        pairs = pairs.groupBy("qualifier", "_id").agg(F.max("_o").alias("_o"))
     g = pairs.groupBy("qualifier").agg(F.count(F.lit(1)).alias("shots"), F.sum("_o").alias("goals"), F.avg("_o").alias("conversion_rate"))
     if by == "rate":
         g = g.filter(F.col("shots") >= min_support).orderBy(F.col("conversion_rate").desc(), F.col("shots").desc(), F.col("qualifier"))

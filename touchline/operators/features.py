@@ -387,11 +387,6 @@ RAW_MATCH_PLACEHOLDERS = {
     "hc": 0, "ac": 0, "hy": 0, "ay": 0, "hr": 0, "ar": 0, "total_goals": 0.0, "goal_diff": 0.0}
 
 
-def with_placeholders(new_rows: DataFrame) -> DataFrame:
-    """Fixtures not yet played, with the post-match columns they lack filled by placeholders."""
-    return new_rows.withColumns({c: F.lit(v) for c, v in RAW_MATCH_PLACEHOLDERS.items() if c not in new_rows.columns})
-
-
 def complete_features(frame: DataFrame, required: Sequence[str], history: DataFrame, event_stats: DataFrame | None = None,
                       window: int = 5) -> DataFrame:
     """Use the frame when it already has every required column (a schema test, no job);

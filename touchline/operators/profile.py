@@ -7,11 +7,12 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from touchline.functions import geometry
+from touchline.operators.windows import row_index
 
 
 def quality_summary(df: DataFrame, name: str, date_cols: Sequence[str] = ()) -> DataFrame:
@@ -51,15 +52,35 @@ def overview(df: DataFrame, name: str) -> DataFrame:
                                                           F.lit(len(df.columns)).alias("columns"), F.lit(types).alias("dtypes"))
 
 
+def ranked_quantiles(df: DataFrame, value: str, probs: dict[str, float], by: str | None = None, more: Sequence[Column] = ()) -> DataFrame:
+    """Exact quantiles (linear interpolation) by distributed rank: rows are indexed in (group, value) order, and
+    each quantile reads the one or two rows at its position. ``probs`` maps output to probability; ``more``
+    are further aggregates over ``_v`` (the value as double). No group or column meets in one task."""
+    keys = [by] if by else []
+    rows = row_index(df.select(*keys, F.col(value).cast("double").alias("_v")), [*keys, "_v"], "_i")
+    groups = rows.groupBy(*[F.col(k).alias(f"_g_{k}") for k in keys]).agg(F.min(F.when(F.col("_v").isNotNull(), F.col("_i"))).alias("_b"), F.count("_v").alias("_n"))
+    same = F.lit(True)
+    for k in keys:
+        same = same & F.col(k).eqNullSafe(F.col(f"_g_{k}"))
+    at = rows.join(F.broadcast(groups), same)  # one row per class
+    place = F.col("_i") - F.col("_b")
+    aggs = []
+    for name, p in probs.items():
+        h = (F.col("_n") - 1) * p
+        for part, edge in (("lo", F.floor(h)), ("hi", F.ceil(h))):
+            aggs.append(F.max(F.when(place == edge, F.col("_v"))).alias(f"_{part}_{name}"))
+        aggs.append(F.max(h - F.floor(h)).alias(f"_w_{name}"))
+    out = at.groupBy(*keys).agg(*aggs, *more)
+    return out.withColumns({name: F.col(f"_lo_{name}") + (F.col(f"_hi_{name}") - F.col(f"_lo_{name}")) * F.col(f"_w_{name}") for name in probs}).drop(
+        *[f"_{part}_{name}" for name in probs for part in ("lo", "hi", "w")])
+
+
 def describe_by(df: DataFrame, group: str, value: str) -> DataFrame:
     """Count, mean, sample std, min, quartiles (linear interpolation, like pandas) and max
-    per class. Exact ``percentile`` keeps a value->count map per group; ``describe_by_approx`` is the
-    bounded-memory form for large groups."""
-    v = F.col(value).cast("double")
-    return df.groupBy(group).agg(
-        F.count(v).alias("count"), F.avg(v).alias("mean"), F.stddev_samp(v).alias("std"), F.min(v).alias("min"),
-        F.percentile(v, 0.25).alias("q25"), F.percentile(v, 0.5).alias("q50"), F.percentile(v, 0.75).alias("q75"),
-        F.max(v).alias("max"))
+    per class, exact."""
+    out = ranked_quantiles(df, value, {"q25": 0.25, "q50": 0.5, "q75": 0.75}, group, [
+        F.count("_v").alias("count"), F.avg("_v").alias("mean"), F.stddev_samp("_v").alias("std"), F.min("_v").alias("min"), F.max("_v").alias("max")])
+    return out.select(group, "count", "mean", "std", "min", "q25", "q50", "q75", "max")
 
 
 def describe_by_approx(df: DataFrame, group: str, value: str, accuracy: int = 10000) -> DataFrame:
@@ -116,13 +137,11 @@ def histogram(df: DataFrame, value: str, lo: float, hi: float, n: int, by: str |
 
 def mean_median(df: DataFrame, value: str, by: str | None = None) -> DataFrame:
     """Mean, the interpolated median, and the upper-middle median the dashboard shows (element
-    ``floor(n/2)`` of the ascending order = the lower-middle ``percentile_disc`` of the negated values)."""
-    v = F.col(value).cast("double")
-    aggs = [F.avg(v).alias("mean"), F.percentile(v, 0.5).alias("median"),
-            (-F.percentile_disc(-v, 0.5) if hasattr(F, "percentile_disc")
-             else -F.expr(f"percentile_disc(0.5) WITHIN GROUP (ORDER BY -CAST(`{value}` AS DOUBLE))")).alias("upper_median"),
-            F.count(v).alias("n")]
-    return df.groupBy(by).agg(*aggs) if by else df.agg(*aggs)
+    ``floor(n/2)`` of the ascending order), exact by distributed rank."""
+    place = F.col("_i") - F.col("_b")
+    upper = F.max(F.when(place == F.floor(F.col("_n") / 2), F.col("_v"))).alias("upper_median")
+    out = ranked_quantiles(df, value, {"median": 0.5}, by, [F.avg("_v").alias("mean"), upper, F.count("_v").alias("n")])
+    return out.select(*([by] if by else []), "mean", "median", "upper_median", "n")
 
 
 def residual_summary(df: DataFrame, actual: str, predicted: str, bins: int = 24) -> tuple[DataFrame, DataFrame]:

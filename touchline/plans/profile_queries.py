@@ -135,15 +135,16 @@ FROM g WHERE shots >= 20 ORDER BY conversion_rate DESC, shots DESC, qualifier LI
 """)
 def token_conversion_top15(spark: SparkSession, sf_dir: str) -> DataFrame:
     """F9 + A13: tokens of whole document texts, quality rate, support >= 20, top 15 by rate."""
-    return normalise(A.token_stats(_labelled_docs(spark, sf_dir), "doc_id", "text", "quality", 20, 15, "rate"))
+    return normalise(A.token_stats(_labelled_docs(spark, sf_dir), "doc_id", "text", "quality", 20, 15, "rate", unique_ids=True))
 
 
-@query("token_frequency_top15", _TOKENS_CTE + """
+@query("token_frequency_top15", _TOKENS_CTE.replace("JOIN labels USING (doc_id)", "").replace("SELECT doc_id, quality,", "SELECT doc_id, 0 AS quality,") + """
 SELECT qualifier, CAST(shots AS BIGINT) AS shots FROM g ORDER BY shots DESC, qualifier LIMIT 15
 """)
 def token_frequency_top15(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """A13 frequency table: documents per token, top 15."""
-    return normalise(A.token_stats(_labelled_docs(spark, sf_dir), "doc_id", "text", "quality", 0, 15, "rows"))
+    """A13 frequency table: documents per token over all documents, top 15."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", F.lit(0).alias("none"))
+    return normalise(A.token_stats(docs, "doc_id", "text", "none", 0, 15, "rows", unique_ids=True))
 
 
 @query("conversion_by_category", """
