@@ -142,17 +142,18 @@ class Ranks:
 
 
 def with_language(docs: DataFrame, found: dict[str, list[int]], size: int = SIZE, text: str = "text",
-                  out: tuple[str, str] = ("lang_pred", "score")) -> DataFrame:
-    """``docs`` plus predicted language and score."""
-    schema = T.StructType(docs.schema.fields + [T.StructField(out[0], T.StringType()), T.StructField(out[1], T.DoubleType())])
+                  out: tuple[str, str] = ("lang_pred", "score"), keep: list[str] | None = None) -> DataFrame:
+    """``docs`` (or its columns ``keep``) plus predicted language and score."""
+    kept = [docs.columns.index(c) for c in (docs.columns if keep is None else keep)]
+    schema = T.StructType([docs.schema.fields[i] for i in kept] + [T.StructField(out[0], T.StringType()), T.StructField(out[1], T.DoubleType())])
     shared = docs.sparkSession.sparkContext.broadcast(found)  # at most ``size`` n-grams per language
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         ranks = Ranks(shared.value, size)
         for batch in batches:
             told = [ranks.predict(t.as_py()) for t in batch.column(batch.schema.get_field_index(text))]
-            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array([t[0] for t in told], pa.string()), pa.array([t[1] for t in told], pa.float64())],
-                                             names=[*batch.schema.names, *out])
+            columns = [*(batch.column(i) for i in kept), pa.array([t[0] for t in told], pa.string()), pa.array([t[1] for t in told], pa.float64())]
+            yield pa.RecordBatch.from_arrays(columns, names=schema.names)
 
     return docs.mapInArrow(run, schema)
 

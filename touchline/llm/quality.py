@@ -143,15 +143,21 @@ def train(labelled: DataFrame, rounds: int = 4, max_rows: int = 16_000, shards:
                     z[at] += g - (np.sqrt(n[at] + g * g) - np.sqrt(n[at])) / ALPHA * w
                     n[at] += g * g
                     touched[at] = True
-            at = np.flatnonzero(touched)
-            return pd.DataFrame({"bucket": at, "z": z[at], "n": n[at]})
+            return pd.DataFrame({"touched": [np.packbits(touched).tobytes()], "z": [z[touched].tobytes()], "n": [n[touched].tobytes()]})
 
-        moved = (sample.groupBy("shard").applyInPandas(one_pass, "bucket long, z double, n double")
-                 .groupBy("bucket").agg(F.avg("z").alias("z"), F.avg("n").alias("n")).toPandas())  # at most 2 ** BITS rows
-        if moved.empty:
+        # a row per shard, each of at most 2 ** BITS coordinates
+        moved = sample.groupBy("shard").applyInPandas(one_pass, "touched binary, z binary, n binary").collect()
+        if not moved:
             return None
-        z, n = z.copy(), n.copy()
-        z[moved["bucket"]], n[moved["bucket"]] = moved["z"], moved["n"]
+        count, sums = np.zeros(1 << BITS), [np.zeros(1 << BITS), np.zeros(1 << BITS)]
+        for row in moved:
+            touched = np.unpackbits(np.frombuffer(row["touched"], dtype=np.uint8)).astype(bool)
+            count += touched
+            for total, name in zip(sums, ("z", "n")):
+                total[touched] += np.frombuffer(row[name])
+        seen = count > 0
+        z, n = (np.where(seen, total / np.maximum(count, 1), old) for total, old in zip(sums, (z, n)))
+        state.unpersist()
     return weights_of(z, n)
 
 
@@ -163,9 +169,10 @@ def labelled_documents(docs: DataFrame, labels: DataFrame, max_rows: int = 16_00
     return docs.join(F.broadcast(picked), F.col("doc_id") == F.col("_id")).select("doc_id", "text", "label")
 
 
-def with_score(docs: DataFrame, weights: np.ndarray | None, text: str = "text", out: str = "score") -> DataFrame:
-    """``docs`` plus the probability of label 1."""
-    schema = T.StructType(docs.schema.fields + [T.StructField(out, T.DoubleType())])
+def with_score(docs: DataFrame, weights: np.ndarray | None, text: str = "text", out: str = "score", keep: list[str] | None = None) -> DataFrame:
+    """``docs`` (or its columns ``keep``) plus the probability of label 1."""
+    kept = [docs.columns.index(c) for c in (docs.columns if keep is None else keep)]
+    schema = T.StructType([docs.schema.fields[i] for i in kept] + [T.StructField(out, T.DoubleType())])
     shared = docs.sparkSession.sparkContext.broadcast(None if weights is None else weights.astype(np.float32))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -178,7 +185,7 @@ def with_score(docs: DataFrame, weights: np.ndarray | None, text: str = "text",
                 else:
                     at, x = features(value.as_py() or "")
                     scores.append(sigmoid(weights[at].astype(np.float64) @ x))
-            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(scores, pa.float64())], names=[*batch.schema.names, out])
+            yield pa.RecordBatch.from_arrays([*(batch.column(i) for i in kept), pa.array(scores, pa.float64())], names=schema.names)
 
     return docs.mapInArrow(run, schema)
 

@@ -88,7 +88,7 @@ def op7_rank_order_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     held_out = id_bucket(F.col("doc_id"), 3) == 1
     found = langid.profiles(docs.filter(~held_out).select("text", "lang"))
     rows = docs.select("doc_id", held_out.alias("held_out"), "text")
-    return langid.with_language(rows, found).select("doc_id", "held_out", "lang_pred", "score")
+    return langid.with_language(rows, found, keep=["doc_id", "held_out"])
 
 
 # --- 1: quality classifier ----------------------------------------------------------------------
@@ -99,7 +99,7 @@ def op1_ftrl_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     labels = table(spark, sf_dir, "labels").filter(id_bucket(F.col("doc_id"), 4) != 2)
     weights = quality.train(quality.labelled_documents(docs, labels))
     rows = docs.withColumn("held_out", id_bucket(F.col("doc_id"), 4) == 2)
-    return (quality.with_score(rows, weights).withColumn("predicted", (F.col("score") >= quality.THRESHOLD).cast("int"))
+    return (quality.with_score(rows, weights, keep=["doc_id", "held_out"]).withColumn("predicted", (F.col("score") >= quality.THRESHOLD).cast("int"))
             .select("doc_id", "held_out", "score", "predicted"))
 
 
