@@ -131,6 +131,7 @@ TEAM_MATCH_SUMS = [
     ("big_chances", "is_big_chance"), ("penalties", "is_penalty"), ("assisted_shots", "is_assisted"),
     ("goals", "is_goal"), ("touches", "is_touch"),
 ]
+SHOT_FLAGS = ("shot_on_target", "is_big_chance", "is_penalty", "is_assisted")
 TEAM_MATCH_MEANS = [("avg_shot_distance", "distance_to_goal_m"), ("avg_shot_angle", "goal_frame_angle"),
                     ("avg_score_diff_before_shot", "score_diff_before_shot")]
 
@@ -152,9 +153,8 @@ def safe_div_zero(num, den):
 def team_match_stats(events: DataFrame, shots: DataFrame, matches: DataFrame, normalise_teams: bool = True) -> DataFrame:
     """A1-A4 + J3 + J4: one row per (match, team) with 11 sums, 3 means, 7 ratios, opponent and side.
 
-    J3 (left join of all events to the shot columns by id) is kept as a join because the shot
-    columns come from the shot pipeline (windows over other partitionings); it is a co-partitioned
-    equi-join on ``id``.
+    J3 without its self-join: the shot columns are aggregated on the shot frame and the event flags on the
+    events, and the two small per-team tables are joined.
     """
     ev = events.withColumns({
         "match_id": F.col("match_id").cast("long"),
@@ -163,11 +163,9 @@ def team_match_stats(events: DataFrame, shots: DataFrame, matches: DataFrame, no
         "x": clean.lenient_number("x"),
         "end_x": clean.lenient_number("end_x"),
     })
+    own_shots = shots.withColumn("match_id", F.col("match_id").cast("long"))
     if normalise_teams:
-        ev = ev.withColumn("team_name", clean.canonical_name("team_name"))
-    shot_cols = shots.select("id", "is_big_chance", "is_penalty", "shot_on_target", "distance_to_goal_m",
-                             "goal_frame_angle", "score_diff_before_shot", "is_assisted")
-    ev = ev.join(shot_cols, "id", "left").fillna(0, subset=["is_big_chance", "is_penalty", "shot_on_target", "is_assisted"])
+        ev, own_shots = (df.withColumn("team_name", clean.canonical_name("team_name")) for df in (ev, own_shots))
     is_pass = F.col("event_type") == "Pass"
     ev = ev.withColumns({
         "is_pass": is_pass.cast("int"),
@@ -177,9 +175,13 @@ def team_match_stats(events: DataFrame, shots: DataFrame, matches: DataFrame, no
         "final_third_pass": (is_pass & (F.coalesce(F.col("end_x"), F.lit(0.0)) >= 66)).cast("int"),
     })
     ev = ev.withColumn("progressive_pass", F.coalesce(F.col("progressive_pass"), F.lit(0)))
-    aggs = [F.sum(F.col(src).cast("long")).alias(out) for out, src in TEAM_MATCH_SUMS]
-    aggs += [F.avg(src).alias(out) for out, src in TEAM_MATCH_MEANS]
-    g = ev.groupBy("match_id", "team_name").agg(*aggs)
+    total = lambda pairs: [F.sum(F.col(src).cast("long")).alias(out) for out, src in pairs]
+    of_shots = [p for p in TEAM_MATCH_SUMS if p[1] in SHOT_FLAGS]
+    by_team = own_shots.groupBy(F.col("match_id").alias("_m"), F.col("team_name").alias("_t")).agg(
+        *total(of_shots), *[F.avg(src).alias(out) for out, src in TEAM_MATCH_MEANS])
+    g = ev.groupBy("match_id", "team_name").agg(*total([p for p in TEAM_MATCH_SUMS if p[1] not in SHOT_FLAGS]))
+    g = g.join(by_team, F.col("match_id").eqNullSafe(F.col("_m")) & F.col("team_name").eqNullSafe(F.col("_t")), "left").drop("_m", "_t")
+    g = g.fillna(0, subset=[out for out, _ in of_shots])
     g = g.withColumns({
         "pass_accuracy": safe_ratio("passes_completed", "passes_attempted"),
         "progressive_pass_rate": safe_ratio("progressive_passes", "passes_attempted"),

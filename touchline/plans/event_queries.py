@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from touchline.operators import shots as S
+from touchline.operators.features import DIFF_BASES, TEAM_FORM_COLUMNS
 from touchline.plans import bindings
 from touchline.plans.oracle import EVENTS_CTE, FIXTURES_CTE, with_ctes
 from touchline.plans.registry import normalise, query
@@ -189,28 +190,31 @@ def team_match_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
     return normalise(res.select(*cols).withColumn("opponent", F.col("opponent").cast("string")))
 
 
-_FORM_EVENT_COLS = ["goals_for", "points", "shots", "conversion_rate", "pass_accuracy", "avg_shot_distance"]
+_FORM_EVENT_COLS = TEAM_FORM_COLUMNS
+_EVENT_FORM_COLS = [c for c in TEAM_FORM_COLUMNS if c not in ("goals_for", "goals_against", "points")]
 
 _FORM_EVENTS_SQL = _TEAM_MATCH_SQL.split("\nSELECT g.match_id")[0] + """,
 tm AS (
-  SELECT g.match_id, CAST(g.team_name AS BIGINT) AS team, CAST(shots AS DOUBLE) AS shots,
-         CASE WHEN shots > 0 THEN goals / shots ELSE 0.0 END AS conversion_rate,
+  SELECT g.*, CAST(g.team_name AS BIGINT) AS team,
          CASE WHEN passes_attempted > 0 THEN passes_completed / passes_attempted ELSE 0.0 END AS pass_accuracy,
-         avg_shot_distance
+         CASE WHEN passes_attempted > 0 THEN progressive_passes / passes_attempted ELSE 0.0 END AS progressive_pass_rate,
+         CASE WHEN shots > 0 THEN shots_on_target / shots ELSE 0.0 END AS shot_accuracy,
+         CASE WHEN shots > 0 THEN goals / shots ELSE 0.0 END AS conversion_rate,
+         CASE WHEN shots > 0 THEN big_chances / shots ELSE 0.0 END AS big_chance_rate,
+         CASE WHEN shots > 0 THEN assisted_shots / shots ELSE 0.0 END AS assisted_shot_rate,
+         CASE WHEN shots > 0 THEN touches / shots ELSE CAST(touches AS DOUBLE) END AS touches_per_shot
   FROM g
 ),
 tl AS (
-  SELECT id, kickoff, CAST(home_team AS BIGINT) AS team, 1 AS is_home, CAST(fthg AS DOUBLE) AS goals_for,
+  SELECT id, kickoff, CAST(home_team AS BIGINT) AS team, 1 AS is_home, CAST(fthg AS DOUBLE) AS goals_for, CAST(ftag AS DOUBLE) AS goals_against,
          CAST(CASE WHEN ftr = 'H' THEN 3 WHEN ftr = 'D' THEN 1 ELSE 0 END AS DOUBLE) AS points FROM fixtures
   UNION ALL
-  SELECT id, kickoff, CAST(away_team AS BIGINT), 0, CAST(ftag AS DOUBLE),
+  SELECT id, kickoff, CAST(away_team AS BIGINT), 0, CAST(ftag AS DOUBLE), CAST(fthg AS DOUBLE),
          CAST(CASE WHEN ftr = 'A' THEN 3 WHEN ftr = 'D' THEN 1 ELSE 0 END AS DOUBLE) FROM fixtures
 ),
 h AS (
-  SELECT tl.id, tl.is_home,
-         avg(tl.goals_for) OVER w AS goals_for_last5, avg(tl.points) OVER w AS points_last5, avg(tm.shots) OVER w AS shots_last5,
-         avg(tm.conversion_rate) OVER w AS conversion_rate_last5, avg(tm.pass_accuracy) OVER w AS pass_accuracy_last5,
-         avg(tm.avg_shot_distance) OVER w AS avg_shot_distance_last5
+  SELECT tl.id, tl.is_home, avg(tl.goals_for) OVER w AS goals_for_last5, avg(tl.goals_against) OVER w AS goals_against_last5,
+         avg(tl.points) OVER w AS points_last5""" + "".join(f", avg(CAST(tm.{c} AS DOUBLE)) OVER w AS {c}_last5" for c in _EVENT_FORM_COLS) + """
   FROM tl LEFT JOIN tm ON tm.match_id = tl.id AND tm.team = tl.team
   WINDOW w AS (PARTITION BY tl.team ORDER BY tl.kickoff, tl.id ROWS BETWEEN 5 PRECEDING AND 1 PRECEDING)
 ),
@@ -221,8 +225,8 @@ wd AS (
   FROM h GROUP BY id
 )
 SELECT f.id,""" + ",".join(
-    f"\n       round(home_{c}_last5, 6) AS home_{c}_last5, round(away_{c}_last5, 6) AS away_{c}_last5,"
-    f" round(home_{c}_last5 - away_{c}_last5, 6) AS {c}_diff_last5" for c in _FORM_EVENT_COLS) + """
+    f"\n       round(home_{c}_last5, 6) AS home_{c}_last5, round(away_{c}_last5, 6) AS away_{c}_last5"
+    + (f", round(home_{c}_last5 - away_{c}_last5, 6) AS {c}_diff_last5" if c in DIFF_BASES else "") for c in _FORM_EVENT_COLS) + """
 FROM fixtures f LEFT JOIN wd ON f.id = wd.id
 """
 
@@ -237,10 +241,6 @@ def fixture_form_with_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     ctx = bindings.match_context(fx)
     stats = S.team_match_stats(ev, S.enrich_shots(ev, ctx, bindings.shot_qualifiers(spark, sf_dir)), ctx)
     stats = stats.withColumn("team_name", F.col("team_name").cast("long"))
-    hist = features.team_history(fx, stats, 5, _FORM_EVENT_COLS, hot_rows=features.fixture_hot_rows(fx)[0])
-    rolled = [f"{c}_last5" for c in _FORM_EVENT_COLS]
-    from touchline.operators import reshape
-    wide = reshape.long_to_wide(hist, "match_id", "is_home", rolled).withColumnRenamed("match_id", "id")
-    res = reshape.side_differences(fx.select("id").join(wide, "id", "left"), _FORM_EVENT_COLS, "_last5")
-    cols = ["id"] + [x for c in _FORM_EVENT_COLS for x in (f"home_{c}_last5", f"away_{c}_last5", f"{c}_diff_last5")]
+    res = features.fixture_features(fx, stats)
+    cols = ["id"] + [f"{side}_{c}_last5" for c in _FORM_EVENT_COLS for side in ("home", "away")] + [f"{c}_diff_last5" for c in DIFF_BASES]
     return normalise(res.select(*cols))
