@@ -86,21 +86,20 @@ def test_clip_and_xg_bounds(spark):
 
 def test_hexbin_matches_nearest_centre(spark):
     rng = np.random.default_rng(7)
-    pts = rng.uniform(0, 100, size=(300, 2))
+    pts = rng.uniform(0, 100, size=(300, 2)) * [1.0, 0.6]
     df = spark.createDataFrame([(float(a), float(b)) for a, b in pts], "x double, y double")
-    got = {(r.hex_cx, r.hex_cy): r["count"] for r in profile.hexbin(df, "x", "y", 18).collect()}
-    sx = 100 / 18
-    sy = sx * math.sqrt(3)
-    centres = [(i * sx, j * sy) for i in range(-1, 20) for j in range(-1, 12)] + \
-              [((i + 0.5) * sx, (j + 0.5) * sy) for i in range(-1, 20) for j in range(-1, 12)]
-    c = np.array(centres)
+    got = profile.hexbin(df, "x", "y", 18).collect()
+    lo, hi = pts.min(axis=0), pts.max(axis=0)
+    lo, hi = lo - 1e-9 * (hi - lo), hi + 1e-9 * (hi - lo)
+    cell = (hi - lo) / [18, 10]
+    grid = [(i + o, j + o) for o in (0.0, 0.5) for i in range(19) for j in range(11)]
+    c = np.array(grid)
     exp = {}
-    for x, y in pts:
-        d = ((c[:, 0] - x) / sx) ** 2 + 3 * ((c[:, 1] - y) / sy) ** 2
-        k = tuple(np.round(c[int(np.argmin(d))], 9))
+    for p in (pts - lo) / cell:
+        k = tuple(c[int(np.argmin((c[:, 0] - p[0]) ** 2 + 3 * (c[:, 1] - p[1]) ** 2))])
         exp[k] = exp.get(k, 0) + 1
-    assert sum(got.values()) == 300
-    assert sorted(exp.values()) == sorted(got.values())
+    found = {tuple(np.round((np.array([r.hex_cx, r.hex_cy]) - lo) / cell, 6)): r["count"] for r in got}
+    assert found == exp
 
 
 def test_lenient_qualifier_parsing(spark):

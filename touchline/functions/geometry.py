@@ -141,9 +141,9 @@ def cut_edges(lo: str | Column, hi: str | Column, bins: int, index: str | Column
 
 def linspace_bin(value: str | Column, hi: str | Column, k: int) -> Column:
     """A10: bin over ``linspace(0, max, k)`` edges (k-1 right-closed bins, first edge inclusive)."""
-    v, hi_c = _c(value), _c(hi)
+    v, hi_c = _c(value), F.greatest(_c(hi), F.lit(0.001))  # the edges never collapse
     n = k - 1
-    idx = F.ceil(F.coalesce(F.try_divide(v, hi_c / n), F.lit(1.0))).cast("int")  # a zero maximum has one bin
+    idx = F.ceil(v / (hi_c / n)).cast("int")
     return F.when(v.isNull() | (v < 0) | (v > hi_c), F.lit(None).cast("int")).otherwise(
         F.greatest(F.lit(1), F.least(F.lit(n), idx)))
 
@@ -163,25 +163,24 @@ def grid_cell(v: str | Column, lo: float, hi: float, n: int) -> Column:
         F.least(F.floor((c - lo) / width).cast("int"), F.lit(n - 1)))
 
 
-def hex_cell(x: str | Column, y: str | Column, gridsize: int = 18, lo: float = 0.0, hi: float = 100.0) -> dict[str, Column]:
-    """Hexagonal binning as two offset rectangular lattices; the nearer centre wins.
+def hex_cell(x: str | Column, y: str | Column, x_range: tuple[Column, Column], y_range: tuple[Column, Column],
+             gridsize: int = 18) -> dict[str, Column]:
+    """Hexagonal binning as two offset rectangular lattices over the data's extent, ``gridsize`` cells
+    wide and ``gridsize / sqrt(3)`` (rounded down) high.
 
-    Lattice 1 centres at integer multiples of (sx, sy); lattice 2 at half-offsets. Returns the chosen
-    lattice and its integer cell coordinates plus the centre.
+    Lattice 1 has centres at whole multiples of the cell size, lattice 2 half a cell off; the nearer centre wins,
+    a tie goes to lattice 2, and halves round to even. Returns the lattice and the centre.
     """
-    sx = (hi - lo) / gridsize
-    sy = sx * math.sqrt(3)
-    xv = (_c(x) - lo) / sx
-    yv = (_c(y) - lo) / sy
-    i1, j1 = F.round(xv), F.round(yv)
+    pad = lambda lo, hi: (lo - 1e-9 * (hi - lo), hi + 1e-9 * (hi - lo))
+    (x0, x1), (y0, y1) = pad(*x_range), pad(*y_range)
+    sx, sy = (x1 - x0) / gridsize, (y1 - y0) / int(gridsize / math.sqrt(3))
+    xv = F.coalesce(F.try_divide(_c(x) - x0, sx), F.lit(0.0))
+    yv = F.coalesce(F.try_divide(_c(y) - y0, sy), F.lit(0.0))
+    i1, j1 = F.rint(xv), F.rint(yv)
     i2, j2 = F.floor(xv) + 0.5, F.floor(yv) + 0.5
-    d1 = (xv - i1) * (xv - i1) + 3 * (yv - j1) * (yv - j1)
-    d2 = (xv - i2) * (xv - i2) + 3 * (yv - j2) * (yv - j2)
-    first = d1 <= d2
-    cx = F.when(first, i1).otherwise(i2)
-    cy = F.when(first, j1).otherwise(j2)
+    first = (xv - i1) * (xv - i1) + 3 * (yv - j1) * (yv - j1) < (xv - i2) * (xv - i2) + 3 * (yv - j2) * (yv - j2)
     return {
         "hex_lattice": F.when(first, F.lit(1)).otherwise(F.lit(2)),
-        "hex_cx": cx * sx + lo,
-        "hex_cy": cy * sy + lo,
+        "hex_cx": F.when(first, i1).otherwise(i2) * sx + x0,
+        "hex_cy": F.when(first, j1).otherwise(j2) * sy + y0,
     }

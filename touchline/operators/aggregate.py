@@ -142,6 +142,16 @@ def two_sided_totals(left: DataFrame, right: DataFrame, key: str, left_cols: dic
     return lg.join(rg, key, "full").fillna(0, subset=list(left_cols) + list(right_cols))
 
 
+def outer_totals(tables: Sequence[tuple[DataFrame, dict[str, Column]]], key: str) -> DataFrame:
+    """A21 + J9: per-key aggregates of any number of tables combined by full outer joins, nulls to 0."""
+    out, names = None, []
+    for df, cols in tables:
+        own = df.groupBy(key).agg(*[c.alias(n) for n, c in cols.items()])
+        out = own if out is None else out.join(own, key, "full")
+        names += list(cols)
+    return out.fillna(0, subset=names)
+
+
 def zone_summary(df: DataFrame, zone_col: str, zones: Sequence[str], outcome: str, prob_col: str) -> DataFrame:
     """Fixed zone list with shots, goals, mean probability, conversion and share; empty zones
     give 0. ``best_zone`` flags the highest conversion (first in list order on ties)."""

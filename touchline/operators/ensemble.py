@@ -150,12 +150,16 @@ def soft_vote(preds: DataFrame, members: DataFrame, row_col: str = "row_id", mod
                     "ensemble_size", *carry)
 
 
-def ensemble_info(members: DataFrame, found: int | None = None) -> DataFrame:
-    """Loaded count, min/max/avg score, members ordered by weight."""
+def ensemble_info(members: DataFrame, found: int | None = None, discovered: DataFrame | None = None) -> DataFrame:
+    """Loaded count, min/max/avg score, members ordered by weight, and (from the rows of ``discover``) the
+    ignored candidates with their reasons."""
     agg = members.agg(F.count(F.lit(1)).alias("loaded"), F.min("score").alias("min_score"), F.max("score").alias("max_score"),
                       F.avg("score").alias("avg_score"),
                       F.sort_array(F.collect_list(F.struct(-F.col("weight"), F.col("model_id"))), True).alias("_m"))
     res = agg.withColumn("top_models", F.transform("_m", lambda x: x["model_id"])).drop("_m")
+    if discovered is not None:
+        skipped = discovered.filter(~F.col("selected")).agg(F.sort_array(F.collect_list(F.struct("name", "skip_reason"))).alias("ignored"))
+        res = res.crossJoin(F.broadcast(skipped))  # one row
     return res.withColumn("found", F.lit(found)) if found is not None else res
 
 

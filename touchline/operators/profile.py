@@ -117,8 +117,12 @@ def density2d(df: DataFrame, x: str, y: str, nx: int, ny: int, lo: float = 0.0,
 
 
 def hexbin(df: DataFrame, x: str, y: str, gridsize: int = 18, mincnt: int = 1) -> DataFrame:
-    """Hexagonal bin counts (cells with at least ``mincnt`` points)."""
-    h = df.filter(F.col(x).isNotNull() & F.col(y).isNotNull()).select(*[c.alias(n) for n, c in geometry.hex_cell(x, y, gridsize).items()])
+    """Hexagonal bin counts over the extent of the data (cells with at least ``mincnt`` points)."""
+    points = df.select(F.col(x).cast("double").alias("_x"), F.col(y).cast("double").alias("_y")).filter(F.col("_x").isNotNull() & F.col("_y").isNotNull())
+    extent = points.agg(*[f(c).alias(f"_{n}{c}") for c in ("_x", "_y") for n, f in (("lo", F.min), ("hi", F.max))])
+    at = points.crossJoin(F.broadcast(extent))  # one row
+    cells = geometry.hex_cell("_x", "_y", (F.col("_lo_x"), F.col("_hi_x")), (F.col("_lo_y"), F.col("_hi_y")), gridsize)
+    h = at.select(*[c.alias(n) for n, c in cells.items()])
     return h.groupBy("hex_lattice", "hex_cx", "hex_cy").agg(F.count(F.lit(1)).alias("count")).filter(F.col("count") >= mincnt)
 
 

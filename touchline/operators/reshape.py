@@ -94,7 +94,7 @@ def correlation_with_target(df: DataFrame, features: Sequence[str], target: str)
     agg = df.agg(*[F.corr(F.col(f).cast("double"), F.col(target).cast("double")).alias(f"_tl_c{i}") for i, f in enumerate(features)])
     stack_args = ", ".join(f"'{f}', _tl_c{i}" for i, f in enumerate(features))
     res = agg.selectExpr(f"stack({len(features)}, {stack_args}) as (feature, corr)")
-    return res.withColumn("abs_corr", F.abs("corr"))
+    return res.withColumn("abs_corr", F.abs("corr")).orderBy(F.col("abs_corr").desc_nulls_last(), "feature")  # one row per feature
 
 
 def redundant_pairs(df: DataFrame, columns: Sequence[str], threshold: float = 0.85) -> DataFrame:

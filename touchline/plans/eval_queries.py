@@ -534,15 +534,19 @@ def system_gaps(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query("ensemble_info", _ALL + """
+, sk AS (SELECT model_id, CASE WHEN model_id = 'm3' THEN 'missing artifact' WHEN score < 0.3 THEN 'score below minimum' END AS r FROM weights)
 SELECT CAST(count(*) AS BIGINT) AS loaded, round(min(score), 6) AS min_score, round(max(score), 6) AS max_score,
-       round(avg(score), 6) AS avg_score, arg_max(model_id, weight) AS top_model
+       round(avg(score), 6) AS avg_score, arg_max(model_id, weight) AS top_model,
+       coalesce((SELECT string_agg(model_id || ': ' || r, ', ' ORDER BY model_id) FROM sk WHERE r IS NOT NULL), '') AS ignored
 FROM weights
 """)
 def ensemble_info(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Members loaded, score range and mean, and the heaviest member."""
+    """Members loaded, score range and mean, the heaviest member, and who was ignored and why."""
     members = _members(_outcome_cells(_split_fixtures(spark, sf_dir)))
-    info = EN.ensemble_info(members).withColumn("top_model", F.col("top_models")[0]).drop("top_models")
-    return normalise(info.select("loaded", "min_score", "max_score", "avg_score", "top_model"))
+    found = EN.discover(members.select(F.col("model_id").alias("name"), "score", (F.col("model_id") != "m3").alias("has_artifact")), top_k=None, min_score=0.3)
+    info = EN.ensemble_info(members, discovered=found).withColumn("top_model", F.col("top_models")[0])
+    ignored = F.array_join(F.transform("ignored", lambda x: F.concat_ws(": ", x["name"], x["skip_reason"])), ", ").alias("ignored")
+    return normalise(info.select("loaded", "min_score", "max_score", "avg_score", "top_model", ignored))
 
 
 @query("zero_weight_vote", _ALL + """

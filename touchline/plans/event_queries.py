@@ -244,3 +244,43 @@ def fixture_form_with_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     res = features.fixture_features(fx, stats)
     cols = ["id"] + [f"{side}_{c}_last5" for c in _FORM_EVENT_COLS for side in ("home", "away")] + [f"{c}_diff_last5" for c in DIFF_BASES]
     return normalise(res.select(*cols))
+
+
+@query("team_profile_inputs", _TEAM_MATCH_SQL.split("\nSELECT g.match_id")[0] + """,
+hm AS (SELECT CAST(home_team AS VARCHAR) AS team, avg(fthg) AS goals_home, avg(ftag) AS ga_home FROM fixtures GROUP BY 1),
+aw AS (SELECT CAST(away_team AS VARCHAR) AS team, avg(ftag) AS goals_away, avg(fthg) AS ga_away FROM fixtures GROUP BY 1),
+ex AS (SELECT team_name AS team, avg(CASE WHEN passes_attempted > 0 THEN passes_completed / passes_attempted ELSE 0.0 END) AS pass_accuracy,
+              avg(big_chances) AS big_chances FROM g GROUP BY 1),
+k AS (SELECT team FROM hm UNION SELECT team FROM aw UNION SELECT team FROM ex)
+SELECT k.team, round((coalesce(goals_home, 0) + coalesce(goals_away, 0)) / 2, 6) AS goals_scored_avg,
+       round((coalesce(ga_home, 0) + coalesce(ga_away, 0)) / 2, 6) AS goals_conceded_avg, round(coalesce(pass_accuracy, 0), 6) AS pass_accuracy,
+       round(coalesce(big_chances, 0), 6) AS big_chances
+FROM k LEFT JOIN hm ON hm.team = k.team LEFT JOIN aw ON aw.team = k.team LEFT JOIN ex ON ex.team = k.team
+""")
+def team_profile_inputs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A21 + J9 (all three tables): home, away and event aggregates per team by full outer joins."""
+    from touchline.operators import aggregate as A
+    fx = bindings.fixtures(spark, sf_dir)
+    ev, ctx = bindings.play_events(spark, sf_dir, fx), bindings.match_context(fx)
+    stats = S.team_match_stats(ev, S.enrich_shots(ev, ctx, bindings.shot_qualifiers(spark, sf_dir)), ctx)
+    side = lambda s: fx.withColumn("team", F.col(f"{s}_team").cast("string"))
+    res = A.outer_totals([
+        (side("home"), {"goals_home": F.avg("fthg"), "ga_home": F.avg("ftag")}), (side("away"), {"goals_away": F.avg("ftag"), "ga_away": F.avg("fthg")}),
+        (stats.withColumnRenamed("team_name", "team"), {"pass_accuracy": F.avg("pass_accuracy"), "big_chances": F.avg("big_chances")})], "team")
+    return normalise(res.select("team", ((F.col("goals_home") + F.col("goals_away")) / 2).alias("goals_scored_avg"),
+                                ((F.col("ga_home") + F.col("ga_away")) / 2).alias("goals_conceded_avg"), "pass_accuracy", "big_chances"))
+
+
+@query("team_series", with_ctes(FIXTURES_CTE) + """
+, tl AS (SELECT id, kickoff, home_team AS team, fthg AS gf, ftag AS ga FROM fixtures UNION ALL SELECT id, kickoff, away_team, ftag, fthg FROM fixtures)
+SELECT id, team, CASE WHEN gf > ga THEN 'W' WHEN gf = ga THEN 'D' ELSE 'L' END AS result,
+       round(CASE WHEN count(*) OVER w >= 5 THEN avg(CAST(gf AS DOUBLE)) OVER w END, 6) AS goals_ma5
+FROM tl WINDOW w AS (PARTITION BY team ORDER BY kickoff, id ROWS BETWEEN 4 PRECEDING AND CURRENT ROW)
+""")
+def team_series(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Per team its results as W, D or L and the moving average of goals, null until five fixtures."""
+    from touchline.operators import features, windows
+    long = features.team_long(bindings.fixtures(spark, sf_dir)).withColumnRenamed("match_id", "id").withColumn("goals_for", F.col("goals_for").cast("double"))
+    out = windows.moving_average_complete(long, "team", ["kickoff", "id"], "goals_for", 5, out="goals_ma5")
+    result = F.when(F.col("goals_for") > F.col("goals_against"), "W").when(F.col("goals_for") == F.col("goals_against"), "D").otherwise("L")
+    return normalise(out.select("id", "team", result.alias("result"), "goals_ma5"))

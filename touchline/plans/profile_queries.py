@@ -350,16 +350,17 @@ def histogram_by_flag(spark: SparkSession, sf_dir: str) -> DataFrame:
     return normalise(profile.histogram(bindings.pitch_points(spark, sf_dir), "x", 0.0, 100.0, 10, by="l_returnflag", density=True))
 
 
-_HEX_SX, _HEX_SY = 5.555555555555555, 9.622504486493762
 
 
-@query("hexbin_points", with_ctes(POINTS_CTE) + f"""
-, v AS (SELECT (x - 0.0) / {_HEX_SX!r} AS xv, (y - 0.0) / {_HEX_SY!r} AS yv FROM points WHERE x IS NOT NULL AND y IS NOT NULL),
-c AS (SELECT xv, yv, round(xv) AS i1, round(yv) AS j1, floor(xv) + 0.5 AS i2, floor(yv) + 0.5 AS j2 FROM v),
-d AS (SELECT *, (xv - i1) * (xv - i1) + 3 * (yv - j1) * (yv - j1) AS d1, (xv - i2) * (xv - i2) + 3 * (yv - j2) * (yv - j2) AS d2 FROM c)
-SELECT CAST(CASE WHEN d1 <= d2 THEN 1 ELSE 2 END AS BIGINT) AS hex_lattice,
-       round(CASE WHEN d1 <= d2 THEN i1 ELSE i2 END * {_HEX_SX!r} + 0.0, 6) AS hex_cx,
-       round(CASE WHEN d1 <= d2 THEN j1 ELSE j2 END * {_HEX_SY!r} + 0.0, 6) AS hex_cy, CAST(count(*) AS BIGINT) AS count
+@query("hexbin_points", with_ctes(POINTS_CTE) + """
+, e AS (SELECT min(x) AS a, max(x) AS b, min(y) AS c, max(y) AS d FROM points),
+g AS (SELECT a - 1e-9::DOUBLE * (b - a) AS x0, ((b + 1e-9::DOUBLE * (b - a)) - (a - 1e-9::DOUBLE * (b - a))) / 18 AS sx, c - 1e-9::DOUBLE * (d - c) AS y0,
+             ((d + 1e-9::DOUBLE * (d - c)) - (c - 1e-9::DOUBLE * (d - c))) / 10 AS sy FROM e),
+v AS (SELECT (x - x0) / sx AS xv, (y - y0) / sy AS yv, g.* FROM points CROSS JOIN g WHERE x IS NOT NULL AND y IS NOT NULL),
+c AS (SELECT *, round_even(xv, 0) AS i1, round_even(yv, 0) AS j1, floor(xv) + 0.5 AS i2, floor(yv) + 0.5 AS j2 FROM v),
+d AS (SELECT *, (xv - i1) * (xv - i1) + 3 * (yv - j1) * (yv - j1) < (xv - i2) * (xv - i2) + 3 * (yv - j2) * (yv - j2) AS near FROM c)
+SELECT CAST(CASE WHEN near THEN 1 ELSE 2 END AS BIGINT) AS hex_lattice, round(CASE WHEN near THEN i1 ELSE i2 END * sx + x0, 6) AS hex_cx,
+       round(CASE WHEN near THEN j1 ELSE j2 END * sy + y0, 6) AS hex_cy, CAST(count(*) AS BIGINT) AS count
 FROM d GROUP BY 1, 2, 3 HAVING count(*) >= 1
 """)
 def hexbin_points(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -389,13 +390,13 @@ SELECT * FROM (VALUES
   ('l_quantity', (SELECT round(corr(l_quantity, o_totalprice), 6) FROM lineitem JOIN orders ON l_orderkey = o_orderkey)),
   ('l_discount', (SELECT round(corr(l_discount, o_totalprice), 6) FROM lineitem JOIN orders ON l_orderkey = o_orderkey)),
   ('l_tax', (SELECT round(corr(l_tax, o_totalprice), 6) FROM lineitem JOIN orders ON l_orderkey = o_orderkey))
-) t(feature, corr)
-""")
+) t(feature, corr) CROSS JOIN (SELECT 1) u
+""".replace("SELECT * FROM (VALUES", "SELECT feature, corr, abs(corr) AS abs_corr FROM (VALUES"))
 def target_correlation(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Correlation of line features with the order total (join on the order key)."""
     li = table(spark, sf_dir, "lineitem").join(table(spark, sf_dir, "orders"), F.col("l_orderkey") == F.col("o_orderkey"))
     res = reshape.correlation_with_target(li, ["l_quantity", "l_discount", "l_tax"], "o_totalprice")
-    return normalise(res.select("feature", "corr"))
+    return normalise(res.select("feature", "corr", "abs_corr"))
 
 
 @query("redundant_pairs", """
