@@ -102,6 +102,16 @@ def assign_weights(members: DataFrame, score_col: str = "score") -> DataFrame:
     return members.withColumn("weight", F.when(all_pos & (total > 0), F.col(score_col) / total).otherwise(F.lit(1.0) / n))
 
 
+def sized_ensembles(members: DataFrame, sizes: Sequence[int], score_col: str = "score", name_col: str = "model_id") -> DataFrame:
+    """The members of the top-k ensemble of every size, each with its own weights."""
+    best = Window.orderBy(F.col(score_col).desc_nulls_last(), F.col(name_col).desc())  # one row per model
+    ranked = members.withColumn("_r", F.row_number().over(best)).withColumn("size", F.explode(F.array(*[F.lit(k) for k in sizes]))).filter(F.col("_r") <= F.col("size"))
+    own = Window.partitionBy("size")
+    total = F.sum(score_col).over(own)
+    all_pos = F.min((F.coalesce(F.col(score_col), F.lit(0)) > 0).cast("int")).over(own) == 1
+    return ranked.withColumn("weight", F.when(all_pos, F.col(score_col) / total).otherwise(F.lit(1.0) / F.count(F.lit(1)).over(own))).drop("_r")
+
+
 def member_probabilities(preds: DataFrame, ph: str = "p_home", pd_: str = "p_draw", pa: str = "p_away",
                          label: str = "label") -> DataFrame:
     """E19 per member row: negative probabilities clamp to 0; when nothing positive is left, a H/D/A
@@ -119,7 +129,7 @@ def member_probabilities(preds: DataFrame, ph: str = "p_home", pd_: str = "p_dra
 
 
 def soft_vote(preds: DataFrame, members: DataFrame, row_col: str = "row_id", model_col: str = "model_id",
-              goals_col: str = "goals", carry: Sequence[str] = ()) -> DataFrame:
+              goals_col: str = "goals", carry: Sequence[str] = (), by: Sequence[str] = ()) -> DataFrame:
     """E18 + E19: per row, weights renormalised over the members that produced the row, weighted
     probabilities summed and normalised, argmax label (first of H, D, A on ties), weighted mean of
     goals over members that gave one, and the number of members used.
@@ -128,10 +138,10 @@ def soft_vote(preds: DataFrame, members: DataFrame, row_col: str = "row_id", mod
     table. ``groupBy(row_id)`` sees at most one row per member. ``carry`` columns depend on the row
     only (e.g. its label) and pass through with ``first``.
     """
-    q = member_probabilities(preds).join(F.broadcast(members.select(model_col, "weight")), model_col)
+    q = member_probabilities(preds).join(F.broadcast(members.select(model_col, "weight", *by)), model_col)
     q = q.withColumn("weight", F.greatest(F.col("weight"), F.lit(0.0)))
     has_goals = F.col(goals_col).isNotNull()
-    g = q.groupBy(row_col).agg(
+    g = q.groupBy(row_col, *by).agg(
         F.sum("weight").alias("_w"), F.count(F.lit(1)).alias("ensemble_size"),
         *[F.sum(F.col("weight") * F.col(f"q_{s}")).alias(f"_{s}") for s in SIDES], *[F.sum(f"q_{s}").alias(f"_e{s}") for s in SIDES],
         F.sum(F.when(has_goals, F.col("weight") * F.col(goals_col))).alias("_gs"), F.sum(F.when(has_goals, F.col("weight"))).alias("_gw"),
@@ -144,7 +154,7 @@ def soft_vote(preds: DataFrame, members: DataFrame, row_col: str = "row_id", mod
         "_gs": F.when(equal, F.col("_egs")).otherwise(F.col("_gs")), "_gw": F.when(equal, F.col("_egw").cast("double")).otherwise(F.col("_gw"))})
     total = F.col("_phome") + F.col("_pdraw") + F.col("_paway")
     g = g.withColumns({f"p_{s}": F.col(f"_p{s}") / total for s in SIDES})
-    return g.select(row_col, "p_home", "p_draw", "p_away",
+    return g.select(row_col, *by, "p_home", "p_draw", "p_away",
                     argmax_label("p_home", "p_draw", "p_away").alias("predicted_result"),
                     F.when(F.col("_gw") > 0, F.col("_gs") / F.col("_gw")).alias("predicted_total_goals"),
                     "ensemble_size", *carry)

@@ -566,3 +566,23 @@ def zero_weight_vote(spark: SparkSession, sf_dir: str) -> DataFrame:
     weights = spark.createDataFrame([("m1", 0.0), ("m2", 0.0), ("m3", 0.0), ("m4", 0.7)], "model_id string, weight double")
     vote = EN.soft_vote(preds, weights)
     return normalise(vote.select("row_id", "p_home", "p_draw", "p_away", "predicted_total_goals", "ensemble_size"))
+
+
+@query("ensemble_sizes", _ALL + """
+, rk AS (SELECT model_id, score, row_number() OVER (ORDER BY score DESC NULLS LAST, model_id DESC) AS r FROM scores),
+sz AS (SELECT v.size, rk.model_id, rk.score / sum(rk.score) OVER (PARTITION BY v.size) AS weight FROM rk JOIN (VALUES (1), (2), (4)) v(size) ON rk.r <= v.size),
+qs AS (SELECT q1.row_id, sz.size, h / (h + d + a) AS qh, d / (h + d + a) AS qd, a / (h + d + a) AS qa, sz.weight
+       FROM q1 JOIN sz ON q1.model_id = sz.model_id JOIN split2 s ON s.id = q1.row_id WHERE h + d + a > 0 AND NOT s.is_train),
+vs AS (SELECT row_id, size, sum(weight * qh) AS ph, sum(weight * qd) AS pd, sum(weight * qa) AS pa FROM qs GROUP BY row_id, size)
+SELECT CAST(size AS BIGINT) AS size, CAST(count(*) AS BIGINT) AS n,
+       round(avg(CASE WHEN (CASE WHEN ph >= pd AND ph >= pa THEN 'H' WHEN pd >= pa THEN 'D' ELSE 'A' END) = ftr THEN 1.0 ELSE 0.0 END), 6) AS accuracy
+FROM vs JOIN fixtures f ON f.id = vs.row_id GROUP BY size
+""")
+def ensemble_sizes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Ensembles of the best 1, 2 and 4 members on the holdout, voted in one pass."""
+    fxs = _split_fixtures(spark, sf_dir)
+    ensembles = EN.sized_ensembles(_members(_outcome_cells(fxs)).drop("weight"), (1, 2, 4))
+    preds = bindings.member_predictions(fxs.filter(~F.col("is_train")), keep=("ftr",))
+    vote = EN.soft_vote(preds, ensembles, carry=("ftr",), by=("size",))
+    met = EV.summary_metrics(EV.outcome_counts(vote, "ftr", "predicted_result", by=["size"]), by=["size"])
+    return normalise(met.select("size", "n", "accuracy"))

@@ -328,3 +328,44 @@ def advanced_stage2_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
     data = _indexed_matches(spark, sf_dir)
     return normalise(S.advanced_stage2(data.filter("is_train"), data.filter(~F.col("is_train")), MATCH_FEATURES, features.INDEX_COLUMNS, "label",
                                        checks=lambda pred: _probability_checks(pred, ["p_home", "p_draw", "p_away"])))
+
+
+ODDS_FEATURES = ["b365_home_prob", "b365_draw_prob", "b365_away_prob"]
+
+
+@query("feature_ablation", with_ctes(FIXTURES_CTE, _TRAIN_CTE) + """
+SELECT system, CAST(features AS BIGINT) AS features, CAST((SELECT count(*) FROM data WHERE NOT is_train) AS BIGINT) AS scored,
+       CAST((SELECT count(*) FROM data WHERE NOT is_train) AS BIGINT) AS valid
+FROM (VALUES ('odds', 3), ('history', 9), ('both', 12)) t(system, features)
+""")
+def feature_ablation(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """M10 + E9: the same multinomial model on the odds, on the history and on both."""
+    data = match_table(spark, sf_dir)
+    history = [c for c in MATCH_FEATURES if "_last" in c]
+    out = None
+    for system, cols in (("odds", ODDS_FEATURES), ("history", history), ("both", ODDS_FEATURES + history)):
+        model = M.build_pipeline(cols, M.estimator("multinomial", "classifier"), impute=None).fit(data.filter("is_train"))
+        pred = M.probabilities(model.transform(data.filter(~F.col("is_train"))))
+        row = pred.agg(F.lit(system).alias("system"), F.lit(len(cols)).alias("features"), *_probability_checks(pred, ["p_home", "p_draw", "p_away"]))
+        out = row if out is None else out.unionByName(row)
+    return normalise(out)
+
+
+@query("pipeline_modes", with_ctes(FIXTURES_CTE, _TRAIN_CTE) + """
+, c AS (SELECT ftr, count(*) AS n FROM data WHERE is_train GROUP BY ftr)
+SELECT mode, CAST((SELECT 3 * max(n) FROM c) AS BIGINT) AS fitted_rows, CAST((SELECT count(*) FROM data WHERE NOT is_train) AS BIGINT) AS scored,
+       CAST((SELECT count(*) FROM data WHERE NOT is_train) AS BIGINT) AS valid
+FROM (VALUES ('normal'), ('lasso_selected'), ('poly2_lasso')) t(mode)
+""")
+def pipeline_modes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """M6 + M7 + M23: the pipeline modes with SMOTE on the training rows: balanced rows fitted, and every holdout
+    row scored with valid probabilities."""
+    data = match_table(spark, sf_dir)
+    cols = ODDS_FEATURES + ["home_points_last5", "away_points_last5"]
+    out = None
+    for mode in ("normal", "lasso_selected", "poly2_lasso"):
+        fitted, score = S.fit_mode(data.filter("is_train"), "id", cols, "label", "multinomial", "classifier", mode, smote=True)
+        pred = M.probabilities(score(data.filter(~F.col("is_train"))))
+        row = pred.agg(F.lit(mode).alias("mode"), F.lit(fitted).alias("fitted_rows"), *_probability_checks(pred, ["p_home", "p_draw", "p_away"]))
+        out = row if out is None else out.unionByName(row)
+    return normalise(out)
