@@ -122,18 +122,23 @@ class Codebooks:
 def top_k(queries: pd.DataFrame, vectors: pd.DataFrame, k: int) -> pd.DataFrame:
     """The best k of ``vectors`` for each of ``queries`` by exact inner product, ties by smaller id."""
     q, v = matrix(queries["vec"]), matrix(vectors["vec"])
-    ids, out = vectors["vec_id"].to_numpy(), []
+    asked, ids, out = queries["query_id"].to_numpy(), vectors["vec_id"].to_numpy(), []
+    longest = np.sqrt((v ** 2).sum(1).max())
     for at in range(0, len(q), 256):
-        rough = q[at:at + 256] @ v.T
-        for row, query, own in zip(rough, q[at:at + 256], queries["query_id"].iloc[at:at + 256]):
-            row = np.where(ids == own, -np.inf, row)
-            near = np.flatnonzero(row > -np.inf)
-            if len(near) > k:
-                room = ROOM * np.sqrt((query ** 2).sum()) * max(np.sqrt((v ** 2).sum(1).max()), 1e-300)
-                near = near[row[near] >= np.partition(row[near], len(near) - k)[len(near) - k] - room]
-            score = (v[near] * query).sum(axis=1)
-            best = np.lexsort((ids[near], -score))[:k]
-            out.append(pd.DataFrame({"query_id": own, "vec_id": ids[near][best], "score": score[best]}))
+        some, own = q[at:at + 256], asked[at:at + 256]
+        rough = some @ v.T
+        rough[own[:, None] == ids[None, :]] = -np.inf
+        if len(v) > k:
+            # the matrix product rounds by place, so all that may belong to the best k are scored exactly
+            room = ROOM * np.sqrt((some ** 2).sum(1)) * longest
+            rough[rough < (np.partition(rough, len(v) - k, axis=1)[:, len(v) - k] - room)[:, None]] = -np.inf
+        row, col = np.nonzero(rough > -np.inf)
+        score = (v[col] * some[row]).sum(axis=1)
+        order = np.lexsort((ids[col], -score, row))
+        row, col, score = row[order], col[order], score[order]
+        place = np.arange(len(row)) - np.searchsorted(row, row)
+        best = place < k
+        out.append(pd.DataFrame({"query_id": own[row[best]], "vec_id": ids[col[best]], "score": score[best]}))
     return pd.concat(out) if out else pd.DataFrame({"query_id": [], "vec_id": [], "score": []})
 
 
