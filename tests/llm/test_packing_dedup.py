@@ -59,6 +59,36 @@ def test_residual_tree_merges_underfull_bins(spark, tokenizer):
     assert used <= least + 2  # 6 documents fill a sequence; each partition alone would need its own
 
 
+def test_every_underfull_bin_is_merged(spark, tokenizer):
+    long, short = "a " * 1099, "a " * 899  # 1,100 and 900 tokens with the end id, sorted by length
+    rows = [(i, long if i < 2500 else short) for i in range(5000)]
+    df = spark.createDataFrame(spark.sparkContext.parallelize(rows, 2), "doc_id long, text string")
+    assert df.rdd.getNumPartitions() == 2
+    out = packing.pack(df, PATH).toPandas()
+    assert len(out) == 5000 and sorted(set(out.length)) == [900, 1100]
+    assert out.groupby("sequence_id").length.sum().max() <= 2048
+    assert out.sequence_id.nunique() == 2500  # one of each a sequence
+
+
+def test_best_fit_of_counts_equals_best_fit():
+    rng = np.random.default_rng(8)
+    for high in (40, 300, 2049):
+        lengths = rng.integers(1, high, 3000)
+        sizes, numbers = np.unique(lengths, return_counts=True)
+        plan = packing.best_fit_counts(dict(zip(sizes.tolist(), numbers.tolist())), 2048)
+        spans = {}  # every item of every length once, next to each other from offset 0 on
+        for i, (size, rank, first, per_bin, offset) in enumerate(plan):
+            end = plan[i + 1][1] if i + 1 < len(plan) and plan[i + 1][0] == size else numbers[sizes == size][0]
+            for k in range(end - rank):
+                spans.setdefault(first + k // per_bin, []).append((offset + k % per_bin * size, size))
+        assert sorted(n for own in spans.values() for _, n in own) == sorted(lengths)
+        for own in spans.values():
+            own.sort()
+            assert [o for o, _ in own] == [0, *np.cumsum([n for _, n in own])[:-1]] and sum(own[-1]) <= 2048
+        assert len(spans) == len({b for b, _ in packing.best_fit(lengths.tolist(), 2048)})
+    assert packing.best_fit_counts({}, 2048) == []
+
+
 def test_best_fit_never_overfills():
     rng = np.random.default_rng(3)
     lengths = rng.integers(1, 2049, 500).tolist()

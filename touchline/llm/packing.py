@@ -4,12 +4,12 @@
    full pieces and one shorter last piece. Full pieces are sequences of their own.
 2. Each partition packs its remaining pieces by best fit, longest first, and is done with bins whose free
    space is at most ``slack``.
-3. What lies in underfull bins goes on as items: small bins of at most an eighth of the capacity (a longer
-   piece alone). Groups of ``fan_in`` partitions pack them by best fit again, and so on up a tree until one
-   group is left, which finishes all its bins. A round only maps bins to larger bins.
+3. What lies in underfull bins, all of it, goes on as items: small bins of at most an eighth of the capacity
+(a longer piece alone). They are counted by length, at most ``capacity`` distinct ones whatever the table, and
+best fit of the counts says which ranks of a length go to which sequence. Items get their rank from the counts
+of the tasks before their own, so no task and not the driver holds the items of the others.
 
-What a group passes on is bounded: of its underfull bins only the ``carry`` with most room go on, as 16
-items each at most; the others are finished as they are. No piece is ever dropped.
+No underfull bin is closed early and no piece is dropped.
 
 Token ids come from the word-level tokenizer. White space separates its words, so a text is encoded word
 by word through a bounded per-worker cache and the id bytes are joined; the result equals encoding the
@@ -26,10 +26,9 @@ import zlib
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark import TaskContext
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from touchline.llm.common import materialise
@@ -39,6 +38,10 @@ CAPACITY = 2048
 CACHE_WORDS = 400_000
 #: Pieces that a partition packs at a time.
 CHUNK_PIECES = 1 << 18
+#: A bin's number has its partition above these bits; merged sequences have numbers above those of all partitions.
+PART_BITS, MERGED = 40, 1 << 62
+#: Bits of an item's rank among the items of its length.
+RANK_BITS = 44
 _encoders: dict[str, "WordEncoder"] = {}
 
 
@@ -119,14 +122,6 @@ def best_fit(lengths: list[int], capacity: int) -> list[tuple[int, int]]:
     return placed
 
 
-def carried(totals: np.ndarray, capacity: int, slack: int, carry: int) -> np.ndarray:
-    """Which bins go on to the next round: underfull ones, at most ``carry``, those with most room first."""
-    keep = np.zeros(len(totals), dtype=bool)
-    roomy = np.flatnonzero(capacity - totals > slack)
-    keep[roomy[np.argsort(totals[roomy], kind="stable")[:carry]]] = True
-    return keep
-
-
 def loosened(placed: np.ndarray, lengths: np.ndarray, goes_on: np.ndarray, small: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Bins that go on, taken apart into small bins: (bin, offset) per item, length per bin, and whether the
     bin goes on."""
@@ -144,26 +139,34 @@ def loosened(placed: np.ndarray, lengths: np.ndarray, goes_on: np.ndarray, small
     return np.stack([bins, offsets], 1), totals, np.arange(count) >= len(goes_on)
 
 
-PIECES = ("doc_id long, piece int, start long, length long, ids_crc32 long, bin long, bin_offset long, bin_length long, open boolean")
+PIECES = ("doc_id long, piece int, start long, length long, ids_crc32 long, bin long, bin_offset long, bin_length long, rank long")
+PLACED = "doc_id long, piece int, start long, length long, ids_crc32 long, sequence_id long, offset long"
 
 
-def tokenised_pieces(docs: DataFrame, tokenizer_path: str, end_id: int, capacity: int, slack: int, carry: int) -> DataFrame:
-    """Pieces of every document with their place in a bin of their own partition."""
+def tokenised_pieces(docs: DataFrame, tokenizer_path: str, end_id: int, capacity: int, slack: int) -> DataFrame:
+    """Pieces of every document with their place in a bin of their own partition, and the bin's rank among
+    the partition's bins of its length that go on (-1: the bin is done)."""
 
     names = [c.split()[0] for c in PIECES.split(", ")]
 
-    def packed(parts: list[list], first_bin: int) -> tuple[pa.RecordBatch, int]:
+    def packed(parts: list[list], first_bin: int, seen: np.ndarray) -> tuple[pa.RecordBatch, int]:
         lengths = np.asarray(parts[3], dtype=np.int64)
         placed = np.asarray(best_fit(parts[3], capacity), dtype=np.int64)
         totals = np.bincount(placed[:, 0], weights=lengths).astype(np.int64)
-        placed, totals, goes_on = loosened(placed, lengths, carried(totals, capacity, slack, carry), capacity // 8)
+        placed, totals, goes_on = loosened(placed, lengths, capacity - totals > slack, capacity // 8)
+        moved = np.flatnonzero(goes_on)
+        moved = moved[np.argsort(totals[moved], kind="stable")]
+        sizes = totals[moved]
+        ranks = np.full(len(totals), -1, dtype=np.int64)
+        ranks[moved] = seen[sizes] + np.arange(len(moved)) - np.searchsorted(sizes, sizes)
+        seen += np.bincount(sizes, minlength=len(seen))
         columns = [pa.array(parts[0], pa.int64()), pa.array(parts[1], pa.int32()), *(pa.array(p, pa.int64()) for p in parts[2:]),
-                   pa.array(first_bin + placed[:, 0]), pa.array(placed[:, 1]), pa.array(totals[placed[:, 0]]), pa.array(goes_on[placed[:, 0]])]
+                   pa.array(first_bin + placed[:, 0]), pa.array(placed[:, 1]), pa.array(totals[placed[:, 0]]), pa.array(ranks[placed[:, 0]])]
         return pa.RecordBatch.from_arrays(columns, names=names), first_bin + len(totals)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         enc, end = encoder(tokenizer_path), np.asarray([end_id], dtype="<u4").tobytes()
-        next_bin = TaskContext.get().partitionId() << 40
+        next_bin, seen = TaskContext.get().partitionId() << PART_BITS, np.zeros(capacity + 1, dtype=np.int64)
         parts: list[list] = [[], [], [], [], []]
         for batch in batches:
             for doc_id, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
@@ -174,62 +177,80 @@ def tokenised_pieces(docs: DataFrame, tokenizer_path: str, end_id: int, capacity
                     for column, value in zip(parts, (doc_id, piece, start, length, zlib.crc32(data[4 * start:4 * (start + length)]))):
                         column.append(value)
             if len(parts[0]) >= CHUNK_PIECES:
-                out, next_bin = packed(parts, next_bin)
+                out, next_bin = packed(parts, next_bin, seen)
                 parts = [[], [], [], [], []]
                 yield out
         if parts[0]:
-            yield packed(parts, next_bin)[0]
+            yield packed(parts, next_bin, seen)[0]
 
     return docs.mapInArrow(run, PIECES)
 
 
-def merge_round(items: DataFrame, capacity: int, slack: int, carry: int, fan_in: int, last: bool) -> DataFrame:
-    """One round over (bin, length, grp): old bin -> new bin, shift within it, and whether it goes on. The
-    last round finishes every bin."""
-    schema = "bin long, length long, grp long, into long, shift long, total long, open boolean"
-
-    def pack(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values(["length", "bin"]).reset_index(drop=True)
-        placed = np.asarray(best_fit(pdf["length"].tolist(), capacity), dtype=np.int64)
-        lengths = pdf["length"].to_numpy()
-        totals = np.bincount(placed[:, 0], weights=lengths).astype(np.int64)
-        open_bins = np.zeros(len(totals), dtype=bool)
-        if not last:
-            placed, totals, open_bins = loosened(placed, lengths, carried(totals, capacity, slack, carry), capacity // 8)
-        lowest = np.full(len(totals), np.iinfo(np.int64).max)
-        np.minimum.at(lowest, placed[:, 0], pdf["bin"].to_numpy())  # a bin is named by its smallest member
-        return pdf.assign(into=lowest[placed[:, 0]], shift=placed[:, 1], total=totals[placed[:, 0]], open=open_bins[placed[:, 0]])[
-            [c.split()[0] for c in schema.split(", ")]]
+def best_fit_counts(counts: dict[int, int], capacity: int) -> list[tuple[int, int, int, int, int]]:
+    """``best_fit`` of items known by their number per length. (length, rank, bin, per_bin, offset): items of
+    this length from this rank on lie in bins from this one on, ``per_bin`` in each, at this offset. Equal bins
+    are kept as runs, so work and result depend on the capacity and not on the number of items."""
+    open_at: dict[int, list[tuple[int, int]]] = {}  # free space -> runs of bins: first, number
+    free_sizes: list[int] = []
+    plan, bins = [], 0
+
+    def put(free: int, first: int, n: int) -> None:
+        if free and n:
+            if free not in open_at:
+                open_at[free] = []
+                bisect.insort(free_sizes, free)
+            open_at[free].append((first, n))
+
+    for size in sorted(counts, reverse=True):
+        rank, left = 0, counts[size]
+        while left:
+            at = bisect.bisect_left(free_sizes, size)
+            if at < len(free_sizes):
+                free = free_sizes[at]
+                first, n = open_at[free].pop()
+                if not open_at[free]:
+                    del open_at[free], free_sizes[at]
+            else:
+                free, first, n = capacity, bins, -(-left // (capacity // size))
+                bins += n
+            per_bin = min(free // size, left)
+            used = min(n, left // per_bin)
+            plan.append((size, rank, first, per_bin, capacity - free))
+            put(free, first + used, n - used)
+            put(free - per_bin * size, first, used)
+            rank, left = rank + used * per_bin, left - used * per_bin
+    return plan
+
+
+def merged(opened: DataFrame, capacity: int) -> DataFrame:
+    """Pieces of underfull bins, placed in sequences over all partitions."""
+    opened = opened.withColumn("part", F.shiftright("bin", PART_BITS))
+    counts = materialise(opened.groupBy("part", "bin_length").agg((F.max("rank") + 1).alias("n")), "counts")
+    sizes = counts.groupBy("bin_length").agg(F.sum("n").alias("n")).collect()  # at most ``capacity`` rows
+    plan = np.asarray(best_fit_counts({r.bin_length: r.n for r in sizes}, capacity), dtype=np.int64).reshape(-1, 5)
+    plan = plan[np.lexsort((plan[:, 1], plan[:, 0]))]
+    starts = (plan[:, 0] << RANK_BITS) + plan[:, 1]
+    earlier = Window.partitionBy("bin_length").orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
+    before = counts.select("part", "bin_length", F.coalesce(F.sum("n").over(earlier), F.lit(0)).alias("before"))
+
+    def place(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            size, rank, shift = (batch.column(i).to_numpy() for i in (5, 6, 7))
+            row = plan[np.searchsorted(starts, (size << RANK_BITS) + rank, side="right") - 1]
+            nth, slot = np.divmod(rank - row[:, 1], row[:, 3])
+            yield pa.RecordBatch.from_arrays([*batch.columns[:5], pa.array(MERGED + row[:, 2] + nth), pa.array(row[:, 4] + slot * size + shift)],
+                                             names=[c.split()[0] for c in PLACED.split(", ")])
 
-    grouped = items.select("bin", "length", F.expr(f"grp div {fan_in}").alias("grp"))
-    return grouped.groupBy("grp").applyInPandas(pack, schema)
+    return (opened.join(before, ["part", "bin_length"])
+            .select("doc_id", "piece", "start", "length", "ids_crc32", "bin_length", F.expr("rank + before"), "bin_offset").mapInArrow(place, PLACED))
 
 
-def pack(docs: DataFrame, tokenizer_path: str, end_id: int = 0, capacity: int = CAPACITY, slack: int = 16,
-         carry: int = 1024, fan_in: int = 8) -> DataFrame:
+def pack(docs: DataFrame, tokenizer_path: str, end_id: int = 0, capacity: int = CAPACITY, slack: int = 16, fan_in: int = 8) -> DataFrame:
     """Place every piece of every document (doc_id, text): doc_id, piece, start, length, ids_crc32,
-    sequence_id, offset. ``slack`` is the free space up to which a bin counts as full."""
+    sequence_id, offset. ``slack`` is the free space up to which a bin counts as full. ``fan_in`` is accepted for
+    older calls and has no effect: one merge by counts takes the underfull bins of all partitions."""
     pieces = materialise(tokenised_pieces(docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")), tokenizer_path, end_id,
-                                          capacity, slack, carry), "pieces")
-    opened = pieces.filter("open").groupBy("bin").agg(F.max("bin_length").alias("length"))
-    items = opened.select("bin", "length", F.shiftright("bin", 40).alias("grp"))
-    moves = None  # first bin -> bin it is in now, and where
-    while True:
-        top = items.agg(F.max("grp")).first()[0]
-        if top is None:
-            break
-        step = materialise(merge_round(items, capacity, slack, carry, fan_in, top < fan_in), "merge")
-        to = step.select(F.col("bin").alias("_from"), "into", F.col("shift").alias("_by"))
-        if moves is None:
-            moves = to.select(F.col("_from").alias("first"), F.col("into").alias("now"), F.col("_by").alias("shift"))
-        else:
-            moves = (moves.join(to, F.col("now") == F.col("_from"), "left")
-                     .select("first", F.coalesce("into", "now").alias("now"), (F.col("shift") + F.coalesce("_by", F.lit(0))).alias("shift")))
-        if top < fan_in:
-            break
-        items = (step.filter("open").groupBy(F.col("into").alias("bin")).agg(F.max("total").alias("length"), F.max("grp").alias("grp")))
-    if moves is None:
-        return pieces.select("doc_id", "piece", "start", "length", "ids_crc32", F.col("bin").alias("sequence_id"), F.col("bin_offset").alias("offset"))
-    return (pieces.join(moves, F.col("bin") == F.col("first"), "left")
-            .select("doc_id", "piece", "start", "length", "ids_crc32", F.coalesce("now", "bin").alias("sequence_id"),
-                    (F.col("bin_offset") + F.coalesce("shift", F.lit(0))).alias("offset")))
+                                          capacity, slack), "pieces")
+    done = pieces.filter("rank < 0").select("doc_id", "piece", "start", "length", "ids_crc32", F.col("bin").alias("sequence_id"),
+                                            F.col("bin_offset").alias("offset"))
+    return done.unionByName(merged(pieces.filter("rank >= 0"), capacity))
