@@ -149,6 +149,16 @@ def test_wrapper_finds_the_article(spark):
     assert wrappers.main_texts(df.limit(0)).count() == 0
 
 
+def test_pages_of_one_host_are_read_by_their_own_layout(spark):
+    layouts = ["<body><nav>Menu</nav><article><h1>A%d</h1><p>Text %d</p></article>", "<body><nav>Menu</nav><main><h1>M%d</h1><p>Words %d</p></main>",
+               "<body><nav>Menu</nav><div id=content><h1>D%d</h1><p>Body %d</p></div>"]
+    rows = [(i, "http://mixed.example.com/", layouts[i % 3] % (i, i)) for i in range(12)] + [(12, "odd", layouts[0] % (12, 12)), (13, None, "<p>cut &am")]
+    out = {r.page_id: r.text for r in wrappers.main_texts(spark.createDataFrame(rows, "page_id long, url string, html string").repartition(4)).collect()}
+    for i in range(12):
+        assert out[i] == ("A%d\n\nText %d", "M%d\n\nWords %d", "D%d\n\nBody %d")[i % 3] % (i, i)
+    assert out[12] == "A12\n\nText 12" and out[13] == "cut &am"
+
+
 def test_template_text_is_dropped_where_nothing_names_the_region():
     page = "<body><div class=top>Site name</div><div id=box><p>Same notice</p><h2>T%d</h2><p>Body %d is long enough</p><p>More %d</p></div><div><a href=x>Link %d</a></div>"
     whole = wrappers.expression(page % (0, 0, 0, 0))

@@ -6,10 +6,13 @@ or repeated (``+``), nested as the elements are. Streams of one host are aligned
 equal tokens match, a mismatch becomes an optional or a repeated group, and two texts become a slot, which
 remembers whether its text was the same on all pages (template text) or varies (data).
 
-A host's wrapper says which slots are the article: those under ``article`` (else ``main``, else the element
+Pages of a host are aligned by variant: those with text under ``article``, those with text under ``main`` only,
+and those with neither have a wrapper each, so a page is read by the rules of its own layout.
+
+A wrapper says which slots are the article: those under ``article`` (else ``main``, else the element
 whose own blocks hold most varying text outside links), without the elements that are menus, headers, footers,
 sidebars, notices, adverts, forms or comments. Template text is dropped only where neither ``article`` nor
-``main`` marks the region. Every page is then read through its host's wrapper.
+``main`` marks the region. Every page is then read through the wrapper of its host and variant.
 
 Alignment covers all pages. Each task merges its own pages by host first; partial wrappers merge by
 (host, salt) and then by host, so a host with a third of all pages is spread as any other. Wrappers join the
@@ -27,7 +30,8 @@ from __future__ import annotations
 import html as entities
 import json
 import re
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
+from functools import lru_cache
 
 import pandas as pd
 import pyarrow as pa
@@ -57,6 +61,8 @@ TOKEN = re.compile(rf"<!--.*?(?:-->|\Z)|<(?P<raw>{RAW})\b(?:[^<>\"']++|\"[^\"]*\
                    r"|<(?P<close>/?)(?P<name>[a-zA-Z][a-zA-Z0-9:-]*)(?P<attrs>(?:[^<>\"']++|\"[^\"]*\"|'[^']*')*+)>|<[/!?][^>]*(?:>|\Z)|<[a-zA-Z][^>]*(?:>|\Z)",
                    re.DOTALL | re.IGNORECASE)
 ATTR = re.compile(r"\b(class|id|role|hidden)\b(?:\s*=\s*(\"[^\"]*\"|'[^']*'|[^\s>]+))?", re.IGNORECASE)
+#: Elements that mark the article, the first one found on a page counts.
+REGIONS = ("article", "main")
 HOST = r"^\s*[a-zA-Z][a-zA-Z0-9+.-]*://(?:[^/?#@]*@)?([^/?#:]+)"
 SALTS = 32
 #: Hosts that a task holds before it emits what it has; bounds memory only.
@@ -80,6 +86,21 @@ def off_article(key: str) -> bool:
     return name in NOT_ARTICLE or name not in ("html", "body") and any(w in NOT_ARTICLE_WORDS for m in marks for w in re.split(r"[^a-z]+", m)) or "hidden" in marks
 
 
+@lru_cache(1 << 16)
+def home(path: tuple[str, ...]) -> str | None:
+    """What a path's text lies under: ``article``, ``main`` or neither (''); None if it is not of the article."""
+    if any(off_article(key) for key in path):
+        return None
+    names = {key.split(".")[0] for key in path}
+    return next((n for n in REGIONS if n in names), "")
+
+
+def variant(paths: Iterable[tuple[str, ...]]) -> str:
+    """The layout of a page or wrapper with texts at these paths."""
+    homes = {home(path) for path in paths}
+    return next((n for n in REGIONS if n in homes), "")
+
+
 def blocks(html: str) -> Iterator[tuple[tuple[str, ...], str, int] | tuple[tuple[str, ...], None, int]]:
     """The page as a stream: (path, text, link characters) of its texts, (path, None, 0) where an element opens."""
     path: list[str] = []
@@ -138,9 +159,14 @@ def blocks(html: str) -> Iterator[tuple[tuple[str, ...], str, int] | tuple[tuple
 
 def expression(html: str) -> list:
     """The page's own union-free expression."""
+    return folded(blocks(html))
+
+
+def folded(stream: Iterable[tuple]) -> list:
+    """The expression of a page given as its blocks."""
     root = ["", 0, 0, 1, None, 0, 0, []]
     open_nodes = [root]
-    for path, text, links in blocks(html):
+    for path, text, links in stream:
         del open_nodes[len(path) + (text is not None):]
         parent = open_nodes[-1]
         if text is None:
@@ -191,6 +217,11 @@ def merge(a: list, b: list, one_page: bool = False) -> list:
             align(a[KIDS], b[KIDS], one_page)]
 
 
+def merge_variants(a: dict[str, list], b: dict[str, list]) -> dict[str, list]:
+    """Expressions of one host by variant, merged variant by variant."""
+    return {k: merge(a[k], b[k]) if k in a and k in b else a.get(k) or b[k] for k in sorted(a.keys() | b.keys())}
+
+
 def align(a: list[list], b: list[list], one_page: bool) -> list[list]:
     """Longest common subsequence of two token sequences; what one of them lacks becomes optional."""
     ka, kb = [n[KEY] for n in a], [n[KEY] for n in b]
@@ -228,21 +259,21 @@ class Rules:
     def __init__(self, wrapper: list):
         slots: dict[tuple[str, ...], list[list]] = {}
 
-        def walk(node: list, path: tuple[str, ...], off: bool) -> None:
+        def walk(node: list, path: tuple[str, ...]) -> None:
             for kid in node[KIDS]:
                 if kid[KEY] == "#":
-                    if not off:
-                        slots.setdefault(path, []).append(kid)
+                    slots.setdefault(path, []).append(kid)
                 elif kid[KEY][:1] == "(":
-                    walk(kid, path, off)
+                    walk(kid, path)
                 else:
-                    walk(kid, (*path, kid[KEY]), off or off_article(kid[KEY]))
+                    walk(kid, (*path, kid[KEY]))
 
-        walk(wrapper, (), False)
-        named = next((n for n in ("article", "main") if any(e.split(".")[0] == n for p in slots for e in p)), None)
+        walk(wrapper, ())
+        named = variant(slots)
+        slots = {p: own for p, own in slots.items() if home(p) is not None}
         self.template: set[str] = set()
         if named:
-            self.paths = {p for p in slots if any(e.split(".")[0] == named for e in p)}
+            self.paths = {p for p in slots if home(p) == named}
             return
         varied = any(s[SAME] is None for own in slots.values() for s in own)
         if varied:
@@ -255,7 +286,10 @@ class Rules:
         self.paths = {p for p in slots if p[:len(region)] == region}
 
     def text(self, html: str) -> str:
-        found = [text for path, text, _ in blocks(html) if text is not None and path in self.paths]
+        return self.read(blocks(html))
+
+    def read(self, stream: Iterable[tuple]) -> str:
+        found = [text for path, text, _ in stream if text is not None and path in self.paths]
         if self.template:
             found = [t for t in found if xxhash.xxh64_hexdigest(t) not in self.template]
         return "\n\n".join(found)
@@ -266,11 +300,11 @@ def host_of(url):
 
 
 def wrappers(pages: DataFrame) -> DataFrame:
-    """(host, wrapper) inferred from all of ``pages`` (host, html); the wrapper as JSON."""
+    """(host, wrapper) inferred from all of ``pages`` (host, html); the wrapper as JSON, by variant."""
 
     def partial(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         salt = TaskContext.get().partitionId() % SALTS
-        held: dict[str, list] = {}
+        held: dict[str, dict[str, list]] = {}
 
         def out() -> pa.RecordBatch:
             return pa.RecordBatch.from_arrays([pa.array(list(held), pa.string()), pa.array([salt] * len(held), pa.int32()),
@@ -278,8 +312,9 @@ def wrappers(pages: DataFrame) -> DataFrame:
 
         for batch in batches:
             for host, html in zip(batch.column(0), batch.column(1)):
-                host, own = host.as_py(), expression(html.as_py())
-                held[host] = merge(held[host], own) if host in held else own
+                host, stream = host.as_py(), list(blocks(html.as_py()))
+                own = {variant(path for path, text, _ in stream if text is not None): folded(stream)}
+                held[host] = merge_variants(held[host], own) if host in held else own
             if len(held) > HELD_HOSTS:
                 yield out()
                 held = {}
@@ -290,7 +325,7 @@ def wrappers(pages: DataFrame) -> DataFrame:
         parts = [json.loads(w) for w in pdf["wrapper"].sort_values()]
         whole = parts[0]
         for part in parts[1:]:
-            whole = merge(whole, part)
+            whole = merge_variants(whole, part)
         return pd.DataFrame({"host": [pdf["host"].iloc[0]], "wrapper": [json.dumps(whole)]})
 
     own = pages.select("host", "html").mapInArrow(partial, "host string, salt int, wrapper string")
@@ -306,7 +341,7 @@ def main_texts(pages: DataFrame) -> DataFrame:
     kind = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in schema) + ", text string"
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        rules: dict[str, Rules] = {}
+        rules: dict[str, dict[str, Rules]] = {}
         for batch in batches:
             texts = []
             for html, wrapper in zip(batch.column(2), batch.column(3)):
@@ -314,8 +349,9 @@ def main_texts(pages: DataFrame) -> DataFrame:
                 if wrapper not in rules:
                     if len(rules) > 1000:
                         rules.clear()
-                    rules[wrapper] = Rules(json.loads(wrapper))
-                texts.append(rules[wrapper].text(html.as_py()))
+                    rules[wrapper] = {k: Rules(w) for k, w in json.loads(wrapper).items()}
+                stream = list(blocks(html.as_py()))
+                texts.append(rules[wrapper][variant(path for path, text, _ in stream if text is not None)].read(stream))
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(texts, pa.string())], names=["page_id", "url", "text"])
 
     return known.mapInArrow(read, kind)
