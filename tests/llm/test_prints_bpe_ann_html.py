@@ -159,6 +159,32 @@ def test_pages_of_one_host_are_read_by_their_own_layout(spark):
     assert out[12] == "A12\n\nText 12" and out[13] == "cut &am"
 
 
+def read_by_own_rules(page, n=5):
+    whole = wrappers.expression(page.replace("%d", "0"))
+    for i in range(1, n):
+        whole = wrappers.merge(whole, wrappers.expression(page.replace("%d", str(i))))
+    return wrappers.Rules(json.loads(json.dumps(whole))).text(page.replace("%d", "9"))
+
+
+def test_class_words_do_not_discard_the_article():
+    rest = "<div>Other block %d of the page, with more text than the article has, much more</div>"
+    for opened in ("<div class='site has-sidebar'><article>", "<main class=no-sidebar>", "<article class='post comments-open'>", "<div id=search-content><article>",
+                   "<article class=related>", "<div class=widget><article>", "<form id=page><main>"):
+        closed = "</article>" if "<article" in opened else "</main>"
+        page = "<body>" + opened + "<h1>T%d</h1><p>Text %d</p><div class='widget-3'>Off</div><aside>Side</aside>" + closed + "</div>" * ("<div" in opened) + "</form>" * ("<form" in opened) + rest
+        assert read_by_own_rules(page) == "T9\n\nText 9", opened
+    page = "<body><div id=search-content><p>Text %d</p></div><div class='sidebar'>Side %d, a longer text than that of the page</div>"
+    assert read_by_own_rules(page) == "Text 9"
+    nested = "<article><p>Text %d</p><article class=comment><p>Nice %d</p></article></article><div class=related><article>Teaser %d</article></div>"
+    assert read_by_own_rules(nested) == "Text 9"
+
+
+def test_article_in_sibling_containers_is_whole():
+    page = ("<body><div class=top>Site name</div><div id=all><div class=title><h1>Head %d</h1></div><section id=intro><p>First part %d</p></section>"
+            "<section id=methods><p>Second part %d, the longest of all</p><p>More %d</p></section></div><div><a href=x>Link %d</a></div>")
+    assert read_by_own_rules(page) == "Head 9\n\nFirst part 9\n\nSecond part 9, the longest of all\n\nMore 9"
+
+
 def test_template_text_is_dropped_where_nothing_names_the_region():
     page = "<body><div class=top>Site name</div><div id=box><p>Same notice</p><h2>T%d</h2><p>Body %d is long enough</p><p>More %d</p></div><div><a href=x>Link %d</a></div>"
     whole = wrappers.expression(page % (0, 0, 0, 0))

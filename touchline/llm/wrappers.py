@@ -6,12 +6,13 @@ or repeated (``+``), nested as the elements are. Streams of one host are aligned
 equal tokens match, a mismatch becomes an optional or a repeated group, and two texts become a slot, which
 remembers whether its text was the same on all pages (template text) or varies (data).
 
-Pages of a host are aligned by variant: those with text under ``article``, those with text under ``main`` only,
-and those with neither have a wrapper each, so a page is read by the rules of its own layout.
+Pages of a host are aligned by variant: those with text under ``article``, those with text under ``main`` only
+(either also inside a marked element, if there is no other), and those with neither have a wrapper each, so a page is read by the rules of its own layout.
 
-A wrapper says which slots are the article: those under ``article`` (else ``main``, else the element
-whose own blocks hold most varying text outside links), without the elements that are menus, headers, footers,
-sidebars, notices, adverts, forms or comments. Template text is dropped only where neither ``article`` nor
+A wrapper says which slots are the article: those under ``article`` (else ``main``, else the common
+ancestor of the varying texts outside links), without the elements that are menus, headers, footers, sidebars,
+notices, adverts, forms or comments. Whole class words tell those, and never of ``article``, ``main`` or, where
+the page has no other, an element around them; an ``article`` inside another one can be a comment. Template text is dropped only where neither ``article`` nor
 ``main`` marks the region. Every page is then read through the wrapper of its host and variant.
 
 Alignment covers all pages. Each task merges its own pages by host first; partial wrappers merge by
@@ -32,6 +33,7 @@ import json
 import re
 from collections.abc import Iterable, Iterator
 from functools import lru_cache
+from itertools import takewhile
 
 import pandas as pd
 import pyarrow as pa
@@ -55,7 +57,9 @@ NOT_ARTICLE = frozenset("head nav header footer aside form menu dialog fieldset"
 NOT_ARTICLE_WORDS = frozenset(
     "ad ads advert adverts advertisement banner sponsor sponsored promo nav navbar navigation menu breadcrumb breadcrumbs header masthead "
     "footer contentinfo sidebar complementary widget cookie cookies consent notice alert popup modal overlay newsletter subscribe signup "
-    "login search share sharing social related recommended comment comments respond disqus pagination pager copyright toolbar form".split())
+    "login search share sharing social related recommended comment comments respond disqus pagination pager copyright toolbar form "
+    "site-header site-footer site-navigation main-navigation nav-menu cookie-notice cookie-banner cookie-consent ad-container share-buttons "
+    "social-share related-posts related-articles comments-area comment-list comment-form post-comments newsletter-signup search-form login-form".split())
 
 TOKEN = re.compile(rf"<!--.*?(?:-->|\Z)|<(?P<raw>{RAW})\b(?:[^<>\"']++|\"[^\"]*\"|'[^']*')*+>.*?(?:</(?P=raw)\s*>|\Z)"
                    r"|<(?P<close>/?)(?P<name>[a-zA-Z][a-zA-Z0-9:-]*)(?P<attrs>(?:[^<>\"']++|\"[^\"]*\"|'[^']*')*+)>|<[/!?][^>]*(?:>|\Z)|<[a-zA-Z][^>]*(?:>|\Z)",
@@ -63,6 +67,7 @@ TOKEN = re.compile(rf"<!--.*?(?:-->|\Z)|<(?P<raw>{RAW})\b(?:[^<>\"']++|\"[^\"]*\
 ATTR = re.compile(r"\b(class|id|role|hidden)\b(?:\s*=\s*(\"[^\"]*\"|'[^']*'|[^\s>]+))?", re.IGNORECASE)
 #: Elements that mark the article, the first one found on a page counts.
 REGIONS = ("article", "main")
+VARIANTS = (*REGIONS, *("marked " + n for n in REGIONS))
 HOST = r"^\s*[a-zA-Z][a-zA-Z0-9+.-]*://(?:[^/?#@]*@)?([^/?#:]+)"
 SALTS = 32
 #: Hosts that a task holds before it emits what it has; bounds memory only.
@@ -82,23 +87,36 @@ def element_key(name: str, attrs: str) -> str:
 
 
 def off_article(key: str) -> bool:
+    """Is this element not of the article: by its name, or by a whole word of its class, id or role (an ending
+    number aside)?"""
     name, *marks = key.split(".")
-    return name in NOT_ARTICLE or name not in ("html", "body") and any(w in NOT_ARTICLE_WORDS for m in marks for w in re.split(r"[^a-z]+", m)) or "hidden" in marks
+    return name in NOT_ARTICLE or "hidden" in marks or name not in ("html", "body") and any(re.sub(r"[-_]?0$", "", m) in NOT_ARTICLE_WORDS for m in marks)
 
 
 @lru_cache(1 << 16)
-def home(path: tuple[str, ...]) -> str | None:
-    """What a path's text lies under: ``article``, ``main`` or neither (''); None if it is not of the article."""
-    if any(off_article(key) for key in path):
-        return None
-    names = {key.split(".")[0] for key in path}
-    return next((n for n in REGIONS if n in names), "")
+def homes(path: tuple[str, ...]) -> tuple[str, ...]:
+    """The variants of which a path's text can be the article."""
+    names = [key.split(".")[0] for key in path]
+    hidden = ["hidden" in key.split(".")[1:] for key in path]
+    region = [n in REGIONS and "article" not in names[:i] for i, n in enumerate(names)]  # not an article inside an article
+    off = [i for i, key in enumerate(path) if (hidden[i] if region[i] else off_article(key))]
+    if not off:
+        return (*(n for n in REGIONS if n in names), "")
+    if any(hidden[i] or names[i] in NOT_ARTICLE and names[i] not in ("form", "fieldset") for i in off):
+        return ()
+    return tuple("marked " + n for n in REGIONS if n in names and off[-1] < names.index(n))
 
 
 def variant(paths: Iterable[tuple[str, ...]]) -> str:
     """The layout of a page or wrapper with texts at these paths."""
-    homes = {home(path) for path in paths}
-    return next((n for n in REGIONS if n in homes), "")
+    found = {home for path in paths for home in homes(path)}
+    return next((v for v in VARIANTS if v in found), "")
+
+
+def common_path(paths: Iterable[tuple[str, ...]]) -> tuple[str, ...]:
+    """The longest path that all paths start with."""
+    paths = list(paths)
+    return tuple(keys[0] for keys in takewhile(lambda keys: len(set(keys)) == 1, zip(*paths)))
 
 
 def blocks(html: str) -> Iterator[tuple[tuple[str, ...], str, int] | tuple[tuple[str, ...], None, int]]:
@@ -253,6 +271,11 @@ def as_regex(node: list) -> str:
     return f"({own}){mark}" if mark else own
 
 
+def holder(path: tuple[str, ...]) -> tuple[str, ...]:
+    """The element whose own blocks a path's text belongs to."""
+    return path[:-1] if path and path[-1].split(".")[0] in ("p", "h1", "h2", "h3", "h4", "h5", "h6", "li", "blockquote", "pre", "ul", "ol") else path
+
+
 class Rules:
     """Which slots of a wrapper are the article: element paths, and template texts to leave out."""
 
@@ -270,20 +293,24 @@ class Rules:
 
         walk(wrapper, ())
         named = variant(slots)
-        slots = {p: own for p, own in slots.items() if home(p) is not None}
+        slots = {p: own for p, own in slots.items() if named in homes(p)}
         self.template: set[str] = set()
         if named:
-            self.paths = {p for p in slots if home(p) == named}
+            self.paths = set(slots)
             return
         varied = any(s[SAME] is None for own in slots.values() for s in own)
         if varied:
             self.template = {s[SAME] for own in slots.values() for s in own if s[SAME] and s[PAGES] >= TEMPLATE_PAGES}
-        weight: dict[tuple[str, ...], int] = {}
+        small = wrapper[PAGES] < TEMPLATE_PAGES
+        weight: dict[tuple[str, ...], int] = {}  # varying text by holder
+        unlinked: dict[tuple[str, ...], int] = {}
         for path, own in slots.items():
-            holder = path[:-1] if path and path[-1].split(".")[0] in ("p", "h1", "h2", "h3", "h4", "h5", "h6", "li", "blockquote", "pre", "ul", "ol") else path
-            weight[holder] = weight.get(holder, 0) + sum(s[CHARS] - 2 * s[LINKS] for s in own if not (varied and s[SAME]))
-        region = max(sorted(weight), key=lambda p: weight[p], default=())
-        self.paths = {p for p in slots if p[:len(region)] == region}
+            at = holder(path)
+            weight[at] = weight.get(at, 0) + sum(s[CHARS] - 2 * s[LINKS] for s in own if not (varied and s[SAME] and (small or s[PAGES] >= TEMPLATE_PAGES)))
+            unlinked[at] = unlinked.get(at, 0) + sum(s[CHARS] - 2 * s[LINKS] for s in own)
+        dense = max(sorted(weight), key=lambda p: weight[p], default=())
+        region = common_path([dense, *(p for p in weight if weight[p] > 0)])
+        self.paths = {p for p in slots if p[:len(dense)] == dense or p[:len(region)] == region and unlinked[holder(p)] > 0}
 
     def text(self, html: str) -> str:
         return self.read(blocks(html))
