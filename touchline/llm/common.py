@@ -56,3 +56,24 @@ def id_bucket(doc_id, modulus: int):
 def blank(text):
     """Text with null read as empty."""
     return F.coalesce(text.cast("string"), F.lit(""))
+
+
+#: Rows of a group that ``spread_join`` gives one task, and the number of larger groups it names in a broadcast.
+GROUP_ROWS, HOT_GROUPS = 1000, 16_384
+
+
+def spread_join(rows: DataFrame, groups: DataFrame, key: str, size: str, spread: str) -> DataFrame:
+    """``rows`` with the columns of their group. ``groups`` has one row for each ``key`` and the number of its
+    rows, ``size``.
+
+    A group larger than both ``GROUP_ROWS`` and one in ``HOT_GROUPS`` of all rows is repeated, and its rows are dealt
+    over the repeats by ``spread``. There are fewer than ``HOT_GROUPS`` such groups, so their names are broadcast.
+    """
+    limit = max(GROUP_ROWS, (groups.agg(F.sum(size)).first()[0] or 0) // HOT_GROUPS)
+    parts, part = fresh(rows.join(groups.limit(0), key), "parts", "part")
+    count = F.ceil(F.col(size) / limit).cast("int")
+    hot = groups.filter(F.col(size) > limit).select(key, count.alias(parts))
+    dealt = (rows.join(F.broadcast(hot), key, "left")
+             .withColumn(part, F.coalesce(F.pmod(F.xxhash64(spread), F.col(parts)), F.lit(0)).cast("int")).drop(parts))
+    repeated = groups.withColumn(part, F.explode(F.sequence(F.lit(0), F.greatest(count, F.lit(1)) - 1)))
+    return dealt.join(repeated, [key, part]).drop(part)

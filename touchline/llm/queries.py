@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from touchline.llm import ann, byte_bpe, chat, langid, packing, quality, sharding, simhash, simhash_dedup, wrappers
+from touchline.llm import ann, byte_bpe, chat, chunk_dedup, langid, packing, quality, sharding, simhash, simhash_dedup, wrappers
 from touchline.llm.common import blank, id_bucket, materialise, table
 
 QUERIES = {}
@@ -143,6 +143,18 @@ def op4_wrapper_inference(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.withColumn("n_chars", F.length("text").cast("long"))
 
 
+# --- 13: exact dedup ----------------------------------------------------------------------------
+
+@query("op13_chunk_recipe_dedup", """
+    WITH texts AS (
+      SELECT doc_id, translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS norm FROM documents)
+    SELECT doc_id, max(doc_id) OVER (PARTITION BY norm) AS keep_id, count(*) OVER (PARTITION BY norm) AS group_size,
+           doc_id = max(doc_id) OVER (PARTITION BY norm) AS kept, sha256(norm) AS text_sha256
+    FROM texts""")
+def op13_chunk_recipe_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return chunk_dedup.exact_duplicates(table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
 # --- pipeline -----------------------------------------------------------------------------------
 
 query("pipeline", corpus_pipeline.ORACLE_SQL)(corpus_pipeline.run)
