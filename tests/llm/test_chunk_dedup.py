@@ -62,7 +62,7 @@ def test_chunks_join_to_the_text_and_survive_an_edit(spark):
     own, other = (r[0] for r in frame(spark, [(0, text), (1, edited)]).orderBy("doc_id").select(chunk_dedup.chunks(chunk_dedup.F.col("text"))).collect())
     assert "".join(own) == text and "".join(other) == edited and len(own) > 20
     assert len(set(own) & set(other)) >= len(own) - 15
-    assert max(map(len, own)) <= chunk_dedup.MOST + 10 and own == re.findall(chunk_dedup.CHUNK[4:], text, re.S)
+    assert max(map(len, own)) <= chunk_dedup.MOST + 10 and own == re.findall(chunk_dedup.LETTERS_CHUNK[4:], text, re.S)
 
 
 def test_store_and_recipes_restore_every_text(spark):

@@ -20,6 +20,9 @@ table; other columns are ignored, whatever their names.
 
 from __future__ import annotations
 
+from functools import reduce
+from operator import or_
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -27,8 +30,10 @@ from touchline.llm.common import blank, fresh, materialise, spread_join
 
 #: Characters before a cut is looked for, and characters after which a chunk ends without one.
 LEAST, MOST = 120, 1000
-#: A cut by content: four letters' worth of a rare neighbourhood, or the end of a sentence in scripts without blanks.
-CHUNK = rf"(?s).{{{LEAST},{MOST}}}?(?:[a-m][aeiou][lnrst][ ,.;:\n][b-h]|[。！？؟।])|.{{1,{MOST}}}"
+#: Cuts by content: a rare neighbourhood of letters, or the end of a sentence in texts of scripts without blanks.
+ENDS = "。！？؟।"
+LETTERS_CHUNK = rf"(?s).{{{LEAST},{MOST}}}?[a-m][aeiou][lnrst][ ,.;:\n][b-h]|.{{1,{MOST}}}"
+SENTENCE_CHUNK = rf"(?s).{{{LEAST},{MOST}}}?[{ENDS}]|.{{1,{MOST}}}"
 #: Bits of an identifier, from the first try on; a try is repeated with the next if two contents share one.
 WIDTHS = (128, 256, 512)
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
@@ -42,7 +47,8 @@ def normalised(text: Column) -> Column:
 
 def chunks(text: Column) -> Column:
     """The chunks of a normalised text, in order; joined they are the text."""
-    return F.regexp_extract_all(text, F.lit(CHUNK), F.lit(0))
+    found = [F.regexp_extract_all(text, F.lit(pattern), F.lit(0)) for pattern in (SENTENCE_CHUNK, LETTERS_CHUNK)]
+    return F.when(reduce(or_, (text.contains(end) for end in ENDS)), found[0]).otherwise(found[1])
 
 
 def identifier(value: Column, bits: int) -> Column:
