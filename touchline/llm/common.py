@@ -28,12 +28,15 @@ def materialise(df: DataFrame, name: str) -> DataFrame:
 
 def bucketed(df: DataFrame, key: str, name: str) -> DataFrame:
     """``materialise`` as a table bucketed by ``key``, so that a later join or cogroup on it shuffles only
-    the other side."""
+    the other side. Its name leaves the catalog at once; the files stay."""
     spark = df.sparkSession
     own = f"{name}_{uuid.uuid4().hex}"
     (df.write.bucketBy(int(spark.conf.get("spark.sql.shuffle.partitions")), key).option("compression", "zstd")
        .option("path", f"{shared_folder(spark)}/{own}").saveAsTable(own))
-    return spark.table(own)
+    found = spark.table(own)
+    found.schema  # resolved before the name goes
+    spark.sql(f"DROP TABLE {own}")
+    return found
 
 
 def fresh(df: DataFrame, *names: str) -> list[str]:

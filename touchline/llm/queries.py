@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from touchline.llm import ann, byte_bpe, chat, chunk_dedup, langid, packing, quality, sharding, simhash, simhash_dedup, wrappers
+from touchline.llm import ann, byte_bpe, chat, chunk_dedup, langid, packing, quality, sharding, simhash, simhash_dedup, token_align, wrappers
 from touchline.llm.common import blank, id_bucket, materialise, table
 
 QUERIES = {}
@@ -143,6 +143,14 @@ def op4_wrapper_inference(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.withColumn("n_chars", F.length("text").cast("long"))
 
 
+# --- 12: cross-tokenizer alignment --------------------------------------------------------------
+
+@query("op12_lockstep_alignment")
+def op12_lockstep_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return token_align.digests(docs, public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.path("piece_bpe_32k.model"))
+
+
 # --- 13: exact dedup ----------------------------------------------------------------------------
 
 @query("op13_chunk_recipe_dedup", """
