@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from touchline.llm import ann, byte_bpe, chat, chunk_dedup, langid, packing, quality, sharding, simhash, simhash_dedup, token_align, wrappers
+from touchline.llm import ann, byte_bpe, chat, chunk_dedup, hard_negatives, langid, packing, quality, sharding, simhash, simhash_dedup, token_align, wrappers
 from touchline.llm.common import blank, id_bucket, materialise, table
 
 QUERIES = {}
@@ -143,6 +143,33 @@ def op4_wrapper_inference(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.withColumn("n_chars", F.length("text").cast("long"))
 
 
+# --- 11: hard-negative mining -------------------------------------------------------------------
+
+@query("op11_anchor_list_negatives", """
+    WITH v AS (
+      SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+             list_transform(embedding, lambda x: floor(256 * x::DOUBLE)::BIGINT) AS c
+      FROM embeddings
+      WHERE vec_id IS NOT NULL AND label IS NOT NULL AND embedding IS NOT NULL
+        AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+    pairs AS (
+      SELECT a.vec_id AS anchor_id, a.label = b.label AS same, b.vec_id,
+             list_sum(list_transform(range(1, len(a.c) + 1), lambda i: a.c[i] * b.c[i]))::BIGINT AS score
+      FROM v a JOIN v b ON a.vec_id <> b.vec_id WHERE a.vec_id % 100 = 0),
+    positives AS (
+      SELECT anchor_id, vec_id AS positive_id, score AS positive_score FROM pairs WHERE same
+      QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, vec_id) <= 5)
+    SELECT anchor_id, positive_id, row_number() OVER (PARTITION BY anchor_id, positive_id ORDER BY score DESC, vec_id)::INTEGER AS rank,
+           vec_id AS negative_id, positive_score, score AS negative_score
+    FROM positives JOIN (SELECT * FROM pairs WHERE NOT same) USING (anchor_id)
+    WHERE 80 * positive_score <= 100 * score AND 100 * score <= 100 * positive_score
+    QUALIFY row_number() OVER (PARTITION BY anchor_id, positive_id ORDER BY score DESC, vec_id) <= 5""")
+def op11_anchor_list_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    label = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    vectors = table(spark, sf_dir, "embeddings").select("vec_id", label.alias("label"), "embedding")
+    return hard_negatives.mine(vectors, F.col("vec_id") % 100 == 0)
+
+
 # --- 12: cross-tokenizer alignment --------------------------------------------------------------
 
 @query("op12_lockstep_alignment")
