@@ -1,6 +1,7 @@
 """ML operators: invariants and brute-force checks on small fixtures."""
 
 import numpy as np
+import pytest
 from pyspark.sql import functions as F
 
 from conftest import SF001
@@ -17,7 +18,7 @@ def test_knn_matches_brute_force(spark):
     ref, qry = pdf[pdf.vec_id % 4 != 0], pdf[pdf.vec_id % 4 == 0]
     # small blocks force several (query block, reference block) groups
     nb = K.knn_neighbours(spark.createDataFrame(qry), spark.createDataFrame(ref), "vec_id", "embedding", "label", 3,
-                          block_rows=40).toPandas()
+                          cell_rows=40).toPandas()
     R = np.stack(ref.embedding.to_numpy()).astype(float)
     for _, q in qry.head(15).iterrows():
         d = np.sqrt(((R - np.asarray(q.embedding, dtype=float)) ** 2).sum(1))
@@ -28,7 +29,7 @@ def test_knn_matches_brute_force(spark):
 
 def test_smote_balances_classes(spark):
     emb = table(spark, SF001, "embeddings")
-    out = K.smote(emb, "vec_id", "embedding", "label", block_rows=30)
+    out = K.smote(emb, "vec_id", "embedding", "label")
     counts = {r.label: r.n for r in out.groupBy("label").agg(F.count(F.lit(1)).alias("n")).collect()}
     assert len(set(counts.values())) == 1
     # synthetic points lie on the segment between a point and a same-class neighbour: norms stay bounded
@@ -100,7 +101,7 @@ def test_knn_of_exact_copies_has_zero_distance(spark):
     ref = [(i, [float(x) for x in base[i % 50]], float(i % 2)) for i in range(200)]
     df = spark.createDataFrame(ref, "id long, vec array<double>, label double")
     for metric in ("l2", "l1"):
-        nb = K.knn_neighbours(df, df, "id", "vec", "label", 4, metric, block_rows=33).toPandas()
+        nb = K.knn_neighbours(df, df, "id", "vec", "label", 4, metric, cell_rows=33).toPandas()
         assert (nb.dist == 0).all()
         assert nb.sort_values(["qid", "rank"]).rid.tolist() == [q % 50 + 50 * j for q in range(200) for j in range(4)]
 
@@ -110,3 +111,49 @@ def test_smote_ids_are_distinct_and_single_rows_are_copied(spark):
     out = K.smote(spark.createDataFrame(rows, "id long, v array<double>, y double"), "id", "v", "y").toPandas()
     assert out.id.is_unique and out.groupby("y").size().tolist() == [3000, 3000, 3000]
     assert set(map(tuple, out[out.y == 1.0].v)) == {(7.0, 7.0)}
+
+
+def _brute(rows, queries, k, metric, before=False):
+    out = []
+    for q in queries:
+        pool = [r for r in rows if not before or r[3] < q[3]]
+        gap = [np.asarray(r[1]) - np.asarray(q[1]) for r in pool]
+        dist = [float(np.abs(g).sum() if metric == "l1" else np.sqrt((g ** 2).sum())) for g in gap]
+        out += [(q[0], pool[i][0], round(dist[i], 9)) for i in sorted(range(len(pool)), key=lambda i: (dist[i], pool[i][0]))[:k]]
+    return sorted(out)
+
+
+def _clustered(n, seed=4, size=6, centres=40, spread=0.02):
+    rng = np.random.default_rng(seed)
+    at = rng.normal(size=(centres, size))
+    return [(i, (at[rng.integers(0, centres)] + spread * rng.normal(size=size)).round(3).tolist(), float(i % 3), int(i % 5)) for i in range(n)]
+
+
+KNN = "id long, vec array<double>, label double, fold int"
+
+
+@pytest.mark.parametrize("metric", ["l1", "l2"])
+def test_pivot_cells_spare_the_shuffle_and_stay_exact(spark, metric):
+    """Below a tenth of the rows that blocks against blocks of the same size would shuffle."""
+    rows = _clustered(4000)
+    queries = [(100_000 + r[0], *r[1:]) for r in _clustered(2000, seed=4)[::2]]
+    work = {}
+    found = K.knn_neighbours(spark.createDataFrame(queries, KNN), spark.createDataFrame(rows, KNN), "id", "vec", "label", 5, metric, cell_rows=40, work=work)
+    got = sorted((r.qid, r.rid, round(r.dist, 9)) for r in found.collect())
+    assert got == _brute(rows, queries, 5, metric)
+    blocks = 2 * len(queries) * len(rows) // 40
+    assert work["rows"] < blocks / 10
+
+
+@pytest.mark.parametrize("metric", ["l1", "l2"])
+def test_pivot_knn_with_folds_parts_spans_ties_and_odd_rows(spark, metric):
+    rng = np.random.default_rng(9)
+    rows = [(i, rng.integers(0, 3, 3).astype(float).tolist(), 1.0, int(rng.integers(0, 4))) for i in range(300)] + [(900, None, 1.0, 0)]
+    frame = spark.createDataFrame(rows, KNN)
+    found = K.knn_neighbours(frame, frame, "id", "vec", "label", 7, metric, before_col="fold", cell_rows=20, part_rows=6, query_rows=9)
+    got = sorted((r.qid, r.rid, round(r.dist, 9)) for r in found.collect())
+    assert got == _brute(rows[:-1], rows[:-1], 7, metric, before=True)
+    empty = frame.filter("false")
+    assert K.knn_neighbours(frame, empty, "id", "vec", "label", 3, metric).count() == 0 == K.knn_neighbours(empty, frame, "id", "vec", "label", 3, metric).count()
+    few = K.knn_neighbours(frame, frame.limit(2), "id", "vec", "label", 5, metric)
+    assert few.filter("qid < 900").groupBy("qid").count().select("count").distinct().collect()[0][0] == 2

@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from touchline.ml import knn as K
 from touchline.ml import models as M
 from touchline.ml import search as S
-from touchline.ml.split import holdout_flag, holdout_split
+from touchline.ml.split import fold_of, holdout_flag, holdout_split
 from touchline.operators import aggregate as A
 from touchline.operators import evaluate as EV
 from touchline.operators import features
@@ -227,6 +227,54 @@ def embedding_knn(spark: SparkSession, sf_dir: str) -> DataFrame:
     return normalise(out)
 
 
+@query("embedding_neighbours", """
+WITH e AS (SELECT vec_id, CAST(embedding AS DOUBLE[]) AS v, label, row_number() OVER (ORDER BY vec_id) - 1 AS i, count(*) OVER () AS n FROM embeddings),
+s AS (SELECT *, i < greatest(CAST(floor(n * 0.8) AS BIGINT), 1) AS tr FROM e),
+p AS (SELECT m AS metric, q.vec_id AS qid, r.vec_id AS rid, r.label AS rlabel,
+             CASE WHEN m = 'l2' THEN list_distance(q.v, r.v) ELSE list_sum(list_transform(range(1, len(q.v) + 1), lambda x: abs(q.v[x] - r.v[x]))) END AS d
+      FROM s q JOIN s r ON NOT q.tr AND r.tr CROSS JOIN (VALUES ('l1'), ('l2')) t(m))
+SELECT metric, qid, rid, round(d, 6) AS dist, CAST(rlabel AS DOUBLE) AS rlabel, row_number() OVER (PARTITION BY metric, qid ORDER BY d, rid) AS rank
+FROM p QUALIFY rank <= 5
+""")
+def embedding_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The five nearest training vectors of every holdout vector under both metrics, by pivot cells."""
+    emb = holdout_flag(table(spark, sf_dir, "embeddings"), ["vec_id"])
+    ref, qry = emb.filter("is_train"), emb.filter(~F.col("is_train"))
+    found = [K.knn_neighbours(qry, ref, "vec_id", "embedding", "label", 5, metric).withColumn("metric", F.lit(metric)) for metric in ("l1", "l2")]
+    return normalise(found[0].unionByName(found[1]).select("metric", "qid", "rid", "dist", "rlabel", "rank"))
+
+
+@query("knn_grid_folds", """
+WITH e AS (SELECT vec_id, CAST(embedding AS DOUBLE[]) AS v, label, row_number() OVER (ORDER BY vec_id) - 1 AS i, count(*) OVER () AS n FROM embeddings),
+s AS (SELECT *, greatest(-1, CAST(floor((i - (n - 5 * (n // 6))) / (n // 6)) AS BIGINT)) AS fold FROM e),
+p AS (SELECT m, q.fold, q.vec_id AS qid, q.label AS ql, r.label AS rl, r.vec_id AS rid,
+             CASE WHEN m = 'l2' THEN list_distance(q.v, r.v) ELSE list_sum(list_transform(range(1, len(q.v) + 1), lambda x: abs(q.v[x] - r.v[x]))) END AS d
+      FROM s q JOIN s r ON r.fold < q.fold CROSS JOIN (VALUES ('l1'), ('l2')) t(m)),
+nn AS (SELECT * FROM p QUALIFY row_number() OVER (PARTITION BY m, qid ORDER BY d, rid) <= 15),
+g AS (SELECT nn.*, k, row_number() OVER (PARTITION BY m, k, qid ORDER BY d, rid) AS pos FROM nn CROSS JOIN (VALUES (3), (5), (7), (11), (15)) t(k)),
+z AS (SELECT *, max(CASE WHEN d = 0 THEN 1 ELSE 0 END) OVER (PARTITION BY m, k, qid) AS zero FROM g WHERE pos <= k),
+w AS (SELECT z.*, weights, CASE WHEN weights = 'uniform' THEN 1.0 WHEN zero = 1 THEN CASE WHEN d = 0 THEN 1.0 ELSE 0.0 END ELSE 1 / d END AS wt
+      FROM z CROSS JOIN (VALUES ('uniform'), ('distance')) t(weights)),
+v AS (SELECT m, k, weights, fold, qid, any_value(ql) AS ql, rl, sum(wt) AS votes FROM w GROUP BY m, k, weights, fold, qid, rl),
+c AS (SELECT m, k, weights, fold, qid, avg(CASE WHEN rl = ql THEN 1.0 ELSE 0.0 END) AS hit FROM
+       (SELECT * FROM v QUALIFY row_number() OVER (PARTITION BY m, k, weights, qid ORDER BY round(votes, 9) DESC, rl) = 1) GROUP BY ALL),
+r AS (SELECT m, k, weights, fold, qid, any_value(ql) AS ql, sum(wt * rl) / sum(wt) AS mean FROM w GROUP BY m, k, weights, fold, qid)
+SELECT r.m AS metric, CAST(r.k AS BIGINT) AS k, r.weights, CAST(r.fold AS BIGINT) AS fold, count(*) AS n, round(avg(hit), 6) AS accuracy,
+       round(avg(abs(mean - ql)), 6) AS mae, round(sqrt(avg((mean - ql) ** 2)), 6) AS rmse
+FROM r JOIN c USING (m, k, weights, fold, qid) GROUP BY r.m, r.k, r.weights, r.fold
+""")
+def knn_grid_folds(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """M16 + M2 + M21: all 20 points of the kNN grid (k, weights, metric) as classifier and as regressor on 5
+    expanding folds: rows, accuracy, MAE and RMSE of every point and fold. Two neighbour searches serve them all."""
+    emb = fold_of(table(spark, sf_dir, "embeddings").select("vec_id", "embedding", "label"), ["vec_id"]).checkpoint(eager=True)
+    asked, truth = emb.filter("fold >= 0"), emb.select(F.col("vec_id").alias("qid"), "fold", "label")
+    both = K.knn_grid(asked, emb, "vec_id", "embedding", "label", before_col="fold", tasks=("classifier", "regressor")).join(truth, "qid")
+    gap = F.col("regressor") - F.col("label")
+    return normalise(both.groupBy("metric", "k", "weights", "fold").agg(
+        F.count(F.lit(1)).alias("n"), F.avg((F.col("classifier") == F.col("label")).cast("double")).alias("accuracy"),
+        F.avg(F.abs(gap)).alias("mae"), F.sqrt(F.avg(gap * gap)).alias("rmse")))
+
+
 @query("smote_class_counts", """
 SELECT CAST(label AS DOUBLE) AS label, CAST(max(count(*)) OVER () AS BIGINT) AS rows, CAST(max(count(*)) OVER () - count(*) AS BIGINT) AS synthetic
 FROM embeddings GROUP BY label
