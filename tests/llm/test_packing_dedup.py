@@ -14,14 +14,13 @@ from touchline.llm import packing, queries, simhash_dedup
 SF001 = "/root/testdata/sf0.001"
 PATH = public_tokenizers.path("word_bpe_49k.json")
 ODD = ["", None, " ", "A  b\tc\n\nd", "don't WON'T it's", "x" * 500, "Straße ΟΔΟΣ ΟΔΟΣ. é é ́a", "a,b;c!! 12,5 (x) #tag <|endoftext|>", "日本語 テスト 12３",
-       "a b c\x1cd\x85e", "İstanbul ſ ǅ", "'s 'S ''re", "​‍👍🏽 ok", "word " * 3000]
+       "a b c\x1cd\x85e", "İstanbul ſ ǅ", "'s 'S ''re", "​‍👍🏽 ok", "word " * 3000,
+       "x <|endoftext|> y", "a<|startoftext|>b, <|ENDOFTEXT|> <|endoftext|>.", "'the 's ('tis don't_x", "µ ª º ß Ÿ ÿ É!", "<|endoftext|>" * 700, "日" * 9000]
 
 
 @pytest.fixture(scope="module")
 def tokenizer():
-    found = Tokenizer.from_file(PATH)
-    found.encode_special_tokens = True
-    return found
+    return Tokenizer.from_file(PATH)
 
 
 def check_packing(out, texts, tokenizer, capacity=2048):
@@ -59,6 +58,36 @@ def test_residual_tree_merges_underfull_bins(spark, tokenizer):
     assert used <= least + 2  # 6 documents fill a sequence; each partition alone would need its own
 
 
+def test_rounds_of_the_tree_report_sequences_against_the_bound(spark, tokenizer):
+    """A table sorted by length: what fits a node's long pieces lies many nodes away."""
+    rows = [(i, "a " * n) for i, n in enumerate([1299] * 300 + [699] * 200 + [89] * 800)]
+    df = spark.createDataFrame(spark.sparkContext.parallelize(rows, 26), "doc_id long, text string")
+    report = []
+    out = packing.pack(df, PATH, fan_in=3, part_rows=40, report=report).toPandas()
+    used, least = check_packing(out, rows, tokenizer)
+    assert len(out) == len(rows) and used <= least * 1.02 + 1
+    assert [r["round"] for r in report] == [0, 1, 2, 3] and report[-1]["going_on"] == 0
+    assert sum(r["sequences"] for r in report) == used and sum(r["tokens"] for r in report) == out.length.sum()
+    for r in report[:-1]:  # what a round emits is nearly full
+        assert r["tokens"] >= r["sequences"] * (packing.CAPACITY - 16)
+    assert all(a["going_on"] >= b["going_on"] for a, b in zip(report, report[1:]))
+
+
+def test_random_words_equal_the_library(tokenizer):
+    rng = np.random.default_rng(12)
+    marks = list("aAbé'\"-_.0½ßÜ̈ﬁİσς<|>\u2009\t") + ["the", "LL", " ", " ", "\n", "<|endoftext|>", "日本"]
+    texts = ["".join(rng.choice(marks, rng.integers(1, 30))) for _ in range(3000)]
+    ids, bounds = packing.WordIds(PATH).encode(texts, 0)
+    for text, a, b in zip(texts, bounds, bounds[1:]):
+        assert ids[a:b].tolist() == tokenizer.encode(text, add_special_tokens=False).ids + [0], text
+
+
+def test_null_ids_and_long_ids_survive_the_tree(spark):
+    rows = [(None, "a " * 600), (2 ** 62 + 1, "b " * 500), (None, None), (-5, "c " * 1500)] * 3
+    out = packing.pack(spark.createDataFrame(rows, "doc_id long, text string").repartition(6), PATH, fan_in=2)
+    assert sorted(str(r.doc_id) for r in out.collect()) == sorted(str(k) for k, _ in rows)
+
+
 def test_every_underfull_bin_is_merged(spark, tokenizer):
     long, short = "a " * 1099, "a " * 899  # 1,100 and 900 tokens with the end id, sorted by length
     rows = [(i, long if i < 2500 else short) for i in range(5000)]

@@ -10,7 +10,7 @@ import pytest
 from sentencepiece import SentencePieceProcessor
 from tokenizers import Tokenizer
 
-from touchline.llm import queries, token_align
+from touchline.llm import common, queries, token_align
 
 SF001 = "/root/testdata/sf0.001"
 A, B = public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.path("piece_bpe_32k.model")
@@ -23,7 +23,7 @@ ODD = ["", None, " ", "   ", "a", "a  b", "a   b\n\n  c", "\n \n", "\n\t \n b",
 def whole():
     a, b = Tokenizer.from_file(A), SentencePieceProcessor(model_file=B)
     a.encode_special_tokens = True
-    alphabet = token_align.byte_alphabet()
+    alphabet = common.byte_alphabet()
 
     def encode(text):
         if not text:

@@ -3,7 +3,9 @@
 from __future__ import annotations
 
 import uuid
+from collections.abc import Iterator
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -80,3 +82,27 @@ def spread_join(rows: DataFrame, groups: DataFrame, key: str, size: str, spread:
              .withColumn(part, F.coalesce(F.pmod(F.xxhash64(spread), F.col(parts)), F.lit(0)).cast("int")).drop(parts))
     repeated = groups.withColumn(part, F.explode(F.sequence(F.lit(0), F.greatest(count, F.lit(1)) - 1)))
     return dealt.join(repeated, [key, part]).drop(part)
+
+
+def byte_alphabet() -> dict[str, int]:
+    """The character that byte-level BPE vocabularies write for each byte: printable ones stand for themselves,
+    the others for code points from 256 on."""
+    shown = [*range(33, 127), *range(161, 173), *range(174, 256)]
+    hidden = [b for b in range(256) if b not in set(shown)]
+    return {chr(b): b for b in shown} | {chr(256 + i): b for i, b in enumerate(hidden)}
+
+
+def batches_of_texts(batches: Iterator[pa.RecordBatch], chars: int) -> Iterator[tuple[list, list[str]]]:
+    """Ids and texts of at most ``chars`` characters at a time; a longer text alone."""
+    ids, texts, held = [], [], 0
+    for batch in batches:
+        for doc_id, text in zip(batch.column(0), batch.column(1)):
+            text = text.as_py() or ""
+            if texts and held + len(text) > chars:
+                yield ids, texts
+                ids, texts, held = [], [], 0
+            ids.append(doc_id.as_py())
+            texts.append(text)
+            held += len(text) + 1
+    if texts:
+        yield ids, texts

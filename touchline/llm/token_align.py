@@ -42,7 +42,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from touchline.llm.byte_bpe import packed, unpacked
-from touchline.llm.common import blank, bucketed
+from touchline.llm.common import batches_of_texts, blank, bucketed, byte_alphabet
 
 LANE_WORDS = 256
 #: Characters that are encoded and merged at a time, and links of a block. They bound memory only.
@@ -56,14 +56,6 @@ SAFE = re.compile(r"(?<=\S) (?=\S)")
 _pairs: dict[tuple[str, str], "WordTokens"] = {}
 
 
-def byte_alphabet() -> dict[str, int]:
-    """The character that byte-level BPE vocabularies write for each byte: printable ones stand for themselves,
-    the others for code points from 256 on."""
-    shown = [*range(33, 127), *range(161, 173), *range(174, 256)]
-    hidden = [b for b in range(256) if b not in set(shown)]
-    return {chr(b): b for b in shown} | {chr(256 + i): b for i, b in enumerate(hidden)}
-
-
 class ByteTokens:
     """Tokenizer A: byte-level BPE; strings of special tokens are plain text. A text is encoded with a space before it."""
 
@@ -263,22 +255,6 @@ BLOCKS = ("block long, pairs array<long>, links array<long>, doc_ids array<long>
           "n_links array<long>, groups array<string>, codes binary")
 
 
-def batches_of_texts(batches: Iterator[pa.RecordBatch], chars: int) -> Iterator[tuple[list, list[str]]]:
-    """Ids and texts of at most ``chars`` characters at a time; a longer text alone."""
-    ids, texts, held = [], [], 0
-    for batch in batches:
-        for doc_id, text in zip(batch.column(0), batch.column(1)):
-            text = text.as_py()
-            if texts and held + len(text) > chars:
-                yield ids, texts
-                ids, texts, held = [], [], 0
-            ids.append(doc_id.as_py())
-            texts.append(text)
-            held += len(text) + 1
-    if texts:
-        yield ids, texts
-
-
 def blocks(docs: DataFrame, a_path: str, b_path: str, batch_chars: int = BATCH_CHARS, block_links: int = BLOCK_LINKS) -> DataFrame:
     """One row per block of (doc_id, text): its distinct pairs and their links, what is known of its texts, and
     their links as numbers of pairs. ``groups`` is the hash of the listed groups, empty without tokens."""
