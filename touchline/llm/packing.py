@@ -346,7 +346,7 @@ def merge_round(items: DataFrame, level: int, fan_in: int, last: bool, capacity:
     # one row a group of ``fan_in`` nodes, so the join side is small; each part of a group gets the group's numbers
     known = counts.join(sizes.select("group", "parts"), "group").withColumn("part", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
     dealt = (items.withColumn("group", group).join(sizes.select("group", "parts"), "group")
-             .withColumn("part", F.pmod(F.xxhash64("rank", "size", "node"), F.col("parts"))).drop("parts"))
+             .withColumn("part", F.pmod(F.xxhash64("rank", "size", "node"), F.col("parts")).cast("int")).drop("parts"))
 
     def place(pieces: pd.DataFrame, numbers: pd.DataFrame) -> pd.DataFrame:
         columns = {c: numbers[c].to_numpy(dtype=np.int64) for c in ("node", "size", "n")}
