@@ -30,7 +30,7 @@ import bisect
 import os
 import zlib
 from collections.abc import Iterator
-from itertools import chain
+from itertools import chain, islice
 
 import numpy as np
 import pandas as pd
@@ -44,7 +44,7 @@ from touchline.llm.common import batches_of_texts, byte_alphabet, materialise
 
 CAPACITY = 2048
 #: Words kept per worker, and the longest one kept; a full cache starts anew. Bounds memory only.
-CACHE_WORDS, CACHE_CHARS = 400_000, 200
+CACHE_WORDS, CACHE_CHARS = 600_000, 200
 #: Characters that are encoded at a time, and pieces that a partition packs at a time.
 BATCH_CHARS, CHUNK_PIECES = 4_000_000, 1 << 18
 #: A bin's number has its round above these bits, then its node above the next ones.
@@ -55,6 +55,19 @@ PUNCTUATION = "!\"#$%&()*+,-./:;<=>?@[\\]^_`{|}~'"
 _encoders: dict[str, "WordIds"] = {}
 
 
+class Numbers(dict):
+    """The number of every word; one that is not known gets the next."""
+
+    def __init__(self):
+        super().__init__({"": 0})
+        self.next = 1
+
+    def __missing__(self, word: str) -> int:
+        self[word] = number = self.next
+        self.next += 1
+        return number
+
+
 class WordIds:
     """Ids of texts, word by word, through a numbered cache of words."""
 
@@ -69,7 +82,7 @@ class WordIds:
         self.clear()
 
     def clear(self) -> None:
-        self.words: dict[str, int] = {"": 0}
+        self.words = Numbers()
         self.ids, self.start, self.count = np.empty(0, dtype=np.uint32), np.zeros(1, dtype=np.int64), np.zeros(1, dtype=np.int64)
 
     def merger(self):
@@ -104,21 +117,24 @@ class WordIds:
 
     def simple(self, word: str) -> list[int] | None:
         """Ids of a run of Latin letters between ASCII marks, which splits into exactly these; None for other words."""
+        if word.isalpha():
+            if not word.isascii() and max(word) > "\u00ff" or word in self.special:
+                return None
+            return [self.id_of[r] for r in self.merge(word.lower().encode() + b"\xff")]
         core = word.strip(PUNCTUATION)
         if not core.isalpha() or max(core) > "\u00ff" or any(s in word for s in self.special):
             return None
         at = word.index(core)
-        if word[:1] == "'" and at:  # may begin a contraction
+        if at and word[0] == "'":  # may begin a contraction
             return None
-        ids = [self.id_of[r] for r in self.merge(core.lower().encode() + b"\xff")]
-        return ids if len(core) == len(word) else self.mark(word[:at]) + ids + self.mark(word[at + len(core):])
+        return self.mark(word[:at]) + [self.id_of[r] for r in self.merge(core.lower().encode() + b"\xff")] + self.mark(word[at + len(core):])
 
     def add(self, words: list[str]) -> None:
+        """Ids of the words whose numbers follow those known."""
         found = [self.simple(w) for w in words]
         others = [i for i, ids in enumerate(found) if ids is None]
         for i, ids in zip(others, self.library([words[i] for i in others])):
             found[i] = ids
-        self.words.update(zip(words, range(len(self.count), len(self.count) + len(words))))
         count = np.fromiter(map(len, found), dtype=np.int64, count=len(found))
         self.start = np.concatenate([self.start, len(self.ids) + np.cumsum(count) - count])
         self.count = np.concatenate([self.count, count])
@@ -129,13 +145,11 @@ class WordIds:
         if len(self.count) > CACHE_WORDS:
             self.clear()
         lists = [text.replace("\n", " ").split(" ") for text in texts]
-        fresh: set[str] = set()
-        for words in lists:
-            fresh.update(set(words).difference(self.words))
-        new = list(fresh)
-        self.add(new)
         per_text = np.fromiter(map(len, lists), dtype=np.int64, count=len(lists))
+        known = len(self.count)
         numbers = np.fromiter(map(self.words.__getitem__, chain.from_iterable(lists)), dtype=np.int64, count=int(per_text.sum()))
+        new = list(islice(reversed(self.words), self.words.next - known))[::-1]
+        self.add(new)
         for word in new:  # long ones are known for this batch only
             if len(word) > CACHE_CHARS:
                 del self.words[word]
