@@ -17,25 +17,30 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from touchline.schemas import RUN, SchemaError
+from touchline.sources import csv_split
 
 
 def read_csv(spark: SparkSession, path: str | Sequence[str], schema: T.StructType, encoding: str = "UTF-8",
-             corrupt_col: str | None = None, keep_extra: bool = False) -> DataFrame:
+             corrupt_col: str | None = None, keep_extra: bool = False, split: bool = True) -> DataFrame:
     """Header CSV mapped onto ``schema`` by column *name* (headers trimmed and lower-cased),
     not by position: columns are read as text, each schema field is cast leniently (bad text ->
     null, P4), schema fields absent from the file are null, extra file columns are dropped unless
     ``keep_extra``. Quoted line breaks stay inside their field. All files of one call have the same header;
     a file whose header differs raises instead of being read by position. ``corrupt_col`` keeps malformed
-    lines (too few or too many fields) whole in that column (S5)."""
+    lines (too few or too many fields) whole in that column (S5). Files are read in splits also where fields
+    hold line breaks (``csv_split``); ``split=False``, or an encoding that cannot be split, makes a file one task."""
     paths = [path] if isinstance(path, str) else list(path)
-    options = {"header": True, "encoding": encoding, "mode": "PERMISSIVE", "multiLine": True}
+    options = {"header": True, "encoding": encoding, "mode": "PERMISSIVE", "multiLine": True, "escape": '"'}
     header = spark.read.options(**options).csv(paths).columns  # reads the first record only
     text = T.StructType([T.StructField(c, T.StringType()) for c in header])
     reader = spark.read.options(**options).option("enforceSchema", False)
     if corrupt_col:
         text = T.StructType(text.fields + [T.StructField(corrupt_col, T.StringType())])
         reader = reader.option("columnNameOfCorruptRecord", corrupt_col)
-    raw = normalise_headers(reader.schema(text).csv(paths))
+    if split and encoding.lower() in csv_split.SPLITTABLE:
+        raw = normalise_headers(csv_split.read_records(spark, paths, header, text, corrupt_col=corrupt_col))
+    else:
+        raw = normalise_headers(reader.schema(text).csv(paths))
     cols = []
     for f in schema.fields:
         if f.name in raw.columns:
