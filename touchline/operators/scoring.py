@@ -1,8 +1,8 @@
 """Batch scoring with fallbacks.
 
 A batch is a DataFrame of requests; every source of a prediction (ensemble, single model, stored
-predictions, market odds, league average) is a DataFrame keyed like the requests. The cascade is a
-set of left joins and a ``coalesce`` per field, so each row falls back on its own (the reference
+predictions, market odds, league average) is a DataFrame keyed like the requests. The cascade stacks the
+sources' answers and keeps the first level of each row, so each row falls back on its own (the reference
 falls back for the whole batch); ``source``, ``mode`` and ``fallback_reason`` record which level
 answered.
 """
@@ -88,43 +88,39 @@ def latest_pair_rows(history: DataFrame, home: str = "home_team", away: str = "a
 
 def cascade(requests: DataFrame, sources: dict[str, DataFrame], league: DataFrame, row_col: str = "row_id") -> DataFrame:
     """Per request row, the first level that answered among ensemble, model, stored, market;
-    league average otherwise. Each source: (row_id, p_home, p_draw, p_away, goals[, model]).
+    league average otherwise. Each source: (row_id, p_home, p_draw, p_away, goals[, model]), a row an id.
 
+    The answers of all sources are stacked as (row, level, values); one aggregate by row keeps the first level's
+    values and notes which levels answered, and meets the requests in one join, however many sources there are.
     Probabilities are clipped to [0.001, 0.999] and renormalised (E26); goals default to 2.7.
     """
-    out = requests
-    present = []
-    for lvl in LEVELS[:-1]:
-        if lvl not in sources:
-            continue
-        s = sources[lvl].select(row_col, *[F.col(c).alias(f"{lvl}__{c}") for c in ("p_home", "p_draw", "p_away", "goals")])
-        out = out.join(s, row_col, "left")
-        present.append(lvl)
+    present = [lvl for lvl in LEVELS[:-1] if lvl in sources]
+    stacked = None
+    for level, lvl in enumerate(present):
+        total = F.col("p_home") + F.col("p_draw") + F.col("p_away")  # null if any is
+        rows = sources[lvl].filter(total > 0).select(row_col, F.struct(F.lit(level).alias("level"), "p_home", "p_draw", "p_away", F.col("goals").cast("double").alias("goals")).alias("_a"))
+        stacked = rows if stacked is None else stacked.unionByName(rows)
+    if stacked is None:
+        out = requests.withColumns({"_a": F.lit(None).cast("struct<level:int,p_home:double,p_draw:double,p_away:double,goals:double>"), "_levels": F.lit(0)})
+    else:
+        found = stacked.groupBy(row_col).agg(F.min("_a").alias("_a"), F.bit_or(F.call_function("shiftleft", F.lit(1), F.col("_a.level"))).alias("_levels"))
+        out = requests.join(found, row_col, "left")
     out = out.crossJoin(F.broadcast(league))  # one row
-
-    def has(lvl):
-        p = [F.col(f"{lvl}__{c}") for c in ("p_home", "p_draw", "p_away")]
-        return p[0].isNotNull() & p[1].isNotNull() & p[2].isNotNull() & ((p[0] + p[1] + p[2]) > 0)
-
+    level = F.col("_a.level")
     source = F.lit("league_average_fallback")
-    picks = {c: F.col(f"lg_{c.split('_')[1]}") for c in ("p_home", "p_draw", "p_away")}
-    goals = F.lit(DEFAULT_GOALS)
-    for lvl in reversed(present):
-        cond = has(lvl)
-        source = F.when(cond, F.lit(lvl)).otherwise(source)
-        picks = {c: F.when(cond, F.col(f"{lvl}__{c}")).otherwise(v) for c, v in picks.items()}
-        goals = F.when(cond, F.coalesce(F.col(f"{lvl}__goals"), F.lit(DEFAULT_GOALS))).otherwise(goals)
-    out = out.withColumns({"source": source, "_ph": picks["p_home"], "_pd": picks["p_draw"], "_pa": picks["p_away"],
-                           "expected_goals": F.greatest(goals, F.lit(0.0))})
+    for i, lvl in reversed(list(enumerate(present))):
+        source = F.when(level == i, lvl).otherwise(source)
+    out = out.withColumns({"source": source, "_ph": F.coalesce("_a.p_home", "lg_home"), "_pd": F.coalesce("_a.p_draw", "lg_draw"), "_pa": F.coalesce("_a.p_away", "lg_away"),
+                           "expected_goals": F.greatest(F.coalesce("_a.goals", F.lit(DEFAULT_GOALS)), F.lit(0.0))})
     ph, pd_, pa = O.clip_renormalise("_ph", "_pd", "_pa")
     out = out.withColumns({"home_win_probability": ph, "draw_probability": pd_, "away_win_probability": pa})
     mode = F.when(F.col("source") == "ensemble", "ensemble").when(F.col("source") == "model", "model").otherwise("fallback")
+    absent = [F.when(F.coalesce(F.col("_levels"), F.lit(0)).bitwiseAND(1 << i) == 0, F.lit(lvl)) for i, lvl in enumerate(present)]
     reason = (F.when(F.col("source") == "ensemble", F.lit(None).cast("string"))
-               .otherwise(F.concat(F.lit("no "), F.concat_ws(", no ", *[F.when(~has(l), F.lit(l)) for l in present]), F.lit(" prediction"))))
+               .otherwise(F.concat(F.lit("no "), F.concat_ws(", no ", *absent), F.lit(" prediction"))))
     out = out.withColumns({"mode": mode, "fallback_reason": reason,
                            "predicted_result": O.argmax_label("home_win_probability", "draw_probability", "away_win_probability")})
-    drop = [c for c in out.columns if "__" in c] + ["_ph", "_pd", "_pa", "lg_home", "lg_draw", "lg_away"]
-    return out.drop(*drop)
+    return out.drop("_a", "_levels", "_ph", "_pd", "_pa", "lg_home", "lg_draw", "lg_away")
 
 
 def overall_mode(scored: DataFrame) -> DataFrame:
