@@ -169,28 +169,67 @@ def manifest(spark: SparkSession, artifacts: dict[str, tuple[str, DataFrame, int
     return spark.createDataFrame(rows, "artifact string, path string, rows long, columns array<string>, inputs array<string>, created_utc string")
 
 
-# Feature catalog (S13): one row per feature family of the fixture table.
-CATALOG = [
-    ("match_features", "home_{x}_last5 / away_{x}_last5", "team_form", "team", True, "trailing mean of the previous 5 fixtures"),
-    ("match_features", "ref_*_last10", "referee", "referee", True, "trailing mean of the referee's previous 10 fixtures"),
-    ("match_features", "{book}_{side}_prob", "market", "fixture", True, "implied probability 1/odds"),
-    ("match_features", "*_diff_last5", "difference", "fixture", True, "home minus away trailing value"),
-    ("match_features", "fthg, ftag, hs, hst, ...", "observed", "fixture", False, "observed during the match: never a feature"),
-    ("shots", "distance_to_goal_m, goal_frame_angle, ...", "geometry", "shot", True, "shot location geometry"),
-    ("shots", "player_*_last20 / team_*_last40", "shot_history", "player/team", True, "trailing shot history"),
-]
-# Leakage table: feature, class, reason.
+# The feature catalog (dataset: name, family, scope, known before kickoff), with a line on each.
+CATALOG = {
+    "shots_enriched": [
+        ("distance_to_goal_m", "geometria", "tiro", False, "metres from the shot to the centre of the goal"),
+        ("goal_frame_angle", "geometria", "tiro", False, "angle between the posts as seen from the shot"),
+        ("centrality_to_goal", "geometria", "tiro", False, "how central the shot is, from 0 to 1"),
+        ("shot_angle_distance_interaction", "geometria", "tiro", False, "angle and distance in one number"),
+        ("is_assisted", "contexto_del_tiro", "tiro", False, "a team mate set the shot up"),
+        ("is_individual_play", "contexto_del_tiro", "tiro", False, "the shooter made the chance alone"),
+        ("is_regular_play", "contexto_del_tiro", "tiro", False, "open play"),
+        ("is_set_piece", "contexto_del_tiro", "tiro", False, "after a set piece"),
+        ("score_diff_before_shot", "estado_del_partido", "tiro", False, "goals of the shooter's team less the other's before the shot"),
+        ("leading_before_shot", "estado_del_partido", "tiro", False, "the shooter's team leads"),
+        ("trailing_before_shot", "estado_del_partido", "tiro", False, "the shooter's team trails"),
+        ("shot_number_in_match", "secuencia", "tiro", False, "ordinal among the shots of the match"),
+        ("team_shot_number_in_match", "secuencia", "tiro", False, "ordinal among the team's shots in the match"),
+        ("time_since_prev_team_shot_s", "secuencia", "tiro", False, "seconds since the team's last shot"),
+        ("player_conversion_last20", "historial_rodante", "tiro", True, "goals a shot over the player's 20 shots before"),
+        ("player_big_chance_rate_last20", "historial_rodante", "tiro", True, "share of big chances in the player's 20 shots before"),
+        ("team_conversion_last40", "historial_rodante", "tiro", True, "goals a shot over the team's 40 shots before"),
+        ("team_big_chance_rate_last40", "historial_rodante", "tiro", True, "share of big chances in the team's 40 shots before"),
+    ],
+    "event_match_features": [
+        ("progressive_pass_rate", "estilo_de_equipo", "equipo_partido", False, "share of passes that gain 15 units or more"),
+        ("shot_accuracy", "ataque_de_equipo", "equipo_partido", False, "shots on target a shot"),
+        ("conversion_rate", "ataque_de_equipo", "equipo_partido", False, "goals a shot"),
+        ("big_chance_rate", "ataque_de_equipo", "equipo_partido", False, "big chances a shot"),
+        ("assisted_shot_rate", "ataque_de_equipo", "equipo_partido", False, "assisted shots a shot"),
+        ("touches_per_shot", "ataque_de_equipo", "equipo_partido", False, "touches a shot"),
+        ("avg_score_diff_before_shot", "contexto_de_equipo", "equipo_partido", False, "mean score difference at the team's shots"),
+    ],
+    "match_features": [
+        ("points_diff_last5", "forma_prepartido", "partido", True, "home less away mean points of the last five"),
+        ("shot_accuracy_diff_last5", "forma_prepartido", "partido", True, "home less away shot accuracy of the last five"),
+        ("conversion_rate_diff_last5", "forma_prepartido", "partido", True, "home less away conversion of the last five"),
+        ("big_chance_rate_diff_last5", "forma_prepartido", "partido", True, "home less away big-chance share of the last five"),
+        ("assisted_shot_rate_diff_last5", "forma_prepartido", "partido", True, "home less away assisted share of the last five"),
+        ("avg_shot_angle_diff_last5", "calidad_de_ocasiones", "partido", True, "home less away mean shot angle of the last five"),
+        ("avg_score_diff_before_shot_diff_last5", "estado_prepartido", "partido", True, "home less away mean score state at shots of the last five"),
+        ("market_favorite_strength", "senal_de_mercado", "partido", True, "largest normalised implied probability"),
+        ("market_entropy_b365", "senal_de_mercado", "partido", True, "entropy of the implied probabilities"),
+        ("home_odds_dispersion", "senal_de_mercado", "partido", True, "spread of the home price over the bookmakers"),
+        ("ref_avg_yellows_last10", "contexto_arbitral", "partido", True, "mean yellow cards in the referee's ten matches before"),
+        ("ref_home_win_rate_last10", "contexto_arbitral", "partido", True, "share of home wins in the referee's ten matches before"),
+    ],
+}
+# The leakage table (feature group, class), with the reason.
 LEAKAGE = [
-    ("fthg", "target_leak", "final score of the fixture"),
-    ("ftag", "target_leak", "final score of the fixture"),
-    ("total_goals", "target_leak", "sum of the final score"),
-    ("hst", "in_match", "shots on target during the match"),
-    ("*_last5", "ex_ante", "uses only earlier fixtures"),
+    ("Odds pre-partido (B365H, B365D, B365A)", "pre-partido valida", "prices are set before kickoff"),
+    ("Equipo local, equipo visitante y arbitro", "pre-partido valida", "known before kickoff"),
+    ("Rolling goals, points y win rate last5", "pre-partido valida", "earlier matches only"),
+    ("Shots y shots on target del partido actual", "post-partido leakage", "observed in the match to be predicted"),
+    ("Corners del partido actual", "post-partido leakage", "observed in the match to be predicted"),
+    ("Fouls, yellow cards y red cards del partido actual", "post-partido leakage", "observed in the match to be predicted"),
+    ("FTHG, FTAG, total_goals y goal_diff", "post-partido leakage", "the targets themselves"),
 ]
 
 
 def feature_catalog(spark: SparkSession) -> DataFrame:
-    return spark.createDataFrame(CATALOG, "dataset string, name string, family string, scope string, ex_ante boolean, description string")
+    rows = [(dataset, *row) for dataset, own in CATALOG.items() for row in own]
+    return spark.createDataFrame(rows, "dataset string, name string, family string, scope string, ex_ante boolean, description string")
 
 
 def leakage_table(spark: SparkSession) -> DataFrame:
