@@ -246,6 +246,43 @@ def fixture_form_with_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     return normalise(res.select(*cols))
 
 
+_FORM_STATE_SQL = _FORM_EVENTS_SQL.split(",\nh AS (")[0] + """,
+sp AS (SELECT *, row_number() OVER (ORDER BY kickoff, id) - 1 AS i, count(*) OVER () AS rows FROM fixtures),
+tt AS (SELECT *, i < greatest(CAST(floor(rows * 0.8) AS BIGINT), 1) AS is_train FROM sp),
+st AS (SELECT tl.team, tl.kickoff, tl.id, tl.goals_for, tl.goals_against, tl.points""" + "".join(f", CAST(tm.{c} AS DOUBLE) AS {c}" for c in _EVENT_FORM_COLS) + """
+       FROM tl JOIN tt ON tt.id = tl.id AND tt.is_train LEFT JOIN tm ON tm.match_id = tl.id AND tm.team = tl.team),
+ff AS (SELECT team""" + "".join(f", avg({c}) AS {c}" for c in _FORM_EVENT_COLS) + """
+       FROM (SELECT * FROM st QUALIFY row_number() OVER (PARTITION BY team ORDER BY kickoff DESC, id DESC) <= 5) GROUP BY team),
+rf AS (SELECT referee, avg(hy + ay) AS y, avg(hf + af) AS fo, avg(total_goals) AS g, avg(home_win) AS hw
+       FROM (SELECT * FROM tt WHERE is_train AND referee IS NOT NULL QUALIFY row_number() OVER (PARTITION BY referee ORDER BY kickoff DESC, id DESC) <= 10) GROUP BY referee)
+SELECT n.id""" + "".join(f", round(h.{c}, 6) AS home_{c}_last5, round(a.{c}, 6) AS away_{c}_last5"
+                         + (f", round(h.{c} - a.{c}, 6) AS {c}_diff_last5" if c in DIFF_BASES else "") for c in _FORM_EVENT_COLS) + """,
+       round(y, 6) AS ref_avg_yellows_last10, round(fo, 6) AS ref_avg_fouls_last10, round(g, 6) AS ref_avg_goals_last10, round(hw, 6) AS ref_home_win_rate_last10
+FROM tt n LEFT JOIN ff h ON h.team = n.home_team LEFT JOIN ff a ON a.team = n.away_team LEFT JOIN rf USING (referee) WHERE NOT n.is_train
+"""
+
+
+@query("future_fixture_state", _FORM_STATE_SQL)
+def future_fixture_state(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """J8 + W9 + W10: the holdout fixtures as requests, all 18 form bases and the referee read from states that are
+    built from the first training fixtures and updated with the others."""
+    from touchline.operators import features, form_state
+    fx = bindings.fixtures(spark, sf_dir)
+    ev, ctx = bindings.play_events(spark, sf_dir, fx), bindings.match_context(fx)
+    stats = S.team_match_stats(ev, S.enrich_shots(ev, ctx, bindings.shot_qualifiers(spark, sf_dir)), ctx)
+    stats = stats.withColumn("team_name", F.col("team_name").cast("long"))
+    both = bindings.with_time_split(fx).checkpoint(eager=True)
+    train, asked = both.filter("is_train"), both.filter("not is_train").select("id", "kickoff", "home_team", "away_team", "referee")
+    rows, columns = form_state.team_rows(train, stats)
+    rows = rows.checkpoint(eager=True)  # read twice: first part and update
+    older = F.pmod(F.col("id"), F.lit(3)) > 0  # any split gives the same state
+    teams = form_state.merge(form_state.build(rows.filter(older), "team", columns, 5), form_state.build(rows.filter(~older), "team", columns, 5), "team", 5)
+    referees = form_state.merge(form_state.referee_state(train.filter(older)), form_state.referee_state(train.filter(~older)), "referee", 10)
+    res = form_state.request_features(asked, teams, referees)
+    cols = [f"{side}_{c}_last5" for c in _FORM_EVENT_COLS for side in ("home", "away")] + [f"{c}_diff_last5" for c in DIFF_BASES]
+    return normalise(res.select("id", *cols, *features.REFEREE_TARGETS.values()))
+
+
 @query("team_profile_inputs", _TEAM_MATCH_SQL.split("\nSELECT g.match_id")[0] + """,
 hm AS (SELECT CAST(home_team AS VARCHAR) AS team, avg(fthg) AS goals_home, avg(ftag) AS ga_home FROM fixtures GROUP BY 1),
 aw AS (SELECT CAST(away_team AS VARCHAR) AS team, avg(ftag) AS goals_away, avg(fthg) AS ga_away FROM fixtures GROUP BY 1),
