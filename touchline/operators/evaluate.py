@@ -11,7 +11,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from touchline.operators.windows import row_index, running_totals
+from touchline.operators.windows import running_totals
 
 LABELS = ("H", "D", "A")
 
@@ -110,21 +110,19 @@ def roc_points(df: DataFrame, label: str, score: str, by: Sequence[str] = ()) ->
     same = F.lit(True)
     for c in by:
         same = same & F.col(c).eqNullSafe(F.col(f"_g_{c}"))
-    j = run.join(F.broadcast(groups), same)  # one row per system
+    j = run.join(groups, same) if by else run.crossJoin(F.broadcast(groups))  # one row
     j = j.withColumns({"tp": F.col("_cp") - F.col("_bp"), "fp": F.col("_cn") - F.col("_bn")})
     return j.select(*by, "score", "pos", "neg", "tp", "fp", "P", "N", F.try_divide("tp", "P").alias("tpr"), F.try_divide("fp", "N").alias("fpr"))
 
 
 def auc(df: DataFrame, label: str, score: str, by: Sequence[str] = ()) -> DataFrame:
-    """Area under the ROC curve from the ranks of the positives (ties share their mean rank, which is
-    the trapezoid rule over distinct scores). The ranks are the distributed row index over (group, score);
-    null when a class is absent."""
-    ranked = row_index(_scored(df, label, score, by), [*by, "score"], "_i")
-    g = ranked.groupBy(*by, "score").agg(F.min("_i").alias("_lo"), F.max("_i").alias("_hi"), F.sum("_y").alias("pos"), F.sum(1 - F.col("_y")).alias("neg"))
-    s = g.groupBy(*by).agg(F.sum("pos").alias("P"), F.sum("neg").alias("N"), F.min("_lo").alias("_b"),
-                           F.sum(F.col("pos") * ((F.col("_lo") + F.col("_hi")) / 2)).alias("_s"))
-    p, n = F.col("P").cast("double"), F.col("N").cast("double")
-    return s.select(*by, F.try_divide(F.col("_s") - p * (F.col("_b") - 1) - p * (p + 1) / 2, p * n).alias("auc"))
+    """Area under the ROC curve by the trapezoid rule over distinct scores: a negative counts the positives above it
+    and half of those beside it. Rows of an equal score are counted before anything is ordered, so ties, however
+    many, never share a task; null when a class is absent."""
+    points = roc_points(df, label, score, by)
+    won = F.sum(F.col("neg") * (F.col("tp") - F.col("pos") / 2))
+    return points.groupBy(*by).agg(won.alias("_w"), F.max("P").alias("_p"), F.max("N").alias("_n")).select(
+        *by, F.try_divide("_w", F.col("_p").cast("double") * F.col("_n")).alias("auc"))
 
 
 def threshold_sweep(df: DataFrame, label: str, score: str, thresholds: Sequence[float] = (0.3, 0.5, 0.7)) -> DataFrame:

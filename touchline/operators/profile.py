@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from touchline.functions import geometry
-from touchline.operators.windows import row_index
+from touchline.operators.windows import running_totals
 
 
 def quality_summary(df: DataFrame, name: str, date_cols: Sequence[str] = ()) -> DataFrame:
@@ -52,25 +52,39 @@ def overview(df: DataFrame, name: str) -> DataFrame:
                                                           F.lit(len(df.columns)).alias("columns"), F.lit(types).alias("dtypes"))
 
 
-def ranked_quantiles(df: DataFrame, value: str, probs: dict[str, float], by: str | None = None, more: Sequence[Column] = ()) -> DataFrame:
-    """Exact quantiles (linear interpolation) by distributed rank: rows are indexed in (group, value) order, and
-    each quantile reads the one or two rows at its position. ``probs`` maps output to probability; ``more``
-    are further aggregates over ``_v`` (the value as double). No group or column meets in one task."""
+def ranked_quantiles(df: DataFrame, value: str, probs: dict[str, float], by: str | None = None, more: Sequence[Column] = (),
+                     places: dict[str, Column] | None = None) -> DataFrame:
+    """Exact quantiles (linear interpolation): rows are counted by (group, value), the counts are summed up in that
+    order by distributed prefix sums, and each quantile reads the one or two values whose places cover its own.
+    ``probs`` maps output to probability; ``more`` are further aggregates over ``_v`` (the value as double), ``places`` outputs
+    that read the value at a place, an expression of the number of values ``_n``. Equal and
+    null values are one row each before anything is ordered, so neither they nor a group meet in one task."""
     keys = [by] if by else []
-    rows = row_index(df.select(*keys, F.col(value).cast("double").alias("_v")), [*keys, "_v"], "_i")
-    groups = rows.groupBy(*[F.col(k).alias(f"_g_{k}") for k in keys]).agg(F.min(F.when(F.col("_v").isNotNull(), F.col("_i"))).alias("_b"), F.count("_v").alias("_n"))
-    same = F.lit(True)
-    for k in keys:
-        same = same & F.col(k).eqNullSafe(F.col(f"_g_{k}"))
-    at = rows.join(F.broadcast(groups), same)  # one row per class
-    place = F.col("_i") - F.col("_b")
-    aggs = []
+    values = df.select(*keys, F.col(value).cast("double").alias("_v"))
+    rows = running_totals(values.groupBy(*keys, "_v").agg(F.count(F.lit(1)).alias("_rows")), [*keys, "_v"], {"_rows": "_upto"})
+    known = F.col("_v").isNotNull()
+    groups = rows.groupBy(*[F.col(k).alias(f"_g_{k}") for k in keys]).agg(
+        F.min(F.when(known, F.col("_upto") - F.col("_rows"))).alias("_b"), F.coalesce(F.sum(F.when(known, F.col("_rows"))), F.lit(0)).alias("_n"))
+    totals = values.select(*[F.col(k).alias(f"_g_{k}") for k in keys], "_v").groupBy(*[f"_g_{k}" for k in keys]).agg(F.count("_v").alias("_m"), *more)
+
+    def beside(left: DataFrame, right: DataFrame) -> DataFrame:
+        if not keys:
+            return left.crossJoin(F.broadcast(right))  # one row
+        return left.join(right, F.col(keys[0]).eqNullSafe(F.col(f"_g_{keys[0]}"))).drop(f"_g_{keys[0]}")
+
+    at = beside(rows, groups)
+    last = F.col("_upto") - F.col("_b") - 1
+
+    def value_at(place: Column) -> Column:
+        return F.max(F.when((place <= last) & (place > last - F.col("_rows")), F.col("_v")))
+
+    aggs = [value_at(place).alias(name) for name, place in (places or {}).items()]
     for name, p in probs.items():
         h = (F.col("_n") - 1) * p
         for part, edge in (("lo", F.floor(h)), ("hi", F.ceil(h))):
-            aggs.append(F.max(F.when(place == edge, F.col("_v"))).alias(f"_{part}_{name}"))
+            aggs.append(value_at(edge).alias(f"_{part}_{name}"))
         aggs.append(F.max(h - F.floor(h)).alias(f"_w_{name}"))
-    out = at.groupBy(*keys).agg(*aggs, *more)
+    out = beside(at.groupBy(*keys).agg(*aggs), totals).drop("_m")
     return out.withColumns({name: F.col(f"_lo_{name}") + (F.col(f"_hi_{name}") - F.col(f"_lo_{name}")) * F.col(f"_w_{name}") for name in probs}).drop(
         *[f"_{part}_{name}" for name in probs for part in ("lo", "hi", "w")])
 
@@ -141,10 +155,8 @@ def histogram(df: DataFrame, value: str, lo: float, hi: float, n: int, by: str |
 
 def mean_median(df: DataFrame, value: str, by: str | None = None) -> DataFrame:
     """Mean, the interpolated median, and the upper-middle median the dashboard shows (element
-    ``floor(n/2)`` of the ascending order), exact by distributed rank."""
-    place = F.col("_i") - F.col("_b")
-    upper = F.max(F.when(place == F.floor(F.col("_n") / 2), F.col("_v"))).alias("upper_median")
-    out = ranked_quantiles(df, value, {"median": 0.5}, by, [F.avg("_v").alias("mean"), upper, F.count("_v").alias("n")])
+    ``floor(n/2)`` of the ascending order), exact by counts of values."""
+    out = ranked_quantiles(df, value, {"median": 0.5}, by, [F.avg("_v").alias("mean"), F.count("_v").alias("n")], {"upper_median": F.floor(F.col("_n") / 2)})
     return out.select(*([by] if by else []), "mean", "median", "upper_median", "n")
 
 
