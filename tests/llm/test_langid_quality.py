@@ -98,3 +98,14 @@ def test_quality_odd_rows(spark):
     assert kept.columns == docs.columns and {1, 3, 5} <= {r.doc_id for r in kept.collect()}
     assert quality.train(quality.labelled_documents(docs, labels.limit(0))) is None
     assert quality.keep_good(docs, None).count() == docs.count() and {r.score for r in quality.with_score(docs, None).collect()} == {0.5}
+
+
+def test_the_whole_of_a_text_without_white_space_counts():
+    rng = np.random.default_rng(8)
+    text = "".join(chr(0x4E00 + int(c)) for c in rng.integers(0, 900, 16_000))
+    changed = text[:8_000] + "".join(chr(0x4E00 + int(c)) for c in rng.integers(0, 900, 8_000))
+    own, other = (dict(zip(*map(np.ndarray.tolist, quality.features(t)))) for t in (text, changed))
+    assert len(own) > 500 and len(set(own) & set(other)) > 250 and len(set(own) ^ set(other)) > 250
+    weights = rng.normal(size=1 << quality.BITS)
+    score = [sum(weights[b] * v for b, v in f.items()) for f in (own, other)]
+    assert score[0] != score[1] and quality.pieces("a " + "b" * 130) == ["a", "b" * 64, "b" * 64, "bb"] and quality.pieces("") == []

@@ -368,7 +368,7 @@ def merge_round(items: DataFrame, level: int, fan_in: int, last: bool, capacity:
         found, offset, rank = plan.place(*(pieces[c].to_numpy(dtype=np.int64) for c in ("node", "size", "rank")))
         own = pieces["group"].to_numpy(dtype=np.int64)
         open_ = rank >= 0
-        return pd.DataFrame({**{c: pieces[c] for c in ("doc_id", "piece", "start", "length", "ids_crc32")},
+        return pd.DataFrame({"doc_id": pieces["doc_id"].astype(object), **{c: pieces[c] for c in ("piece", "start", "length", "ids_crc32")},
                              "bin": (level << ROUND_BITS) + (own << NODE_BITS) + found,
                              "offset": pieces["offset"] + np.where(open_, 0, offset), "node": own, "size": pieces["size"], "rank": rank})
 

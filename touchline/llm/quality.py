@@ -37,6 +37,8 @@ ALPHA, BETA, L1, L2 = 2.0, 1.0, 0.02, 1e-3
 THRESHOLD = 0.7
 #: Most words of the short extra example that each training row gives.
 WINDOW = 8
+#: Characters of a word that are hashed as one.
+LONGEST = 64
 #: Words kept per worker; a full cache starts anew. Words of a text that are hashed at once.
 CACHE_WORDS, PART = 400_000, 1 << 17
 MIX = [np.uint64(m) for m in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9)]
@@ -45,11 +47,20 @@ SAME = np.uint64(0x27D4EB2F165667C5)
 
 def shape(word: str) -> str:
     out: list[str] = []
-    for ch in word[:64]:
+    for ch in word:
         kind = ("A" if ch.isupper() else "a") if ch.isalpha() else "0" if ch.isdigit() else ch
         if not out or out[-1] != kind:
             out.append(kind)
-    return "".join(out[:12])
+    return "".join(out)
+
+
+def pieces(text: str) -> list[str]:
+    """The words of a text; a longer one than ``LONGEST`` (a text without white space is one word) as consecutive
+    pieces, all of which count."""
+    words = text.split()
+    if max(map(len, words), default=0) <= LONGEST:
+        return words
+    return [word[at:at + LONGEST] for word in words for at in range(0, len(word), LONGEST)]
 
 
 class Words(dict):
@@ -79,7 +90,7 @@ _words = Words()
 
 def features(text: str) -> tuple[np.ndarray, np.ndarray]:
     """Buckets and values of a whole text, bucket 0 being the bias."""
-    words = text.split()
+    words = pieces(text)
     buckets, counts = np.empty(0, dtype=np.int64), np.empty(0, dtype=np.int64)
     for at in range(0, len(words), PART):
         hashes = _words.of(words[at:at + PART + 2])
