@@ -144,48 +144,91 @@ def date_text(ts: str | Column) -> Column:
     return F.date_format(_c(ts), "yyyy-MM-dd")
 
 
-def _literal_to_json(t: Column) -> Column:
-    """Python-literal text to JSON text. A single quote is a string delimiter only next to a bracket, colon
-    or comma (with spaces), so an apostrophe inside a name stays; None/True/False count only outside
-    strings, next to the same marks. Strings in double quotes keep their apostrophes."""
-    s = F.regexp_replace(t, r"(^|[\[{(:,]\s*)'", r'$1"')
-    s = F.regexp_replace(s, r"'(\s*(?:[\]}):,]|$))", r'"$1')
-    for literal, json in (("None", "null"), ("True", "true"), ("False", "false")):
-        s = F.regexp_replace(s, rf"([\[:,]\s*){literal}(\s*[\]}},])", rf"$1{json}$2")
-    return s
+# The tokens of a literal: strings in either quotes with escapes, names, numbers, blanks, any other
+# character; the parts of a string's content; and Python's names with their JSON words.
+_TOKEN = r"""(?s)'[^'\\]*+(?:\\.[^'\\]*+)*+'|"[^"\\]*+(?:\\.[^"\\]*+)*+"|[A-Za-z_][A-Za-z_0-9]*+|[-+]?[0-9][0-9_.eE]*+(?:(?<=[eE])[-+][0-9_]++)?|\s++|."""
+_PART = r"(?s)\\x[0-9a-fA-F]{2}|\\.|[^\\]++"
+_WORDS = {"None": "null", "True": "true", "False": "false", "null": "null", "true": "true", "false": "false"}
 
 
-def qualifier_items(text: str | Column) -> Column:
-    """qualifier text parsed as a JSON list, else a JSON object (one item), else the same as a
-    Python literal; null when nothing parses."""
+def _string_json(token: Column) -> Column:
+    """A quoted token as a JSON string: escapes that JSON lacks are rewritten, double quotes are escaped."""
+    parts = F.regexp_extract_all(F.substring(token, F.lit(2), F.length(token) - 2), F.lit(_PART), 0)
+    return F.concat(F.lit('"'), F.array_join(F.transform(parts, lambda p: (
+        F.when(p == "\\'", "'").when(F.startswith(p, F.lit("\\x")), F.concat(F.lit("\\u00"), F.substring(p, 3, 2)))
+         .when(F.startswith(p, F.lit("\\")), p).otherwise(F.replace(p, F.lit('"'), F.lit('\\"'))))), ""), F.lit('"'))
+
+
+def literal_json(t: Column) -> Column:
+    """Python-literal text to JSON text, token by token: what lies inside a string is never taken for anything else.
+    Tuples become lists, trailing commas go, JSON's own words pass; other words make the result no JSON."""
+    tokens = F.filter(F.regexp_extract_all(t, F.lit(_TOKEN), 0), lambda x: F.trim(F.translate(x, "\n\r\t\f", "    ")) != "")
+
+    def convert(x: Column, i: Column) -> Column:
+        word = F.lit("?")
+        for name, json in _WORDS.items():
+            word = F.when(x == name, json).otherwise(word)
+        number = F.regexp_replace(F.regexp_replace(x, r"^\+|_", ""), r"\.$", ".0")
+        closes = F.coalesce(F.get(tokens, i + 1), F.lit("")).isin("]", "}", ")")
+        return (F.when(x.rlike("""^['"]."""), _string_json(x)).when(x.rlike("^[A-Za-z_]"), word).when(x.rlike("^[-+]?[0-9]"), number)
+                 .when(x == "(", "[").when(x == ")", "]").when((x == ",") & closes, "").otherwise(x))
+
+    return F.array_join(F.transform(tokens, convert), "")
+
+
+def literal_items(text: str | Column) -> Column:
+    """the items of JSON or, failing that, Python-literal text, as variants: those of a list, or an object alone. Null
+    when the text is neither a list nor an object of either kind."""
     t = F.trim(_c(text))
-    item = QUALIFIERS.elementType
-    attempts = []
-    for src in (t, _literal_to_json(t)):
-        attempts.append(F.when(F.startswith(src, F.lit("[")), F.from_json(src, QUALIFIERS)))
-        obj = F.when(F.startswith(src, F.lit("{")), F.from_json(src, item))
-        # a malformed object parses (PERMISSIVE) to a struct of nulls: accept only one with a field
-        attempts.append(F.when(obj["type"].isNotNull() | obj["value"].isNotNull(), F.array(obj)))
-    return F.coalesce(*attempts)
+    found = []
+    for parsed in (F.try_parse_json(t), F.when(t.rlike(r"^[\[{]"), F.try_parse_json(literal_json(t)))):
+        kind = F.schema_of_variant(parsed)
+        found.append(F.when(F.startswith(kind, F.lit("ARRAY")), F.try_variant_get(parsed, "$", "array<variant>"))
+                      .when(F.startswith(kind, F.lit("OBJECT")), F.array(parsed)))
+    return F.coalesce(*found)
+
+
+def _scalar_text(item: Column) -> Column:
+    """Text of an item that is no object, null for one that counts as nothing (empty, zero, false, null)."""
+    kind, s = F.schema_of_variant(item), F.try_variant_get(item, "$", "string")
+    truth = F.when(kind == "BOOLEAN", F.when(s == "true", "True"))
+    return F.when(kind == "BOOLEAN", truth).when(kind.rlike("^(BIGINT|DECIMAL|DOUBLE)") & (s.cast("double") == 0), F.lit(None)).when(s != "", s)
+
+
+def _is_object(item: Column) -> Column:
+    return F.startswith(F.schema_of_variant(item), F.lit("OBJECT"))
+
+
+def _display_name(item: Column) -> Column:
+    name = F.try_variant_get(item, "$.type.displayName", "string")
+    return F.when(name != "", name)
+
+
+def qualifier_items(text: str | Column) -> Column:
+    """qualifier text parsed as JSON, else as a Python literal, in the typed form of the qualifier list; null
+    when nothing parses."""
+    items = F.filter(literal_items(text), _is_object)
+    fields = QUALIFIERS.elementType["type"].dataType.fieldNames()
+    return F.transform(items, lambda i: F.struct(F.struct(*[F.try_variant_get(i, f"$.type.{f}", "string").alias(f) for f in fields]).alias("type"),
+                                                 F.try_variant_get(i, "$.value", "string").alias("value"))).cast(QUALIFIERS)
 
 
 def qualifier_names_lenient(text: str | Column) -> Column:
-    """F2 + F3 on raw text: display names of the parsed items; unparsable non-empty text is one name;
-    null or blank text gives an empty list."""
+    """F2 + F3 on raw text: display names of the parsed items, items that are no objects by their text; unparsable
+    non-empty text is one name; null or blank text gives an empty list."""
     t = F.trim(_c(text))
-    parsed = qualifier_items(t)
-    empty = F.array().cast("array<string>")
-    return (F.when(t.isNull() | (t == ""), empty)
-             .when(parsed.isNotNull(), F.filter(F.transform(parsed, lambda x: x["type"]["displayName"]),
-                                                lambda n: n.isNotNull() & (F.length(n) > 0)))
-             .otherwise(F.array(t)))
+    names = F.transform(literal_items(t), lambda i: F.when(_is_object(i), _display_name(i)).otherwise(_scalar_text(i)))
+    return F.when(t.isNull() | (t == ""), F.array().cast("array<string>")).otherwise(F.coalesce(F.array_compact(names), F.array(t)))
 
 
 def qualifiers_text_lenient(text: str | Column) -> Column:
     """F2 on raw text: lower-case token text of the parsed items (display name, then the value unless
     null or empty); unparsable non-empty text is kept as one token; null or blank gives ""."""
     t = F.trim(_c(text))
-    parsed = qualifier_items(t)
-    return (F.when(t.isNull() | (t == ""), F.lit(""))
-             .when(parsed.isNotNull(), qualifiers_to_text(parsed))
-             .otherwise(F.lower(t)))
+
+    def tokens(i: Column) -> Column:
+        value = F.try_variant_get(i, "$.value", "string")
+        return F.when(_is_object(i), F.array(_display_name(i), F.when(value != "", value))).otherwise(F.array(_scalar_text(i)))
+
+    parts = F.array_compact(F.flatten(F.transform(literal_items(t), tokens)))
+    return F.when(t.isNull() | (t == ""), F.lit("")).otherwise(F.lower(F.coalesce(F.array_join(parts, " "), t)))

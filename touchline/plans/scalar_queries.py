@@ -158,3 +158,25 @@ def match_batch_summaries(spark: SparkSession, sf_dir: str) -> DataFrame:
             (F.col(c) if c in one.columns else F.lit(None)).cast("double" if c.startswith("mean") else "long").alias(n) for n, c in wanted.items()])
         out = one if out is None else out.unionByName(one)
     return normalise(out)
+
+
+@query("literal_names", """
+WITH c AS (SELECT c_custkey AS k, c_name AS n, c_custkey % 9 AS kind FROM customer)
+SELECT k, CASE kind WHEN 0 THEN n || '|' || 'O''Neil' WHEN 1 THEN n || '|' || 'O''Neil' WHEN 2 THEN n WHEN 3 THEN n || '|plain|True' WHEN 4 THEN 'say "' || n || '", None'
+                    WHEN 5 THEN '[' || n || ' ''broken' WHEN 6 THEN '' WHEN 7 THEN n ELSE 'A' || n END AS names,
+       lower(CASE kind WHEN 0 THEN n || ' 5 O''Neil' WHEN 1 THEN n || ' 5 O''Neil' WHEN 2 THEN n || ' True' WHEN 3 THEN n || ' plain True' WHEN 4 THEN 'say "' || n || '", None'
+                    WHEN 5 THEN '[' || n || ' ''broken' WHEN 6 THEN '' WHEN 7 THEN n || ' [1]' ELSE 'A' || n END) AS tokens FROM c
+""")
+def literal_names(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """F2 + F3: names and token text of literals made from customer names: JSON, Python literals with both quotes, nesting,
+    escapes, None and True, broken and blank text."""
+    n = F.col("c_name")
+    made = [F.concat(F.lit('[{"type": {"displayName": "'), n, F.lit('"}, "value": "5"}, {"type": {"displayName": "O\'Neil"}, "value": null}]')),
+            F.concat(F.lit("[{'type': {'displayName': '"), n, F.lit("'}, 'value': 5}, {'type': {'displayName': \"O'Neil\"}, 'value': None, 'more': [{'a': (1, 2)}, '}']}]")),
+            F.concat(F.lit(" {'type': {'displayName': '"), n, F.lit("', 'value': 31}, 'value': 'True'} ")),
+            F.concat(F.lit("['"), n, F.lit("', \"plain\", '', 0, None, False, True]")),
+            F.concat(F.lit("['say \""), n, F.lit("\", None']")), F.concat(F.lit("["), n, F.lit(" 'broken")), F.lit("  "),
+            F.concat(F.lit('{"type": {"displayName": "'), n, F.lit('"}, "value": "[1]"}')), F.concat(F.lit("['\\x41"), n, F.lit("',]"))]
+    literal = F.element_at(F.array(*made), (F.col("c_custkey") % 9 + 1).cast("int"))
+    return normalise(table(spark, sf_dir, "customer").select(
+        F.col("c_custkey").alias("k"), F.array_join(text.qualifier_names_lenient(literal), "|").alias("names"), text.qualifiers_text_lenient(literal).alias("tokens")))
