@@ -25,8 +25,9 @@ from pyspark.sql import functions as F
 
 from touchline.ml.gram import MERGE_GROUPS, Moments, block_moments, expanding
 
-#: Coordinate sweeps over the quadratic model in a round, and rows that a task multiplies at a time.
-SWEEPS, CHUNK = 2000, 2048
+#: Coordinate sweeps before the weights that are not zero are solved for, tries of both, and rows that a task
+#: multiplies at a time.
+SWEEPS, ROUNDS, CHUNK = 10, 200, 2048
 
 
 def selected(df: DataFrame, columns: Sequence[str], label: str, fold: str) -> DataFrame:
@@ -131,26 +132,45 @@ class Tensor:
         return loss + (self.l1 * np.abs(w) + self.l2 * w * w / 2).sum(axis=(2, 3))
 
     def newton(self, w: np.ndarray, slope: np.ndarray, curve: np.ndarray, moving: np.ndarray) -> np.ndarray:
-        """The step to the minimum of the quadratic model and the penalty, all points at once."""
+        """The step to the minimum of the quadratic model and the penalty: a few coordinate sweeps over all points at
+        once find which weights are zero, then each point's other weights are solved for; a point whose solution
+        keeps its signs is done, the others go on."""
         at = np.nonzero(moving)
         start, l1, l2 = (np.broadcast_to(v, w.shape)[at].reshape(len(at[0]), -1) for v in (w, self.l1, self.l2))
-        new, q = start.copy(), curve[at]
-        fit = slope[at].reshape(len(at[0]), -1).copy()  # slope of the model at ``new``
-        for _ in range(SWEEPS):
-            moved = 0.0
-            for j in range(new.shape[1]):
-                h = q[:, j, j] + 1e-12
-                rest = h * new[:, j] - fit[:, j]
-                step = np.sign(rest) * np.maximum(np.abs(rest) - l1[:, j], 0.0) / (h + l2[:, j]) - new[:, j]
-                fit += q[:, j] * step[:, None]
-                new[:, j] += step
-                moved = max(moved, float(np.abs(step).max(initial=0.0)))
-            if moved < 1e-11:
+        q, g = curve[at] + np.eye(start.shape[1]) * 1e-11, slope[at].reshape(len(at[0]), -1)
+        new, left = start.copy(), np.arange(len(start))
+        for _ in range(ROUNDS):
+            own, fit = new[left], g[left] + np.einsum("pij,pj->pi", q[left], new[left] - start[left])
+            for _ in range(SWEEPS):
+                for j in range(own.shape[1]):
+                    h = q[left, j, j]
+                    rest = h * own[:, j] - fit[:, j]
+                    step = np.sign(rest) * np.maximum(np.abs(rest) - l1[left, j], 0.0) / (h + l2[left, j]) - own[:, j]
+                    fit += q[left, j] * step[:, None]
+                    own[:, j] += step
+            new[left] = own
+            left = np.array([p for p in left if not self.solved(q[p], g[p], start[p], l1[p], l2[p], new[p])], dtype=np.int64)
+            if not len(left):
                 break
         out = np.zeros_like(w)
         out[at] = (new - start).reshape(-1, *w.shape[2:])
+        out[:, :, -1] -= out[:, :, -1].mean(axis=-1, keepdims=True)  # the loss does not see a shift of all intercepts
         return out
 
+    @staticmethod
+    def solved(q: np.ndarray, g: np.ndarray, start: np.ndarray, l1: np.ndarray, l2: np.ndarray, w: np.ndarray) -> bool:
+        """Solve for the weights that are not zero, given their signs; whether that is the minimum. ``w`` takes it if so."""
+        free = (w != 0) | (l1 == 0)
+        sign = np.where(l1 > 0, np.sign(w), 0.0)  # weights without an L1 penalty may change theirs
+        own = np.ix_(free, free)
+        found = np.zeros_like(w)
+        found[free] = np.linalg.solve(q[own] + np.diag(l2[free]), (q @ start - g)[free] - l1[free] * sign[free])
+        rest = g + q @ (found - start) + l2 * found
+        if (found * sign < 0).any() or (np.abs(rest[~free]) > l1[~free] + 1e-12).any():
+            return False
+        w[:] = found
+        return True
+
     def violation(self, slope: np.ndarray) -> np.ndarray:
         """How far each point is from its optimum: the least norm of a subgradient of the objective at its weights."""
         whole = slope + self.l2 * self.w
