@@ -13,6 +13,7 @@ from touchline.plans import bindings
 from touchline.plans.eval_queries import _ALL, _holdout_vote, _split_fixtures
 from touchline.plans.oracle import EVENTS_CTE, FIXTURES_CTE, with_ctes
 from touchline.plans.registry import normalise, query
+from touchline.session import spread
 from touchline.sources.tables import table
 
 
@@ -178,5 +179,5 @@ def literal_names(spark: SparkSession, sf_dir: str) -> DataFrame:
             F.concat(F.lit("['say \""), n, F.lit("\", None']")), F.concat(F.lit("["), n, F.lit(" 'broken")), F.lit("  "),
             F.concat(F.lit('{"type": {"displayName": "'), n, F.lit('"}, "value": "[1]"}')), F.concat(F.lit("['\\x41"), n, F.lit("',]"))]
     literal = F.element_at(F.array(*made), (F.col("c_custkey") % 9 + 1).cast("int"))
-    return normalise(table(spark, sf_dir, "customer").select(
+    return normalise(spread(table(spark, sf_dir, "customer").select("c_custkey", "c_name")).select(
         F.col("c_custkey").alias("k"), F.array_join(text.qualifier_names_lenient(literal), "|").alias("names"), text.qualifiers_text_lenient(literal).alias("tokens")))

@@ -10,7 +10,7 @@ from __future__ import annotations
 import os
 import tempfile
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 # Settings the operators rely on: UTC so timestamps agree with the SQL oracle, AQE so joins against
 # tables whose size is only known at run time are re-planned (broadcast when the measured side is small,
@@ -69,6 +69,13 @@ def shared_folder(spark: SparkSession) -> str:
     return ensure_checkpoint_dir(spark)
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """``df`` dealt evenly over all cores, before costly work a row: a file of one row group is one task otherwise,
+    and adaptive coalescing sizes tasks by bytes, not by work."""
+    spark = df.sparkSession
+    return df.repartition(max(2 * spark.sparkContext.defaultParallelism, int(spark.conf.get("spark.sql.shuffle.partitions"))))
+
+
 def cluster_conf(input_bytes: int, total_cores: int, partition_bytes: int = 256 * 1024 * 1024,
                  rows_per_task: int = 4_000_000) -> dict[str, str]:
     """Settings for a cluster run, sized from the input volume.
