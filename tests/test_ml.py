@@ -1,6 +1,7 @@
 """ML operators: invariants and brute-force checks on small fixtures."""
 
 import numpy as np
+import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
@@ -157,3 +158,22 @@ def test_pivot_knn_with_folds_parts_spans_ties_and_odd_rows(spark, metric):
     assert K.knn_neighbours(frame, empty, "id", "vec", "label", 3, metric).count() == 0 == K.knn_neighbours(empty, frame, "id", "vec", "label", 3, metric).count()
     few = K.knn_neighbours(frame, frame.limit(2), "id", "vec", "label", 5, metric)
     assert few.filter("qid < 900").groupBy("qid").count().select("count").distinct().collect()[0][0] == 2
+
+
+@pytest.mark.parametrize("metric", ["l1", "l2"])
+def test_leaves_of_a_cell_lose_no_neighbour(metric):
+    rng = np.random.default_rng(3)
+    r, q = rng.integers(0, 6, (900, 3)).astype(float), rng.normal(3, 2, (400, 3))  # many copies and ties
+    parts = K.leaves(r)
+    assert sorted(np.concatenate(parts)) == list(range(900)) and max(map(len, parts)) <= K.LEAF
+    pivot, limit = r.mean(axis=0), np.inf
+    away, q_away = K.from_pivots(r, pivot[None], metric)[:, 0], K.from_pivots(q, pivot[None], metric)[:, 0]
+    rows = pd.DataFrame({"id": np.arange(900), "vec": list(r), "label": 0.0, "before": np.arange(900) % 4, "away": away})
+    asked = pd.DataFrame({"qid": np.arange(400), "q_vec": list(q), "q_before": np.arange(400) % 5, "limit": limit, "q_away": q_away})
+    found = K.nearest_in_cell(4, metric, True)(asked, rows).groupby("qid")["rid"].apply(list).to_dict()
+    for i in range(400):
+        gap = np.abs(r - q[i])
+        dist = gap.sum(1) if metric == "l1" else np.sqrt((gap ** 2).sum(1))
+        dist[(rows["before"] >= i % 5) | (rows["id"] == i)] = np.inf
+        best = [int(j) for j in np.lexsort((np.arange(900), dist))[:4] if np.isfinite(dist[j])]
+        assert found.get(i, []) == best
