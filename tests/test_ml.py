@@ -177,3 +177,26 @@ def test_leaves_of_a_cell_lose_no_neighbour(metric):
         dist[(rows["before"] >= i % 5) | (rows["id"] == i)] = np.inf
         best = [int(j) for j in np.lexsort((np.arange(900), dist))[:4] if np.isfinite(dist[j])]
         assert found.get(i, []) == best
+
+
+def test_least_squares_of_all_folds_equal_single_fits(spark):
+    import json
+
+    from touchline.ml import search as S
+    from touchline.operators.evaluate import regression_metrics
+    rng = np.random.default_rng(4)
+    data = [(i, float(x), float(3 * x + z), 1.0, float(x + z + rng.normal()), float(z)) for i, (x, z) in enumerate(rng.normal(size=(90, 2)))]
+    df = spark.createDataFrame(data, "i long, a double, b double, same double, y double, t double").checkpoint()
+    reg = M.ridge_reg_param(df, "y", 5.0)
+    got = {(r["params"], r["fold"]): r["score"] for r in S.search(df, "i", ["a", "b", "same"], "y", "ridge", "regressor", {"regParam": [0.0, reg]}, n_splits=2, impute=None).collect()}
+    for p in (0.0, reg):
+        fit = M.build_pipeline(["a", "b", "same"], M.estimator("ridge", "regressor", label="y", regParam=p), impute=None).fit(df.filter("i < 60"))
+        want = regression_metrics(fit.transform(df.filter("i >= 60")), "y", "prediction").first()["r2"]
+        assert got[json.dumps({"regParam": p}), 1] == pytest.approx(want, abs=1e-7)
+    assert len(got) == 4
+    run = S.multi_target_fits(df.filter("i < 60"), df.filter("i >= 60"), ["a", "b", "same"], ["y", "t"], [("linear", {})], idx_col="i", n_splits=2).collect()
+    fit = M.build_pipeline(["a", "b", "same"], M.estimator("linear", "regressor", label="y"), impute=None).fit(df.filter("i < 60"))
+    want = regression_metrics(fit.transform(df.filter("i >= 60")), "y", "prediction").first()
+    assert [r["run_name"] for r in run] == ["y:linear", "t:linear"]
+    assert (run[0]["test_r2"], run[0]["test_rmse"]) == (pytest.approx(want["r2"], abs=1e-7), pytest.approx(want["rmse"], abs=1e-7))
+    assert run[1]["test_r2"] == pytest.approx(1.0) and run[1]["cv_r2"] == pytest.approx(1.0)
