@@ -1,6 +1,8 @@
 """Regression and logistic grids against plain numpy solutions."""
 
 import numpy as np
+import pandas as pd
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -135,3 +137,25 @@ def test_grid_scans_do_not_grow_with_the_points(spark):
     data = G.block_moments(moments, ["a", "b", "c", "d", "y"], "fold")
     few, many = (G.solve(G.expanding(data, [2])[2], pts) for pts in (POINTS, POINTS * 3))
     assert {p: round(v[1], 9) for p, v in few.items()} == {p: round(v[1], 9) for p, v in many.items()}
+
+
+def test_shared_class_products_equal_the_plain_curvature(spark, monkeypatch):
+    rng = np.random.default_rng(8)
+    rows = pd.DataFrame({"_f": rng.integers(-1, 2, 300), "_y": rng.integers(0, 3, 300), "_0": rng.normal(size=300), "_1": rng.normal(size=300)})
+    train = {f: G.Moments.of(rows.loc[rows["_f"] < f, ["_0", "_1", "_y"]].to_numpy(float)) for f in (0, 1)}
+    tensor = L.Tensor(train, [(1.0, 0.5), (2.0, 0.1)], 3)
+    w = rng.normal(size=tensor.w.shape)
+    shapes = []
+    monkeypatch.setattr(L, "summed", lambda _, task: shapes.append(task([pa.RecordBatch.from_pandas(rows)])) or shapes[-1])
+    loss, slope, curve = tensor.sums(None, w, np.ones((2, 2), dtype=bool))
+    assert len(shapes[0]) == 2 * 2 * (1 + 9 + 6 * 3)  # three products of classes a feature pair, not six
+    for i, f in enumerate(tensor.folds):
+        own = rows[rows["_f"] < f]
+        z, y = tensor.scaled(own[["_0", "_1"]].to_numpy(float), i), own["_y"].to_numpy()
+        for j in range(2):
+            e = np.exp(z @ w[i, j])
+            p, hot = e / e.sum(axis=1, keepdims=True), np.eye(3)[y]
+            assert np.isclose(loss[i, j], -np.log(p[np.arange(len(y)), y]).mean())
+            assert np.allclose(slope[i, j], z.T @ (p - hot) / len(y))
+            plain = np.einsum("rj,rk,rab->jakb", z, z, np.eye(3) * p[:, :, None] - p[:, :, None] * p[:, None, :]) / len(y)
+            assert np.allclose(curve[i, j], plain.reshape(9, 9))

@@ -27,7 +27,7 @@ from touchline.ml.gram import MERGE_GROUPS, Moments, block_moments, expanding
 
 #: Coordinate sweeps before the weights that are not zero are solved for, tries of both, and rows that a task
 #: multiplies at a time.
-SWEEPS, ROUNDS, CHUNK = 10, 200, 2048
+SWEEPS, ROUNDS, CHUNK = 10, 200, 512
 
 
 def selected(df: DataFrame, columns: Sequence[str], label: str, fold: str) -> DataFrame:
@@ -85,9 +85,9 @@ class Tensor:
         ``w``; one scan of ``rows``."""
         size, classes, folds = self.size, self.classes, self.folds
         wanted = [np.flatnonzero(m) for m in moving]
-        weights = [np.moveaxis(w[i, p], 0, 1).reshape(size, -1) for i, p in enumerate(wanted)]
+        weights = [[np.ascontiguousarray(w[i, p, :, k].T) for k in range(classes)] for i, p in enumerate(wanted)]
         first, second = np.triu_indices(size)
-        ka, kb = np.triu_indices(classes)
+        ka, kb = np.triu_indices(classes, 1)  # p (1 - p) of a class is the sum of its products with the others
         pairs, blocks = len(first), len(ka)
         each = 1 + size * classes + pairs * blocks
         starts = np.cumsum([0] + [len(p) * each for p in wanted])
@@ -100,19 +100,25 @@ class Tensor:
                         if block >= f or not len(wanted[i]):
                             continue
                         z, n = self.scaled(x, i), len(wanted[i])
-                        logits = (z @ weights[i]).reshape(len(x), n, classes)
-                        top = logits.max(axis=2, keepdims=True)
-                        e = np.exp(logits - top)
-                        total = e.sum(axis=2, keepdims=True)
-                        own = np.arange(len(x))
-                        loss = (np.log(total) + top)[:, :, 0] - logits[own, :, y]
-                        p = e / total
-                        curve = np.where(ka == kb, p[:, :, ka], 0.0) - p[:, :, ka] * p[:, :, kb]
-                        p[own, :, y] -= 1.0
+                        p = [z @ own for own in weights[i]]
+                        top = p[0].copy()
+                        for own in p[1:]:
+                            np.maximum(top, own, out=top)
                         held = out[starts[i]:starts[i + 1]]
-                        held[:n] += loss.sum(axis=0)
-                        held[n:n + n * size * classes] += (z.T @ p.reshape(len(x), -1)).ravel()
-                        held[n + n * size * classes:] += ((z[:, first] * z[:, second]).T @ curve.reshape(len(x), -1)).ravel()
+                        held[:n] += top.sum(axis=0)
+                        for k, own in enumerate(p):
+                            held[:n] -= own[y == k].sum(axis=0)
+                            own -= top
+                            np.exp(own, out=own)
+                        total = sum(p)
+                        held[:n] += np.log(total).sum(axis=0)
+                        slopes = held[n:n + n * size * classes].reshape(size, n, classes)
+                        for k, own in enumerate(p):
+                            own /= total
+                            slopes[:, :, k] += z.T @ own - z[y == k].sum(axis=0)[:, None]
+                        products, curves = (z[:, first] * z[:, second]).T, held[n + n * size * classes:].reshape(blocks, pairs, n)
+                        for r, (c, d) in enumerate(zip(ka, kb)):
+                            curves[r] += products @ (p[c] * p[d])
             return out
 
         found = summed(rows, task) if starts[-1] else np.zeros(0)
@@ -122,10 +128,12 @@ class Tensor:
             own, n = found[starts[i]:starts[i + 1]] / self.n[i], len(p)
             loss[i, p] = own[:n]
             slope[i, p] = np.moveaxis(own[n:n + n * size * classes].reshape(size, n, classes), 0, 1)
-            parts = own[n + n * size * classes:].reshape(pairs, n, blocks)
+            parts = own[n + n * size * classes:].reshape(blocks, pairs, n)
             for q, (j, k) in enumerate(zip(first, second)):
                 for r, (a, b) in enumerate(zip(ka, kb)):
-                    curve[i, p, j, a, k, b] = curve[i, p, j, b, k, a] = curve[i, p, k, a, j, b] = curve[i, p, k, b, j, a] = parts[q, :, r]
+                    curve[i, p, j, a, k, b] = curve[i, p, j, b, k, a] = curve[i, p, k, a, j, b] = curve[i, p, k, b, j, a] = -parts[r, q]
+                for a in range(classes):
+                    curve[i, p, j, a, k, a] = curve[i, p, k, a, j, a] = parts[(ka == a) | (kb == a), q].sum(axis=0)
         return loss, slope, curve.reshape(*shape, size * classes, size * classes)
 
     def objective(self, loss: np.ndarray, w: np.ndarray) -> np.ndarray:
