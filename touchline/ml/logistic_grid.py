@@ -148,16 +148,17 @@ class Tensor:
         q, g = curve[at] + np.eye(start.shape[1]) * 1e-11, slope[at].reshape(len(at[0]), -1)
         new, left = start.copy(), np.arange(len(start))
         for _ in range(ROUNDS):
-            own, fit = new[left], g[left] + np.einsum("pij,pj->pi", q[left], new[left] - start[left])
+            own, some, first, pull, ridge = new[left], q[left], start[left], l1[left], l2[left]
+            fit = g[left] + np.einsum("pij,pj->pi", some, own - first)
             for _ in range(SWEEPS):
                 for j in range(own.shape[1]):
-                    h = q[left, j, j]
+                    h = some[:, j, j]
                     rest = h * own[:, j] - fit[:, j]
-                    step = np.sign(rest) * np.maximum(np.abs(rest) - l1[left, j], 0.0) / (h + l2[left, j]) - own[:, j]
-                    fit += q[left, j] * step[:, None]
+                    step = np.sign(rest) * np.maximum(np.abs(rest) - pull[:, j], 0.0) / (h + ridge[:, j]) - own[:, j]
+                    fit += some[:, j] * step[:, None]
                     own[:, j] += step
-            new[left] = own
-            left = np.array([p for p in left if not self.solved(q[p], g[p], start[p], l1[p], l2[p], new[p])], dtype=np.int64)
+            new[left], done = self.solved(some, g[left], first, pull, ridge, own)
+            left = left[~done]
             if not len(left):
                 break
         out = np.zeros_like(w)
@@ -166,18 +167,27 @@ class Tensor:
         return out
 
     @staticmethod
-    def solved(q: np.ndarray, g: np.ndarray, start: np.ndarray, l1: np.ndarray, l2: np.ndarray, w: np.ndarray) -> bool:
-        """Solve for the weights that are not zero, given their signs; whether that is the minimum. ``w`` takes it if so."""
+    def solved(q: np.ndarray, g: np.ndarray, start: np.ndarray, l1: np.ndarray, l2: np.ndarray, w: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Solve, for all points at once, for the weights that are not zero, given their signs: the better weights of
+        each point, and whether they are its minimum. A solution that changes signs goes on with those weights at zero,
+        if that lowers the point's objective."""
         free = (w != 0) | (l1 == 0)
         sign = np.where(l1 > 0, np.sign(w), 0.0)  # weights without an L1 penalty may change theirs
-        own = np.ix_(free, free)
-        found = np.zeros_like(w)
-        found[free] = np.linalg.solve(q[own] + np.diag(l2[free]), (q @ start - g)[free] - l1[free] * sign[free])
-        rest = g + q @ (found - start) + l2 * found
-        if (found * sign < 0).any() or (np.abs(rest[~free]) > l1[~free] + 1e-12).any():
-            return False
-        w[:] = found
-        return True
+        own = np.where(free[:, :, None] & free[:, None, :], q, 0.0)
+        at = np.arange(w.shape[1])
+        own[:, at, at] += np.where(free, l2, 1.0)
+        target = np.where(free, np.einsum("pij,pj->pi", q, start) - g - l1 * sign, 0.0)
+        found = np.linalg.solve(own, target[:, :, None])[:, :, 0]
+        rest = g + np.einsum("pij,pj->pi", q, found - start) + l2 * found
+        done = ~((found * sign < 0) | (~free & (np.abs(rest) > l1 + 1e-12))).any(axis=1)
+
+        def objective(v: np.ndarray) -> np.ndarray:
+            gap = v - start
+            return (g * gap + np.einsum("pij,pj->pi", q, gap) * gap / 2 + l1 * np.abs(v) + l2 * v * v / 2).sum(axis=1)
+
+        kept = np.where(found * sign < 0, 0.0, found)
+        better = done | (objective(kept) < objective(w))
+        return np.where(better[:, None], kept, w), done
 
     def violation(self, slope: np.ndarray) -> np.ndarray:
         """How far each point is from its optimum: the least norm of a subgradient of the objective at its weights."""
