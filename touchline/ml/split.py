@@ -39,13 +39,27 @@ def fold_of(df: DataFrame, order: Sequence[str], n_splits: int = 5) -> DataFrame
     return df.crossJoin(F.broadcast(cuts.select("cuts"))).withColumn("fold", (before - 1).cast("int")).drop("cuts")
 
 
-def holdout_split(df: DataFrame, order: Sequence[str], holdout: float = 0.2, idx_col: str = "row_idx") -> DataFrame:
+def holdout_split(df: DataFrame, order: Sequence[str], holdout: float = 0.2, idx_col: str | None = "row_idx") -> DataFrame:
     """M1 with the row index kept (for folds over it): the first ``max(int(n * (1 - holdout)), 1)`` rows in
-    time order train, the rest test (``is_train``). The rows themselves are indexed, nothing is joined back."""
-    idx = row_index(df, order, idx_col)
+    time order train, the rest test (``is_train``). The rows themselves are indexed, nothing is joined back.
+
+    Without ``idx_col`` only the order columns are sorted and every row compares its own keys with the cut. If rows
+    that share the cut's keys lie on both sides of it, all rows are indexed as above, so repeated keys split alike."""
+    if idx_col is None:
+        wanted = F.greatest(F.floor(F.col("_n") * (1 - holdout)).cast("long"), F.lit(1).cast("long"))
+        cut = boundary_rows(df, order, F.array(wanted - 1, wanted))
+        last_train, first_test = [F.try_element_at("cuts", F.lit(i)) for i in (1, 2)]
+        tied = cut.select(F.coalesce(last_train == first_test, F.lit(False))).first()
+        if tied is None or not tied[0]:
+            one = cut.select(first_test.alias("_cut"))
+            return (df.crossJoin(F.broadcast(one))
+                      .withColumn("is_train", F.coalesce(F.struct(*order) < F.col("_cut"), F.lit(True))).drop("_cut"))
+    name = idx_col or "_row_idx"
+    idx = row_index(df, order, name)
     n = idx.agg(F.count(F.lit(1)).alias("_n"))
     cut = F.greatest(F.floor(F.col("_n") * (1 - holdout)).cast("long"), F.lit(1))
-    return idx.crossJoin(F.broadcast(n)).withColumn("is_train", F.col(idx_col) < cut).drop("_n")
+    split = idx.crossJoin(F.broadcast(n)).withColumn("is_train", F.col(name) < cut).drop("_n")
+    return split if idx_col else split.drop(name)
 
 
 def fold_bounds(df: DataFrame, idx_col: str, n_splits: int = 5) -> DataFrame:

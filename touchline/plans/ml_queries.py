@@ -8,6 +8,8 @@ stay out of the hashed rows.
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -23,6 +25,7 @@ from touchline.plans import bindings
 from touchline.plans.event_queries import enriched_shots
 from touchline.plans.oracle import EVENTS_CTE, FIXTURES_CTE, with_ctes
 from touchline.plans.registry import normalise, query
+from touchline.session import stored
 from touchline.sources.tables import table
 
 MATCH_FEATURES = ["home_goals_for_last5", "away_goals_for_last5", "home_goals_against_last5", "away_goals_against_last5",
@@ -34,12 +37,16 @@ XG_FEATURES = ["distance_to_goal_m", "goal_frame_angle", "angle_degrees", "centr
                "is_counter_attack", "from_corner", "is_volley", "first_touch", "is_assisted", "score_diff_before_shot"]
 
 
-def match_table(spark: SparkSession, sf_dir: str) -> DataFrame:
-    fx = bindings.fixtures(spark, sf_dir)
+def match_table(spark: SparkSession, sf_dir: str, keep: Sequence[str] = (), indexed: bool = False) -> DataFrame:
+    """The fixtures with the features of ``MATCH_FEATURES``, the label and the time-ordered holdout. Only the columns that
+    a fit or a benchmark reads (and ``keep``) pass the windows, the join and the written table. ``indexed``: with
+    ``row_idx`` for folds, which sorts the rows themselves."""
+    columns = ["id", "kickoff", "is_train", "total_goals", "b365h", "b365d", "b365a", *MATCH_FEATURES, "label", *keep]
+    fx = holdout_split(bindings.fixtures(spark, sf_dir), ["kickoff", "id"], idx_col="row_idx" if indexed else None)
     feats = features.fixture_features(fx, None, 5, ["goals_for", "goals_against", "points"])
-    data = holdout_split(feats, ["kickoff", "id"]).withColumn("label", F.col("result_code").cast("double"))
+    data = feats.withColumn("label", F.col("result_code").cast("double")).select(*columns, *(["row_idx"] if indexed else []))
     # cut the window/join lineage once before the iterative fits (written to spark.checkpoint.dir)
-    return data.fillna(0.0, subset=MATCH_FEATURES).checkpoint(eager=True)
+    return stored(data.fillna(0.0, subset=MATCH_FEATURES), "matches")
 
 
 _TRAIN_CTE = """
@@ -314,7 +321,7 @@ FROM (VALUES (0.01), (0.1), (1.0), (5.0), (10.0), (25.0), (50.0), (100.0)) t(alp
 def grid_search_trials(spark: SparkSession, sf_dir: str) -> DataFrame:
     """M2 + M12 + M21 + M22: ridge regression of the goals over the whole grid of strengths on 5 expanding
     folds; every point has five fold scores and the best mean comes first."""
-    data = match_table(spark, sf_dir).filter("is_train").withColumn("goals", F.col("total_goals")).checkpoint(eager=True)
+    data = match_table(spark, sf_dir, indexed=True).filter("is_train").withColumn("goals", F.col("total_goals")).checkpoint(eager=True)
     grid = {"regParam": [M.ridge_reg_param(data, "goals", a) for a in RIDGE_ALPHAS]}
     trials = S.search(data, "row_idx", MATCH_FEATURES, "goals", "ridge", "regressor", grid, impute=None)
     best = S.best_trial(trials).checkpoint(eager=True)
@@ -338,12 +345,16 @@ def two_stage_match_model(spark: SparkSession, sf_dir: str) -> DataFrame:
 GENERATORS = [("linear", {}), ("random_forest", {"numTrees": 50, "maxDepth": 5})]
 
 
-def _indexed_matches(spark: SparkSession, sf_dir: str) -> DataFrame:
+#: Columns of a fixture that the composite indices are made of.
+INDEX_SOURCES = ["hs", "as_", "hst", "ast", "hc", "ac", "hy", "ay", "hr", "ar", "hf", "af"]
+
+
+def _indexed_matches(spark: SparkSession, sf_dir: str, indexed: bool = False) -> DataFrame:
     from touchline.plans.feature_queries import INDEX_WEIGHTS, _RAW, _index_raw
-    raw = _index_raw(match_table(spark, sf_dir))
+    raw = _index_raw(match_table(spark, sf_dir, INDEX_SOURCES, indexed))
     params = features.zscore_params(raw.filter("is_train"), _RAW)
     out = features.weighted_indices(raw, params, INDEX_WEIGHTS)
-    return out.select("id", "row_idx", "is_train", "label", *MATCH_FEATURES, *INDEX_WEIGHTS).checkpoint(eager=True)
+    return stored(out.select("id", *(["row_idx"] if indexed else []), "is_train", "label", *MATCH_FEATURES, *INDEX_WEIGHTS), "indices")
 
 
 @query("index_generators", """
@@ -355,7 +366,7 @@ def index_generators(spark: SparkSession, sf_dir: str) -> DataFrame:
     observed after the match) from pre-match features; runs ranked by 0.5 fold-mean R2 + 0.5 holdout R2:
     runs per target, and whether the best per target has the largest score."""
     from touchline.operators import ensemble as EN
-    data = _indexed_matches(spark, sf_dir)
+    data = _indexed_matches(spark, sf_dir, indexed=True)
     runs = S.multi_target_fits(data.filter("is_train"), data.filter(~F.col("is_train")), MATCH_FEATURES, features.INDEX_COLUMNS, GENERATORS,
                                idx_col="row_idx").checkpoint(eager=True)
     ranked = EN.rank_regressors(runs)

@@ -9,6 +9,7 @@ from __future__ import annotations
 
 import os
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -69,6 +70,15 @@ def shared_folder(spark: SparkSession) -> str:
     return ensure_checkpoint_dir(spark)
 
 
+def stored(df: DataFrame, name: str) -> DataFrame:
+    """Write ``df`` to the shared folder and read it back. This cuts the lineage as ``checkpoint()`` does and keeps columns
+    apart, so that a fit over a few of them reads only those and no row is decoded as an object."""
+    spark = df.sparkSession
+    path = f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
+
+
 def spread(df: DataFrame, rows_each: int | None = None) -> DataFrame:
     """``df`` dealt evenly over all cores, before costly work a row: a file of one row group is one task otherwise,
     and adaptive coalescing sizes tasks by bytes, not by work. With ``rows_each`` (``df`` is counted) in no more tasks
