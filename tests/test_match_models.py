@@ -6,6 +6,8 @@ from pyspark.sql import functions as F
 
 from conftest import SF001
 from touchline.functions import odds as O
+from touchline.ml import models as M
+from touchline.ml import search as S
 from touchline.ml.split import holdout_split
 from touchline.plans import ml_queries as Q
 
@@ -41,3 +43,20 @@ def test_match_table_holds_only_what_the_fits_read(spark):
     n = more.count()
     assert more.filter("is_train").count() == data.filter("is_train").count() == int(n * 0.8)
     assert more.agg(F.countDistinct("row_idx")).first()[0] == n
+
+
+def stage_rows(spark, missing=False):
+    rng = np.random.default_rng(5)
+    rows = [(i, float(a), float(b) if not missing or i % 9 else None, float(2 * a - b), float(a + rng.normal()), float(i % 3)) for i, (a, b) in enumerate(rng.normal(size=(120, 2)))]
+    return spark.createDataFrame(rows, "i long, a double, b double, y double, z double, cls double").checkpoint()
+
+
+def test_medians_are_found_only_where_values_are_missing(spark, monkeypatch):
+    built = []
+    plain = M.build_pipeline
+    monkeypatch.setattr(M, "build_pipeline", lambda *a, **k: built.append(k.get("impute", "median")) or plain(*a, **k))
+    for missing, want in ((False, None), (True, "median")):
+        df = stage_rows(spark, missing)
+        built.clear()
+        assert S.two_stage(df.filter("i < 90"), df.filter("i >= 90"), ["a", "b"], "y", "cls").count() == 30
+        assert built == [want] * 2
