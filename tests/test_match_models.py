@@ -51,6 +51,25 @@ def stage_rows(spark, missing=False):
     return spark.createDataFrame(rows, "i long, a double, b double, y double, z double, cls double").checkpoint()
 
 
+def test_all_generators_come_from_one_scan(spark, monkeypatch):
+    df = stage_rows(spark)
+    train, test = df.filter("i < 90"), df.filter("i >= 90")
+    kinds, seen = [], []
+    plain = M.estimator
+    monkeypatch.setattr(M, "estimator", lambda name, kind, **p: kinds.append(kind) or plain(name, kind, **p))
+
+    def checks(pred):
+        seen.append(pred)
+        return [F.count(F.lit(1)).alias("scored")]
+    runs = {r["run"]: (r["features"], r["scored"]) for r in S.advanced_stage2(train, test, ["a", "b"], ["y", "z"], "cls", checks=checks).collect()}
+    assert runs == {"y": (3, 30), "z": (3, 30), "all": (4, 30)}
+    assert kinds == ["classifier"] * 3  # no fit a generator
+    monkeypatch.undo()
+    fit = M.build_pipeline(["a", "b"], M.estimator("linear", "regressor", label="z"), impute=None).fit(train)
+    want = [r["prediction"] for r in fit.transform(test).orderBy("a").collect()]
+    assert [r["approx_z"] for r in seen[-1].orderBy("a").collect()] == pytest.approx(want, abs=1e-7)
+
+
 def test_medians_are_found_only_where_values_are_missing(spark, monkeypatch):
     built = []
     plain = M.build_pipeline
