@@ -29,7 +29,7 @@ def test_holdout_without_an_index_equals_the_indexed_one(spark):
 
 
 def test_row_std_stays_small_enough_to_compile(spark):
-    assert str(O.row_std(["a", "b", "c", "d"])).count("a") < 100
+    assert str(O.row_std(["a", "b", "c", "d"])).count("/") <= 2  # the mean is written once
     df = spark.createDataFrame([(1.0, 2.0, 4.0), (1.0, None, None), (float("inf"), 1.0, 2.0), (3.0, 3.0, None)], "a double, b double, c double")
     got = [r[0] for r in df.select(O.row_std(["a", "b", "c"])).collect()]
     assert got[0] == pytest.approx(np.std([1, 2, 4], ddof=1)) and got[1] is None and np.isnan(got[2]) and got[3] == 0

@@ -51,11 +51,13 @@ def entropy(norm_probs: Sequence[str | Column], floor: float = 1e-9) -> Column:
 def row_std(values: Sequence[str | Column]) -> Column:
     """Row-wise sample standard deviation (ddof 1) over non-null values; null when fewer than 2."""
     vs = [_c(v) for v in values]
-    n = sum(v.isNotNull().cast("int") for v in vs)
-    # squares about the mean, from the gaps of all pairs: a mean inside every square makes an expression too large to compile
-    pairs = sum((F.coalesce((a - b) * (a - b), F.lit(0.0)) for i, a in enumerate(vs) for b in vs[:i]), F.lit(0.0))
-    infinite = sum(F.coalesce(v, F.lit(0.0)) for v in vs) * 0.0  # NaN beside an infinite value, else 0
-    return F.when(n >= 2, F.sqrt((pairs + infinite) / (n * (n - 1))))
+    n = sum(F.when(v.isNotNull(), F.lit(1)).otherwise(F.lit(0)) for v in vs)
+    s = sum(F.coalesce(v, F.lit(0.0)) for v in vs)
+
+    def squares(mean: Column) -> Column:
+        return sum(F.when(v.isNotNull(), (v - mean) * (v - mean)).otherwise(F.lit(0.0)) for v in vs)
+    # the mean is bound once: written out inside every square it makes an expression too large to compile
+    return F.when(n >= 2, F.sqrt(F.transform(F.array(s / n), squares)[0] / (n - 1)))
 
 
 def shortest_price_pick(h: str | Column, d: str | Column, a: str | Column) -> Column:
