@@ -5,6 +5,7 @@ import hashlib
 import json
 
 import numpy as np
+import pyarrow as pa
 import public_tokenizers
 import tiktoken
 from pyspark.sql import functions as F
@@ -126,6 +127,30 @@ def test_neighbours_recall_and_few_rows(spark):
     assert ann.search(vectors.limit(0), F.col("vec_id") == 0).count() == 0
 
 
+def test_a_query_goes_once_to_each_run_in_small_batches():
+    rng = np.random.default_rng(6)
+    x = rng.normal(size=(3000, 8))
+    books = ann.Codebooks(x, float((x ** 2).sum(1).max()), 16)
+    cells = books.cells(x)
+    sizes = np.bincount(cells, minlength=256)
+    sizes[int(cells[0])] += 900  # a hot cell
+    layout = (sizes, *ann.runs_of_cells(sizes, 400, 600))
+    runs = np.searchsorted(layout[1], np.arange(256), side="right") - 1
+    for r in range(len(layout[1])):
+        held = sizes[runs == r].sum()
+        assert layout[2][r] == 1 and held <= 600 or (runs == r).sum() == 1 and -(-held // 400) == layout[2][r]
+    batch = pa.RecordBatch.from_arrays([pa.array(range(3000)), pa.array(list(x))], names=["vec_id", "vec"])
+    enough, met = int(0.65 * sizes.sum()), {}
+    for out in ann.visits_of_runs(iter([batch]), books, layout, enough):
+        assert out.num_rows <= ann.PAIRS  # all visits of 3,000 queries were one table before
+        for q, run, part, bits in zip(*(out.column(c).to_pylist() for c in ("query_id", "q_run", "q_part", "visited"))):
+            assert (run, part) not in met.setdefault(q, {})
+            met[q][run, part] = np.flatnonzero(np.unpackbits(np.frombuffer(bits, dtype=np.uint8))) + layout[1][run]
+    for q, want in enumerate(books.visits(x, sizes, enough)):
+        assert {(r, p) for c in want for r in [runs[c]] for p in range(layout[2][r])} == set(met[q])
+        assert {int(c) for own in met[q].values() for c in own} == set(want)
+
+
 def test_heap_walk_is_in_order():
     rng = np.random.default_rng(4)
     a, b = rng.random(9), rng.random(7)

@@ -9,10 +9,11 @@ largest norm, so that the nearest by Euclidean distance (query component 0) is t
 unit vectors it is 0.
 
 Distribution: codebooks are fitted on a bounded sample (``sample`` rows by hash of the id); every vector is
-indexed. The table of cell sizes has at most ``centroids`` squared rows. (query, cell) visits meet the cell's
-vectors in a cogroup; cells are dealt in parts of about ``part_rows`` vectors (by hash of the id), so a hot
-cell, such as one of equal vectors, is many tasks. Each part returns a query's best k, and a query's parts
-are ranked once more.
+indexed. The table of cell sizes has at most ``centroids`` squared rows. Cells are packed in runs of ``part_rows``
+to ``run_rows`` vectors; a cell above ``part_rows`` is a run of its own, dealt in parts of about that many (by hash
+of the id), so a hot cell, such as one of equal vectors, is many tasks. A query goes once to each run of which it
+visits a cell, with a bit for each of the run's cells, and meets their vectors in a cogroup of at most about
+``query_rows`` queries. Each returns a query's best k, and a query's parts are ranked once more.
 
 Recall: the walk stops at ``share`` of all vectors and at least ``least`` of them. Measured recall is in the
 README; share = 1 visits every cell and is exact.
@@ -25,14 +26,19 @@ candidates than k give shorter lists; an empty table gives an empty table.
 from __future__ import annotations
 
 import heapq
+from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from touchline.llm.common import materialise
+from touchline.session import spread
 
+#: Queries whose cells are chosen at a time, (query, run) rows of a batch, and scores held at a time.
+SLICE, PAIRS, SCORES = 256, 4096, 2_000_000
 #: Rounding room of the matrix product when candidates are short-listed before the exact scores.
 ROOM = 1e-6
 
@@ -119,15 +125,37 @@ class Codebooks:
         return [walk(a[i], b[i], sizes, enough) for i in range(len(x))]
 
 
-def top_k(queries: pd.DataFrame, vectors: pd.DataFrame, k: int) -> pd.DataFrame:
-    """The best k of ``vectors`` for each of ``queries`` by exact inner product, ties by smaller id."""
+def runs_of_cells(sizes: np.ndarray, part_rows: int, run_rows: int) -> tuple[np.ndarray, np.ndarray]:
+    """First cell and number of parts of each run: neighbouring cells that hold at most ``run_rows`` vectors together,
+    and every cell above ``part_rows`` for itself."""
+    firsts, parts, held = [0], [1], 0
+    for cell, n in enumerate(sizes.tolist()):
+        alone = n > part_rows
+        if cell and (alone or parts[-1] > 1 or held + n > run_rows):
+            firsts.append(cell)
+            parts.append(1)
+            held = 0
+        held += n
+        if alone:
+            parts[-1] = -(-n // part_rows)
+    return np.array(firsts), np.array(parts)
+
+
+def top_k(queries: pd.DataFrame, vectors: pd.DataFrame, k: int, places: np.ndarray | None = None) -> pd.DataFrame:
+    """The best k of ``vectors`` for each of ``queries`` by exact inner product, ties by smaller id. With ``places``, the
+    bit of each vector's cell, only among vectors whose bit is set in the query's ``visited``."""
     q, v = matrix(queries["vec"]), matrix(vectors["vec"])
     asked, ids, out = queries["query_id"].to_numpy(), vectors["vec_id"].to_numpy(), []
-    longest = np.sqrt((v ** 2).sum(1).max())
-    for at in range(0, len(q), 256):
-        some, own = q[at:at + 256], asked[at:at + 256]
+    longest, step = np.sqrt((v ** 2).sum(1).max()), max(1, min(SLICE, SCORES // len(v)))
+    for at in range(0, len(q), step):
+        some, own = q[at:at + step], asked[at:at + step]
         rough = some @ v.T
         rough[own[:, None] == ids[None, :]] = -np.inf
+        if places is not None:
+            bits = np.stack([np.frombuffer(b, dtype=np.uint8) for b in queries["visited"].iloc[at:at + step]])
+            seen = np.unpackbits(bits, axis=1).astype(bool)
+            if not seen[:, places].all():
+                rough[~seen[:, places]] = -np.inf
         if len(v) > k:
             # the matrix product rounds by place, so all that may belong to the best k are scored exactly
             room = ROOM * np.sqrt((some ** 2).sum(1)) * longest
@@ -142,20 +170,45 @@ def top_k(queries: pd.DataFrame, vectors: pd.DataFrame, k: int) -> pd.DataFrame:
     return pd.concat(out) if out else pd.DataFrame({"query_id": [], "vec_id": [], "score": []})
 
 
+def visits_of_runs(batches: Iterator[pa.RecordBatch], books: Codebooks, layout: tuple[np.ndarray, np.ndarray, np.ndarray], enough: int) -> Iterator[pa.RecordBatch]:
+    """A row for each part of each run of which a query (id, vec) visits a cell, with the bits of the cells that it visits.
+    A batch of answers stays small, however many runs are met."""
+    sizes, firsts, parts = layout
+    ends = np.append(firsts[1:], len(sizes))
+    for batch in batches:
+        for at in range(0, batch.num_rows, SLICE):
+            some = batch.slice(at, SLICE)
+            seen = np.zeros((some.num_rows, len(sizes)), dtype=bool)
+            for i, cells in enumerate(books.visits(matrix(some.column(1).to_pandas()), sizes, enough)):
+                seen[i, cells] = True
+            row, run = np.nonzero(np.logical_or.reduceat(seen, firsts, axis=1))
+            bits = [np.packbits(seen[:, a:b], axis=1) for a, b in zip(firsts, ends)]
+            times = parts[run]
+            part = np.arange(times.sum()) - np.repeat(np.cumsum(times) - times, times)
+            row, run = np.repeat(row, times), np.repeat(run, times)
+            for a in range(0, len(row), PAIRS):
+                r, c = row[a:a + PAIRS], run[a:a + PAIRS]
+                own = some.take(pa.array(r))
+                visited = pa.array([bits[y][x].tobytes() for x, y in zip(r, c)], pa.binary())
+                yield pa.RecordBatch.from_arrays([own.column(0), own.column(1), pa.array(c, pa.int64()), pa.array(part[a:a + PAIRS], pa.int64()), visited],
+                                                 names=["query_id", "vec", "q_run", "q_part", "visited"])
+
+
 def search(vectors: DataFrame, is_query: Column, k: int = 20, centroids: int | None = None, share: float = 0.65, least: int = 2000,
-           sample: int = 20_000, part_rows: int = 4000) -> DataFrame:
+           sample: int = 20_000, part_rows: int = 4000, run_rows: int = 20_000, query_rows: int = 20_000) -> DataFrame:
     """(query_id, rank, vec_id, score) of the ``k`` nearest rows of ``vectors`` (vec_id, embedding) for each
     row for which ``is_query`` holds, without the query's own id. ``centroids`` per codebook default to the
     fourth root of the number of vectors, 16 at least."""
     rows = materialise(usable(vectors).withColumn("is_query", F.coalesce(is_query, F.lit(False))), "vectors")
     fitted = rows.orderBy(F.xxhash64("vec_id"), "vec_id").limit(sample).select("vec").toPandas()  # at most ``sample``
-    count, radius2 = rows.agg(F.count("*"), F.max(norm2("vec"))).first()
+    count, radius2, queries = rows.agg(F.count("*"), F.max(norm2("vec")), F.count_if("is_query")).first()
     result = "query_id long, vec_id long, score double"
     if not count:
         return rows.sparkSession.createDataFrame([], "query_id long, rank int, vec_id long, score double")
     centroids = centroids or max(16, int(np.ceil(count ** 0.25)))
     books = Codebooks(matrix(fitted["vec"]), radius2, centroids)
-    shared = rows.sparkSession.sparkContext.broadcast(books)
+    context = rows.sparkSession.sparkContext
+    shared = context.broadcast(books)
     vec = f"vec {rows.schema['vec'].dataType.simpleString()}"
 
     def assign(batches):
@@ -168,31 +221,32 @@ def search(vectors: DataFrame, is_query: Column, k: int = 20, centroids: int | N
     for r in indexed.groupBy("cell").count().collect():  # at most centroids squared rows
         sizes[r["cell"]] = r["count"]
     enough = max(least, int(np.ceil(share * count)))
-    layout = rows.sparkSession.sparkContext.broadcast((sizes, -(-sizes // part_rows)))
+    # larger runs send a query to fewer places, but every core has a few
+    firsts, parts = runs_of_cells(sizes, part_rows, max(part_rows, min(run_rows, count // (4 * context.defaultParallelism))))
+    layout = context.broadcast((sizes, firsts, parts))
+    spans = max(1, -(-queries // query_rows))
 
     def visit(batches):
-        for pdf in batches:
-            if len(pdf):
-                cells = shared.value.visits(matrix(pdf["vec"]), layout.value[0], enough)
-                n = [len(c) for c in cells]
-                yield pd.DataFrame({"query_id": np.repeat(pdf["vec_id"].to_numpy(), n), "vec": pdf["vec"].repeat(n).to_numpy(),
-                                    "cell": np.concatenate(cells) if sum(n) else np.empty(0, dtype=np.int64)})
+        yield from visits_of_runs(batches, shared.value, layout.value, enough)
 
-    def spread(batches):
+    def deal(batches):
+        _, firsts, parts = layout.value
         for pdf in batches:
-            yield pdf.assign(parts=layout.value[1][pdf["cell"].to_numpy(dtype=np.int64)])
+            cell = pdf["cell"].to_numpy(dtype=np.int64)
+            run = np.searchsorted(firsts, cell, side="right") - 1
+            yield pdf.assign(cell=cell - firsts[run], run=run, parts=parts[run])
 
-    asked = indexed.filter("is_query").select("vec_id", "vec").mapInPandas(visit, f"query_id long, {vec}, cell long")
-    asked = asked.mapInPandas(spread, f"query_id long, {vec}, cell long, parts long")
-    asked = asked.select("query_id", "vec", F.col("cell").alias("q_cell"), F.explode(F.sequence(F.lit(0).cast("long"), F.col("parts") - 1)).alias("q_part"))
-    held = (indexed.select("vec_id", "vec", "cell").mapInPandas(spread, f"vec_id long, {vec}, cell long, parts long")
-            .select("vec_id", "vec", "cell", F.pmod(F.xxhash64("vec_id"), F.col("parts")).alias("part")))
+    asked = spread(indexed.filter("is_query").select("vec_id", "vec")).mapInArrow(visit, f"query_id long, {vec}, q_run long, q_part long, visited binary")
+    asked = asked.withColumn("q_span", F.pmod(F.xxhash64("query_id"), F.lit(spans)))
+    held = (indexed.select("vec_id", "vec", "cell").mapInPandas(deal, f"vec_id long, {vec}, cell long, run long, parts long")
+            .select("vec_id", "vec", "cell", "run", F.pmod(F.xxhash64("vec_id"), F.col("parts")).alias("part"),
+                    F.explode(F.sequence(F.lit(0).cast("long"), F.lit(spans - 1).cast("long"))).alias("span")))
 
     def rerank(keys, queries: pd.DataFrame, found: pd.DataFrame) -> pd.DataFrame:
         if not len(queries) or not len(found):
             return pd.DataFrame({"query_id": [], "vec_id": [], "score": []})
-        return top_k(queries, found, k)
+        return top_k(queries, found, k, found["cell"].to_numpy(dtype=np.int64))
 
-    best = asked.groupBy("q_cell", "q_part").cogroup(held.groupBy("cell", "part")).applyInPandas(rerank, result)
+    best = asked.groupBy("q_run", "q_part", "q_span").cogroup(held.groupBy("run", "part", "span")).applyInPandas(rerank, result)
     ranked = best.withColumn("rank", F.row_number().over(Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")))
     return ranked.filter(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
