@@ -159,3 +159,15 @@ def test_shared_class_products_equal_the_plain_curvature(spark, monkeypatch):
             assert np.allclose(slope[i, j], z.T @ (p - hot) / len(y))
             plain = np.einsum("rj,rk,rab->jakb", z, z, np.eye(3) * p[:, :, None] - p[:, :, None] * p[:, None, :]) / len(y)
             assert np.allclose(curve[i, j], plain.reshape(9, 9))
+
+
+def test_weak_penalties_take_few_scans(spark):
+    """A weak penalty alone fixes the shift of a feature's weights over the classes, as on large tables."""
+    rng = np.random.default_rng(8)
+    x = rng.normal(size=(900, 4))
+    y = (x @ rng.normal(size=(4, 3)) + rng.gumbel(size=(900, 3)) * 2).argmax(axis=1)
+    rows = [(int(i // 300) - 1, int(y[i]), *map(float, x[i])) for i in range(900)]
+    df = spark.createDataFrame(rows, "fold int, y int, a double, b double, c double, d double").repartition(4).checkpoint()
+    tensor, scans = L.fit_grid(df, ["a", "b", "c", "d"], "y", "fold", [(c, r) for c in (1000.0, 20000.0) for r in (0.05, 0.5, 0.95)])
+    slope = tensor.sums(L.selected(df, ["a", "b", "c", "d"], "y", "fold"), tensor.w, np.ones(tensor.w.shape[:2], dtype=bool))[1]
+    assert scans <= 14 and tensor.violation(slope).max() < 1e-12  # still moving after 200 scans before

@@ -28,6 +28,8 @@ from touchline.ml.gram import MERGE_GROUPS, Moments, block_moments, expanding
 #: Coordinate sweeps before the weights that are not zero are solved for, tries of both, and rows that a task
 #: multiplies at a time.
 SWEEPS, ROUNDS, CHUNK = 10, 200, 512
+#: Rounding of a mean loss, as a share of it, and of a mean gradient: a smaller rise, or distance from the optimum, is none.
+NOISE, FLAT = 1e-13, 1e-14
 
 
 def selected(df: DataFrame, columns: Sequence[str], label: str, fold: str) -> DataFrame:
@@ -169,8 +171,9 @@ class Tensor:
     @staticmethod
     def solved(q: np.ndarray, g: np.ndarray, start: np.ndarray, l1: np.ndarray, l2: np.ndarray, w: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Solve, for all points at once, for the weights that are not zero, given their signs: the better weights of
-        each point, and whether they are its minimum. A solution that changes signs goes on with those weights at zero,
-        if that lowers the point's objective."""
+        each point, and whether they are its minimum. Towards a solution that changes signs the objective falls up to the
+        first weight that reaches zero; the point goes on from there, or with all those weights at zero if that is lower.
+        (A shift of a feature's weights in all classes leaves the loss alone, so single coordinates hardly move along it.)"""
         free = (w != 0) | (l1 == 0)
         sign = np.where(l1 > 0, np.sign(w), 0.0)  # weights without an L1 penalty may change theirs
         own = np.where(free[:, :, None] & free[:, None, :], q, 0.0)
@@ -185,9 +188,13 @@ class Tensor:
             gap = v - start
             return (g * gap + np.einsum("pij,pj->pi", q, gap) * gap / 2 + l1 * np.abs(v) + l2 * v * v / 2).sum(axis=1)
 
-        kept = np.where(found * sign < 0, 0.0, found)
-        better = done | (objective(kept) < objective(w))
-        return np.where(better[:, None], kept, w), done
+        turned = found * sign < 0
+        share = np.where(turned, w / np.where(turned, w - found, 1.0), np.inf)
+        first = share.min(axis=1, keepdims=True)
+        edge = np.where(share <= first, 0.0, w + np.minimum(first, 1.0) * (found - w))
+        kept = np.where(turned, 0.0, found)
+        straight = done | ~turned.any(axis=1) | (objective(kept) < objective(edge))
+        return np.where(straight[:, None], kept, edge), done
 
     def violation(self, slope: np.ndarray) -> np.ndarray:
         """How far each point is from its optimum: the least norm of a subgradient of the objective at its weights."""
@@ -204,12 +211,13 @@ class Tensor:
             trial = self.w + length[..., None, None] * step
             loss, slope, curve = self.sums(rows, trial, moving)
             value = self.objective(loss, trial)
-            better = moving & (value <= best + 1e-14 * np.abs(value))
+            better = moving & (value <= best + NOISE * np.abs(value))
             self.w[better], best[better] = trial[better], value[better]
             stuck = moving & ~better
             length[stuck] /= 2
             if better.any():
                 step[better], length[better] = self.newton(self.w, slope, curve, better)[better], 1.0
+                moving &= ~(better & (self.violation(slope) <= FLAT))
             moving &= (length[..., None, None] * np.abs(step)).max(axis=(2, 3)) > tolerance
             if not moving.any():
                 self.w[:, :, -1] -= self.w[:, :, -1].mean(axis=-1, keepdims=True)  # intercepts are free up to a constant
