@@ -200,3 +200,23 @@ def test_least_squares_of_all_folds_equal_single_fits(spark):
     assert [r["run_name"] for r in run] == ["y:linear", "t:linear"]
     assert (run[0]["test_r2"], run[0]["test_rmse"]) == (pytest.approx(want["r2"], abs=1e-7), pytest.approx(want["rmse"], abs=1e-7))
     assert run[1]["test_r2"] == pytest.approx(1.0) and run[1]["cv_r2"] == pytest.approx(1.0)
+
+
+@pytest.mark.parametrize("metric", ["l1", "l2"])
+def test_queries_move_once_to_a_run_of_cells(spark, metric):
+    """Without structure every query meets every cell: 100 cells here, of which a run holds several."""
+    rng = np.random.default_rng(12)
+    x = rng.normal(size=(2500, 12)).astype(np.float32)
+    x[40:60] = x[40]  # ties go by id
+    df = spark.createDataFrame([(i, [float(v) for v in x[i]], float(i % 3)) for i in range(2500)], "id long, vec array<float>, label double").checkpoint()
+    work = {}
+    found = K.knn_neighbours(df.filter("id >= 2000"), df.filter("id < 2000"), "id", "vec", "label", 4, metric, cell_rows=20, work=work).toPandas()
+    assert work["rows"] < 20_000  # 500 queries at about 100 cells: above 50,000 before
+    wide = x.astype(np.float64)
+    for q in range(2000, 2500, 7):
+        gap = wide[:2000] - wide[q]
+        d = np.abs(gap).sum(1) if metric == "l1" else np.sqrt((gap ** 2).sum(1))
+        want = np.lexsort((np.arange(2000), d))[:4]
+        own = found[found["qid"] == q].sort_values("rank")
+        assert own["rid"].tolist() == want.tolist() and np.allclose(own["dist"], d[want], rtol=1e-12)
+    assert K.runs_of_cells(np.array([5, 5, 30, 4, 7]), 20, 11).tolist() == [0, 0, 1, 2, 2]
